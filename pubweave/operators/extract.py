@@ -386,7 +386,7 @@ def extract_rankings(
 
     def cells(row: Column) -> Column:
         found = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), F.lit(1))
-        return F.transform(found, element_text)
+        return F.transform(found, lambda c: element_text(c))
 
     def entry(row: Column) -> Column:
         whole = F.when(row[1].rlike(r"^[+-]?\d+$"), row[1]).try_cast("int")

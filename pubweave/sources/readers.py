@@ -50,11 +50,11 @@ def read_table_csv(spark: SparkSession, path: str, schema: T.StructType) -> Data
 
 def _json_cell(name: str) -> Column:
     """``"name": value`` where a digits-only text is a number, any other text a string."""
-    value = F.col(f"`{name}`")
+    value = F.coalesce(F.col(f"`{name}`"), F.lit(""))
     quoted = F.regexp_extract(F.to_json(F.array(value)), r"(?s)^\[(.*)\]$", 1)
     number = F.regexp_replace(value, "^0+(?=[0-9])", "")
     label = F.regexp_extract(F.to_json(F.array(F.lit(name))), r"(?s)^\[(.*)\]$", 1)
-    cell = F.when(value.rlike("^[0-9]+$"), number).otherwise(F.coalesce(quoted, F.lit('""')))
+    cell = F.when(value.rlike("^[0-9]+$"), number).otherwise(quoted)
     return F.concat(label, F.lit(":"), cell)
 
 
