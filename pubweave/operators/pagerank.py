@@ -15,30 +15,54 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pubweave.operators.coauthors import papers
-from pubweave.storage import BROADCAST_BYTES, bucketed_by, estimated_bytes, materialize
+from pubweave.storage import (
+    BROADCAST_BYTES,
+    broadcast_if_small,
+    bucketed_by,
+    discard,
+    estimated_bytes,
+    kept,
+    work_path,
+    written,
+)
 
 ROUNDS_PER_JOB = 5
 SETTLED = 1e-10
 
 
 def _run_rounds(
-    ranks: DataFrame,
+    start: DataFrame,
     one_round: Callable[[DataFrame], DataFrame],
     reset: float,
     max_iter: int,
     settled: float,
+    broadcast_bytes: int,
 ) -> DataFrame:
-    """Apply ``one_round`` ``max_iter`` times, writing the ranks out every few rounds.
+    """Apply ``one_round`` ``max_iter`` times to the ranks.
+
+    The vertex set never changes, so its measured size decides once: small ranks are broadcast
+    and written out every few rounds. Larger ones are joined by a shuffle and written out after
+    each round, because adaptive execution splits a hot vertex only if the ranks come straight
+    from a stored table. A written table replaces its predecessor.
 
     A round shrinks the summed absolute change by at least ``1 - reset``. Once the change that
     all remaining rounds together can still make is at most ``settled``, they are skipped.
     ``settled=0`` always runs every round.
     """
+    spark = start.sparkSession
+    start = written(start, "ranks")
+    small = estimated_bytes(start) <= broadcast_bytes
+    rounds_per_job = ROUNDS_PER_JOB if small else 1
+    ranks, stored_at = start, None
     for done in range(1, max_iter + 1):
-        ranks = one_round(ranks)
-        if done % ROUNDS_PER_JOB and done < max_iter:
+        ranks = one_round(F.broadcast(ranks) if small else ranks)
+        if done % rounds_per_job and done < max_iter:
             continue
-        ranks = materialize(ranks)
+        superseded, stored_at = stored_at, work_path(spark, "ranks")
+        ranks.write.parquet(stored_at)
+        ranks = spark.read.schema(ranks.schema).parquet(stored_at)
+        if superseded:
+            discard(spark, superseded)
         if settled and done < max_iter:
             moved = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("previous")))).first()[0]
             if (moved or 0.0) * (1 - reset) / reset <= settled:
@@ -46,11 +70,6 @@ def _run_rounds(
     return ranks
 
 
-def _sized(ranks: DataFrame, broadcast_bytes: int) -> Callable[[DataFrame], DataFrame]:
-    """The vertex set does not change, so one measurement decides for all rounds."""
-    return F.broadcast if estimated_bytes(ranks) <= broadcast_bytes else (lambda df: df)
-
-
 def _membership_bytes(groups: DataFrame) -> int:
     """Estimated size of the exploded memberships."""
     lengths = F.octet_length(F.array_join("members", "")) + F.size("members") * 64
@@ -72,10 +91,11 @@ def author_pagerank(
         F.array_sort("members").alias("members")
     )
     # Papers by the same people weigh together. The ids are fixed by being written out.
-    groups = materialize(
+    groups = written(
         member_sets.groupBy("members")
         .agg(F.count(F.lit(1)).alias("papers"))
-        .withColumn("paper", F.monotonically_increasing_id())
+        .withColumn("paper", F.monotonically_increasing_id()),
+        "papers",
     )
     memberships = groups.select(
         "paper",
@@ -86,17 +106,14 @@ def author_pagerank(
     paper_total = F.sum("share").over(Window.partitionBy("paper"))
 
     with bucketed_by(memberships, "paper", _membership_bytes(groups)) as members:
-        start = materialize(
-            members.groupBy("id").agg(
-                F.lit(1.0).alias("rank"),
-                F.lit(1.0).alias("previous"),
-                F.sum("links").alias("outdegree"),
-            )
+        start = members.groupBy("id").agg(
+            F.lit(1.0).alias("rank"),
+            F.lit(1.0).alias("previous"),
+            F.sum("links").alias("outdegree"),
         )
-        sized = _sized(start, broadcast_bytes)
 
         def one_round(ranks: DataFrame) -> DataFrame:
-            shares = members.join(sized(ranks), "id").withColumn(
+            shares = members.join(ranks, "id").withColumn(
                 "share", F.col("rank") / F.col("outdegree")
             )
             received = (paper_total - F.col("share")) * F.col("papers")
@@ -110,7 +127,7 @@ def author_pagerank(
                 )
             )
 
-        ranks = _run_rounds(start, one_round, reset, max_iter, settled)
+        ranks = _run_rounds(start, one_round, reset, max_iter, settled, broadcast_bytes)
     return ranks.select("id", F.col("rank").alias("pagerank"))
 
 
@@ -128,27 +145,28 @@ def pagerank(
     one aggregation.
     """
     counted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("edges"))
-    counted = materialize(counted.filter(F.col("src").isNotNull() & F.col("dst").isNotNull()))
-    outdegree = counted.groupBy("src").agg(F.sum("edges").alias("outdegree"))
-    weighted = counted.join(outdegree, "src").select(
+    counted = counted.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
+    counted = written(counted, "edges")
+    outdegree = written(
+        counted.groupBy("src").agg(F.sum("edges").alias("outdegree")), "outdegree"
+    )
+    weighted = counted.join(broadcast_if_small(outdegree, broadcast_bytes), "src").select(
         "src", "dst", (F.col("edges") / F.col("outdegree")).alias("weight")
     )
     every = counted.select(F.col("src").alias("id")).union(counted.select("dst")).distinct()
     loops = every.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0))
-    links = weighted.unionAll(loops)
-    own_rank = F.when((F.col("src") == F.col("dst")) & (F.col("weight") == 0), F.col("rank"))
+    is_loop = (F.col("src") == F.col("dst")) & (F.col("weight") == 0)
+    own_rank = F.when(is_loop, F.col("rank"))
 
-    with bucketed_by(links, "dst", estimated_bytes(counted)) as incoming:
-        start = materialize(
-            incoming.filter("src = dst and weight = 0").select(
-                F.col("src").alias("id"), F.lit(1.0).alias("rank"), F.lit(1.0).alias("previous")
-            )
+    # Not bucketed by target: a vertex that a third of all edges point to would be one task.
+    with kept(weighted.unionAll(loops), "links") as links:
+        start = links.filter(is_loop).select(
+            F.col("src").alias("id"), F.lit(1.0).alias("rank"), F.lit(1.0).alias("previous")
         )
-        sized = _sized(start, broadcast_bytes)
 
         def one_round(ranks: DataFrame) -> DataFrame:
             return (
-                incoming.join(sized(ranks), incoming.src == ranks.id)
+                links.join(ranks, F.col("src") == F.col("id"))
                 .groupBy("dst")
                 .agg(
                     (F.sum(F.col("weight") * F.col("rank")) * (1 - reset) + reset).alias("rank"),
@@ -157,7 +175,7 @@ def pagerank(
                 .withColumnRenamed("dst", "id")
             )
 
-        ranks = _run_rounds(start, one_round, reset, max_iter, settled)
+        ranks = _run_rounds(start, one_round, reset, max_iter, settled, broadcast_bytes)
     # Rank that reaches a vertex without outgoing edges is lost; the sum is put right at the end.
     scale = ranks.agg(F.count(F.lit(1)) / F.sum("rank")).first()[0]
     return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("pagerank"))

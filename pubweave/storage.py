@@ -41,17 +41,17 @@ def work_path(spark: SparkSession, label: str) -> str:
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into reliable storage and continue from there."""
-    checkpoint_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def _hadoop_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
 def written(df: DataFrame, label: str = "table") -> DataFrame:
-    """``df`` written as a parquet table and read back: for results too wide for a checkpoint.
+    """Compute ``df`` once into a stored table and continue from there.
 
-    Later readers still prune columns, and a join on top sees a plain scan, which is what adaptive
-    execution needs to split a hot key.
+    The table cuts the lineage, later readers still prune columns, and a join on top sees a plain
+    scan, which is what adaptive execution needs to split a hot key.
     """
     path = work_path(df.sparkSession, label)
     df.write.parquet(path)
@@ -59,7 +59,7 @@ def written(df: DataFrame, label: str = "table") -> DataFrame:
 
 
 def estimated_bytes(df: DataFrame) -> int:
-    """Size of a materialized table, from one aggregate: text lengths plus a charge per value."""
+    """Size in memory, from one aggregate: text lengths plus a charge per value."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
     lengths = [F.coalesce(F.octet_length(F.col(f"`{n}`")), F.lit(0)) for n in text]
     total = F.lit(0).cast("bigint")
@@ -72,18 +72,12 @@ def estimated_bytes(df: DataFrame) -> int:
 def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     """Hint a broadcast only if the measured size is within ``limit``.
 
-    ``df`` should be materialized. Beyond the limit the join stays a shuffle join, in which
+    ``df`` should be a stored table. Beyond the limit the join stays a shuffle join, in which
     adaptive execution splits hot keys.
     """
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     target, fs = _hadoop_path(spark, path)
     return fs.exists(target)
@@ -103,21 +97,45 @@ def bucket_count(spark: SparkSession, size_bytes: int) -> int:
     return max(1, min(max(wanted, spark.sparkContext.defaultParallelism), 100_000))
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a table of our own that nothing reads any more."""
+    target, fs = _hadoop_path(spark, path)
+    fs.delete(target, True)
+
+
+@contextmanager
+def kept(df: DataFrame, label: str) -> Iterator[DataFrame]:
+    """``df`` written and cached for repeated reads; both copies go when the block ends.
+
+    A lost executor costs only a re-read of the written table.
+    """
+    path = work_path(df.sparkSession, label)
+    df.write.parquet(path)
+    cached = df.sparkSession.read.schema(df.schema).parquet(path)
+    cached.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield cached
+    finally:
+        cached.unpersist()
+        discard(df.sparkSession, path)
+
+
 @contextmanager
 def bucketed_by(df: DataFrame, key: str, size_bytes: int) -> Iterator[DataFrame]:
-    """``df`` written as a table bucketed by ``key``, sorted and cached for repeated reads.
+    """Like ``kept``, but bucketed and sorted by ``key``.
 
-    Grouping or windowing by ``key`` then needs neither a shuffle nor a sort, round after round.
-    The files stay in the checkpoint folder; the catalog entry and the cache go when the block ends.
+    Windowing by ``key`` then needs neither a shuffle nor a sort, round after round. Only for a
+    key whose groups are bounded: a bucket is one task.
     """
     spark = df.sparkSession
     buckets = bucket_count(spark, size_bytes)
     name = f"pubweave_{uuid.uuid4().hex}"
+    path = work_path(spark, name)
     (
         df.repartition(buckets, key)
         .write.bucketBy(buckets, key)
         .sortBy(key)
-        .option("path", work_path(spark, name))
+        .option("path", path)
         .saveAsTable(name)
     )
     cached = spark.table(name).sortWithinPartitions(key).persist(StorageLevel.MEMORY_AND_DISK)
@@ -126,3 +144,4 @@ def bucketed_by(df: DataFrame, key: str, size_bytes: int) -> Iterator[DataFrame]
     finally:
         cached.unpersist()
         spark.sql(f"DROP TABLE IF EXISTS {name}")
+        discard(spark, path)
