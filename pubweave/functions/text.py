@@ -10,6 +10,7 @@ from pyspark.sql import Column, functions as F
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 _WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
+_NAMED = ",".join(f"{n}:{cp}" for n, cp in {**name2codepoint, "apos": 39}.items())
 _ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
 
 
@@ -55,17 +56,18 @@ def _decoded_piece(piece: Column, names: Column) -> Column:
     return F.when(body == "", plain).otherwise(F.coalesce(F.concat(character, rest), plain))
 
 
-def decode_entities(value: Column) -> Column:
-    """Decode numeric and named character references; unknown ones stay as they are."""
-    pairs = [F.lit(x) for name, cp in sorted(name2codepoint.items()) for x in (name, str(cp))]
-    pairs += [F.lit("apos"), F.lit("39")]
-    names = F.create_map(*pairs)
+def _decoded(value: Column) -> Column:
+    names = F.str_to_map(F.lit(_NAMED), F.lit(","), F.lit(":"))
     pieces = F.split(value, "&", -1)
     tail = F.transform(
         F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: _decoded_piece(p, names)
     )
-    decoded = F.concat(pieces[0], F.array_join(tail, ""))
-    return F.when(F.contains(value, F.lit("&")), decoded).otherwise(value)
+    return F.concat(pieces[0], F.array_join(tail, ""))
+
+
+def decode_entities(value: Column) -> Column:
+    """Decode numeric and named character references; unknown ones stay as they are."""
+    return F.when(F.contains(value, F.lit("&")), _decoded(value)).otherwise(value)
 
 
 def element_text(inner_html: Column, collapse: bool = True) -> Column:
@@ -73,5 +75,10 @@ def element_text(inner_html: Column, collapse: bool = True) -> Column:
 
     ``collapse`` also turns each run of whitespace into one space, as a rendered page shows it.
     """
-    text = decode_entities(F.regexp_replace(inner_html, r"(?s)<!--.*?-->|<[^>]*>", ""))
+    has_markup = F.contains(inner_html, F.lit("<"))
+    text = F.when(
+        has_markup, F.regexp_replace(inner_html, r"(?s)<!--.*?-->|<[^>]*>", "")
+    ).otherwise(inner_html)
+    has_entity = F.contains(inner_html, F.lit("&"))
+    text = F.when(has_entity, _decoded(text)).otherwise(text)
     return strip(F.regexp_replace(text, _WHITESPACE_RUN, " ") if collapse else text)

@@ -43,7 +43,7 @@ def affiliation_countries(
     matches ``usa``; ``literal_allowlist`` compares the normalised text with the list as written.
     ``allow=None`` keeps every non-empty country.
     """
-    names = F.col("countries")
+    names = F.coalesce("countries", F.array())
     if distinct_per_article:
         names = F.array_distinct(F.transform(names, country_name))
     rows = (

@@ -13,7 +13,7 @@ import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pubweave.functions import (
     decode_entities,
@@ -24,6 +24,7 @@ from pubweave.functions import (
     publication_date_parts,
     strip,
 )
+from pubweave.schema import AFFILIATION
 from pubweave.storage import written
 
 
@@ -74,17 +75,9 @@ class Rule:
     drop_empty: bool = False
     page_scope: bool = False
 
-    def _value(self, raw: Column) -> Column:
-        return decode_entities(raw) if self.attribute else element_text(raw, self.collapse)
-
-    def _scalar(self, source: Column) -> Column:
-        raw = F.regexp_extract(source, self.pattern, self.group)
-        found = F.coalesce(
-            F.nullif(raw, F.lit("")), F.when(source.rlike(self.pattern), F.lit(""))
-        )
-        return F.coalesce(self._value(found), F.lit(self.default))
+    def raw(self, source: Column, region: Column | None) -> Column:
+        """The markup found, one value or a list; NULL where the element or region is absent."""
 
-    def _list(self, source: Column, present: Column) -> Column:
         def matches(text: Column) -> Column:
             return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(self.group))
 
@@ -92,23 +85,60 @@ class Rule:
             regions = F.regexp_extract_all(source, F.lit(self.within), F.lit(self.within_group))
             found = F.flatten(F.transform(regions, matches))
         else:
-            found = matches(source)
-        values = F.transform(found, lambda v: strip(self._value(v)))
+            found = matches(source if region is None else region)
+        return found if self.many else F.get(found, F.lit(0))
+
+    def _text(self, raw: Column) -> Column:
+        return decode_entities(raw) if self.attribute else element_text(raw, self.collapse)
+
+    def value(self, raw: Column) -> Column:
+        """The field, from the markup found."""
+        if not self.many:
+            return F.coalesce(self._text(raw), F.lit(self.default))
+        values = F.transform(raw, lambda v: strip(self._text(v)))
         fallback = F.lit(None) if self.default is None else F.array(F.lit(self.default))
         if self.drop_empty:
             values = F.filter(values, lambda v: v != "")
             return F.when(F.size(values) > 0, values).otherwise(fallback)
-        return F.when(present, values).otherwise(fallback)
+        return F.coalesce(values, fallback)
+
+    @property
+    def region(self) -> tuple[str, int] | None:
+        """The single region the rule searches in."""
+        return None if self.within is None or self.every_region else (self.within, self.within_group)
+
+
+def _first(text: Column, pattern: str, group: int) -> Column:
+    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(0))
+
+
+def _raw_fields(texts: Column, rules: Sequence[Rule]) -> Column:
+    """For each text of an array, a struct of what the rules find in it.
+
+    Regions that several rules share are looked up once.
+    """
+    regions = list(dict.fromkeys(r.region for r in rules if r.region))
+    with_regions = F.transform(
+        texts,
+        lambda t: F.struct(
+            t.alias("text"), *[_first(t, *w).alias(f"region{k}") for k, w in enumerate(regions)]
+        ),
+    )
+
+    def fields(item: Column) -> Column:
+        found = [
+            r.raw(item["text"], item[f"region{regions.index(r.region)}"] if r.region else None)
+            for r in rules
+        ]
+        return F.struct(*[f.alias(r.field) for f, r in zip(found, rules)])
+
+    return F.transform(with_regions, fields)
 
-    def column(self, item: Column, page: Column) -> Column:
-        source = page if self.page_scope else item
-        present = F.lit(True)
-        if self.within is not None and not self.every_region:
-            present = source.rlike(self.within)
-            source = F.regexp_extract(source, self.within, self.within_group)
-        if self.many:
-            return self._list(source, present)
-        return self._scalar(source)
+
+def pieces_from(text: Column, start: str) -> Column:
+    """The text cut before each match of ``start``; what precedes the first match is dropped."""
+    pieces = F.split(text, rf"(?={start})", -1)
+    return F.filter(pieces, lambda p: p.rlike(rf"^(?:{start})"))
 
 
 def extract_items(
@@ -123,24 +153,40 @@ def extract_items(
     a page is one item. ``position`` numbers the items of a page from 0. A record that lacks a
     required field goes to the rejects with the field's name as ``reason``; every item lands in
     exactly one of the two tables.
+
+    Every expression is searched once per item, or once per page for ``page_scope``, and pages are
+    not copied to their items. (The array is an expression inside the generator: for a column,
+    Catalyst would add a filter on its size and so compute it twice.)
     """
-    kept = [c for c in dict.fromkeys((*carry, "html")) if c in pages.columns]
-    if item_start is None:
-        items = pages.select(*kept, F.lit(0).alias("position"), F.col("html").alias("_item"))
-    else:
-        pieces = F.split("html", rf"(?={item_start})", -1)
-        starts = F.filter(pieces, lambda p: p.rlike(rf"^(?:{item_start})"))
-        items = pages.select(*kept, F.posexplode(starts).alias("position", "_item"))
-    fields = [r.column(F.col("_item"), F.col("html")).alias(r.field) for r in rules]
-    carried = [F.col(c) for c in carry if c in pages.columns]
-    read = items.select(*carried, "position", *fields)
+    of_item = [r for r in rules if not r.page_scope]
+    of_page = [r for r in rules if r.page_scope]
+    html = F.col("html")
+    texts = F.array(html) if item_start is None else pieces_from(html, item_start)
+    carried = [c for c in carry if c in pages.columns]
+    if of_page:
+        pages = pages.withColumn("_page", _raw_fields(F.array(html), of_page)[0])
+    found = pages.select(
+        *carried,
+        *(["_page"] if of_page else []),
+        F.posexplode(_raw_fields(texts, of_item)).alias("position", "_item"),
+    )
+
+    def raw(rule: Rule) -> Column:
+        return F.col("_page" if rule.page_scope else "_item")[rule.field]
+
     missing = F.coalesce(
-        *[F.when(F.col(r.field).isNull(), F.lit(r.field)) for r in rules if r.required],
+        *[
+            F.when(raw(r).isNull(), F.lit(r.field))
+            for r in rules
+            if r.required and r.default is None
+        ],
         F.lit(None).cast("string"),
     )
-    records = read.filter(missing.isNull())
-    rejects = read.select(*carried, "position", missing.alias("reason")).filter(
-        F.col("reason").isNotNull()
+    records = found.filter(missing.isNull()).select(
+        *carried, "position", *[r.value(raw(r)).alias(r.field) for r in rules]
+    )
+    rejects = found.filter(missing.isNotNull()).select(
+        *carried, "position", missing.alias("reason")
     )
     return records, rejects
 
@@ -225,14 +271,13 @@ def article_rules() -> list[Rule]:
 def author_sections(html: Column) -> Column:
     """``array<struct<author, affiliation>>`` of an article page, NULL fields where a part is absent."""
     start = rf"<div\b[^>]*{class_attribute(AUTHOR_SECTION_CLASS)}"
-    pieces = F.filter(F.split(html, rf"(?={start})", -1), lambda p: p.rlike(f"^(?:{start})"))
-    name = _by_class("author", AUTHOR_NAME_CLASS)
-    institution = _by_class("affiliation", INSTITUTION_CLASS)
+    rules = [
+        _by_class("author", AUTHOR_NAME_CLASS),
+        _by_class("affiliation", INSTITUTION_CLASS),
+    ]
     return F.transform(
-        pieces,
-        lambda p: F.struct(
-            name.column(p, p).alias("author"), institution.column(p, p).alias("affiliation")
-        ),
+        _raw_fields(pieces_from(html, start), rules),
+        lambda s: F.struct(*[r.value(s[r.field]).alias(r.field) for r in rules]),
     )
 
 
@@ -256,10 +301,8 @@ def extract_affiliations(articles: DataFrame, sections: str = "sections") -> Dat
     usable = (F.size(section) > 0) & F.forall(
         section, lambda s: s["author"].isNotNull() & s["affiliation"].isNotNull()
     )
-    # The empty list is cut from the full one, so both branches have the same element type.
-    full = F.transform(section, affiliation)
-    nothing = F.slice(full, 1, 0)
-    split = F.when(usable, full).otherwise(F.coalesce(nothing, F.array()))
+    nothing = F.array().cast(T.ArrayType(AFFILIATION))
+    split = F.when(usable, F.transform(section, affiliation)).otherwise(nothing)
     unknown = F.array(F.lit("Unknown"))
     return (
         articles.withColumn("authors_with_affiliations", split)
@@ -396,9 +439,12 @@ def extract_rankings(
 
     three = F.filter(F.transform(rows, cells), lambda r: F.size(r) == 3)
     entries = F.transform(three, entry)
-    read = pages.select(F.col(journal).alias("journal"), entries.alias("_entries"))
     if strict:
-        read = read.filter(F.forall("_entries", lambda e: e["Year"].isNotNull()))
-    listed = read.select("journal", F.posexplode("_entries").alias("pos", "_entry"))
-    listed = listed.select("journal", "pos", "_entry.*")
+        # One page, one list of entries: kept whole or not at all.
+        entries = F.flatten(
+            F.filter(F.array(entries), lambda es: F.forall(es, lambda e: e["Year"].isNotNull()))
+        )
+    listed = pages.select(
+        F.col(journal).alias("journal"), F.posexplode(entries).alias("pos", "_entry")
+    ).select("journal", "pos", "_entry.*")
     return listed if strict else listed.filter(F.col("Year").isNotNull())

@@ -16,10 +16,11 @@ def keyword_counts(
 
     Keywords are lower-cased and stripped; a NULL keyword is dropped, ``''`` and ``'n/a'`` count
     like any other unless they are in ``exclude``. A ``limit`` is a top-k: each task keeps its
-    best rows and only those are merged.
+    best rows and only those are merged. (Exploding an expression instead of the bare column keeps
+    Catalyst from filtering on the list's size first, which computes a derived list twice.)
     """
     keywords = (
-        articles.select(F.explode("keywords").alias("keyword"))
+        articles.select(F.explode(F.coalesce("keywords", F.array())).alias("keyword"))
         .filter(F.col("keyword").isNotNull())
         .select(strip(F.lower("keyword")).alias("keyword"))
     )

@@ -318,7 +318,7 @@ _LINK_RULES = [
 
 
 def page_scalar_fields(spark, sf_dir):
-    records, _ = extract.extract_items(derived.table(spark, sf_dir, "pages"), _PAGE_RULES)
+    records, _ = extract.extract_items(derived.pages(spark, sf_dir), _PAGE_RULES)
     return records.drop("position")
 
 
@@ -335,13 +335,13 @@ def page_list_fields(spark, sf_dir):
             "tables", r"<td>(.*?)</td>", many=True, drop_empty=True, default="Unknown"
         ),
     ]
-    records, _ = extract.extract_items(derived.table(spark, sf_dir, "pages"), rules)
+    records, _ = extract.extract_items(derived.pages(spark, sf_dir), rules)
     return records.select("page_id", F.size("links").alias("n"), _joined("links"), _joined("tables"))
 
 
 def page_items(spark, sf_dir):
     records, _ = extract.extract_items(
-        derived.table(spark, sf_dir, "pages"), _LINK_RULES, item_start="<li>"
+        derived.pages(spark, sf_dir), _LINK_RULES, item_start="<li>"
     )
     return records.drop("url")
 

@@ -15,6 +15,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 
+from pubweave.storage import spread
+
 
 @dataclass(frozen=True)
 class Dialect:
@@ -212,6 +214,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _heavy_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spread(table(spark, sf_dir, name))
+
+
 def _derive(df: DataFrame, columns: dict[str, str]) -> DataFrame:
     return df.selectExpr(*[f"{e} as `{n}`" for n, e in columns.items()])
 
@@ -221,20 +227,24 @@ def raw_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def doc_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(table(spark, sf_dir, "documents"), document_columns(SPARK))
+    return _derive(_heavy_table(spark, sf_dir, "documents"), document_columns(SPARK))
+
+
+def pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _heavy_table(spark, sf_dir, "pages")
 
 
 def listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(table(spark, sf_dir, "part"), listing_columns(SPARK))
+    return _derive(_heavy_table(spark, sf_dir, "part"), listing_columns(SPARK))
 
 
 def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parts = table(spark, sf_dir, "part").filter(HAS_ARTICLE_PAGE)
+    parts = _heavy_table(spark, sf_dir, "part").filter(HAS_ARTICLE_PAGE)
     return _derive(parts, article_page_columns(SPARK))
 
 
 def ranking_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _derive(table(spark, sf_dir, "part"), ranking_page_columns(SPARK))
+    return _derive(_heavy_table(spark, sf_dir, "part"), ranking_page_columns(SPARK))
 
 
 def rankings(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -58,6 +58,17 @@ def written(df: DataFrame, label: str = "table") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """A scan with fewer splits than cores, spread over all cores.
+
+    For row work that is heavy on the processor, such as pages. A scan of many splits, that is any
+    large one, stays as it is. Use it on plain scans: asking a plan with shuffles for its
+    partitions would run them.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Size in memory, from one aggregate: text lengths plus a charge per value."""
     text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
