@@ -359,6 +359,7 @@ def build_articles(
 ) -> tuple[DataFrame, DataFrame]:
     """``(articles, rejects)``: each search result completed by the page it links to.
 
+    ``page_id`` and ``position`` after the article columns tell where the result stood.
     An item without a saved page, or with a counter that is not a number, is a reject. The page
     side has one row per url and is written before the join, so adaptive execution can split an
     item key that is very frequent.
@@ -404,6 +405,8 @@ def build_articles(
         "keywords",
         F.lit(topic).alias("topic"),
         F.lit(website).alias("website"),
+        "page_id",
+        "position",
     )
     rejects = completed.filter(F.col("reason").isNotNull()).select(
         "page_id", "url", "position", "doi", "reason"

@@ -437,11 +437,11 @@ def json_roundtrip(spark, sf_dir):
         "doi", "title", "authors", "Year", "publisher", "topic"
     )
     root = work_path(spark, "json")
-    sources.rewrite_articles(shown, root)
+    sources.rewrite_articles(shown, root, "json")
     current = sources.current_version(spark, root)
     stored = sources.read_articles(spark, current, "json", shown.schema)
     # The second version is computed from the first, which it must not overwrite.
-    sources.rewrite_articles(stored.withColumn("topic", F.upper("topic")), root)
+    sources.rewrite_articles(stored.withColumn("topic", F.upper("topic")), root, "json")
     newest = sources.current_version(spark, root)
     stored = sources.read_articles(spark, newest, "json", shown.schema)
     return stored.select(

@@ -54,7 +54,7 @@ def current_version(spark: SparkSession, root: str) -> str | None:
     return f"{root}/{_VERSION}{versions[-1]}" if versions else None
 
 
-def rewrite_articles(df: DataFrame, root: str, format: str = "json") -> str:
+def rewrite_articles(df: DataFrame, root: str, format: str = "parquet") -> str:
     """Write the whole set as a new version below ``root`` and return its path.
 
     ``df`` may read the current version, which stays untouched. A version counts only once its

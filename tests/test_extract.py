@@ -152,7 +152,7 @@ def test_build_articles(rows):
     assert (a.publisher.name, a.publisher.ISSN, a.publisher.Quartile) == ("J", "1234-5678", None)
     assert (a.topic, a.website) == ("DevOps", "site")
     declared = [(f.name, f.dataType.simpleString()) for f in ARTICLE]
-    assert articles.dtypes == declared
+    assert articles.dtypes == declared + [("page_id", "bigint"), ("position", "int")]
 
 
 RANKING = '<div class="cellslide"><table><thead><tr><td>h</td><td>1</td><td>2</td></tr></thead><tbody>{}</tbody></table></div>'

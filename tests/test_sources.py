@@ -68,11 +68,11 @@ def test_rewrite_may_read_what_it_replaces(spark, rows, tmp_path):
     assert sources.current_version(spark, root) is None
     sources.rewrite_articles(rows([("a",)], "doi string"), root)
     first = sources.current_version(spark, root)
-    stored = sources.read_articles(spark, first, "json", stored_schema(spark))
+    stored = sources.read_articles(spark, first, schema=stored_schema(spark))
     sources.rewrite_articles(stored.union(stored), root)
     second = sources.current_version(spark, root)
     assert second != first
-    assert sources.read_articles(spark, second, "json", stored_schema(spark)).count() == 2
+    assert sources.read_articles(spark, second, schema=stored_schema(spark)).count() == 2
     # A version without its success marker does not count, and its name is not used again.
     (tmp_path / "set" / "version=3").mkdir()
     assert sources.current_version(spark, root) == second
