@@ -52,7 +52,7 @@ def affiliation_countries(
         .withColumn("country", country_name(F.col("country")))
     )
     if allow is None:
-        return rows.select("country", "topic")
+        return rows.filter(F.col("country") != "").select("country", "topic")
     if literal_allowlist:
         return rows.filter(F.col("country").isin(list(allow))).select("country", "topic")
     spelling = {_capitalised(name): name for name in allow}

@@ -140,7 +140,7 @@ def test_build_articles(rows):
             PAGES,
         )
     )
-    articles, rejects = extract.build_articles(items, pages, "DevOps", "site", RUN)
+    articles, rejects = extract.build_articles(items, pages, "topic", "site", RUN)
     assert sorted((r.doi, r.reason) for r in rejects.collect()) == [
         ("https://s/doi/1", "citations"),
         ("https://s/doi/2", "article page"),
@@ -150,7 +150,7 @@ def test_build_articles(rows):
     # Of two saved copies the later one counts; its date is unreadable.
     assert (a.Date, a.Year, a.Month, a.Day) == ("02 January 2024", 2024, "January", 2)
     assert (a.publisher.name, a.publisher.ISSN, a.publisher.Quartile) == ("J", "1234-5678", None)
-    assert (a.topic, a.website) == ("DevOps", "site")
+    assert (a.topic, a.website) == ("topic", "site")
     declared = [(f.name, f.dataType.simpleString()) for f in ARTICLE]
     assert articles.dtypes == declared + [("page_id", "bigint"), ("position", "int")]
 

@@ -135,6 +135,8 @@ def test_countries(rows):
     assert values(literal) == [("France", "t", 1), ("United Kingdom", "t", 1)]
     per_article = countries.country_topic_counts(articles, distinct_per_article=True)
     assert ("USA", "t", 1) in values(per_article)
+    every = countries.country_topic_counts(articles, allow=None)
+    assert [c for c, _, _ in values(every)] == ["France", "United Kingdom", "Unknown", "Usa"]
     shown = countries.country_topic_counts(articles, allow=["FRANCE"])
     assert values(shown) == [("FRANCE", "t", 1)]
 

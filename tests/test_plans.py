@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pubweave.operators import cited, coauthors, enrich, extract, ingest, keywords, pagerank
 from pubweave.plans import derived
 from pubweave.plans.catalog import QUERIES, articles
-from pubweave.storage import bucketed_by, written
+from pubweave.storage import bucketed_by, estimated_bytes, written
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -153,6 +153,61 @@ def test_page_join_splits_a_hot_item(spark, rows):
         assert rejects.count() == 6000 + 3001
 
 
+def captured_round(monkeypatch, call):
+    """The start table and the round function of a rank computation, with its plan's text."""
+    texts = []
+
+    def capture(start, one_round, *rest):
+        stored = written(start, "ranks")
+        broadcast = estimated_bytes(stored) <= rest[-1]
+        texts.append(plan(one_round(F.broadcast(stored) if broadcast else stored), run=True))
+        return stored
+
+    monkeypatch.setattr(pagerank, "_run_rounds", capture)
+    call()
+    return texts[0]
+
+
+def hub_articles(rows):
+    """One author is in every paper, that is in a third of all memberships."""
+    data = [(["hub", f"a{k}", f"b{k}"], 2000) for k in range(8000)]
+    return rows(data, "authors array<string>, Year int")
+
+
+def test_small_ranks_are_broadcast_and_memberships_stay(spark, rows, monkeypatch):
+    articles = hub_articles(rows)
+    text = captured_round(monkeypatch, lambda: pagerank.author_pagerank(articles))
+    final = text[: text.index("Initial Plan")]
+    # The only shuffle carries the partial sums per author.
+    assert "BroadcastHashJoin" in final and final.count(" Exchange ") == 1
+    assert "partial_sum" in final
+
+
+def test_large_ranks_split_a_hot_author(spark, rows, monkeypatch):
+    articles = hub_articles(rows)
+    with skew_settings(spark):
+        text = captured_round(
+            monkeypatch, lambda: pagerank.author_pagerank(articles, broadcast_bytes=0)
+        )
+    assert "skew=true" in text
+
+
+def test_large_ranks_split_a_hot_source(spark, rows, monkeypatch):
+    edges = rows([("hub", f"v{k}") for k in range(8000)] + [(f"v{k}", f"v{k // 2}") for k in range(8000)], "src string, dst string")
+    with skew_settings(spark):
+        text = captured_round(monkeypatch, lambda: pagerank.pagerank(edges, broadcast_bytes=0))
+    assert "skew=true" in text
+
+
+def test_append_splits_a_hot_topic(spark, rows, tmp_path):
+    from pubweave import sources
+
+    df = copies(rows).select("doi", "pad", F.coalesce("doi", F.lit("none")).substr(1, 1).alias("topic"))
+    with conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB"):
+        sources.append_articles(written(df), str(tmp_path / "set"))
+    assert len(list((tmp_path / "set" / "topic=h").glob("*.parquet"))) > 1
+
+
 def test_merge_combines_copies_before_the_shuffle(spark, rows):
     old = copies(rows).withColumn("seq", F.monotonically_increasing_id())
     merged = ingest.merge_articles(old, old.limit(0))
