@@ -17,6 +17,13 @@ def locations_list(value: Column, dtype: T.DataType) -> Column:
     return F.array(value)
 
 
+def whole_number(value: Column, dtype: T.DataType) -> Column:
+    """``lenient_long``, without reading text where the column already holds whole numbers."""
+    if isinstance(dtype, T.IntegralType):
+        return F.coalesce(value.cast("bigint"), F.lit(0).cast("bigint"))
+    return lenient_long(value)
+
+
 def clean_articles(
     articles: DataFrame,
     numbers: tuple[str, ...] = NUMBER_COLUMNS,
@@ -29,12 +36,9 @@ def clean_articles(
     later are still pruned from the scan.
     """
     present = {f.name: f.dataType for f in articles.schema.fields}
-    cleaned = {
-        name: lenient_long(F.col(name)) for name in numbers if name in present and name != "Year"
-    }
-    if "Year" in present:
-        year = lenient_long(F.col("Year"))
-        cleaned["Year"] = F.coalesce(year.try_cast("int"), F.lit(0))
+    cleaned = {n: whole_number(F.col(n), present[n]) for n in numbers if n in present}
+    if "Year" in cleaned:
+        cleaned["Year"] = F.coalesce(cleaned["Year"].try_cast("int"), F.lit(0))
     if "locations" in present:
         cleaned["locations"] = locations_list(F.col("locations"), present["locations"])
     result = articles.withColumns(cleaned)

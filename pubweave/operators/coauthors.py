@@ -25,10 +25,9 @@ def papers(
     chosen = chosen.filter(F.col("Year").isNotNull())
     if years is not None:
         chosen = chosen.filter(F.col("Year").between(*years))
-    named = F.filter(F.array_distinct("authors"), lambda a: a.isNotNull())
-    return (
-        chosen.distinct().withColumn("members", named).filter(F.size("members") > 1)
-    )
+    nobody = F.array(F.lit(None).cast("string"))
+    members = F.array_except("authors", nobody)  # distinct, without NULL
+    return chosen.distinct().withColumn("members", members).filter(F.size("members") > 1)
 
 
 def coauthor_edges(

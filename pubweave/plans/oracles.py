@@ -191,7 +191,7 @@ _COUNTABLE = "k % 11 <> 1"
 
 ORACLES: dict[str, str] = {
     "clean_numeric": _query('select seq, "Day", "Year", "Downloads" from articles'),
-    "clean_locations": _query("select seq, len(locations) as n, locations[1] as first from articles"),
+    "clean_locations": _query("select seq, cast(len(locations) as int) as n, locations[1] as first from articles"),
     "article_dates": _query(f"""
 select seq, strftime(d, '%d %B %Y') as "Date_part", cast(year(d) as int) as "Year_part",
   strftime(d, '%B') as "Month_part", cast(day(d) as int) as "Day_part"

@@ -23,6 +23,8 @@ def test_clean_articles(rows):
     ]
     assert dict(cleaned.dtypes)["Year"] == "int"
     assert clean.clean_articles(raw, drop_unknown_year=True).count() == 1
+    numeric = clean.clean_articles(rows([(2020, 5.9), (None, None)], "Year int, Downloads double"))
+    assert numeric.collect() == [(2020, 5), (0, 0)]
     scalar = clean.clean_articles(rows([("x",)], "locations string"))
     assert scalar.first()["locations"] == ["x"]
 
