@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from pubweave.functions import strip
-from pubweave.storage import BROADCAST_BYTES, broadcast_if_small, written
+from pubweave.storage import BROADCAST_BYTES, store
 
 
 def effective_quartiles(
@@ -52,10 +52,8 @@ def enrich_quartile(
     the journal key. The quartile table is broadcast only if its measured size allows; otherwise
     the shuffle join splits hot journals adaptively (the article side is the outer side).
     """
-    valid = broadcast_if_small(
-        written(effective_quartiles(rankings, lookback), "quartiles"), broadcast_bytes
-    )
-    valid = valid.select(
+    stored = store(effective_quartiles(rankings, lookback), "quartiles")
+    valid = stored.joinable(broadcast_bytes).select(
         F.col("journal").alias("_journal"),
         F.col("Year").alias("_year"),
         F.col("Quartile").alias("_found"),

@@ -25,7 +25,7 @@ from pubweave.functions import (
     strip,
 )
 from pubweave.schema import AFFILIATION
-from pubweave.storage import written
+from pubweave.storage import store
 
 
 def class_attribute(name: str) -> str:
@@ -364,7 +364,7 @@ def build_articles(
     side has one row per url and is written before the join, so adaptive execution can split an
     item key that is very frequent.
     """
-    one_page = written(latest_page(article_pages), "article-pages").select(
+    one_page = store(latest_page(article_pages), "article-pages").table.select(
         *[
             F.col(c).alias("_url" if c == "url" else c)
             for c in article_pages.columns

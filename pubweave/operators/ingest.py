@@ -6,7 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from pubweave.storage import BROADCAST_BYTES, broadcast_if_small, written
+from pubweave.storage import BROADCAST_BYTES, store
 
 
 def new_only(
@@ -26,7 +26,7 @@ def new_only(
     known = existing.select(F.col(key).alias("_known")).distinct()
     if not null_safe:
         known = known.filter(F.col("_known").isNotNull())
-    known = broadcast_if_small(written(known, "known-keys"), broadcast_bytes)
+    known = store(known, "known-keys").joinable(broadcast_bytes)
     match = new[key].eqNullSafe(known["_known"]) if null_safe else new[key] == known["_known"]
     return new.join(known, match, "left_anti")
 

@@ -12,19 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, Observation, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 from pubweave.operators.coauthors import papers
-from pubweave.storage import (
-    BROADCAST_BYTES,
-    broadcast_if_small,
-    bucketed_by,
-    discard,
-    estimated_bytes,
-    kept,
-    work_path,
-    written,
-)
+from pubweave.storage import BROADCAST_BYTES, bucketed_by, discard, kept, store
 
 ROUNDS_PER_JOB = 5
 SETTLED = 1e-10
@@ -49,31 +40,23 @@ def _run_rounds(
     all remaining rounds together can still make is at most ``settled``, they are skipped.
     ``settled=0`` always runs every round.
     """
-    spark = start.sparkSession
-    start = written(start, "ranks")
-    small = estimated_bytes(start) <= broadcast_bytes
+    stored = store(start, "ranks")
+    small = stored.size <= broadcast_bytes
     rounds_per_job = ROUNDS_PER_JOB if small else 1
-    ranks, stored_at = start, None
+    change = F.coalesce(F.sum(F.abs(F.col("rank") - F.col("previous"))), F.lit(0.0))
+    ranks = stored.table
     for done in range(1, max_iter + 1):
         ranks = one_round(F.broadcast(ranks) if small else ranks)
         if done % rounds_per_job and done < max_iter:
             continue
-        superseded, stored_at = stored_at, work_path(spark, "ranks")
-        change = Observation()
-        moved = F.coalesce(F.sum(F.abs(F.col("rank") - F.col("previous"))), F.lit(0.0))
-        ranks.observe(change, moved.alias("moved")).write.parquet(stored_at)
-        ranks = spark.read.schema(ranks.schema).parquet(stored_at)
-        if superseded:
-            discard(spark, superseded)
-        if settled and change.get["moved"] * (1 - reset) / reset <= settled:
+        superseded, stored = stored, store(ranks, "ranks", change=change)
+        discard(start.sparkSession, superseded.path)
+        ranks = stored.table
+        if settled and stored.metrics["change"] * (1 - reset) / reset <= settled:
             break
     return ranks
 
 
-def _membership_count(groups: DataFrame) -> int:
-    return int(groups.agg(F.coalesce(F.sum(F.size("members")), F.lit(0))).first()[0])
-
-
 def author_pagerank(
     articles: DataFrame,
     reset: float = 0.15,
@@ -90,30 +73,30 @@ def author_pagerank(
     )
     # Papers by the same people weigh together. Numbers stand for papers and authors in the
     # rounds, to shuffle 8 bytes per key; they are fixed by being written out.
-    groups = written(
+    stored_groups = store(
         member_sets.groupBy("members")
         .agg(F.count(F.lit(1)).alias("papers"))
         .withColumn("paper", F.monotonically_increasing_id()),
         "papers",
     )
-    named = groups.select(
+    named = stored_groups.table.select(
         "paper",
         "papers",
         (F.col("papers") * (F.size("members") - 1)).alias("links"),
         F.explode("members").alias("name"),
     )
-    authors_of = written(
+    stored_authors = store(
         named.groupBy("name")
         .agg(F.sum("links").alias("outdegree"))
         .withColumn("id", F.monotonically_increasing_id()),
         "authors",
     )
-    by_name = broadcast_if_small(authors_of.select("name", "id"), broadcast_bytes)
+    by_name = stored_authors.joinable(broadcast_bytes).select("name", "id")
     memberships = named.join(by_name, "name").select("paper", "papers", "id")
     paper_total = F.sum("share").over(Window.partitionBy("paper"))
 
-    with bucketed_by(memberships, "paper", _membership_count(groups) * 24) as members:
-        start = authors_of.select(
+    with bucketed_by(memberships, "paper", stored_groups.size) as members:
+        start = stored_authors.table.select(
             "id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("previous"), "outdegree"
         )
 
@@ -133,8 +116,7 @@ def author_pagerank(
             )
 
         ranks = _run_rounds(start, one_round, reset, max_iter, settled, broadcast_bytes)
-    names = authors_of.select("name", "id")
-    return ranks.join(names, "id").select(
+    return ranks.join(stored_authors.joinable(broadcast_bytes), "id").select(
         F.col("name").alias("id"), F.col("rank").alias("pagerank")
     )
 
@@ -154,11 +136,11 @@ def pagerank(
     """
     counted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("edges"))
     counted = counted.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
-    counted = written(counted, "edges")
-    outdegree = written(
+    counted = store(counted, "edges").table
+    outdegree = store(
         counted.groupBy("src").agg(F.sum("edges").alias("outdegree")), "outdegree"
     )
-    weighted = counted.join(broadcast_if_small(outdegree, broadcast_bytes), "src").select(
+    weighted = counted.join(outdegree.joinable(broadcast_bytes), "src").select(
         "src", "dst", (F.col("edges") / F.col("outdegree")).alias("weight")
     )
     every = counted.select(F.col("src").alias("id")).union(counted.select("dst")).distinct()

@@ -6,7 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from pubweave.storage import written
+from pubweave.storage import store
 
 MAX_TOPICS = 10_000
 
@@ -29,7 +29,7 @@ def topic_pivot(counts: DataFrame, row: str, topics: Sequence[str | None] | None
     from a record becomes the column ``null``.
     """
     if topics is None:
-        counts = written(counts, "counts")
+        counts = store(counts, "counts").table
         names = counts.select("topic").distinct().orderBy(F.asc_nulls_last("topic"))
         topics = [r[0] for r in names.limit(MAX_TOPICS + 1).collect()]
         if len(topics) > MAX_TOPICS:

@@ -22,7 +22,7 @@ from pubweave.operators import (
     topics,
 )
 from pubweave.schema import ARTICLE
-from pubweave.storage import written
+from pubweave.storage import store
 
 # The names of the result tables. The year table is Year x topic.
 COUNTRY_TABLE = "country_per_topic"
@@ -55,10 +55,10 @@ def collect(
     stored = _stored(spark, root)
     items, no_items = extract.extract_listing(listing_pages)
     pages, no_pages = extract.extract_article_pages(article_pages)
-    items = written(ingest.new_only(items, stored), "items")
+    items = store(ingest.new_only(items, stored), "items").table
     built, unmatched = extract.build_articles(items, pages, topic, website, run_date)
-    built = written(built, "articles")
-    report = written(ingest.ingest_report(stored, built), "report")
+    built = store(built, "articles").table
+    report = store(ingest.ingest_report(stored, built), "report").table
     known = stored.selectExpr("*", "struct(0L as page_id, 0 as position) as seq")
     new = built.select(*ARTICLE.names, F.struct("page_id", "position").alias("seq"))
     merged = ingest.merge_articles(known, new)
@@ -84,7 +84,7 @@ def load(new: DataFrame, path: str) -> DataFrame:
     """Append the articles whose DOI the store under ``path`` lacks; the report of the run."""
     spark = new.sparkSession
     stored = sources.read_articles(spark, path, schema=new.schema)
-    report = written(ingest.ingest_report(stored, new), "report")
+    report = store(ingest.ingest_report(stored, new), "report").table
     sources.append_articles(ingest.new_only(new, stored, null_safe=True), path)
     return report
 

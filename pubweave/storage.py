@@ -10,13 +10,15 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 PARTITION_BYTES = 128 * 1024 * 1024
 _ROW_OVERHEAD = 48
+_VALUE_BYTES = 16
 
 
 def checkpoint_root(spark: SparkSession) -> str:
@@ -47,15 +49,52 @@ def _hadoop_path(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
 
-def written(df: DataFrame, label: str = "table") -> DataFrame:
-    """Compute ``df`` once into a stored table and continue from there.
+def _row_bytes(schema: T.StructType) -> Column:
+    """Estimated bytes of a row in memory: text lengths plus a charge per value."""
+    total = F.lit(_ROW_OVERHEAD + _VALUE_BYTES * len(schema.fields)).cast("bigint")
+    for field in schema.fields:
+        column = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, T.StringType):
+            total = total + F.coalesce(F.octet_length(column), F.lit(0))
+        elif field.dataType == T.ArrayType(T.StringType()):
+            text = F.octet_length(F.array_join(column, "")) + F.size(column) * _VALUE_BYTES
+            total = total + F.coalesce(text, F.lit(0))
+    return total
 
-    The table cuts the lineage, later readers still prune columns, and a join on top sees a plain
-    scan, which is what adaptive execution needs to split a hot key.
+
+@dataclass(frozen=True)
+class Stored:
+    """A stored table with what was measured while it was written."""
+
+    table: DataFrame
+    path: str
+    size: int
+    metrics: dict[str, float]
+
+    def joinable(self, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+        """The table, with a broadcast hint only if its measured size allows.
+
+        Beyond the limit the join stays a shuffle join, in which adaptive execution splits hot
+        keys: it can, because this side is a plain scan.
+        """
+        return F.broadcast(self.table) if self.size <= broadcast_bytes else self.table
+
+
+def store(df: DataFrame, label: str, **metrics: Column) -> Stored:
+    """Compute ``df`` once into a parquet table below the checkpoint folder and measure it.
+
+    The table cuts the lineage, and later readers still prune columns. The size, and further
+    aggregates given as ``metrics``, come from the write itself, without another pass.
     """
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path = work_path(spark, label)
+    seen = Observation()
+    size = F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0)).alias("_size")
+    more = [m.alias(name) for name, m in metrics.items()]
+    df.observe(seen, size, *more).write.parquet(path)
+    found = dict(seen.get)
+    table = spark.read.schema(df.schema).parquet(path)
+    return Stored(table, path, int(found.pop("_size")), found)
 
 
 def spread(scan: DataFrame) -> DataFrame:
@@ -69,26 +108,6 @@ def spread(scan: DataFrame) -> DataFrame:
     return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """Size in memory, from one aggregate: text lengths plus a charge per value."""
-    text = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
-    lengths = [F.coalesce(F.octet_length(F.col(f"`{n}`")), F.lit(0)) for n in text]
-    total = F.lit(0).cast("bigint")
-    for length in lengths:
-        total = total + length
-    fixed = _ROW_OVERHEAD + 16 * len(df.schema.fields)
-    return int(df.agg(F.coalesce(F.sum(total + F.lit(fixed)), F.lit(0))).first()[0])
-
-
-def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only if the measured size is within ``limit``.
-
-    ``df`` should be a stored table. Beyond the limit the join stays a shuffle join, in which
-    adaptive execution splits hot keys.
-    """
-    return F.broadcast(df) if estimated_bytes(df) <= limit else df
-
-
 def path_exists(spark: SparkSession, path: str) -> bool:
     target, fs = _hadoop_path(spark, path)
     return fs.exists(target)
@@ -120,15 +139,13 @@ def kept(df: DataFrame, label: str) -> Iterator[DataFrame]:
 
     A lost executor costs only a re-read of the written table.
     """
-    path = work_path(df.sparkSession, label)
-    df.write.parquet(path)
-    cached = df.sparkSession.read.schema(df.schema).parquet(path)
-    cached.persist(StorageLevel.MEMORY_AND_DISK)
+    stored = store(df, label)
+    cached = stored.table.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         yield cached
     finally:
         cached.unpersist()
-        discard(df.sparkSession, path)
+        discard(df.sparkSession, stored.path)
 
 
 @contextmanager

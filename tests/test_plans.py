@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pubweave.operators import cited, coauthors, enrich, extract, ingest, keywords, pagerank
 from pubweave.plans import derived
 from pubweave.plans.catalog import QUERIES, articles
-from pubweave.storage import bucketed_by, estimated_bytes, written
+from pubweave.storage import bucketed_by, store
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -98,7 +98,7 @@ def copies(rows, n=6000):
 @pytest.mark.parametrize("null_safe", [False, True])
 def test_new_only_splits_a_hot_key(spark, rows, null_safe):
     with skew_settings(spark):
-        new = written(copies(rows))
+        new = store(copies(rows), "new").table
         old = rows([("k1",), ("k2",)], "doi string")
         found = ingest.new_only(new, old, null_safe=null_safe, broadcast_bytes=0)
         text = plan(found, run=True)
@@ -111,7 +111,7 @@ def test_quartiles_split_a_hot_journal(spark, rows):
         names = ["J"] * 6000 + [f"J{k}" for k in range(6000)]
         data = [(k, (n, "", None), 2000 + k % 3) for k, n in enumerate(names)]
         schema = "id int, publisher struct<name:string,ISSN:string,Quartile:string>, Year int"
-        stored = written(rows(data, schema).repartition(12))
+        stored = store(rows(data, schema).repartition(12), "articles").table
         ranked = rows(
             [(f"J{k}", 0, "c", 2000, "Q2") for k in range(500)] + [("J", 0, "c", 1995, "Q1")],
             "journal string, pos int, category string, Year int, Quartile string",
@@ -147,7 +147,7 @@ def test_page_join_splits_a_hot_item(spark, rows):
                 ),
             )
         )
-        built, rejects = extract.build_articles(written(items), fields, "t", "w", extract.dt.date(2024, 1, 1))
+        built, rejects = extract.build_articles(store(items, "items").table, fields, "t", "w", extract.dt.date(2024, 1, 1))
         assert "skew=true" in plan(built, run=True)
         assert built.count() == 6000 + 2999
         assert rejects.count() == 6000 + 3001
@@ -158,10 +158,9 @@ def captured_round(monkeypatch, call):
     texts = []
 
     def capture(start, one_round, *rest):
-        stored = written(start, "ranks")
-        broadcast = estimated_bytes(stored) <= rest[-1]
-        texts.append(plan(one_round(F.broadcast(stored) if broadcast else stored), run=True))
-        return stored
+        stored = store(start, "ranks")
+        texts.append(plan(one_round(stored.joinable(rest[-1])), run=True))
+        return stored.table
 
     monkeypatch.setattr(pagerank, "_run_rounds", capture)
     call()
@@ -204,7 +203,7 @@ def test_append_splits_a_hot_topic(spark, rows, tmp_path):
 
     df = copies(rows).select("doi", "pad", F.coalesce("doi", F.lit("none")).substr(1, 1).alias("topic"))
     with conf(spark, spark__sql__adaptive__advisoryPartitionSizeInBytes="64KB"):
-        sources.append_articles(written(df), str(tmp_path / "set"))
+        sources.append_articles(store(df, "new").table, str(tmp_path / "set"))
     assert len(list((tmp_path / "set" / "topic=h").glob("*.parquet"))) > 1
 
 

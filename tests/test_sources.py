@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from pubweave import sources, storage
 from pubweave.schema import ARTICLE, ARTICLE_MERGED
@@ -93,12 +94,16 @@ def test_checkpoint_root_is_the_sessions(spark):
     assert spark.conf.get("spark.checkpoint.dir") in storage.checkpoint_root(spark)
 
 
-def test_estimated_bytes_decides(rows):
-    df = rows([("x" * 100, 1)] * 10, "s string, n int")
-    assert 1000 < storage.estimated_bytes(df) < 5000
-    small = storage.broadcast_if_small(df, 10**6)._jdf.queryExecution().toString()
-    large = storage.broadcast_if_small(df, 10)._jdf.queryExecution().toString()
+def test_measured_size_decides(rows):
+    df = rows([("x" * 100, 1, ["y" * 50, None])] * 10, "s string, n int, l array<string>")
+    stored = storage.store(df, "t", rows=F.count(F.lit(1)))
+    assert 1500 < stored.size < 5000
+    assert stored.metrics == {"rows": 10}
+    small = stored.joinable(10**6)._jdf.queryExecution().toString()
+    large = stored.joinable(10)._jdf.queryExecution().toString()
     assert "broadcast" in small and "broadcast" not in large
+    empty = storage.store(df.limit(0), "t")
+    assert (empty.size, empty.table.count()) == (0, 0)
 
 
 @pytest.mark.parametrize("size,expected", [(0, 8), (128 * 2**20 * 100, 100), (2**60, 100_000)])
