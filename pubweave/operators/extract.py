@@ -158,35 +158,36 @@ def extract_items(
     not copied to their items. (The array is an expression inside the generator: for a column,
     Catalyst would add a filter on its size and so compute it twice.)
     """
-    of_item = [r for r in rules if not r.page_scope]
-    of_page = [r for r in rules if r.page_scope]
     html = F.col("html")
     texts = F.array(html) if item_start is None else pieces_from(html, item_start)
     carried = [c for c in carry if c in pages.columns]
-    if of_page:
-        pages = pages.withColumn("_page", _raw_fields(F.array(html), of_page)[0])
-    found = pages.select(
-        *carried,
-        *(["_page"] if of_page else []),
-        F.posexplode(_raw_fields(texts, of_item)).alias("position", "_item"),
-    )
+    required = [r for r in rules if r.required and r.default is None]
 
     def raw(rule: Rule) -> Column:
         return F.col("_page" if rule.page_scope else "_item")[rule.field]
 
-    missing = F.coalesce(
-        *[
-            F.when(raw(r).isNull(), F.lit(r.field))
-            for r in rules
-            if r.required and r.default is None
-        ],
-        F.lit(None).cast("string"),
+    def found(wanted: Sequence[Rule]) -> DataFrame:
+        of_page = [r for r in wanted if r.page_scope]
+        of_item = [r for r in wanted if not r.page_scope]
+        source, page = pages, []
+        if of_page:
+            source, page = pages.withColumn("_page", _raw_fields(F.array(html), of_page)[0]), ["_page"]
+        items = F.posexplode(_raw_fields(texts, of_item)).alias("position", "_item")
+        return source.select(*carried, *page, items)
+
+    reason = F.coalesce(
+        *[F.when(raw(r).isNull(), F.lit(r.field)) for r in required], F.lit(None).cast("string")
     )
-    records = found.filter(missing.isNull()).select(
-        *carried, "position", *[r.value(raw(r)).alias(r.field) for r in rules]
+    records = (
+        found(rules)
+        .filter(reason.isNull())
+        .select(*carried, "position", *[r.value(raw(r)).alias(r.field) for r in rules])
     )
-    rejects = found.filter(missing.isNotNull()).select(
-        *carried, "position", missing.alias("reason")
+    # What is missing shows without reading the optional fields.
+    rejects = (
+        found(required or rules)
+        .filter(reason.isNotNull())
+        .select(*carried, "position", reason.alias("reason"))
     )
     return records, rejects
 

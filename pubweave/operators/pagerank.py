@@ -93,7 +93,9 @@ def author_pagerank(
     )
     by_name = stored_authors.joinable(broadcast_bytes).select("name", "id")
     memberships = named.join(by_name, "name").select("paper", "papers", "id")
-    paper_total = F.sum("share").over(Window.partitionBy("paper"))
+    share = F.col("rank") / F.col("outdegree")
+    paper_total = F.sum(share).over(Window.partitionBy("paper"))
+    received = (paper_total - share) * F.col("papers")
 
     with bucketed_by(memberships, "paper", stored_groups.size) as members:
         start = stored_authors.table.select(
@@ -101,12 +103,9 @@ def author_pagerank(
         )
 
         def one_round(ranks: DataFrame) -> DataFrame:
-            shares = members.join(ranks, "id").withColumn(
-                "share", F.col("rank") / F.col("outdegree")
-            )
-            received = (paper_total - F.col("share")) * F.col("papers")
             return (
-                shares.withColumn("received", received)
+                members.join(ranks, "id")
+                .select("id", "rank", "outdegree", received.alias("received"))
                 .groupBy("id")
                 .agg(
                     (F.sum("received") * (1 - reset) + reset).alias("rank"),
