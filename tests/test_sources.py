@@ -94,6 +94,32 @@ def test_checkpoint_root_is_the_sessions(spark):
     assert spark.conf.get("spark.checkpoint.dir") in storage.checkpoint_root(spark)
 
 
+class _Context:
+    def __init__(self, master):
+        self.master, self.folder = master, None
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class _Session:
+    def __init__(self, master, **conf):
+        self.sparkContext, self.conf = _Context(master), conf
+
+
+def test_checkpoint_folder_is_ours_only_on_a_local_master(monkeypatch):
+    monkeypatch.setattr(storage.tempfile, "mkdtemp", lambda prefix: "/tmp/own")
+    assert storage.checkpoint_root(_Session("local[2]")) == "/tmp/own"
+    shared = {"spark.checkpoint.dir": "hdfs:///shared"}
+    assert storage.checkpoint_root(_Session("yarn", **shared)) == "hdfs:///shared"
+    assert storage.checkpoint_root(_Session("local[2]", **shared)) == "hdfs:///shared"
+    with pytest.raises(ValueError):
+        storage.checkpoint_root(_Session("yarn"))
+
+
 def test_measured_size_decides(rows):
     df = rows([("x" * 100, 1, ["y" * 50, None])] * 10, "s string, n int, l array<string>")
     stored = storage.store(df, "t", rows=F.count(F.lit(1)))
