@@ -240,14 +240,17 @@ def top_authors(spark, sf_dir):
 
 
 def _existing(spark, sf_dir):
-    stored = derived.raw_articles(spark, sf_dir).filter("seq % 3 <> 1")
+    stored = derived.raw_articles(spark, sf_dir)
     return stored.select("doi", "seq", "topic", F.col("seq").alias("position"), F.lit(0).alias("copy"))
 
 
 def _incoming(spark, sf_dir):
-    crawled = derived.raw_articles(spark, sf_dir).filter("seq % 3 <> 2")
+    """Every article again under the doubled key, so that half of them are stored already."""
+    key = F.col("seq") * 2
+    doi = F.when(key % 500 != 0, F.concat(F.lit(derived.DOI_PREFIX), key))
     copies = F.explode(F.when(F.col("seq") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    return crawled.select("doi", "seq", "topic", copies.alias("copy")).withColumn(
+    crawled = derived.raw_articles(spark, sf_dir)
+    return crawled.select(doi.alias("doi"), "seq", "topic", copies.alias("copy")).withColumn(
         "position", F.col("seq") * 2 + F.col("copy")
     )
 

@@ -81,11 +81,12 @@ select distinct authors, "Year", a.author from (
 select distinct x.author as src, y.author as dst, x.authors, x."Year"
 from paper_members x join paper_members y
   on x.authors = y.authors and x."Year" = y."Year" and x.author <> y.author""",
-    "stored": "select doi, seq, topic, seq as position, 0 as copy from raw_articles where seq % 3 <> 1",
-    "incoming": """
-select doi, seq, topic, copy, seq * 2 + copy as position from (
-  select doi, seq, topic, unnest(case when seq % 10 = 0 then [0, 1] else [0] end) as copy
-  from raw_articles where seq % 3 <> 2) u""",
+    "stored": "select doi, seq, topic, seq as position, 0 as copy from raw_articles",
+    "incoming": f"""
+select case when (seq * 2) % 500 = 0 then null else '{derived.DOI_PREFIX}' || (seq * 2) end as doi,
+  seq, topic, copy, seq * 2 + copy as position from (
+  select seq, topic, unnest(case when seq % 10 = 0 then [0, 1] else [0] end) as copy
+  from raw_articles) u""",
     "listed": """
 select p_partkey, p_brand, p_type, p_name, p_retailprice, p_size, p_partkey + i as k, i
 from (select *, unnest(range(0, 1 + p_partkey % 3)) as i from part) u""",
@@ -186,7 +187,7 @@ def _page_text(expression: str) -> str:
     return _strip(plain)
 
 
-_HAS_PAGE = "i = 0 and p_partkey % 17 <> 0"
+_HAS_PAGE = "i = 0"
 _COUNTABLE = "k % 11 <> 1"
 
 ORACLES: dict[str, str] = {
@@ -334,7 +335,7 @@ select p_partkey as page_id, 'https://list.example/search?page=' || p_partkey as
     "article_page_fields": """
 with p as (select *, range(0, p_partkey % 5) as people,
     p_partkey % 5 = 0 or (p_partkey % 19 = 0 and p_partkey % 5 > 1) as unusable
-  from part where p_partkey % 17 <> 0)
+  from part)
 select 'https://list.example/doi/10.2/' || p_partkey || '-0' as url,
   'About ' || p_name || ' <new>.' as abstract,
   case when p_partkey % 4 = 0 then 'Unknown' else array_to_string(list_transform(
