@@ -77,7 +77,7 @@ def element_text(inner_html: Column, collapse: bool = True) -> Column:
     """
     has_markup = F.contains(inner_html, F.lit("<"))
     text = F.when(
-        has_markup, F.regexp_replace(inner_html, r"(?s)<!--.*?-->|<[^>]*>", "")
+        has_markup, F.regexp_replace(inner_html, r"(?s)<!--.*?-->|<[^<>]*>", "")
     ).otherwise(inner_html)
     has_entity = F.contains(inner_html, F.lit("&"))
     text = F.when(has_entity, _decoded(text)).otherwise(text)

@@ -3,7 +3,8 @@
 A rule names a field and the regular expression that finds it, so a new page template is new data,
 not new code. Everything is a built-in expression on one page row: no shuffle and no Python in the
 tasks. Expressions see the template's elements, not a document tree: an element that contains
-another one with the same tag ends at the inner closing tag.
+another one with the same tag ends at the inner closing tag. The inside of a tag is matched up to
+the next ``<`` or ``>``, so that broken markup costs no more than a second look at each character.
 """
 
 from __future__ import annotations
@@ -35,17 +36,17 @@ def class_attribute(name: str) -> str:
 
 def element(marker: str, tag: str = r"[a-z][a-z0-9]*") -> str:
     """Pattern of an element whose opening tag matches ``marker``; group 2 is its content."""
-    return rf"(?is)<({tag})\b[^>]*{marker}[^>]*>(.*?)</\1\s*>"
+    return rf"(?is)<({tag})\b[^<>]*{marker}[^<>]*>(.*?)</\1\s*>"
 
 
 def opening_tag(tag: str, marker: str = "") -> str:
     """Pattern of an opening tag; group 1 is the tag."""
-    return rf"(?is)(<{tag}\b[^>]*{marker}[^>]*>)"
+    return rf"(?is)(<{tag}\b[^<>]*{marker}[^<>]*>)"
 
 
 def first_inside(container: str, inner: str) -> str:
     """Pattern of the first ``inner`` after an opening tag that matches ``container``."""
-    return rf"(?is)<[a-z][^>]*{container}[^>]*>.*?{inner.removeprefix('(?is)')}"
+    return rf"(?is)<[a-z][^<>]*{container}[^<>]*>.*?{inner.removeprefix('(?is)')}"
 
 
 @dataclass(frozen=True)
@@ -214,7 +215,7 @@ AUTHOR_NAME_CLASS = "auth-name"
 INSTITUTION_CLASS = "auth-institution"
 RANKING_BOX_CLASS = "cellslide"
 
-LISTING_ITEM = rf"<[a-zA-Z][^>]*{class_attribute(ITEM_CLASS)}"
+LISTING_ITEM = rf"<[a-zA-Z][^<>]*{class_attribute(ITEM_CLASS)}"
 _DETAIL_LINK = first_inside(class_attribute(DETAIL_CLASS), opening_tag("a"))
 
 
@@ -246,7 +247,7 @@ def article_rules() -> list[Rule]:
         ),
         Rule(
             "authors",
-            r'(?is)<a\b[^>]*?\stitle="([^"]*)"',
+            r'(?is)<a\b[^<>]*?\stitle="([^"]*)"',
             within=element(class_attribute(AUTHOR_BLOCK_CLASS)),
             within_group=2,
             every_region=True,
@@ -257,7 +258,7 @@ def article_rules() -> list[Rule]:
         ),
         Rule(
             "keywords",
-            r"(?is)<li\b[^>]*>\s*<a\b[^>]*>(.*?)</a\s*>",
+            r"(?is)<li\b[^<>]*>\s*<a\b[^<>]*>(.*?)</a\s*>",
             within=element(r'\bproperty="keywords"', "section"),
             within_group=2,
             many=True,
@@ -271,7 +272,7 @@ def article_rules() -> list[Rule]:
 
 def author_sections(html: Column) -> Column:
     """``array<struct<author, affiliation>>`` of an article page, NULL fields where a part is absent."""
-    start = rf"<div\b[^>]*{class_attribute(AUTHOR_SECTION_CLASS)}"
+    start = rf"<div\b[^<>]*{class_attribute(AUTHOR_SECTION_CLASS)}"
     rules = [
         _by_class("author", AUTHOR_NAME_CLASS),
         _by_class("affiliation", INSTITUTION_CLASS),
@@ -426,13 +427,13 @@ def extract_rankings(
     its page, otherwise only its own row. The page decides by itself, without a regrouping.
     """
     table = F.regexp_extract(
-        "html", first_inside(class_attribute(RANKING_BOX_CLASS), r"<table\b[^>]*>(.*?)</table\s*>"), 1
+        "html", first_inside(class_attribute(RANKING_BOX_CLASS), r"<table\b[^<>]*>(.*?)</table\s*>"), 1
     )
-    body = F.regexp_extract(table, r"(?is)<tbody\b[^>]*>(.*?)</tbody\s*>", 1)
-    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^>]*>(.*?)</tr\s*>"), F.lit(1))
+    body = F.regexp_extract(table, r"(?is)<tbody\b[^<>]*>(.*?)</tbody\s*>", 1)
+    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^<>]*>(.*?)</tr\s*>"), F.lit(1))
 
     def cells(row: Column) -> Column:
-        found = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^>]*>(.*?)</td\s*>"), F.lit(1))
+        found = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^<>]*>(.*?)</td\s*>"), F.lit(1))
         return F.transform(found, lambda c: element_text(c))
 
     def entry(row: Column) -> Column:

@@ -155,6 +155,16 @@ def test_build_articles(rows):
     assert articles.dtypes == declared + [("page_id", "bigint"), ("position", "int")]
 
 
+def test_large_broken_pages_stay_cheap(rows):
+    """Megabytes of unclosed tags and of items; a quadratic search would not come back."""
+    broken = "<a <a class=" * 100_000 + listing(*[item(f"/doi/{k}") for k in range(3000)])
+    pages = rows([(1, "https://s/", broken), (2, "https://s/", "<" * 1_000_000)], PAGES)
+    records, rejects = extract.extract_listing(pages)
+    assert records.select("doi").distinct().count() == 3000
+    assert rejects.count() == 0
+    assert extract.extract_article_pages(pages)[1].count() == 2
+
+
 RANKING = '<div class="cellslide"><table><thead><tr><td>h</td><td>1</td><td>2</td></tr></thead><tbody>{}</tbody></table></div>'
 
 

@@ -109,8 +109,8 @@ def test_decode_entities(rows):
 
 
 def test_element_text(rows):
-    values = ["<b>a</b>\n  b<!-- <i> -->", " x <br/>y ", "&lt;b&gt;"]
-    assert evaluate(rows, values, element_text) == ["a b", "x y", "<b>"]
+    values = ["<b>a</b>\n  b<!-- <i> -->", " x <br/>y ", "&lt;b&gt;", "1 < 2 <b>3</b>"]
+    assert evaluate(rows, values, element_text) == ["a b", "x y", "<b>", "1 < 2 3"]
     assert evaluate(rows, [" a\n b "], lambda c: element_text(c, collapse=False)) == ["a\n b"]
 
 
