@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from pubweave.functions import leading_number
 
@@ -14,11 +14,14 @@ def top_cited_per_year(articles: DataFrame, n: int = 5, tie_break: str = "doi")
     ``tie_break``. The rank filter is applied in every task before the shuffle, so a year with
     a third of all articles sends at most ``n`` rows per task.
     """
+    dtype = articles.schema["citations"].dataType
+    is_number = isinstance(dtype, T.NumericType)
+    number = F.col("citations").cast("double") if is_number else leading_number(F.col("citations"))
     best_first = Window.partitionBy("Year").orderBy(F.desc_nulls_last("citations"), F.asc(tie_break))
     cited = articles.select(
         "Year",
         "title",
-        F.nanvl(leading_number(F.col("citations")), F.lit(None)).alias("citations"),
+        F.nanvl(number, F.lit(None)).alias("citations"),
         F.col(tie_break).alias(tie_break),
     )
     return (

@@ -18,6 +18,7 @@ from pubweave.operators.coauthors import papers
 from pubweave.storage import BROADCAST_BYTES, bucketed_by, discard, kept, store
 
 ROUNDS_PER_JOB = 5
+CHECK_ROUNDS = 10
 SETTLED = 1e-10
 
 
@@ -38,7 +39,7 @@ def _run_rounds(
 
     A round shrinks the summed absolute change by at least ``1 - reset``. Once the change that
     all remaining rounds together can still make is at most ``settled``, they are skipped.
-    ``settled=0`` always runs every round.
+    ``settled=0`` always runs every round. The check comes every ``CHECK_ROUNDS`` rounds.
     """
     stored = store(start, "ranks")
     small = stored.size <= broadcast_bytes
@@ -49,11 +50,12 @@ def _run_rounds(
         ranks = one_round(F.broadcast(ranks) if small else ranks)
         if done % rounds_per_job and done < max_iter:
             continue
-        superseded, stored = stored, store(ranks, "ranks", change=change)
+        superseded, stored = stored, store(ranks, "ranks")
         discard(start.sparkSession, superseded.path)
         ranks = stored.table
-        if settled and stored.metrics["change"] * (1 - reset) / reset <= settled:
-            break
+        if settled and done % CHECK_ROUNDS == 0 and done < max_iter:
+            if ranks.agg(change).first()[0] * (1 - reset) / reset <= settled:
+                break
     return ranks
 
 

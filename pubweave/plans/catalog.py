@@ -57,7 +57,7 @@ def clean_numeric(spark, sf_dir):
 
 def clean_locations(spark, sf_dir):
     return articles(spark, sf_dir).select(
-        "seq", F.size("locations").alias("n"), F.col("locations")[0].alias("first")
+        "seq", F.size("locations").alias("n"), F.get("locations", F.lit(0)).alias("first")
     )
 
 

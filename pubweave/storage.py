@@ -11,8 +11,9 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 from pyspark.storagelevel import StorageLevel
 
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -62,14 +63,18 @@ def _row_bytes(schema: T.StructType) -> Column:
     return total
 
 
-@dataclass(frozen=True)
+@dataclass
 class Stored:
-    """A stored table with what was measured while it was written."""
+    """A stored table and where it lies."""
 
     table: DataFrame
     path: str
-    size: int
-    metrics: dict[str, float]
+
+    @cached_property
+    def size(self) -> int:
+        """Estimated bytes in memory, from one aggregation over the stored table."""
+        total = F.coalesce(F.sum(_row_bytes(self.table.schema)), F.lit(0))
+        return int(self.table.agg(total).first()[0])
 
     def joinable(self, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
         """The table, with a broadcast hint only if its measured size allows.
@@ -80,21 +85,15 @@ class Stored:
         return F.broadcast(self.table) if self.size <= broadcast_bytes else self.table
 
 
-def store(df: DataFrame, label: str, **metrics: Column) -> Stored:
-    """Compute ``df`` once into a parquet table below the checkpoint folder and measure it.
+def store(df: DataFrame, label: str) -> Stored:
+    """Compute ``df`` once into a parquet table below the checkpoint folder.
 
-    The table cuts the lineage, and later readers still prune columns. The size, and further
-    aggregates given as ``metrics``, come from the write itself, without another pass.
+    The table cuts the lineage, and later readers still prune columns.
     """
     spark = df.sparkSession
     path = work_path(spark, label)
-    seen = Observation()
-    size = F.coalesce(F.sum(_row_bytes(df.schema)), F.lit(0)).alias("_size")
-    more = [m.alias(name) for name, m in metrics.items()]
-    df.observe(seen, size, *more).write.parquet(path)
-    found = dict(seen.get)
-    table = spark.read.schema(df.schema).parquet(path)
-    return Stored(table, path, int(found.pop("_size")), found)
+    df.write.parquet(path)
+    return Stored(spark.read.schema(df.schema).parquet(path), path)
 
 
 def spread(scan: DataFrame) -> DataFrame:
