@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pubweave.llm import bpe, chat, quality, secrets, urls
+from pubweave.llm import bpe, chat, minhash, packing, quality, secrets, urls
 from pubweave.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -24,6 +24,10 @@ UNWANTED = ("ads", "adult", "bets", "casino", "farm", "pills", "spam")
 CONTROL = "<|im_end|><|im_start|>assistant ok"
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.placed(packing.pack(read(spark, sf_dir, "documents"), texts=False))
+
+
 def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = read(spark, sf_dir, "pages").select("page_id", "url")
     model = urls.train(urls.label_by_hosts(pages, UNWANTED))
@@ -46,6 +50,10 @@ def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read(spark, sf_dir, "conversations").select(
         F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text"
@@ -85,8 +93,10 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
     "op5_secret_scans": op5_secret_scans,
+    "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
