@@ -30,18 +30,15 @@ from math import log
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from pubweave.llm.common import column, columns, ship
 from pubweave.llm.components import components
+from pubweave.llm.hashing import MIX, U64, hashed_words, rolled, spread
 from pubweave.llm.tiles import Forest, in_tiles, tiled
 from pubweave.storage import store
 
-U64 = np.uint64
-#: Odd factors that spread bits.
-MIX = (U64(0x9E3779B97F4A7C15), U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB))
 ELEMENT_BITS = 48
 ELEMENT = U64((1 << ELEMENT_BITS) - 1)
 
@@ -63,13 +60,6 @@ class Settings:
     seed: int = 20
 
 
-def spread(x: np.ndarray) -> np.ndarray:
-    """The finalizer of a 64-bit hash."""
-    x = (x ^ (x >> U64(30))) * MIX[1]
-    x = (x ^ (x >> U64(27))) * MIX[2]
-    return x ^ (x >> U64(31))
-
-
 @dataclass(frozen=True)
 class Shingles:
     """The distinct shingles of some texts: ``element`` and ``times`` of text k are at
@@ -85,20 +75,11 @@ class Shingles:
 
 def shingles(texts: pa.Array, width: int) -> Shingles:
     """Of at most 65,536 texts."""
+    lower = lambda t: pc.utf8_split_whitespace(pc.utf8_lower(t))
+    found = hashed_words(texts, lower)
+    word, text, place, words = found.word, found.text, found.place, found.count
     count = len(texts)
-    lists = pc.utf8_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "").cast(pa.large_string())))
-    flat = lists.flatten()
-    filled = pc.greater(pc.binary_length(flat), 0).to_numpy(zero_copy_only=False)
-    per_text = np.diff(lists.offsets.to_numpy())
-    text = np.repeat(np.arange(count), per_text)[filled]
-    coded = flat.filter(pa.array(filled)).dictionary_encode()
-    known = np.fromiter(
-        (xxhash.xxh3_64_intdigest(w) for w in coded.dictionary.to_pylist()), U64, len(coded.dictionary)
-    )
-    word = known[coded.indices.to_numpy()] if len(known) else np.empty(0, U64)
-    words = np.bincount(text, minlength=count)
     first = np.concatenate([[0], np.cumsum(words)])
-    place = np.arange(len(word)) - first[text]
 
     whole = np.zeros((2, count), U64)
     for row, factor in enumerate(MIX[:2]):
@@ -107,13 +88,9 @@ def shingles(texts: pa.Array, width: int) -> Shingles:
         whole[row] = sums[first[1:]] - sums[first[:-1]]
 
     short = (words > 0) & (words < width)
-    rolled = np.zeros(len(word), U64)
-    for step in range(width):
-        part = word[step:] if step else word
-        rolled[: len(part)] = rolled[: len(part)] * MIX[0] + part
     inside = place <= words[text] - width
     owner = np.concatenate([text[inside], np.flatnonzero(short)])
-    hashed = np.concatenate([spread(rolled[inside]), spread(whole[0][short])])
+    hashed = np.concatenate([rolled(word, width)[inside], spread(whole[0][short])])
     keys = np.sort((owner.astype(U64) << U64(ELEMENT_BITS)) | (hashed >> U64(64 - ELEMENT_BITS)))
     new = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else keys[:0].astype(int)
     distinct = keys[new]

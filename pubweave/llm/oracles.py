@@ -33,4 +33,33 @@ select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_cha
 from grouped
 """
 
-ORACLES: dict[str, str] = {"op7_chat_formatting": OP7}
+#: Trigrams, bigrams and words by their text; n-grams of two or more words count from two on.
+OP4 = """
+with tok as (
+  select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as ws
+  from documents
+), pos as (
+  select doc_id, ws[i] as w, case when i > 1 then ws[i - 1] end as v, case when i > 2 then ws[i - 2] end as u
+  from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from tok)
+), n as (select count(*) as n from pos),
+c1 as (select w, count(*) as c from pos group by w),
+c2 as (select v, w, count(*) as c from pos where v is not null group by v, w having count(*) >= 2),
+c3 as (select u, v, w, count(*) as c from pos where u is not null group by u, v, w having count(*) >= 2),
+scored as (
+  select p.doc_id,
+    case when c3.c is not null then ln(c3.c) - ln(ctx2.c)
+      when c2.c is not null then ln(c2.c) - ln(ctx1.c) + case when p.u is not null then ln(0.4) else 0 end
+      else ln(c1.c) - ln(n.n) + case when p.u is not null then 2 * ln(0.4) when p.v is not null then ln(0.4) else 0 end
+    end as s
+  from pos p cross join n join c1 on c1.w = p.w
+  left join c1 as ctx1 on ctx1.w = p.v
+  left join c2 on c2.v = p.v and c2.w = p.w
+  left join c2 as ctx2 on ctx2.v = p.u and ctx2.w = p.v
+  left join c3 on c3.u = p.u and c3.v = p.v and c3.w = p.w
+), summed as (select doc_id, sum(s) as s from scored group by doc_id)
+select t.doc_id, len(t.ws) as n_tokens, round(coalesce(s.s, 0), 6) as log_score,
+  case when len(t.ws) > 0 then round(s.s / len(t.ws), 6) end as mean_log_score
+from tok t left join summed s on s.doc_id = t.doc_id
+"""
+
+ORACLES: dict[str, str] = {"op4_lm_scoring": OP4, "op7_chat_formatting": OP7}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pubweave.llm import bpe, chat, minhash, packing, quality, secrets, urls
+from pubweave.llm import bpe, chat, minhash, ngrams, packing, pivots, quality, secrets, urls
 from pubweave.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -34,6 +34,12 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, URL_RULES, model)
 
 
+def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = ngrams.score_documents(read(spark, sf_dir, "documents"))
+    rounded = {c: F.round(c, 6) for c in ("log_score", "mean_log_score")}
+    return scored.withColumns(rounded)
+
+
 def op5_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     model = secrets.train(secrets.labelled_tokens(docs))
@@ -92,12 +98,18 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trips(read(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY))
 
 
+def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pivots.near_vectors(read(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
+    "op4_lm_scoring": op4_lm_scoring,
     "op5_secret_scans": op5_secret_scans,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_chat_formatting": op7_chat_formatting,
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
+    "op10_embedding_near_dedup": op10_embedding_near_dedup,
 }
