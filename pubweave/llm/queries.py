@@ -8,7 +8,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pubweave.llm import bpe, chat, minhash, ngrams, packing, pivots, quality, secrets, urls
+from pubweave.llm import bpe, chat, lines, minhash, ngrams, packing, pivots, quality, secrets, urls
 from pubweave.llm.common import read
 
 VOCABULARY = "byte_bpe_50k.json"
@@ -34,6 +34,10 @@ def op2_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.filter_urls(pages, URL_RULES, model)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lines.lines_report(read(spark, sf_dir, "documents"))
+
+
 def op4_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = ngrams.score_documents(read(spark, sf_dir, "documents"))
     rounded = {c: F.round(c, 6) for c in ("log_score", "mean_log_score")}
@@ -105,6 +109,7 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
+    "op3_line_dedup": op3_line_dedup,
     "op4_lm_scoring": op4_lm_scoring,
     "op5_secret_scans": op5_secret_scans,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
