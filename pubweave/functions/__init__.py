@@ -7,6 +7,7 @@ from pubweave.functions.text import (
     decode_entities,
     element_text,
     last_comma_split,
+    plain_text,
     strip,
 )
 
@@ -19,6 +20,7 @@ __all__ = [
     "lenient_long",
     "metric_long",
     "parse_day_month_year",
+    "plain_text",
     "publication_date_parts",
     "strip",
 ]

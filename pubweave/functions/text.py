@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from html.entities import name2codepoint
+from html.entities import html5
 
 from pyspark.sql import Column, functions as F
 
@@ -10,8 +10,12 @@ from pyspark.sql import Column, functions as F
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 _WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
-_NAMED = ",".join(f"{n}:{cp}" for n, cp in {**name2codepoint, "apos": 39}.items())
-_ENTITY = r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);"
+_NAMED = ",".join(
+    f"{n.removesuffix(';')}:{' '.join(str(ord(c)) for c in text)}"
+    for n, text in html5.items()
+    if n.endswith(";")
+)
+_ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
 def strip(value: Column) -> Column:
@@ -45,14 +49,18 @@ def _character(code_point: Column) -> Column:
 def _decoded_piece(piece: Column, names: Column) -> Column:
     """One piece of a text cut at ``&``: an entity and what follows it."""
     body = F.regexp_extract(piece, _ENTITY, 1)
+    digits = F.regexp_replace(F.regexp_replace(body, "^#[xX]?", ""), "^0+(?=.)", "")
     code = (
-        F.when(body.rlike("^#[xX]"), F.conv(F.substring(body, 3, 6), 16, 10))
-        .when(F.startswith(body, F.lit("#")), F.substring(body, 2, 7))
-        .otherwise(names[body])
+        F.when(F.length(digits) > 7, F.lit(None))
+        .when(body.rlike("^#[xX]"), F.conv(digits, 16, 10))
+        .otherwise(digits)
     )
+    named = F.array_join(
+        F.transform(F.split(names[body], " "), lambda c: _character(c.try_cast("bigint"))), ""
+    )
+    character = F.when(F.startswith(body, F.lit("#")), _character(code.try_cast("bigint"))).otherwise(named)
     rest = F.substring(piece, F.length(body) + F.lit(2), F.length(piece))
     plain = F.concat(F.lit("&"), piece)
-    character = _character(code.try_cast("bigint"))
     return F.when(body == "", plain).otherwise(F.coalesce(F.concat(character, rest), plain))
 
 
@@ -70,6 +78,15 @@ def decode_entities(value: Column) -> Column:
     return F.when(F.contains(value, F.lit("&")), _decoded(value)).otherwise(value)
 
 
+def plain_text(text: Column, collapse: bool = True) -> Column:
+    """Text without markup, as shown: references decoded, ends stripped.
+
+    ``collapse`` also turns each run of whitespace into one space, as a rendered page shows it.
+    """
+    shown = decode_entities(text)
+    return strip(F.regexp_replace(shown, _WHITESPACE_RUN, " ") if collapse else shown)
+
+
 def element_text(inner_html: Column, collapse: bool = True) -> Column:
     """Text of an element: comments and tags removed, entities decoded, ends stripped.
 

@@ -10,6 +10,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
+#: Papers with more members are spread over tasks before their pairs are built.
+SPREAD_MEMBERS = 100
+
+
 def papers(
     articles: DataFrame,
     years: tuple[int, int] | None = None,
@@ -38,13 +42,19 @@ def coauthor_edges(
 ) -> DataFrame:
     """Directed edges ``(src, dst, authors, Year)``, both directions, one per paper and pair.
 
-    The pairs of a paper come from the paper's own row, without a join and without a shuffle
-    after the distinct. The output is quadratic in the authors of a paper by definition;
-    ``author_pagerank`` and ``coauthor_vertices`` do not go through it.
+    The pairs of a paper come from the paper's own row, without a join. A large paper is first dealt
+    out by its first members, so its pairs are built by many tasks. The output is quadratic in the
+    authors of a paper by definition; ``author_pagerank`` and ``coauthor_vertices`` do not go through
+    it.
     """
+    found = papers(articles, years, authors, year)
+    many = F.size("members") > SPREAD_MEMBERS
+    first = F.explode("members")
+    dealt = found.filter(many).withColumn("src", first).repartition("authors", "Year", "src")
     return (
-        papers(articles, years, authors, year)
-        .withColumn("src", F.explode("members"))
+        found.filter(~many)
+        .withColumn("src", first)
+        .unionByName(dealt)
         .withColumn("dst", F.explode("members"))
         .filter(F.col("src") != F.col("dst"))
         .select("src", "dst", "authors", "Year")

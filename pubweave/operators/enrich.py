@@ -8,12 +8,21 @@ from pubweave.functions import strip
 from pubweave.storage import BROADCAST_BYTES, store
 
 
+def journal_key(value: Column, on: str = "name") -> Column:
+    """What a journal is compared by: its name without regard to case and runs of blanks, or the
+    letters of its ISSN, without prefix and hyphen."""
+    if on == "ISSN":
+        return F.regexp_replace(F.regexp_replace(F.upper(value), "^.*ISSN", ""), "[^0-9X]", "")
+    return F.lower(F.regexp_replace(strip(value), r"(?U)\s+", " "))
+
+
 def effective_quartiles(
-    rankings: DataFrame, lookback: int = 10, journal: str = "journal"
+    rankings: DataFrame, lookback: int = 10, journal: str = "journal", on: str = "name"
 ) -> DataFrame:
     """``(journal, Year, Quartile)`` valid in each year, at most one row per journal and year.
 
-    The first ranking row of a journal and year, in table order, decides that year; an empty
+    The first ranking row of a journal and year, in table order, decides that year, among rows of equal
+    position the one with the least quartile; an empty
     quartile counts as no entry. An entry then serves its own year and the ``lookback - 1`` years
     after it, the most recent entry first. Listing the served years turns the range condition
     into an equality, so the article side is joined once, without a regrouping. All steps are
@@ -22,8 +31,8 @@ def effective_quartiles(
     quartile = F.coalesce(F.col("Quartile"), F.lit(""))
     decided = (
         rankings.filter(F.col("Year").isNotNull())
-        .groupBy(strip(F.col(journal)).alias("journal"), "Year")
-        .agg(F.min_by(quartile, "pos").alias("Quartile"))
+        .groupBy(journal_key(F.col(journal), on).alias("journal"), "Year")
+        .agg(F.min(F.struct("pos", quartile.alias("Quartile")))["Quartile"].alias("Quartile"))
         .filter(F.col("Quartile") != "")
     )
     served = F.explode(F.sequence(F.col("Year"), F.col("Year") + F.lit(lookback - 1)))
@@ -36,7 +45,8 @@ def effective_quartiles(
 
 
 def _journal_key(on: str) -> Column:
-    return strip(F.coalesce(F.col(f"publisher.{on}"), F.lit("")))
+    key = journal_key(F.coalesce(F.col(f"publisher.{on}"), F.lit("")), on)
+    return F.nullif(key, F.lit("")) if on == "ISSN" else key
 
 
 def enrich_quartile(
@@ -52,7 +62,7 @@ def enrich_quartile(
     the journal key. The quartile table is broadcast only if its measured size allows; otherwise
     the shuffle join splits hot journals adaptively (the article side is the outer side).
     """
-    stored = store(effective_quartiles(rankings, lookback), "quartiles")
+    stored = store(effective_quartiles(rankings, lookback, on=on), "quartiles")
     valid = stored.joinable(broadcast_bytes).select(
         F.col("journal").alias("_journal"),
         F.col("Year").alias("_year"),

@@ -1,16 +1,14 @@
 """Saved pages to records, driven by rules.
 
-A rule names a field and the regular expression that finds it, so a new page template is new data,
-not new code. Everything is a built-in expression on one page row: no shuffle and no Python in the
-tasks. Expressions see the template's elements, not a document tree: an element that contains
-another one with the same tag ends at the inner closing tag. The inside of a tag is matched up to
-the next ``<`` or ``>``, so that broken markup costs no more than a second look at each character.
+A rule names a field and the selectors that find it, so a new page template is new data, not new code.
+Elements are found in the list of a page's tags (``markup``): each ends at its own closing tag, and a
+field is looked for only inside its container. Everything is a built-in expression on one page row: no
+shuffle and no Python in the tasks, and the cost grows with the length of the page.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -18,195 +16,216 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from pubweave.functions import (
     decode_entities,
-    element_text,
     last_comma_split,
     metric_long,
     parse_day_month_year,
+    plain_text,
     publication_date_parts,
     strip,
 )
+from pubweave.operators import markup
+from pubweave.operators.markup import Selector, of_class
 from pubweave.schema import AFFILIATION
 from pubweave.storage import store
 
-
-def class_attribute(name: str) -> str:
-    """Pattern of a class attribute that holds the class ``name``."""
-    return rf'\bclass="(?:[^"]*\s)?{re.escape(name)}(?:\s[^"]*)?"'
-
-
-def element(marker: str, tag: str = r"[a-z][a-z0-9]*") -> str:
-    """Pattern of an element whose opening tag matches ``marker``; group 2 is its content."""
-    return rf"(?is)<({tag})\b[^<>]*{marker}[^<>]*>(.*?)</\1\s*>"
-
-
-def opening_tag(tag: str, marker: str = "") -> str:
-    """Pattern of an opening tag; group 1 is the tag."""
-    return rf"(?is)(<{tag}\b[^<>]*{marker}[^<>]*>)"
-
-
-def first_inside(container: str, inner: str) -> str:
-    """Pattern of the first ``inner`` after an opening tag that matches ``container``."""
-    return rf"(?is)<[a-z][^<>]*{container}[^<>]*>.*?{inner.removeprefix('(?is)')}"
+# Reasons for rejecting a page or an item as a whole.
+NO_ITEMS = "items"
+UNCLOSED = "unclosed item"
 
 
 @dataclass(frozen=True)
 class Rule:
     """How to read one field.
 
-    ``pattern``/``group`` find the value, inside the first region that ``within``/``within_group``
-    finds, or inside all of them with ``every_region``. ``many`` reads a list. ``attribute`` takes
-    the text as an attribute value; otherwise it is the text of an element, with whitespace runs
-    collapsed unless ``collapse`` is off. A value that is absent becomes ``default``; without a
-    default the field is NULL, and a ``required`` one sends the record to the rejects. For lists
-    ``drop_empty`` removes empty entries and applies the default to an empty list. ``page_scope``
+    ``path`` are selectors, each inside the one before; the first element found counts, or all with
+    ``many``. The value is the element's text, with whitespace runs collapsed unless ``collapse`` is
+    off, or the ``attribute`` of its opening tag. A value that is absent becomes ``default``; without
+    a default the field is NULL, and a ``required`` one, which must not be blank either, sends the
+    record to the rejects. For lists ``drop_empty`` removes empty entries and applies the default to
+    an empty list; otherwise the default counts where the first selector finds nothing. ``page_scope``
     searches the whole page instead of the item.
     """
 
     field: str
-    pattern: str
-    group: int = 1
-    within: str | None = None
-    within_group: int = 1
-    every_region: bool = False
+    path: tuple[Selector, ...]
+    attribute: str | None = None
     many: bool = False
-    attribute: bool = False
     collapse: bool = True
     default: str | None = None
     required: bool = False
     drop_empty: bool = False
     page_scope: bool = False
 
-    def raw(self, source: Column, region: Column | None) -> Column:
-        """The markup found, one value or a list; NULL where the element or region is absent."""
+    def raw(self, scope: str) -> str:
+        """SQL of what stands in the page, one text or a list, from the tokens of the page or item;
+        NULL where there is nothing."""
+        *outer, last = self.path
 
-        def matches(text: Column) -> Column:
-            return F.regexp_extract_all(text, F.lit(self.pattern), F.lit(self.group))
+        def leaves(inside: str) -> str:
+            return markup.opening(inside, last) if self.attribute else markup.elements(inside, last)
 
-        if self.every_region:
-            regions = F.regexp_extract_all(source, F.lit(self.within), F.lit(self.within_group))
-            found = F.flatten(F.transform(regions, matches))
-        else:
-            found = matches(source if region is None else region)
-        return found if self.many else F.get(found, F.lit(0))
+        def read(element: str) -> str:
+            if self.attribute:
+                return markup.raw_attribute(element, self.attribute)
+            return markup.raw_text(element)
 
-    def _text(self, raw: Column) -> Column:
-        return decode_entities(raw) if self.attribute else element_text(raw, self.collapse)
+        if not self.many:
+            inside = markup.first(scope, tuple(outer))
+            if self.attribute:
+                return read(f"get({markup.opening(inside, last)}, 0)")
+            return read(markup.first(inside, (last,)))
+        found = f"flatten({markup.each(markup.select(scope, tuple(outer)), leaves)})"
+        there = f"size({markup.regions(scope, self.path[0])}) > 0"
+        return f"case when {there} then {markup.each(found, read)} end"
 
     def value(self, raw: Column) -> Column:
-        """The field, from the markup found."""
+        """The field, from what stands in the page."""
         if not self.many:
-            return F.coalesce(self._text(raw), F.lit(self.default))
-        values = F.transform(raw, lambda v: strip(self._text(v)))
+            text = self._clean(raw)
+            if self.required:
+                text = F.when(strip(text) != "", text)
+            return F.coalesce(text, F.lit(self.default))
+        values = F.transform(
+            F.filter(raw, lambda v: v.isNotNull()), lambda v: strip(self._clean(v))
+        )
         fallback = F.lit(None) if self.default is None else F.array(F.lit(self.default))
         if self.drop_empty:
             values = F.filter(values, lambda v: v != "")
             return F.when(F.size(values) > 0, values).otherwise(fallback)
         return F.coalesce(values, fallback)
 
-    @property
-    def region(self) -> tuple[str, int] | None:
-        """The single region the rule searches in."""
-        return None if self.within is None or self.every_region else (self.within, self.within_group)
+    def _clean(self, raw: Column) -> Column:
+        return decode_entities(raw) if self.attribute else plain_text(raw, self.collapse)
 
 
-def _first(text: Column, pattern: str, group: int) -> Column:
-    return F.get(F.regexp_extract_all(text, F.lit(pattern), F.lit(group)), F.lit(0))
+def _raw_struct(scope: str, rules: Sequence[Rule], *more: str) -> str:
+    return f"named_struct({', '.join([*more, *(f'{_quoted(r.field)}, {r.raw(scope)}' for r in rules)])})"
 
 
-def _raw_fields(texts: Column, rules: Sequence[Rule]) -> Column:
-    """For each text of an array, a struct of what the rules find in it.
+def _quoted(name: str) -> str:
+    return f"'{name}'"
 
-    Regions that several rules share are looked up once.
+
+def extracted_items(
+    pages: DataFrame,
+    rules: Sequence[Rule],
+    item: Selector | None = None,
+    carry: Sequence[str] = ("page_id", "url"),
+) -> DataFrame:
+    """Carried columns, ``position``, the fields and ``reason`` of saved pages ``(page_id, url, html)``.
+
+    Each element that fits ``item`` is an item; without it a page is one item. ``position`` numbers
+    the items of a page from 0. ``reason`` is NULL for a record; otherwise it names the first
+    required field that is missing, or says that an item isn't closed, or, once a page, that it has
+    no items. A page is read once.
     """
-    regions = list(dict.fromkeys(r.region for r in rules if r.region))
-    with_regions = F.transform(
-        texts,
-        lambda t: F.struct(
-            t.alias("text"), *[_first(t, *w).alias(f"region{k}") for k, w in enumerate(regions)]
-        ),
+    carried = [c for c in carry if c in pages.columns]
+    of_page = [r for r in rules if r.page_scope]
+    of_item = [r for r in rules if not r.page_scope]
+    tokens = markup.tokens(F.coalesce("html", F.lit("")))
+    own = F.col("_tokens") if "_tokens" in pages.columns else tokens.alias("_tokens")
+    read = pages.select(*carried, own)
+    if item is None:
+        items = f"array({_raw_struct('_tokens', of_item, _quoted('whole'), 'true')})"
+    else:
+        items = markup.each(
+            markup.pieces("_tokens", item),
+            lambda p: _raw_struct(f"{p}.tokens", of_item, _quoted("whole"), f"{p}.whole"),
+        )
+    found = read.select(
+        *carried,
+        *([F.expr(_raw_struct("_tokens", of_page)).alias("_page")] if of_page else []),
+        F.posexplode_outer(F.expr(items)).alias("position", "_item"),
     )
 
-    def fields(item: Column) -> Column:
-        found = [
-            r.raw(item["text"], item[f"region{regions.index(r.region)}"] if r.region else None)
-            for r in rules
-        ]
-        return F.struct(*[f.alias(r.field) for f, r in zip(found, rules)])
+    def value(rule: Rule) -> Column:
+        return rule.value(F.col("_page" if rule.page_scope else "_item")[rule.field])
+
+    cleaned = found.select(
+        *carried,
+        "position",
+        F.when(F.col("_item").isNull(), NO_ITEMS)
+        .when(~F.col("_item.whole"), UNCLOSED)
+        .alias("_whole"),
+        *[value(r).alias(r.field) for r in rules],
+    )
+    missing = [
+        F.when(F.col(r.field).isNull(), F.lit(r.field))
+        for r in rules
+        if r.required and r.default is None
+    ]
+    return cleaned.withColumn("reason", F.coalesce("_whole", *missing)).drop("_whole")
 
-    return F.transform(with_regions, fields)
 
+def records_of(extracted: DataFrame) -> DataFrame:
+    return extracted.filter(F.col("reason").isNull()).drop("reason")
 
-def pieces_from(text: Column, start: str) -> Column:
-    """The text cut before each match of ``start``; what precedes the first match is dropped."""
-    pieces = F.split(text, rf"(?={start})", -1)
-    return F.filter(pieces, lambda p: p.rlike(rf"^(?:{start})"))
+
+def rejects_of(extracted: DataFrame, carry: Sequence[str] = ("page_id", "url")) -> DataFrame:
+    kept = [c for c in carry if c in extracted.columns]
+    return extracted.filter(F.col("reason").isNotNull()).select(*kept, "position", "reason")
 
 
 def extract_items(
     pages: DataFrame,
     rules: Sequence[Rule],
-    item_start: str | None = None,
+    item: Selector | None = None,
     carry: Sequence[str] = ("page_id", "url"),
 ) -> tuple[DataFrame, DataFrame]:
-    """``(records, rejects)`` of saved pages ``(page_id, url, html)``.
+    """``(records, rejects)`` of ``extracted_items``; every item lands in exactly one of the two. Store
+    ``extracted_items`` and split it if both are wanted, so that pages are read once."""
+    extracted = extracted_items(pages, rules, item, carry)
+    return records_of(extracted), rejects_of(extracted, carry)
 
-    Each place where ``item_start`` matches begins an item that lasts to the next one; without it
-    a page is one item. ``position`` numbers the items of a page from 0. A record that lacks a
-    required field goes to the rejects with the field's name as ``reason``; every item lands in
-    exactly one of the two tables.
 
-    Every expression is searched once per item, or once per page for ``page_scope``, and pages are
-    not copied to their items. (The array is an expression inside the generator: for a column,
-    Catalyst would add a filter on its size and so compute it twice.)
-    """
-    html = F.col("html")
-    texts = F.array(html) if item_start is None else pieces_from(html, item_start)
-    carried = [c for c in carry if c in pages.columns]
-    required = [r for r in rules if r.required and r.default is None]
-
-    def raw(rule: Rule) -> Column:
-        return F.col("_page" if rule.page_scope else "_item")[rule.field]
-
-    def found(wanted: Sequence[Rule]) -> DataFrame:
-        of_page = [r for r in wanted if r.page_scope]
-        of_item = [r for r in wanted if not r.page_scope]
-        source, page = pages, []
-        if of_page:
-            source, page = pages.withColumn("_page", _raw_fields(F.array(html), of_page)[0]), ["_page"]
-        items = F.posexplode(_raw_fields(texts, of_item)).alias("position", "_item")
-        return source.select(*carried, *page, items)
-
-    reason = F.coalesce(
-        *[F.when(raw(r).isNull(), F.lit(r.field)) for r in required], F.lit(None).cast("string")
-    )
-    records = (
-        found(rules)
-        .filter(reason.isNull())
-        .select(*carried, "position", *[r.value(raw(r)).alias(r.field) for r in rules])
-    )
-    # What is missing shows without reading the optional fields.
-    rejects = (
-        found(required or rules)
-        .filter(reason.isNotNull())
-        .select(*carried, "position", reason.alias("reason"))
+def absolute_url(link: Column, page_url: Column) -> Column:
+    """A link as a browser reports it: resolved against the address of its page."""
+    link = strip(link)
+    scheme = F.regexp_extract(page_url, r"^([A-Za-z][A-Za-z0-9+.-]*:)", 1)
+    site = F.regexp_extract(page_url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    path = F.regexp_extract(page_url, r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*([^?#]*)", 1)
+    folder = F.regexp_replace(path, r"[^/]*$", "")
+    query = F.regexp_extract(page_url, r"(\?[^#]*)", 1)
+
+    def joined(target: Column) -> Column:
+        route = F.regexp_extract(target, r"^([^?#]*)", 1)
+        rest = F.substring(target, F.length(route) + 1, F.length(target))
+        return F.concat(site, _without_dots(route), rest)
+
+    return (
+        F.when(link.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), link)
+        .when(link.startswith("//"), F.concat(scheme, link))
+        .when(link.startswith("/"), joined(link))
+        .when(link.startswith("?"), F.concat(site, path, link))
+        .when(link.startswith("#"), F.concat(site, path, query, link))
+        .otherwise(joined(F.concat(F.when(folder == "", "/").otherwise(folder), link)))
     )
-    return records, rejects
 
 
-def absolute_url(link: Column, page_url: Column) -> Column:
-    """A link as a browser reports it: site-relative links get the site of their page."""
-    site = F.regexp_extract(page_url, r"^(https?://[^/?#]+)", 1)
-    return F.when(F.startswith(link, F.lit("/")), F.concat(site, link)).otherwise(link)
+def _without_dots(path: Column) -> Column:
+    """A path without ``.`` and ``..`` segments."""
+    segments = F.split(path, "/")
+    last = F.element_at(segments, -1)
+    ended = F.when(last.isin(".", ".."), F.concat(segments, F.array(F.lit("")))).otherwise(segments)
+    kept = F.aggregate(
+        ended,
+        F.array().cast("array<string>"),
+        lambda a, s: F.when(s == ".", a)
+        .when(s == "..", F.slice(a, F.lit(1), F.greatest(F.size(a) - 1, F.least(F.size(a), F.lit(1)))))
+        .otherwise(F.concat(a, F.array(s))),
+    )
+    return F.when(path.rlike(r"(?:^|/)\.\.?(?:/|$)"), F.array_join(kept, "/")).otherwise(path)
 
 
 # Classes and identifiers of the page templates the default rules read.
-ITEM_CLASS = "issue-item--search"
+ITEM_CLASSES = ("issue-item", "issue-item--search", "clearfix")
 HEADING_CLASS = "issue-heading"
 DETAIL_CLASS = "issue-item__detail"
 DOWNLOADS_CLASS = "metric"
 CITATIONS_CLASS = "citation"
 TITLE_CLASS = "hlFld-Title"
 SUBTITLE_CLASS = "hlFld-SubTitle"
+AUTHOR_LIST_CLASS = "authors"
 AUTHOR_BLOCK_CLASS = "dropBlock"
 ISSN_CLASS = "space"
 DATE_CLASS = "core-date-published"
@@ -215,20 +234,20 @@ AUTHOR_NAME_CLASS = "auth-name"
 INSTITUTION_CLASS = "auth-institution"
 RANKING_BOX_CLASS = "cellslide"
 
-LISTING_ITEM = rf"<[a-zA-Z][^<>]*{class_attribute(ITEM_CLASS)}"
-_DETAIL_LINK = first_inside(class_attribute(DETAIL_CLASS), opening_tag("a"))
+LISTING_ITEM = of_class(*ITEM_CLASSES)
+_DETAIL_LINK = (of_class(DETAIL_CLASS), Selector("a"))
 
 
 def _by_class(field: str, name: str, **options) -> Rule:
-    return Rule(field, element(class_attribute(name)), group=2, **options)
+    return Rule(field, (of_class(name),), **options)
 
 
 def listing_rules(heading_of_page: bool = False) -> list[Rule]:
     """Fields of one search result. ``heading_of_page`` gives all items the page's first heading."""
     return [
         _by_class("type", HEADING_CLASS, default="Unknown", page_scope=heading_of_page),
-        Rule("link", r'(?i)\shref="([^"]*)"', within=_DETAIL_LINK, attribute=True, required=True),
-        Rule("publisher", r'(?i)\stitle="([^"]*)"', within=_DETAIL_LINK, attribute=True, default=""),
+        Rule("link", _DETAIL_LINK, attribute="href", required=True),
+        Rule("publisher", _DETAIL_LINK, attribute="title", default=""),
         _by_class("downloads_text", DOWNLOADS_CLASS, default="N/A"),
         _by_class("citations_text", CITATIONS_CLASS, default="N/A"),
         _by_class("main_title", TITLE_CLASS, required=True),
@@ -238,29 +257,24 @@ def listing_rules(heading_of_page: bool = False) -> list[Rule]:
 
 def article_rules() -> list[Rule]:
     """Fields of an article page."""
+    keywords = Selector("section", ("property", "keywords"))
     return [
         Rule(
             "abstract",
-            first_inside(r'\bid="abstract"', element(r'\brole="paragraph"', "div")),
-            group=2,
+            (Selector("section", ("id", "abstract")), Selector("div", ("role", "paragraph"))),
             required=True,
         ),
         Rule(
             "authors",
-            r'(?is)<a\b[^<>]*?\stitle="([^"]*)"',
-            within=element(class_attribute(AUTHOR_BLOCK_CLASS)),
-            within_group=2,
-            every_region=True,
+            (of_class(AUTHOR_LIST_CLASS), of_class(AUTHOR_BLOCK_CLASS), Selector("a")),
+            attribute="title",
             many=True,
-            attribute=True,
             drop_empty=True,
             default="Unknown",
         ),
         Rule(
             "keywords",
-            r"(?is)<li\b[^<>]*>\s*<a\b[^<>]*>(.*?)</a\s*>",
-            within=element(r'\bproperty="keywords"', "section"),
-            within_group=2,
+            (keywords, Selector("ol"), Selector("li"), Selector("a")),
             many=True,
             collapse=False,
             default="N/A",
@@ -270,16 +284,24 @@ def article_rules() -> list[Rule]:
     ]
 
 
-def author_sections(html: Column) -> Column:
-    """``array<struct<author, affiliation>>`` of an article page, NULL fields where a part is absent."""
-    start = rf"<div\b[^<>]*{class_attribute(AUTHOR_SECTION_CLASS)}"
-    rules = [
-        _by_class("author", AUTHOR_NAME_CLASS),
-        _by_class("affiliation", INSTITUTION_CLASS),
-    ]
+_SECTION_RULES = [
+    _by_class("author", AUTHOR_NAME_CLASS),
+    _by_class("affiliation", INSTITUTION_CLASS),
+]
+
+
+def raw_sections(tokens: str) -> str:
+    """SQL of ``array<struct<author, affiliation>>`` of an article page, NULL fields where a part is
+    absent or the section isn't closed."""
+    return markup.each(
+        markup.pieces(tokens, of_class(AUTHOR_SECTION_CLASS, tag="div")),
+        lambda p: f"case when {p}.whole then {_raw_struct(f'{p}.tokens', _SECTION_RULES)} end",
+    )
+
+
+def author_sections(raw: Column) -> Column:
     return F.transform(
-        _raw_fields(pieces_from(html, start), rules),
-        lambda s: F.struct(*[r.value(s[r.field]).alias(r.field) for r in rules]),
+        raw, lambda s: F.struct(*[r.value(s[r.field]).alias(r.field) for r in _SECTION_RULES])
     )
 
 
@@ -320,35 +342,47 @@ def extract_affiliations(articles: DataFrame, sections: str = "sections") -> Dat
     )
 
 
+def extracted_listing(pages: DataFrame, heading_of_page: bool = False) -> DataFrame:
+    """Search results ``(doi, publisher, type, ...)`` of listing pages, with ``reason``."""
+    extracted = extracted_items(pages, listing_rules(heading_of_page), LISTING_ITEM)
+    return extracted.withColumn("doi", absolute_url(F.col("link"), F.col("url"))).drop("link")
+
+
 def extract_listing(
     pages: DataFrame, heading_of_page: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Search results ``(doi, publisher, type, ...)`` of listing pages, and the rejects."""
-    records, rejects = extract_items(pages, listing_rules(heading_of_page), LISTING_ITEM)
-    return records.withColumn("doi", absolute_url(F.col("link"), F.col("url"))).drop(
-        "link"
-    ), rejects
+    """Search results of listing pages, and the rejects."""
+    extracted = extracted_listing(pages, heading_of_page)
+    return records_of(extracted), rejects_of(extracted)
+
+
+def extracted_article_pages(pages: DataFrame) -> DataFrame:
+    """Fields of article pages with their affiliations, with ``reason``; ``position`` is always 0."""
+    tokens = markup.tokens(F.coalesce("html", F.lit("")))
+    read = pages.withColumn("_tokens", tokens).withColumn("_raw", F.expr(raw_sections("_tokens")))
+    with_sections = read.withColumn("sections", author_sections(F.col("_raw")))
+    extracted = extracted_items(with_sections, article_rules(), carry=("page_id", "url", "sections"))
+    return extract_affiliations(extracted)
 
 
 def extract_article_pages(pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Fields of article pages with their affiliations, and the rejects."""
-    with_sections = pages.withColumn("sections", author_sections(F.col("html")))
-    records, rejects = extract_items(
-        with_sections, article_rules(), carry=("page_id", "url", "sections")
-    )
-    return extract_affiliations(records.drop("position")), rejects.drop("sections")
+    extracted = extracted_article_pages(pages)
+    return records_of(extracted).drop("position"), rejects_of(extracted)
 
 
-def latest_page(pages: DataFrame) -> DataFrame:
-    """One row per ``url``, the copy saved last (largest ``page_id``).
+def latest_page(pages: DataFrame, key: str = "url") -> DataFrame:
+    """One row per ``url``, or other key, the copy saved last (largest ``page_id``).
 
-    Copies are combined map-side, so many copies of one page never meet in one task.
+    Copies are combined map-side, so many copies of one page never meet in one task. Pages without
+    ``page_id`` are distinguished by what they hold.
     """
-    others = [c for c in pages.columns if c != "url"]
+    others = [c for c in pages.columns if c != key]
+    by = F.col("page_id") if "page_id" in others else F.xxhash64(*others)
     return (
-        pages.groupBy("url")
-        .agg(F.max_by(F.struct(*others), "page_id").alias("_page"))
-        .select("url", "_page.*")
+        pages.groupBy(key)
+        .agg(F.max_by(F.struct(*others), by).alias("_page"))
+        .select(key, "_page.*")
     )
 
 
@@ -426,15 +460,19 @@ def extract_rankings(
     Only rows of exactly three cells count. With ``strict`` one unreadable year voids all rows of
     its page, otherwise only its own row. The page decides by itself, without a regrouping.
     """
-    table = F.regexp_extract(
-        "html", first_inside(class_attribute(RANKING_BOX_CLASS), r"<table\b[^<>]*>(.*?)</table\s*>"), 1
+    tokens = markup.tokens(F.coalesce("html", F.lit("")))
+    read = pages.select(F.col(journal).alias("journal"), tokens.alias("_tokens"))
+    body = markup.first(
+        "_tokens", (of_class(RANKING_BOX_CLASS), Selector("table"), Selector("tbody"))
     )
-    body = F.regexp_extract(table, r"(?is)<tbody\b[^<>]*>(.*?)</tbody\s*>", 1)
-    rows = F.regexp_extract_all(body, F.lit(r"(?is)<tr\b[^<>]*>(.*?)</tr\s*>"), F.lit(1))
+    rows = markup.each(
+        markup.elements(body, Selector("tr")),
+        lambda row: markup.each(markup.elements(row, Selector("td")), markup.raw_text),
+    )
+    read = read.select("journal", F.expr(f"coalesce({rows}, array())").alias("_rows"))
 
     def cells(row: Column) -> Column:
-        found = F.regexp_extract_all(row, F.lit(r"(?is)<td\b[^<>]*>(.*?)</td\s*>"), F.lit(1))
-        return F.transform(found, lambda c: element_text(c))
+        return F.transform(row, lambda c: plain_text(c))
 
     def entry(row: Column) -> Column:
         whole = F.when(row[1].rlike(r"^[+-]?\d+$"), row[1]).try_cast("int")
@@ -442,14 +480,14 @@ def extract_rankings(
             row[0].alias("category"), whole.alias("Year"), row[2].alias("Quartile")
         )
 
-    three = F.filter(F.transform(rows, cells), lambda r: F.size(r) == 3)
+    three = F.filter(F.transform("_rows", lambda r: cells(r)), lambda r: F.size(r) == 3)
     entries = F.transform(three, entry)
     if strict:
         # One page, one list of entries: kept whole or not at all.
         entries = F.flatten(
             F.filter(F.array(entries), lambda es: F.forall(es, lambda e: e["Year"].isNotNull()))
         )
-    listed = pages.select(
-        F.col(journal).alias("journal"), F.posexplode(entries).alias("pos", "_entry")
-    ).select("journal", "pos", "_entry.*")
+    listed = read.select("journal", F.posexplode(entries).alias("pos", "_entry")).select(
+        "journal", "pos", "_entry.*"
+    )
     return listed if strict else listed.filter(F.col("Year").isNotNull())

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from pubweave.storage import BROADCAST_BYTES, store
 
@@ -19,16 +19,26 @@ def new_only(
     """Records of ``new`` whose key is not in ``existing``; duplicates within ``new`` stay.
 
     A record without a key is always new, or, with ``null_safe``, new only if no stored record
-    lacks the key. The distinct stored keys are written once and broadcast if they are small.
-    Otherwise both sides are shuffled, and a key (or NULL) with very many records in ``new`` is
-    split by adaptive execution: it is the outer side, and the other side has each key once.
+    lacks the key. The distinct new keys are written once and measured; the stored keys are only
+    compared with them, so the work on the stored set is one scan of its keys, broadcast against if
+    the new keys are few. Otherwise both sides are shuffled, and a key (or NULL) with very many
+    records is split by adaptive execution: it is the outer side, and the other has each key once.
     """
-    known = existing.select(F.col(key).alias("_known")).distinct()
+    wanted = new.select(F.col(key).alias("_wanted")).distinct()
+    stored_keys = existing.select(F.col(key).alias("_known"))
     if not null_safe:
-        known = known.filter(F.col("_known").isNotNull())
-    known = store(known, "known-keys").joinable(broadcast_bytes)
-    match = new[key].eqNullSafe(known["_known"]) if null_safe else new[key] == known["_known"]
-    return new.join(known, match, "left_anti")
+        wanted = wanted.filter(F.col("_wanted").isNotNull())
+        stored_keys = stored_keys.filter(F.col("_known").isNotNull())
+    wanted = store(wanted, "new-keys")
+
+    def same(a: Column, b: Column) -> Column:
+        return a.eqNullSafe(b) if null_safe else a == b
+
+    few = wanted.joinable(broadcast_bytes)
+    met = stored_keys.join(few, same(F.col("_known"), F.col("_wanted")), "left_semi").distinct()
+    # At most the new keys, so their measured size bounds this side too.
+    known = store(met, "known-keys").joinable(broadcast_bytes)
+    return new.join(known, same(new[key], known["_known"]), "left_anti")
 
 
 def union_all(*sources: DataFrame) -> DataFrame:
@@ -37,13 +47,18 @@ def union_all(*sources: DataFrame) -> DataFrame:
 
 
 def merge_articles(
-    existing: DataFrame, new: DataFrame, key: str = "doi", order: str = "seq"
+    existing: DataFrame,
+    new: DataFrame,
+    key: str = "doi",
+    order: str = "seq",
+    keep_unkeyed: bool = False,
 ) -> DataFrame:
     """One record per key: the last one wins, ``new`` counting as later than ``existing``.
 
     ``order`` is the position within each input. The result keeps the winner's columns and adds
     ``first_position``, a sortable (batch, position) of the key's first record: the winner stands
-    where its key appeared first. Records without a key count as one key.
+    where its key appeared first. Records without a key count as one key, or with ``keep_unkeyed``
+    each stays.
 
     Winner and first position come from one aggregation, combined map-side, so the many copies
     of a hot key shrink to one row per task before the shuffle.
@@ -53,19 +68,24 @@ def merge_articles(
     )
     columns = [c for c in batches.columns if c != "_batch"]
     position = F.struct(F.col("_batch").alias("batch"), F.col(order).alias("position"))
-    return (
-        batches.select(
-            F.col(key).alias("_key"),
-            position.alias("_position"),
-            F.struct(*columns).alias("_record"),
-        )
-        .groupBy("_key")
+    placed = batches.select(
+        F.col(key).alias("_key"), position.alias("_position"), F.struct(*columns).alias("_record")
+    )
+    keyed = placed.filter(F.col("_key").isNotNull()) if keep_unkeyed else placed
+    merged = (
+        keyed.groupBy("_key")
         .agg(
             F.max_by("_record", "_position").alias("_record"),
             F.min("_position").alias("first_position"),
         )
         .select("_record.*", "first_position")
     )
+    if not keep_unkeyed:
+        return merged
+    unkeyed = placed.filter(F.col("_key").isNull())
+    return merged.unionByName(
+        unkeyed.select("_record.*", F.col("_position").alias("first_position"))
+    )
 
 
 def ingest_report(existing: DataFrame, new: DataFrame, key: str = "doi") -> DataFrame:

@@ -18,16 +18,12 @@ from pubweave.operators.coauthors import papers
 from pubweave.storage import BROADCAST_BYTES, bucketed_by, discard, kept, store
 
 ROUNDS_PER_JOB = 5
-CHECK_ROUNDS = 10
-SETTLED = 1e-10
 
 
 def _run_rounds(
     start: DataFrame,
     one_round: Callable[[DataFrame], DataFrame],
-    reset: float,
     max_iter: int,
-    settled: float,
     broadcast_bytes: int,
 ) -> DataFrame:
     """Apply ``one_round`` ``max_iter`` times to the ranks.
@@ -35,16 +31,11 @@ def _run_rounds(
     The vertex set never changes, so its measured size decides once: small ranks are broadcast
     and written out every few rounds. Larger ones are joined by a shuffle and written out after
     each round, because adaptive execution splits a hot vertex only if the ranks come straight
-    from a stored table. A written table replaces its predecessor.
-
-    A round shrinks the summed absolute change by at least ``1 - reset``. Once the change that
-    all remaining rounds together can still make is at most ``settled``, they are skipped.
-    ``settled=0`` always runs every round. The check comes every ``CHECK_ROUNDS`` rounds.
+    from a stored table. A written table replaces its predecessor. Every round is run.
     """
     stored = store(start, "ranks")
     small = stored.size <= broadcast_bytes
     rounds_per_job = ROUNDS_PER_JOB if small else 1
-    change = F.coalesce(F.sum(F.abs(F.col("rank") - F.col("previous"))), F.lit(0.0))
     ranks = stored.table
     for done in range(1, max_iter + 1):
         ranks = one_round(F.broadcast(ranks) if small else ranks)
@@ -53,9 +44,6 @@ def _run_rounds(
         superseded, stored = stored, store(ranks, "ranks")
         discard(start.sparkSession, superseded.path)
         ranks = stored.table
-        if settled and done % CHECK_ROUNDS == 0 and done < max_iter:
-            if ranks.agg(change).first()[0] * (1 - reset) / reset <= settled:
-                break
     return ranks
 
 
@@ -66,7 +54,6 @@ def author_pagerank(
     years: tuple[int, int] | None = None,
     authors: str = "authors",
     year: str = "Year",
-    settled: float = SETTLED,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(id, pagerank)`` of the co-author graph of ``articles``."""
@@ -100,9 +87,7 @@ def author_pagerank(
     received = (paper_total - share) * F.col("papers")
 
     with bucketed_by(memberships, "paper", stored_groups.size) as members:
-        start = stored_authors.table.select(
-            "id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("previous"), "outdegree"
-        )
+        start = stored_authors.table.select("id", F.lit(1.0).alias("rank"), "outdegree")
 
         def one_round(ranks: DataFrame) -> DataFrame:
             return (
@@ -111,12 +96,11 @@ def author_pagerank(
                 .groupBy("id")
                 .agg(
                     (F.sum("received") * (1 - reset) + reset).alias("rank"),
-                    F.max("rank").alias("previous"),
                     F.max("outdegree").alias("outdegree"),
                 )
             )
 
-        ranks = _run_rounds(start, one_round, reset, max_iter, settled, broadcast_bytes)
+        ranks = _run_rounds(start, one_round, max_iter, broadcast_bytes)
     return ranks.join(stored_authors.joinable(broadcast_bytes), "id").select(
         F.col("name").alias("id"), F.col("rank").alias("pagerank")
     )
@@ -126,7 +110,6 @@ def pagerank(
     edges: DataFrame,
     reset: float = 0.15,
     max_iter: int = 50,
-    settled: float = SETTLED,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """``(id, pagerank)`` of any directed graph ``(src, dst, ...)``; ranks sum to the vertex count.
@@ -147,26 +130,22 @@ def pagerank(
     every = counted.select(F.col("src").alias("id")).union(counted.select("dst")).distinct()
     loops = every.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0))
     is_loop = (F.col("src") == F.col("dst")) & (F.col("weight") == 0)
-    own_rank = F.when(is_loop, F.col("rank"))
 
     # Not bucketed by target: a vertex that a third of all edges point to would be one task.
     with kept(weighted.unionAll(loops), "links") as links:
         start = links.filter(is_loop).select(
-            F.col("src").alias("id"), F.lit(1.0).alias("rank"), F.lit(1.0).alias("previous")
+            F.col("src").alias("id"), F.lit(1.0).alias("rank")
         )
 
         def one_round(ranks: DataFrame) -> DataFrame:
             return (
                 links.join(ranks, F.col("src") == F.col("id"))
                 .groupBy("dst")
-                .agg(
-                    (F.sum(F.col("weight") * F.col("rank")) * (1 - reset) + reset).alias("rank"),
-                    F.max(own_rank).alias("previous"),
-                )
+                .agg((F.sum(F.col("weight") * F.col("rank")) * (1 - reset) + reset).alias("rank"))
                 .withColumnRenamed("dst", "id")
             )
 
-        ranks = _run_rounds(start, one_round, reset, max_iter, settled, broadcast_bytes)
+        ranks = _run_rounds(start, one_round, max_iter, broadcast_bytes)
     # Rank that reaches a vertex without outgoing edges is lost; the sum is put right at the end.
     scale = ranks.agg(F.count(F.lit(1)) / F.sum("rank")).first()[0]
     return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("pagerank"))

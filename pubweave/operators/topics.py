@@ -8,9 +8,6 @@ from pyspark.sql import DataFrame, functions as F
 
 from pubweave.storage import store
 
-MAX_TOPICS = 10_000
-
-
 def year_topics(articles: DataFrame) -> DataFrame:
     """Distinct ``(Year, topic)``, by year."""
     return articles.select("Year", "topic").distinct().orderBy("Year", "topic")
@@ -21,22 +18,39 @@ def year_topic_counts(articles: DataFrame) -> DataFrame:
     return articles.groupBy("Year", "topic").count()
 
 
+def unique_names(names: Sequence[str | None], taken: Sequence[str] = ()) -> list[str]:
+    """Column names for topics: a missing topic is ``null``, an empty one ``(empty)``, and a name that is
+    taken, in either case, gets `` (2)``, `` (3)`` and so on."""
+    used = {t.lower() for t in taken}
+    made = []
+    for name in names:
+        base = "null" if name is None else name or "(empty)"
+        unique, k = base, 1
+        while unique.lower() in used:
+            k += 1
+            unique = f"{base} ({k})"
+        used.add(unique.lower())
+        made.append(unique)
+    return made
+
+
 def topic_pivot(counts: DataFrame, row: str, topics: Sequence[str | None] | None = None) -> DataFrame:
     """Wide form of ``(row, topic, count)``: a column per topic in ascending order, 0 for gaps.
 
     The pivot runs on the already counted rows. Without ``topics`` the counts are written out once
-    and the topic names, which become the column names, are read from them; a topic missing
-    from a record becomes the column ``null``.
+    and the topic names, which become the column names by ``unique_names``, are read from them. The
+    long form has no bound on topics; a table has as many columns as there are topics.
     """
     if topics is None:
         counts = store(counts, "counts").table
         names = counts.select("topic").distinct().orderBy(F.asc_nulls_last("topic"))
-        topics = [r[0] for r in names.limit(MAX_TOPICS + 1).collect()]
-        if len(topics) > MAX_TOPICS:
-            raise ValueError(f"more than {MAX_TOPICS} topics: too many columns for a wide table")
+        topics = [r[0] for r in names.collect()]
     wide = counts.groupBy(row).pivot("topic", list(topics)).agg(F.sum("count"))
-    cells = [F.coalesce(wide[f"`{c}`"], F.lit(0)).alias(c) for c in wide.columns[1:]]
-    return wide.select(row, *cells).orderBy(row)
+    places = [f"c{k}" for k in range(len(topics))]
+    wide = wide.toDF("row", *places).select(
+        "row", *[F.coalesce(p, F.lit(0)).alias(p) for p in places]
+    )
+    return wide.orderBy("row").toDF(row, *unique_names(topics, [row]))
 
 
 def year_topic_pivot(

@@ -31,6 +31,7 @@ from pubweave.operators import (
     pagerank,
     topics,
 )
+from pubweave.operators.markup import Selector
 from pubweave.plans import derived
 from pubweave.storage import work_path
 
@@ -226,7 +227,7 @@ def shipment_pagerank(spark, sf_dir):
         .otherwise(F.concat(F.lit("S"), F.floor(F.col("l_partkey") / 20)))
         .alias("dst"),
     )
-    return _shown(pagerank.pagerank(edges, max_iter=8))
+    return _shown(pagerank.pagerank(edges))
 
 
 def top_authors(spark, sf_dir):
@@ -308,15 +309,15 @@ def quartile_asof_short(spark, sf_dir):
 
 
 _PAGE_RULES = [
-    extract.Rule("title", r"(?s)<title>(.*?)</title>", required=True),
-    extract.Rule("lang", r'<html lang="([^"]*)"', attribute=True, default="N/A"),
-    extract.Rule("heading", r"(?s)<h1>(.*?)</h1>", default="Unknown"),
-    extract.Rule("subtitle", r"(?s)<h2>(.*?)</h2>", default=""),
+    extract.Rule("title", (Selector("title"),), required=True),
+    extract.Rule("lang", (Selector("html"),), attribute="lang", default="N/A"),
+    extract.Rule("heading", (Selector("h1"),), default="Unknown"),
+    extract.Rule("subtitle", (Selector("h2"),), default=""),
 ]
 _LINK_RULES = [
-    extract.Rule("href", r'<a href="([^"]*)"', attribute=True, required=True),
-    extract.Rule("label", r"<a [^>]*>([^<]*)</a>", required=True),
-    extract.Rule("page_title", r"(?s)<title>(.*?)</title>", page_scope=True),
+    extract.Rule("href", (Selector("a"),), attribute="href", required=True),
+    extract.Rule("label", (Selector("a"),), required=True),
+    extract.Rule("page_title", (Selector("title"),), page_scope=True),
 ]
 
 
@@ -326,26 +327,17 @@ def page_scalar_fields(spark, sf_dir):
 
 
 def page_list_fields(spark, sf_dir):
+    links = (Selector("nav"), Selector("li"), Selector("a"))
     rules = [
-        extract.Rule(
-            "links",
-            r'<li><a href="[^"]*">([^<]*)</a>',
-            within=r"(?s)<nav>(.*?)</nav>",
-            many=True,
-            default="N/A",
-        ),
-        extract.Rule(
-            "tables", r"<td>(.*?)</td>", many=True, drop_empty=True, default="Unknown"
-        ),
+        extract.Rule("links", links, many=True, default="N/A"),
+        extract.Rule("tables", (Selector("td"),), many=True, drop_empty=True, default="Unknown"),
     ]
     records, _ = extract.extract_items(derived.pages(spark, sf_dir), rules)
     return records.select("page_id", F.size("links").alias("n"), _joined("links"), _joined("tables"))
 
 
 def page_items(spark, sf_dir):
-    records, _ = extract.extract_items(
-        derived.pages(spark, sf_dir), _LINK_RULES, item_start="<li>"
-    )
+    records, _ = extract.extract_items(derived.pages(spark, sf_dir), _LINK_RULES, Selector("li"))
     return records.drop("url")
 
 
@@ -364,8 +356,27 @@ def listing_rejects(spark, sf_dir):
     return rejects
 
 
+def listing_bounded_items(spark, sf_dir):
+    """Items whose pages hold nested elements, comments, scripts and a footer."""
+    records, _ = extract.extract_listing(derived.messy_listing_pages(spark, sf_dir))
+    return records
+
+
 def article_page_fields(spark, sf_dir):
-    records, _ = extract.extract_article_pages(derived.article_pages(spark, sf_dir))
+    return _article_fields(derived.article_pages(spark, sf_dir))
+
+
+def nested_article_fields(spark, sf_dir):
+    return _article_fields(derived.messy_article_pages(spark, sf_dir))
+
+
+def article_page_rejects(spark, sf_dir):
+    _, rejects = extract.extract_article_pages(derived.messy_article_pages(spark, sf_dir))
+    return rejects.select("page_id", "url", "reason")
+
+
+def _article_fields(pages):
+    records, _ = extract.extract_article_pages(pages)
     return records.select(
         "url",
         "abstract",
@@ -428,6 +439,68 @@ def csv_roundtrip(spark, sf_dir):
     return sources.read_table_csv(spark, path, pivot.schema)
 
 
+_ODD_TEXTS = """case seq % 8 when 0 then 'two\\nlines' when 1 then 'a "quote"' when 2 then 'back\\\\slash\\\\'
+  when 3 then '  blanks ' when 4 then '' when 5 then null when 6 then 'a,b' else '"' end"""
+_ODD_TOPICS = """case seq % 8 when 0 then null when 1 then 'null' when 2 then 'AI' when 3 then 'ai'
+  when 4 then 'Year' when 5 then 'a.b' when 6 then '`x`' else '' end"""
+
+
+def csv_text_roundtrip(spark, sf_dir):
+    """Texts that a CSV file could lose: line feeds, quotes, backslashes, outer blanks, nothing."""
+    texts = articles(spark, sf_dir).select("seq", F.expr(_ODD_TEXTS).alias("cell"))
+    path = work_path(spark, "csv")
+    sources.write_csv(texts, path)
+    return sources.read_table_csv(spark, path, texts.schema)
+
+
+def odd_topic_pivot(spark, sf_dir):
+    """Topics that are missing, differ in case only, or resemble column names."""
+    named = articles(spark, sf_dir).withColumn("topic", F.expr(_ODD_TOPICS))
+    return topics.year_topic_pivot(named)
+
+
+def _appended(spark, sf_dir, format):
+    path = work_path(spark, "articles")
+    named = articles(spark, sf_dir).select("seq", F.expr(_ODD_TOPICS).alias("topic"))
+    sources.append_articles(named.filter("seq % 2 = 0"), path, format)
+    sources.append_articles(named.filter("seq % 2 = 1"), path, format)
+    return sources.read_articles(spark, path, format, named.schema)
+
+
+def append_odd_topics(spark, sf_dir):
+    return _appended(spark, sf_dir, "parquet")
+
+
+def json_append(spark, sf_dir):
+    return _appended(spark, sf_dir, "json")
+
+
+def quartile_by_issn(spark, sf_dir):
+    """Journals by ISSN, written in different ways, with several entries per journal and year."""
+    written = F.expr("concat('ISSN ', substr(journal, 7), '-X')")
+    rankings = derived.rankings(spark, sf_dir).withColumn("journal", written)
+    later = rankings.withColumns({"pos": F.lit(1), "Quartile": F.lit("Q9")})
+    spelled = F.expr("concat('issn', substr(trim(journal), 7), 'x')")
+    known = articles(spark, sf_dir).withColumn("journal", spelled)
+    issn = F.struct(F.lit("any").alias("name"), F.col("journal").alias("ISSN"), F.lit("").alias("Quartile"))
+    found = enrich.enrich_quartile(
+        known.withColumn("publisher", issn), rankings.unionByName(later), on="ISSN"
+    )
+    return found.select("seq", F.col("publisher.Quartile").alias("found_quartile"))
+
+
+def quartile_merge_keeps_unkeyed(spark, sf_dir):
+    """Articles without a DOI all stay when sets are merged for their quartiles."""
+    merged = ingest.merge_articles(
+        _existing(spark, sf_dir).select("doi", "seq", "topic"),
+        _incoming(spark, sf_dir).select("doi", "seq", "topic"),
+        keep_unkeyed=True,
+    )
+    return merged.groupBy(F.col("doi").isNull().alias("unkeyed")).agg(
+        F.count("*").alias("n"), F.sum("seq").alias("seqs")
+    )
+
+
 def csv_as_records(spark, sf_dir):
     counts = countries.country_topic_counts(articles(spark, sf_dir))
     path = work_path(spark, "csv")
@@ -516,13 +589,22 @@ QUERIES: dict[str, Query] = {
         listing_items,
         listing_items_page_heading,
         listing_rejects,
+        listing_bounded_items,
         article_page_fields,
+        nested_article_fields,
+        article_page_rejects,
         page_links,
         page_link_rejects,
         ranking_rows,
         ranking_rows_lenient,
         csv_roundtrip,
         csv_as_records,
+        csv_text_roundtrip,
+        odd_topic_pivot,
+        append_odd_topics,
+        json_append,
+        quartile_by_issn,
+        quartile_merge_keeps_unkeyed,
         json_roundtrip,
         records_roundtrip,
         parquet_append,

@@ -180,6 +180,49 @@ def ranking_page_columns(d: Dialect) -> dict[str, str]:
     }
 
 
+def _replaced(expression: str, changes: list[tuple[str, str]]) -> str:
+    for old, new in changes:
+        expression = f"replace({expression}, '{old}', '{new}')"
+    return expression
+
+
+def messy_listing_columns(d: Dialect) -> dict[str, str]:
+    """The listing pages with what a browser also accepts: nested elements of one name, other quotes,
+    comments, scripts, and counters and links outside the items."""
+    changes = [
+        ("<h5 class=\"issue-heading\">", "<!-- <h5 class=\"issue-heading\">no</h5> --><h5 id=h class=issue-heading><h5></h5>"),
+        ("<div class=\"issue-item__detail\">", "<div class=\"x  issue-item__detail\"><div><br></div>"),
+        ("<span class=\"metric\">", "<span class=\"icon\"></span><span title=\"a > b\" class=\"metric\"><span></span>"),
+        ("<span class=\"citation\">", "<span class=\"citation\"><span class=\"icon\"><span></span></span>"),
+        ("<ul>", "<script>var t = \"</li><span class=metric>5</span>\";</script><ul>"),
+        ("</ul>", "</ul><div class=\"issue-item__detail\"><a href=\"/share\">share</a></div><span class=\"metric\">999</span><span class=\"citation\">77</span>"),
+    ]
+    columns = listing_columns(d)
+    return columns | {"html": _replaced(columns["html"], changes)}
+
+
+def messy_article_page_columns(d: Dialect) -> dict[str, str]:
+    """The article pages with nested elements of one name, and with other sections that resemble the
+    wanted ones. Every tenth page lacks the paragraph of its abstract, every eleventh never closes the
+    element of its date."""
+    changes = [
+        ("<div role=\"paragraph\">", "<div role=\"paragraph\"><div></div>"),
+        ("<span class=\"dropBlock\">", "<span class=\"dropBlock\"><span><a href=\"#\">no</a></span>"),
+        ("<section property=\"keywords\"><ol>", "<section property=\"keywords\"><section><a>no</a></section><ol>"),
+        ("<span class=\"space\">", "<span class=\"space\"><span> </span>"),
+        ("<span class=\"auth-institution\">", "<span class=\"auth-institution\"><span></span>"),
+        ("</body>", "<footer><section id=\"other\"><div role=\"paragraph\">WRONG</div></section><a title=\"Nobody\">x</a></footer></body>"),
+    ]
+    columns = article_page_columns(d)
+    html = _replaced(columns["html"], changes)
+    html = (
+        f"case when p_partkey % 10 = 0 then {_replaced(html, [('<div role=\"paragraph\"><div></div>', '<div><div></div>')])} "
+        f"when p_partkey % 11 = 0 then {_replaced(html, [('<span class=\"core-date-published\">', '<b class=\"core-date-published\">')])} "
+        f"else {html} end"
+    )
+    return columns | {"html": html}
+
+
 # Rankings of the journals ("brands") by shipped quantity; a journal has no quartile in most years.
 RANKINGS = """
 select p_brand as journal, 0 as pos, 'all' as category, year as {q}Year{q}, {q}Quartile{q} from (
@@ -239,6 +282,14 @@ def article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(_heavy_table(spark, sf_dir, "part"), article_page_columns(SPARK))
 
 
+def messy_listing_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(_heavy_table(spark, sf_dir, "part"), messy_listing_columns(SPARK))
+
+
+def messy_article_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _derive(_heavy_table(spark, sf_dir, "part"), messy_article_page_columns(SPARK))
+
+
 def ranking_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _derive(_heavy_table(spark, sf_dir, "part"), ranking_page_columns(SPARK))
 

@@ -49,32 +49,68 @@ def collect(
 ) -> tuple[DataFrame, DataFrame]:
     """Add the articles of saved pages to the set under ``root``: ``(report, rejects)``.
 
-    Articles whose DOI is already stored are skipped before their pages are joined. Of records
-    with the same DOI the last one is kept: the later listing page, then the later item.
+    Of the listed items those without a stored DOI are looked up, and of the saved article pages only
+    the last copies of their pages are read, once. Of records with the same DOI the last one is kept:
+    the later listing page, then the later item. The report says how many items were listed, how many
+    of them were known, how many records went to the rejects, how many were added, and how many the
+    set now has.
     """
     stored = _stored(spark, root)
-    items, no_items = extract.extract_listing(listing_pages)
-    pages, no_pages = extract.extract_article_pages(article_pages)
-    items = store(ingest.new_only(items, stored), "items").table
-    built, unmatched = extract.build_articles(items, pages, topic, website, run_date)
+    listed = store(extract.extracted_listing(listing_pages), "listed").table
+    items = store(ingest.new_only(extract.records_of(listed), stored), "items").table
+    links = items.select(F.col("doi").alias("_link")).distinct()
+    wanted = article_pages.join(links, F.col("url") == F.col("_link"), "left_semi")
+    pages = store(
+        extract.extracted_article_pages(extract.latest_page(wanted)), "article-fields"
+    ).table
+    built, unmatched = extract.build_articles(
+        items, extract.records_of(pages).drop("position"), topic, website, run_date
+    )
     built = store(built, "articles").table
-    report = store(ingest.ingest_report(stored, built), "report").table
+    rejects = store(
+        ingest.union_all(extract.rejects_of(listed), extract.rejects_of(pages), unmatched), "rejects"
+    ).table
+    counted = ingest.ingest_report(stored, built).select("inserted", "total")
+    report = store(
+        counted.crossJoin(_counts(listed, items, rejects)).select(
+            "found", "known", "rejected", "inserted", "total"
+        ),
+        "report",
+    ).table
     known = stored.selectExpr("*", "struct(0L as page_id, 0 as position) as seq")
     new = built.select(*ARTICLE.names, F.struct("page_id", "position").alias("seq"))
     merged = ingest.merge_articles(known, new)
     sources.rewrite_articles(merged.select(ARTICLE.names), root)
-    return report, ingest.union_all(no_items, no_pages, unmatched)
+    return report, rejects
+
+
+def _counts(listed: DataFrame, items: DataFrame, rejects: DataFrame) -> DataFrame:
+    """One row: items on the listing pages, those with a stored DOI, and rejected records."""
+    is_item = F.col("position").isNotNull()
+    of_listing = listed.agg(
+        F.count_if(is_item).alias("found"), F.count_if(is_item & F.col("reason").isNull()).alias("read")
+    )
+    return (
+        of_listing.crossJoin(items.agg(F.count("*").alias("new")))
+        .crossJoin(rejects.agg(F.count("*").alias("rejected")))
+        .select("found", (F.col("read") - F.col("new")).alias("known"), "rejected")
+    )
 
 
 def add_quartiles(
     spark: SparkSession, root: str, ranking_pages: DataFrame, target_root: str
 ) -> DataFrame:
-    """Complete the articles under ``root`` and merge them into the set under ``target_root``."""
-    rankings = extract.extract_rankings(ranking_pages)
-    enriched = enrich.enrich_quartile(_stored(spark, root), rankings)
+    """Complete the articles under ``root`` and merge them into the set under ``target_root``.
+
+    Of several saved copies of a ranking page the last one counts. Articles without a DOI all stay.
+    """
+    journals = extract.latest_page(ranking_pages, "journal")
+    enriched = enrich.enrich_quartile(_stored(spark, root), extract.extract_rankings(journals))
     target = _stored(spark, target_root)
+    # Equal keys within a set have no order of their own; the record itself decides.
+    place = "xxhash64(to_json(struct(*))) as seq"
     merged = ingest.merge_articles(
-        target.selectExpr("*", "0 as seq"), enriched.selectExpr("*", "0 as seq")
+        target.selectExpr("*", place), enriched.selectExpr("*", place), keep_unkeyed=True
     )
     path = sources.rewrite_articles(merged.select(ARTICLE.names), target_root)
     return sources.read_articles(spark, path, schema=ARTICLE)

@@ -190,6 +190,19 @@ def _page_text(expression: str) -> str:
 _HAS_PAGE = "i = 0"
 _COUNTABLE = "k % 11 <> 1"
 
+_ODD_TOPIC = """case seq % 8 when 0 then null when 1 then 'null' when 2 then 'AI' when 3 then 'ai'
+  when 4 then 'Year' when 5 then 'a.b' when 6 then '`x`' else '' end"""
+_ODD_TOPIC_COLUMNS = {
+    "(empty)": "= ''",
+    "AI": "= 'AI'",
+    "Year (2)": "= 'Year'",
+    "`x`": "= '`x`'",
+    "a.b": "= 'a.b'",
+    "ai (2)": "= 'ai'",
+    "null": "= 'null'",
+    "null (2)": "is null",
+}
+
 ORACLES: dict[str, str] = {
     "clean_numeric": _query('select seq, "Day", "Year", "Downloads" from articles'),
     "clean_locations": _query("select seq, cast(len(locations) as int) as n, locations[1] as first from articles"),
@@ -263,8 +276,8 @@ from cited_ranked where position <= 5 group by 1"""),
     ),
     "edge_pagerank": _query("select id, round(pr, 6) as pagerank from r50", _graph("edges", 50)),
     "shipment_pagerank": _query(
-        "select id, round(pr * (select count(*) / sum(pr) from r8), 6) as pagerank from r8",
-        _graph(_SHIPMENTS, 8),
+        "select id, round(pr * (select count(*) / sum(pr) from r50), 6) as pagerank from r50",
+        _graph(_SHIPMENTS, 50),
     ),
     "top_authors": _query(
         """
@@ -399,3 +412,41 @@ select doi, seq, cast(copy as int) as copy, topic from stored union all
 select doi, seq, cast(copy as int), topic from incoming n
 where not exists (select 1 from stored o where o.doi is not distinct from n.doi)"""),
 }
+
+ORACLES |= {
+    "listing_bounded_items": ORACLES["listing_items"],
+    "nested_article_fields": ORACLES["article_page_fields"]
+    + " where p_partkey % 10 <> 0 and p_partkey % 11 <> 0",
+    "article_page_rejects": """
+select p_partkey as page_id, 'https://list.example/doi/10.2/' || p_partkey || '-0' as url,
+  case when p_partkey % 10 = 0 then 'abstract' else 'published' end as reason
+from part where p_partkey % 10 = 0 or p_partkey % 11 = 0""",
+    "csv_text_roundtrip": _query("""
+select seq, case seq % 8 when 0 then 'two' || chr(10) || 'lines' when 1 then 'a "quote"'
+  when 2 then 'back\\slash\\' when 3 then '  blanks ' when 4 then '' when 5 then null
+  when 6 then 'a,b' else '"' end as cell from articles"""),
+    "odd_topic_pivot": _query(f"""
+select "Year", {", ".join(f'count(*) filter (where t {c}) as "{n}"' for n, c in _ODD_TOPIC_COLUMNS.items())}
+from (select "Year", {_ODD_TOPIC} as t from articles) s group by 1"""),
+    "append_odd_topics": _query(f"select seq, {_ODD_TOPIC} as topic from articles"),
+    "json_append": _query(f"select seq, {_ODD_TOPIC} as topic from articles"),
+    "quartile_by_issn": _query(
+        """
+select a.seq, coalesce(max_by(d.q, d."Year"), '') as found_quartile
+from articles a left join decided d on d.journal = trim(a.journal)
+  and d."Year" between a."Year" - 9 and a."Year"
+group by a.seq""",
+        _asof(10),
+    ),
+    "quartile_merge_keeps_unkeyed": _query(
+        """
+select doi is null as unkeyed, count(*) as n, cast(sum(seq) as bigint) as seqs from (
+  select doi, seq from both_batches where doi is null
+  union all select doi, arg_max(seq, batch) from both_batches where doi is not null group by doi) u
+group by 1""",
+        {
+            "both_batches": """
+select doi, seq, 0 as batch from stored union all select doi, seq, 1 from incoming"""
+        },
+    ),
+}

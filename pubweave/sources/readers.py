@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from pubweave.schema import ARTICLE
+from pubweave.sources.writers import CSV_OPTIONS
 from pubweave.storage import path_exists
 
 
@@ -44,8 +45,9 @@ def read_collection(
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A result table written with a header row."""
-    return spark.read.schema(schema).option("header", True).csv(path)
+    """A result table written with a header row. Cells may hold line feeds, so a file is one split."""
+    options = CSV_OPTIONS | {"emptyValue": "", "multiLine": "true", "lineSep": "\n"}
+    return spark.read.schema(schema).options(**options).csv(path)
 
 
 def _json_cell(name: str) -> Column:
@@ -61,6 +63,6 @@ def _json_cell(name: str) -> Column:
 def csv_records(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     """Each CSV row as one JSON object in column ``value``; cells of digits become numbers."""
     text = T.StructType([T.StructField(c, T.StringType()) for c in columns])
-    table = spark.read.schema(text).option("header", True).csv(path)
+    table = read_table_csv(spark, path, text)
     body = F.concat_ws(",", *[_json_cell(c) for c in columns])
     return table.select(F.concat(F.lit("{"), body, F.lit("}")).alias("value"))

@@ -2,11 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from pubweave.storage import child_names, path_exists
 
 _VERSION = "version="
+# Quotes are doubled, blanks stay, and a missing value (nothing) differs from an empty text ("").
+CSV_OPTIONS = {
+    "header": "true",
+    "quote": '"',
+    "escape": '"',
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
+    "nullValue": "",
+    "emptyValue": '""',
+}
 
 
 def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
@@ -16,7 +26,7 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     one task writes it. A keyword table is not bounded; its sorted part files keep the order.
     """
     out = df.coalesce(1) if single_file else df
-    out.write.mode("overwrite").option("header", True).csv(path)
+    out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
 def write_records(df: DataFrame, path: str) -> None:
@@ -33,12 +43,17 @@ def append_articles(
 ) -> None:
     """Add records to a stored set, creating it if needed.
 
-    The rebalance groups rows by partition value for few, large files, and splits a value that
-    holds a large share of the rows over several tasks.
+    ``partition_by`` stays a column of the files, because folder names can't tell an empty text from
+    a missing one; the folders are named by a copy of it. The rebalance groups rows by partition
+    value for few, large files, and splits a value that holds a large share of the rows over several
+    tasks.
     """
-    out = df if partition_by is None else df.hint("rebalance", partition_by)
-    writer = out.write.mode("append").format(format).options(**(options or {}))
-    (writer if partition_by is None else writer.partitionBy(partition_by)).save(path)
+    if partition_by is None:
+        df.write.mode("append").format(format).options(**(options or {})).save(path)
+        return
+    folder = f"by_{partition_by}"
+    out = df.withColumn(folder, F.col(partition_by)).hint("rebalance", folder)
+    out.write.mode("append").format(format).options(**(options or {})).partitionBy(folder).save(path)
 
 
 def _complete_versions(spark: SparkSession, root: str) -> list[int]:

@@ -6,6 +6,7 @@ which on a cluster is a shared folder. A folder of our own is chosen only for a
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -30,7 +31,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if not re.match(r"local(\[|$)", context.master):
             raise ValueError(
                 "spark.checkpoint.dir is not set: name a folder that all executors share"
             )

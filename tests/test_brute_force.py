@@ -6,7 +6,6 @@ import math
 import random
 from collections import Counter
 
-import pandas as pd
 import pytest
 
 from pubweave.operators import cited, countries, enrich, extract, ingest, keywords, topics
@@ -128,12 +127,13 @@ def test_counts_and_pivots(rows, seed):
     found = {(r.country, r.topic): r["count"] for r in countries.country_topic_counts(articles).collect()}
     assert found == Counter(located)
 
-    frame = pd.DataFrame([d[:2] for d in data], columns=["Year", "topic"])
-    wide = frame.groupby(["Year", "topic"]).size().reset_index(name="n")
-    wide = wide.pivot(index="Year", columns="topic", values="n").fillna(0).astype(int)
+    by_cell = Counter((year, topic) for year, topic, *_ in data)
+    names = sorted({topic for _, topic in by_cell})
     found = topics.year_topic_pivot(articles)
-    assert found.columns == ["Year", *wide.columns]
-    assert [tuple(r) for r in found.collect()] == [(y, *map(int, v)) for y, v in zip(wide.index, wide.values)]
+    assert found.columns == ["Year", *names]
+    assert [tuple(r) for r in found.collect()] == [
+        (year, *(by_cell[year, name] for name in names)) for year in sorted({y for y, _ in by_cell})
+    ]
 
 
 @pytest.mark.parametrize("seed", SEEDS)
@@ -171,4 +171,5 @@ def test_listing_items_come_back(rows, seed):
         "page_id", "position", "doi", "publisher", "main_title", "sub_title", "downloads_text"
     )
     assert sorted(tuple(r) for r in found.collect()) == expected
-    assert rejects.count() == 0
+    empty = [page for page, _, html in pages if "<li" not in html]
+    assert sorted((r.page_id, r.reason) for r in rejects.collect()) == [(p, "items") for p in empty]

@@ -94,6 +94,7 @@ def test_decode_entities(rows):
         "&#0;&#55296;",
         "plain",
         "&apos;&quot;&nbsp;|",
+        "&#000000065;&#x00000000042;&lsqb;&NotEqualTilde;&#99999999;",
         None,
     ]
     assert evaluate(rows, values, decode_entities) == [
@@ -104,6 +105,7 @@ def test_decode_entities(rows):
         "&#0;&#55296;",
         "plain",
         "'\"\xa0|",
+        "AB[\u2242\u0338&#99999999;",
         None,
     ]
 

@@ -8,6 +8,7 @@ import datetime as dt
 import pytest
 
 from pubweave import sources
+from pubweave.operators import extract
 from pubweave.plans import derived, jobs
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -29,8 +30,12 @@ def stored(spark, tmp_path_factory):
 def test_collect_adds_only_new_articles(spark, stored):
     root, (first, _), (second, rejects) = stored
     one, two = first.first(), second.first()
-    assert one.inserted == one.found == one.total
-    assert two.inserted == two.found == two.total - one.total
+    assert one.inserted == one.total and one.known == 0
+    assert two.inserted == two.total - one.total and two.known == one.total
+    listed = extract.extracted_listing(derived.listing_pages(spark, SF_DIR))
+    assert two.found == listed.count()
+    # What is neither known nor added is a reject, of the listing or after the join.
+    assert two.rejected == two.found - two.known - two.inserted == rejects.count()
     articles = sources.read_articles(spark, sources.current_version(spark, root))
     assert articles.count() == two.total == articles.select("doi").distinct().count()
     assert {r.reason for r in rejects.select("reason").distinct().collect()} == {
