@@ -83,9 +83,9 @@ def _attribute_pattern(name: str) -> str:
 def attribute(head: str, name: str) -> str:
     """The value of an attribute in an opening tag, in quotes of either kind or in none; NULL if the
     tag lacks it."""
-    pattern = _quoted(_attribute_pattern(name))
-    parts = ", ".join(f"regexp_extract({head}, {pattern}, {k})" for k in (1, 2, 3))
-    return f"case when {head} rlike {pattern} then concat({parts}) end"
+    pattern = _attribute_pattern(name)
+    value = f"regexp_replace({head}, {_quoted(pattern + '.*$')}, '$1$2$3')"
+    return f"case when {head} rlike {_quoted(pattern)} then {value} end"
 
 
 def _without(html: Column, opening: str, closing: str) -> Column:
@@ -132,11 +132,7 @@ def tokens(html: Column) -> Column:
             F.when(head == "", 0).when(closes, -1).when(single, 0).otherwise(1).alias("step"),
             F.when(
                 head.rlike(r"(?i)\bclass\s*="),
-                F.concat(
-                    F.lit(" "),
-                    F.regexp_replace(F.concat(*_classes(head)), r"\s+", " "),
-                    F.lit(" "),
-                ),
+                F.concat(F.lit(" "), F.regexp_replace(_class(head), r"\s+", " "), F.lit(" ")),
             ).otherwise("").alias("classes"),
             head.alias("head"),
             F.when(head == "", loose)
@@ -147,8 +143,10 @@ def tokens(html: Column) -> Column:
     return F.transform(heads, lambda p: token(p))
 
 
-def _classes(head: Column) -> list[Column]:
-    return [F.regexp_extract(head, _attribute_pattern("class"), k) for k in (1, 2, 3)]
+def _class(head: Column) -> Column:
+    """The class attribute, empty without one."""
+    value = F.regexp_replace(head, _attribute_pattern("class") + ".*$", "$1$2$3")
+    return F.coalesce(F.nullif(value, head), F.lit(""))
 
 
 def regions(tokens: str, selector: Selector) -> str:
