@@ -9,6 +9,10 @@ from pathlib import Path
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 import pubweave
+from pubweave import storage
+
+#: Spark's setting to delete the shuffle files of an execution when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 #: The six ASCII separators between words, as a regular-expression class.
 SEPARATORS = r"[\x20\x09-\x0D]+"
@@ -55,3 +59,18 @@ def ship(spark: SparkSession) -> None:
             packed.write(file, file.relative_to(root.parent))
     context.addPyFile(str(archive))
     context._pubweave_shipped = True
+
+
+def store(df: DataFrame, label: str) -> storage.Stored:
+    """``df`` written below the checkpoint folder, without the shuffle files that it took.
+
+    Later steps read the written table, so these files are of no use any more, and a job of many steps
+    would otherwise hold those of all its steps at once.
+    """
+    conf = df.sparkSession.conf
+    before = conf.get(_CLEANUP, "false")
+    conf.set(_CLEANUP, "true")
+    try:
+        return storage.store(df, label)
+    finally:
+        conf.set(_CLEANUP, before)

@@ -11,7 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from pubweave.storage import discard, store
+from pubweave.llm.common import store
+from pubweave.storage import discard
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -29,8 +30,8 @@ def _small_star(edges: DataFrame) -> DataFrame:
 
 
 def components(edges: DataFrame) -> DataFrame:
-    """(node, component) for every node with an edge to another one; ``edges`` has (a, b). The component
-    is its least node. Edges with a null end, and from a node to itself, count for nothing."""
+    """(node, component) of ``edges`` (a, b). A component bears the name of its least node, which has no
+    row itself. Edges with a null end, and from a node to itself, count for nothing."""
     spark = edges.sparkSession
 
     def state(df: DataFrame) -> tuple:

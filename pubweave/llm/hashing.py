@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -59,3 +59,20 @@ def rolled(word: np.ndarray, width: int) -> np.ndarray:
         part = word[step:] if step else word
         made[: len(part)] = made[: len(part)] * MIX[0] + part
     return spread(made + U64(width))
+
+
+def slices(
+    batch: pa.RecordBatch, name: str, most_bytes: int = 4 << 20, most_rows: int = 1 << 15
+) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with bounded text, but one row at least."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy()
+    ends, start, total = [], 0, 0
+    for k, size in enumerate(sizes.tolist()):
+        if k > start and (total + size > most_bytes or k - start >= most_rows):
+            ends.append((start, k))
+            start, total = k, 0
+        total += size
+    if len(sizes):
+        ends.append((start, len(sizes)))
+    for a, b in ends:
+        yield batch.slice(a, b - a)

@@ -33,11 +33,10 @@ import pyarrow.compute as pc
 from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
-from pubweave.llm.common import column, columns, ship
+from pubweave.llm.common import column, columns, ship, store
 from pubweave.llm.components import components
-from pubweave.llm.hashing import MIX, U64, hashed_words, rolled, spread
+from pubweave.llm.hashing import MIX, U64, hashed_words, rolled, slices, spread
 from pubweave.llm.tiles import Forest, in_tiles, tiled
-from pubweave.storage import store
 
 ELEMENT_BITS = 48
 ELEMENT = U64((1 << ELEMENT_BITS) - 1)
@@ -99,21 +98,6 @@ def shingles(texts: pa.Array, width: int) -> Shingles:
     return Shingles(distinct & ELEMENT, times, starts, words, whole)
 
 
-def slices(batch: pa.RecordBatch, name: str, most_bytes: int = 4 << 20, most_rows: int = 1 << 15):
-    """Slices of a batch with bounded text, but one row at least."""
-    sizes = pc.fill_null(pc.binary_length(batch.column(name)), 0).to_numpy()
-    ends, start, total = [], 0, 0
-    for k, size in enumerate(sizes.tolist()):
-        if k > start and (total + size > most_bytes or k - start >= most_rows):
-            ends.append((start, k))
-            start, total = k, 0
-        total += size
-    if len(sizes):
-        ends.append((start, len(sizes)))
-    for a, b in ends:
-        yield batch.slice(a, b - a)
-
-
 def document_frequencies(texts: DataFrame, settings: Settings) -> tuple[np.ndarray, int]:
     """Documents by hashed shingle, over all of ``texts``, and the number of documents."""
     buckets = settings.buckets

@@ -5,12 +5,14 @@ of the n-gram among the n-grams with the same beginning if the n-gram was counte
 ``Settings.least`` times, and otherwise ``Settings.backoff`` times S of the shorter n-gram; single words
 always count. All counts are over the whole table.
 
-The work is relational. Texts are dealt by hash into chunks of bounded size. A chunk explodes its texts
-into n-grams and sends each distinct one, with its count, to the partition of the count table that its hash
-names; packed, all of a chunk for a partition in one row. Each partition adds up its counts and joins them
-back to the rows it got, which return to their chunks, where the scores are summed by document. Hot
-n-grams are counted in each chunk first, so a partition gets one a chunk at most, and both chunks and
-partitions are as many as the size of the table asks for.
+The work is relational. Texts are gathered into chunks of bounded size, which are written once. A chunk
+explodes its texts into n-grams and sends each distinct one, with its count, to the partition of the
+count table that its hash names; packed, all of a chunk for a partition in one row. Each partition adds up
+its counts and joins them back to the rows it got, which return to their chunks, where in the end the
+scores are summed by document. Words and pairs go first. Longer n-grams go one size at a time, and only
+those whose two shorter parts were counted often enough: others can't be. Hot n-grams are counted in each
+chunk first, so a partition gets one a chunk at most, and both chunks and partitions are as many as the
+size of the table asks for. Each round is a table in the shared folder.
 
 Words are runs without ASCII separators, as written. Null and blank texts have no words: their score is
 0 and their mean null. Repeated rows are counted and returned as often as they come.
@@ -18,19 +20,22 @@ Words are runs without ASCII separators, as written. Null and blank texts have n
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from math import log
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from pubweave.llm.common import ship, tasks_for
-from pubweave.llm.hashing import U64, Words, hashed_words, rolled
+from pubweave.llm.common import ship, store, tasks_for
+from pubweave.llm.hashing import U64, Words, hashed_words, rolled, slices
 
-GRAMS = "size int, part int, chunk int, grams binary, counts binary"
-FOUND = "size int, part int, chunk int, counts binary"
+CHUNKS = "chunk long, bytes long, docs binary"
+GRAMS = "size int, part int, chunk long, grams binary, counts binary"
+FOUND = "size int, part int, chunk long, counts binary"
 SCORES = "doc_id long, n_tokens long, log_score double, mean_log_score double"
 
 
@@ -61,91 +66,178 @@ def ends(found: Words, size: int) -> np.ndarray:
     return np.flatnonzero(found.place >= size - 1)
 
 
-def grams(found: Words, size: int) -> np.ndarray:
-    """Hashes of the n-grams that end at ``ends(found, size)``. Size 0 has one n-gram, the empty one,
-    for each word: its count is the number of all words."""
-    if size == 0:
-        return np.zeros(len(found.word), U64)
-    return rolled(found.word, size)[ends(found, size) - size + 1]
-
-
 def part_of(gram: np.ndarray, parts: int) -> np.ndarray:
     """Partitions are ranges of hashes: ascending hashes have ascending partitions."""
     return ((gram >> U64(32)) * U64(parts)) >> U64(32)
 
 
-def words_of(table: pa.Table) -> Words:
-    return hashed_words(table.column("text").combine_chunks(), pc.ascii_split_whitespace)
+def chunked(texts: DataFrame, settings: Settings) -> DataFrame:
+    """Rows of (doc_id, text) gathered into chunks of about ``chunk_bytes``, each a compressed table."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        base = TaskContext.get().partitionId() << 32
+        held: list[pa.RecordBatch] = []
+        size = number = 0
+
+        def packed() -> pa.RecordBatch:
+            table = pa.Table.from_batches(held).combine_chunks()
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(
+                sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")
+            ) as out:
+                out.write_table(table)
+            raw = sink.getvalue().to_pybytes()
+            return columns_of([(base + number, size, raw)], CHUNKS)
+
+        for batch in batches:
+            for part in slices(batch, "text", settings.chunk_bytes):
+                held.append(part)
+                size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
+                if size >= settings.chunk_bytes:
+                    yield packed().to_batches()[0]
+                    held, size, number = [], 0, number + 1
+        if held:
+            yield packed().to_batches()[0]
+
+    return texts.mapInArrow(gather, CHUNKS)
+
+
+def opened(table: pa.Table) -> tuple[pa.Array, Words]:
+    """The ``doc_id`` and the words of a chunk."""
+    docs = pa.ipc.open_stream(table.column("docs")[0].as_py()).read_all().combine_chunks()
+    text = docs.column("text").combine_chunks()
+    ids = docs.column("doc_id").combine_chunks()
+    return ids, hashed_words(text, pc.ascii_split_whitespace)
+
+
+def sent_at(found: Words, size: int, counts: dict[int, np.ndarray]) -> np.ndarray:
+    """Positions whose n-grams of this size are sent: those whose parts were both counted."""
+    at = ends(found, size)
+    if size < 3:
+        return at
+    shorter = counts[size - 1]
+    return at[(shorter[at] > 0) & (shorter[at - 1] > 0)]
+
+
+def grams_at(found: Words, size: int, at: np.ndarray) -> np.ndarray:
+    """Hashes of the n-grams that end at these positions. Size 0 has one n-gram, the empty one, for each
+    word: its count is the number of all words."""
+    if size == 0:
+        return np.zeros(len(at), U64)
+    return rolled(found.word, size)[at - size + 1]
+
+
+def counts_at(found: Words, counted: pa.Table | None) -> dict[int, np.ndarray]:
+    """The count of the n-gram of each size that ends at each word, from what came back."""
+    rows: dict[int, list[tuple[int, bytes]]] = {}
+    if counted is not None:
+        for size, part, raw in zip(
+            *(counted.column(c).to_pylist() for c in ("size", "part", "counts")), strict=True
+        ):
+            rows.setdefault(size, []).append((part, raw))
+    counts: dict[int, np.ndarray] = {}
+    for size in sorted(rows):
+        sums = np.concatenate([unshuffled(raw, np.int64) for _, raw in sorted(rows[size])])
+        at = sent_at(found, size, counts)
+        own = 0
+        if size:
+            _, own = np.unique(grams_at(found, size, at), return_inverse=True)
+        counts[size] = np.zeros(len(found.word), np.int64)
+        counts[size][at] = sums[own]
+    return counts
+
+
+def exploded(
+    found: Words, chunk: int, sizes: Sequence[int], counts: dict[int, np.ndarray], parts: int
+) -> pa.Table:
+    rows = []
+    for size in sizes:
+        if size > 2 and size - 1 not in counts:
+            continue
+        at = sent_at(found, size, counts)
+        gram, count = np.unique(grams_at(found, size, at), return_counts=True)
+        edges = np.searchsorted(part_of(gram, parts), np.arange(parts + 1).astype(U64))
+        for part in np.flatnonzero(np.diff(edges)).tolist():
+            own = slice(edges[part], edges[part + 1])
+            steps = np.diff(gram[own], prepend=U64(0))
+            rows.append((size, part, chunk, shuffled(steps), shuffled(count[own].astype(np.int64))))
+    return columns_of(rows, GRAMS)
+
+
+def added_up(table: pa.Table, least: int) -> pa.Table:
+    """What goes back to the chunks from one partition of a count table."""
+    size, part = table.column("size")[0].as_py(), table.column("part")[0].as_py()
+    lists = [
+        np.cumsum(unshuffled(raw, U64), dtype=U64) for raw in table.column("grams").to_pylist()
+    ]
+    counts = [unshuffled(raw, np.int64) for raw in table.column("counts").to_pylist()]
+    known, own = np.unique(np.concatenate(lists), return_inverse=True)
+    # Exact: no sum comes near the 53 bits of a double.
+    sums = np.bincount(own, weights=np.concatenate(counts)).astype(np.int64)
+    if size > 1:
+        sums[sums < least] = 0
+    bounds = np.cumsum([0, *map(len, lists)])
+    back = [shuffled(sums[own[a:b]]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+    chunks = table.column("chunk").to_pylist()
+    return columns_of([(size, part, c, raw) for c, raw in zip(chunks, back, strict=True)], FOUND)
 
 
 def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, n_tokens, log_score, mean_log_score): a row per row of ``docs``."""
     ship(docs.sparkSession)
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    total = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    chunks = tasks_for(docs, total, settings.chunk_bytes)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").alias("text"))
+    chunks = store(chunked(texts, settings), "chunks").table
+    total = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     parts = tasks_for(docs, total, settings.part_bytes)
-    dealt = texts.withColumn(
-        "chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chunks)).cast("int")
-    )
-
-    def explode(table: pa.Table) -> pa.Table:
-        found, rows = words_of(table), []
-        chunk = table.column("chunk")[0].as_py()
-        for size in range(settings.order + 1):
-            gram, count = np.unique(grams(found, size), return_counts=True)
-            edges = np.searchsorted(part_of(gram, parts), np.arange(parts + 1).astype(U64))
-            for part in np.flatnonzero(np.diff(edges)).tolist():
-                own = slice(edges[part], edges[part + 1])
-                steps = np.diff(gram[own], prepend=U64(0))
-                counts = shuffled(count[own].astype(np.int64))
-                rows.append((size, part, chunk, shuffled(steps), counts))
-        return columns_of(rows, GRAMS)
 
     def add_up(table: pa.Table) -> pa.Table:
-        size, part = table.column("size")[0].as_py(), table.column("part")[0].as_py()
-        lists = [
-            np.cumsum(unshuffled(raw, U64), dtype=U64) for raw in table.column("grams").to_pylist()
-        ]
-        counts = [unshuffled(raw, np.int64) for raw in table.column("counts").to_pylist()]
-        known, own = np.unique(np.concatenate(lists), return_inverse=True)
-        sums = np.zeros(len(known), np.int64)
-        np.add.at(sums, own, np.concatenate(counts))
-        if size > 1:
-            sums[sums < settings.least] = 0
-        bounds = np.cumsum([0, *map(len, lists)])
-        back = [shuffled(sums[own[a:b]]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-        chunk = table.column("chunk").to_pylist()
-        return columns_of([(size, part, c, raw) for c, raw in zip(chunk, back, strict=True)], FOUND)
-
-    def score(table: pa.Table, counted: pa.Table) -> pa.Table:
-        found = words_of(table)
-        by_place: dict[int, np.ndarray] = {}
-        rows = sorted(
-            zip(*(counted.column(c).to_pylist() for c in ("size", "part", "counts")), strict=True)
-        )
-        for size in range(settings.order + 1):
-            blobs = [unshuffled(raw, np.int64) for n, _, raw in rows if n == size]
-            at = np.zeros(len(found.word), np.int64)
-            if blobs:
-                _, own = np.unique(grams(found, size), return_inverse=True)
-                at[ends(found, size) if size else slice(None)] = np.concatenate(blobs)[own]
-            by_place[size] = at
-        logs = log_scores(by_place, found, settings)
-        sums = np.bincount(found.text, weights=logs, minlength=len(found.count))
+        return added_up(table, settings.least)
+
+    def counted(sent: DataFrame) -> DataFrame:
+        returned = sent.groupBy("size", "part").applyInArrow(add_up, FOUND)
+        return store(returned, "ngram-counts").table
+
+    def explode_short(table: pa.Table) -> pa.Table:
+        _, found = opened(table)
+        return exploded(found, table.column("chunk")[0].as_py(), range(min(3, settings.order + 1)), {}, parts)
+
+    def explode_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for k in range(batch.num_rows):
+                yield from explode_short(pa.Table.from_batches([batch.slice(k, 1)])).to_batches()
+
+    known = counted(chunks.mapInArrow(explode_one, GRAMS))
+    for size in range(3, settings.order + 1):
+
+        def explode_long(table: pa.Table, back: pa.Table, size: int = size) -> pa.Table:
+            _, found = opened(table)
+            counts = counts_at(found, back)
+            return exploded(found, table.column("chunk")[0].as_py(), [size], counts, parts)
+
+        # Which n-grams to send depends on those of two words and more.
+        shorter = known.where("size > 1").groupBy("chunk")
+        pairs = chunks.groupBy("chunk").cogroup(shorter)
+        known = known.unionByName(counted(pairs.applyInArrow(_two(explode_long), GRAMS)))
+
+    def score(table: pa.Table, back: pa.Table) -> pa.Table:
+        ids, found = opened(table)
+        logs = log_scores(counts_at(found, back), found, settings)
+        sums = np.bincount(found.text, weights=logs, minlength=len(found.count)).astype(float)
         means = sums / np.maximum(found.count, 1)
         return pa.table(
             {
-                "doc_id": table.column("doc_id"),
+                "doc_id": ids,
                 "n_tokens": pa.array(found.count.astype(np.int64)),
                 "log_score": pa.array(sums),
                 "mean_log_score": pa.array(means, mask=found.count == 0),
             }
         )
 
-    sent = dealt.groupBy("chunk").applyInArrow(explode, GRAMS)
-    returned = sent.groupBy("size", "part").applyInArrow(add_up, FOUND)
-    return dealt.groupBy("chunk").cogroup(returned.groupBy("chunk")).applyInArrow(score, SCORES)
+    return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, SCORES)
+
+
+def _two(work: Callable[..., pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    return lambda table, back: work(table, back)
 
 
 def log_scores(counts: dict[int, np.ndarray], found: Words, settings: Settings) -> np.ndarray:
@@ -154,6 +246,8 @@ def log_scores(counts: dict[int, np.ndarray], found: Words, settings: Settings)
         return np.zeros(0)
     made = np.log(counts[1]) - np.log(counts[0])
     for size in range(2, settings.order + 1):
+        if size not in counts:  # no n-gram of this size anywhere
+            counts[size] = np.zeros(len(found.word), np.int64)
         before = np.concatenate([[0], counts[size - 1][:-1]])  # of the n-gram without its last word
         seen = (counts[size] > 0) & (found.place >= size - 1)
         backed = made + log(settings.backoff) * (found.place >= size - 1)
@@ -163,7 +257,7 @@ def log_scores(counts: dict[int, np.ndarray], found: Words, settings: Settings)
 
 
 def columns_of(rows: list[tuple], schema: str) -> pa.Table:
-    kinds = {"int": pa.int32(), "binary": pa.binary()}
+    kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     fields = [part.split() for part in schema.split(", ")]
     return pa.table(
         {name: pa.array([r[k] for r in rows], kinds[kind]) for k, (name, kind) in enumerate(fields)}

@@ -24,10 +24,9 @@ import pyarrow as pa
 from pyspark.broadcast import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pubweave.llm.common import ship
+from pubweave.llm.common import ship, store
 from pubweave.llm.components import components
 from pubweave.llm.tiles import Forest, in_tiles, tiled
-from pubweave.storage import store
 
 
 @dataclass(frozen=True)
