@@ -21,7 +21,7 @@ from itertools import chain
 
 import pandas as pd
 import regex
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pubweave.llm.common import ship
 
@@ -162,7 +162,8 @@ def codec(path: str) -> Codec:
 
 
 def encode(text: Column, path: str) -> Column:
-    """Token ids, ``array<int>``; the workers need this package, see ``ship``."""
+    """Token ids, ``array<int>``."""
+    ship(SparkSession.active())
 
     def encoded(texts: pd.Series) -> pd.Series:
         return pd.Series([codec(path).encode(t) for t in texts])
@@ -172,9 +173,10 @@ def encode(text: Column, path: str) -> Column:
 
 def decode(ids: Column, path: str) -> Column:
     """The text of token ids; null ids give the empty text."""
+    ship(SparkSession.active())
 
     def decoded(rows: pd.Series) -> pd.Series:
-        return pd.Series([codec(path).decode([] if r is None else r.tolist()) for r in rows])
+        return pd.Series([codec(path).decode([] if r is None else map(int, r)) for r in rows])
 
     return F.pandas_udf(decoded, "string")(ids)
 

@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import zstandard
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pubweave.llm.common import column, columns, fresh, ship
 
@@ -123,6 +123,7 @@ def judge(text: str | None, bands: Bands, press: zstandard.ZstdCompressor) -> tu
 
 def verdict(text: Column, bands: Bands = Bands()) -> Column:
     """The verdict on a text, as a struct of the fields in ``VERDICT``."""
+    ship(SparkSession.active())
     names = [part.split()[0] for part in VERDICT.split(", ")]
 
     def judged(texts: pd.Series) -> pd.DataFrame:
@@ -134,14 +135,12 @@ def verdict(text: Column, bands: Bands = Bands()) -> Column:
 
 def quality_verdicts(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """A row per document: ``doc_id`` and the fields of its verdict."""
-    ship(docs.sparkSession)
     judged = docs.select("doc_id", verdict(F.col("text"), bands).alias("verdict"))
     return judged.select("doc_id", "verdict.*")
 
 
 def keep_good(docs: DataFrame, bands: Bands = Bands()) -> DataFrame:
     """The documents that pass, with all their columns."""
-    ship(docs.sparkSession)
     name = fresh(docs, "verdict")
     judged = docs.withColumn(name, verdict(column("text"), bands))
     return judged.where(column(name)["kept"]).select(columns(docs))
