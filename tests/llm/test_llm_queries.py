@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 
 import __spark_entry__ as entry
@@ -61,7 +63,8 @@ def test_pipeline_stages(spark):
 
 def test_pipeline_on_odd_tables(spark, rows, tmp_path):
     schema = "doc_id long, text string, lang string, source string, n_chars long, verdict int, row string"
-    long_text = " ".join(f"word{k} of{k % 7} this{k % 11}" for k in range(4000))
+    rng = random.Random(15)
+    long_text = " ".join("".join(rng.choices("aeinrst", k=rng.randint(2, 9))) for _ in range(12_000))
     short = " ".join(f"ant{k} bee{k}" for k in range(20))
     given = [(1, None), (2, ""), (3, short), (4, short), (5, long_text), (None, None), (6, short + " cat")]
     for name, data in (("some", given), ("none", [])):
