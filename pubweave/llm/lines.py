@@ -4,11 +4,11 @@ A line is the set of its words. Words are ordered by rarity; two sets of Jaccard
 share a word within their first few, so only these prefixes are joined. The join takes the smaller set's
 index prefix and the larger set's probing prefix of the same length band, and a pair goes on only if the
 lengths allow the similarity, if enough words are left after the shared position, and if 64-bit parity
-sketches of the sets differ in no more places than the sets may. What goes on is verified on the words
-themselves. Of each pair the later line, by ``doc_id`` and place, is removed.
+sketches of the sets differ in no more places than the sets may. What goes on is verified on the whole
+word sets. Of each pair the later line, by ``doc_id`` and place, is removed.
 
 Lines with equal word sets are one set before the join: only the first of them can stay. Lists of many
-near copies are thinned beforehand: the lines that share one of four least hashes of their prefixes are
+near copies are thinned beforehand: the lines that share one of the least hashes of their prefixes are
 compared with the first of them, and those found alike need no partner any more.
 
 Rarity is a word's frequency class, by the power of two of its hashed counter; the counters cover all
@@ -27,10 +27,14 @@ from math import log
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pubweave.llm.common import SEPARATORS, column, columns
-from pubweave.storage import store
+from pubweave.llm.common import SEPARATORS, column, columns, store
 
 PLACE = ["doc_id", "line"]
+#: A word's number has its class above this bit, and the rest of its hash below.
+CLASS_SHIFT = 56
+#: Classes are letters from this one on, in rows of this many.
+FIRST_CLASS, CLASS_ROW = ord("0"), 64
+WORD = r"[^\x20\x09-\x0D]"
 
 
 @dataclass(frozen=True)
@@ -41,10 +45,10 @@ class Settings:
 
     similarity: float = 0.8
     counters: int = 1 << 18
-    band: float = 1.5
+    band: float = 2.0
     crowd: int = 32
-    hashes: int = 4
-    broadcast_bytes: int = 16 << 20
+    hashes: int = 3
+    broadcast_bytes: int = 64 << 20
 
     @property
     def ratio(self) -> tuple[int, int]:
@@ -72,13 +76,20 @@ def least_overlap(n: Column, m: Column, settings: Settings) -> Column:
     return _div_up((n + m) * p, p + q)
 
 
-def words_in(text: Column) -> Column:
-    return F.array_remove(F.split(text, SEPARATORS), "")
+def hashed_words(text: Column) -> Column:
+    """The distinct words of a text, as 64-bit hashes: by these words are told apart."""
+    hashes = F.transform(F.split(text, SEPARATORS), lambda w: F.xxhash64(w))
+    return F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
+
+
+def _counter(hashed: Column, settings: Settings) -> Column:
+    return hashed.bitwiseAND(settings.counters - 1).cast("int")
 
 
 def frequency_classes(docs: DataFrame, settings: Settings) -> Column:
-    """``array<int>``: the class of each hashed counter, as a literal."""
-    counter = F.pmod(F.xxhash64("word"), F.lit(settings.counters))
+    """``array<string>``: a letter for the class of each hashed counter, in rows, as a literal. So short a
+    literal keeps plans small; a short row keeps looking up a letter cheap."""
+    counter = _counter(F.xxhash64("word"), settings)
     counted = (
         docs.select(F.explode(F.split("text", SEPARATORS)).alias("word"))
         .groupBy(counter.alias("counter"))
@@ -87,21 +98,35 @@ def frequency_classes(docs: DataFrame, settings: Settings) -> Column:
     )
     classes = np.zeros(settings.counters, np.int64)
     classes[counted.column("counter").to_numpy()] = np.log2(counted.column("count").to_numpy())
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
+    letters = (classes + FIRST_CLASS).astype(np.uint8).tobytes().decode()
+    rows = (letters[k : k + CLASS_ROW] for k in range(0, settings.counters, CLASS_ROW))
+    return F.split(F.lit(",".join(rows)), ",")
+
+
+def _class_of(hashed: Column, classes: Column, settings: Settings) -> Column:
+    counter = _counter(hashed, settings)
+    row = F.get(classes, F.shiftright(counter, CLASS_ROW.bit_length() - 1))
+    letter = F.substring(row, counter.bitwiseAND(CLASS_ROW - 1) + 1, F.lit(1))
+    return F.shiftleft(F.ascii(letter).cast("long"), CLASS_SHIFT)
 
 
 def line_sets(docs: DataFrame, settings: Settings) -> DataFrame:
     """(doc_id, line, n, prefix, sketch): the first line of each distinct word set. A word is a number that
     starts with its class; ``prefix`` holds the rarest words in order."""
     classes = frequency_classes(docs, settings)
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-
-    def number(word: Column) -> Column:
-        rank = F.get(classes, F.pmod(F.xxhash64(word), F.lit(settings.counters)).cast("int"))
-        return F.shiftleft(rank.cast("long"), 57).bitwiseOR(F.shiftrightunsigned(F.xxhash64(word), 7))
-
-    numbers = F.sort_array(F.array_distinct(F.transform(words_in(F.col("text")), number)))
-    sets = lines.select("doc_id", "line", numbers.alias("words")).where("size(words) > 0")
+    # A filter on the made words would make them twice.
+    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(
+        F.col("text").rlike(WORD)
+    )
+    numbers = F.sort_array(
+        F.transform(
+            hashed_words(F.col("text")),
+            lambda h: _class_of(h, classes, settings).bitwiseOR(
+                F.shiftrightunsigned(h, 64 - CLASS_SHIFT)
+            ),
+        )
+    )
+    sets = lines.select("doc_id", "line", numbers.alias("words"))
     n = F.size("words")
     sketch = F.aggregate(
         "words",
@@ -131,14 +156,12 @@ def _bit(word: Column) -> Column:
     return F.call_function("shiftleft", F.lit(1).cast("long"), word.bitwiseAND(63).cast("int"))
 
 
-def _alike_enough(settings: Settings) -> Column:
-    """What lengths and sketches of x and y allow, the smaller one being either."""
+def _alike_enough(nx: Column, ny: Column, settings: Settings) -> Column:
+    """What the lengths and sketches of x and y allow, the smaller one being either."""
     p, q = settings.ratio
     differ = F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch")))
-    total = F.col("x.n") + F.col("y.n")
-    return (
-        (F.least("x.n", "y.n") * q >= F.greatest("x.n", "y.n") * p)
-        & (differ <= total - least_overlap(F.col("x.n"), F.col("y.n"), settings) * 2)
+    return (F.least(nx, ny) * q >= F.greatest(nx, ny) * p) & (
+        differ <= nx + ny - least_overlap(nx, ny, settings) * 2
     )
 
 
@@ -152,59 +175,75 @@ def _places(later: str, earlier: str) -> list[Column]:
 
 def crowd_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
     """Pairs of a line and the first line of a crowd that it is in."""
-    keys = F.array(
-        *(
-            F.xxhash64(F.lit(k), F.array_min(F.transform("prefix", lambda w: F.xxhash64(w, F.lit(k)))))  # noqa: B023
-            for k in range(settings.hashes)
-        )
-    )
+    mixed = F.sort_array(F.transform("prefix", lambda w: F.xxhash64(w)))
+    keys = F.slice(mixed, F.lit(1), F.lit(settings.hashes))
     keyed = sets.select(*PLACE, "n", "sketch", F.explode(keys).alias("key"))
+    crowded = store(
+        keyed.groupBy("key").count().where(F.col("count") >= settings.crowd).select("key"), "crowds"
+    )
+    keyed = keyed.join(crowded.joinable(settings.broadcast_bytes), "key")
     crowds = (
         keyed.groupBy("key")
-        .agg(F.count("*").alias("many"), F.min(F.struct(*PLACE, "n", "sketch")).alias("first"))
-        .where(F.col("many") >= settings.crowd)
+        .agg(F.min(F.struct(*PLACE, "n", "sketch")).alias("first"))
         .select("key", "first.*")
     )
     joined = keyed.alias("y").join(crowds.alias("x"), "key")
-    return joined.where(_earlier("x", "y") & _alike_enough(settings)).select(*_places("y", "x")).distinct()
+    return joined.where(
+        _earlier("x", "y") & _alike_enough(F.col("x.n"), F.col("y.n"), settings)
+    ).select(*_places("y", "x")).distinct()
 
 
 def _earlier(a: str, b: str) -> Column:
-    return F.struct(*(F.col(f"{a}.{c}") for c in PLACE)) < F.struct(*(F.col(f"{b}.{c}") for c in PLACE))
+    x, y = F.col(f"{a}.doc_id"), F.col(f"{b}.doc_id")
+    return (x < y) | ((x == y) & (F.col(f"{a}.line") < F.col(f"{b}.line")))
 
 
 def prefix_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs that pass all filters and whose later line isn't ``settled`` yet."""
+    """Pairs that pass all filters and whose later line isn't ``settled`` yet.
+
+    Rows of the join carry length, position and ``settled`` in one number.
+    """
     p, q = settings.ratio
     band = lambda n: F.floor(F.log(n.cast("double")) / log(settings.band)).cast("int")
-    n = F.col("n")
-    rows = [*PLACE, "n", "sketch", "settled", F.posexplode("prefix").alias("at", "word")]
-    own = sets.select(*rows)
-    probing = own.select(
-        F.hash("word", band(n)).alias("key"), *PLACE, "n", "at", "sketch", "settled"
+    n, at = F.col("n"), F.col("at")
+    own = sets.select(*PLACE, "n", "sketch", "settled", F.posexplode("prefix").alias("at", "word"))
+    packed = (
+        F.shiftleft(n.cast("long"), 32)
+        .bitwiseOR(F.shiftleft(at.cast("long"), 1))
+        .bitwiseOR(F.col("settled").cast("long"))
+        .alias("packed")
     )
+    probing = own.select(F.hash("word", band(n)).alias("key"), *PLACE, "sketch", packed)
     wider = F.sequence(band(n), band(F.floor(n * q / p)))
     index = (
-        own.where(F.col("at") < index_length(n, settings))
+        own.where(at < index_length(n, settings))
         .withColumn("band", F.explode(wider))
-        .select(F.hash("word", "band").alias("key"), *PLACE, "n", "at", "sketch", "settled")
+        .select(F.hash("word", "band").alias("key"), *PLACE, "sketch", packed)
     )
+
+    def number(side: str, what: str) -> Column:
+        whole = F.col(f"{side}.packed")
+        if what == "n":
+            return F.shiftright(whole, 32)
+        return F.shiftright(whole.bitwiseAND((1 << 32) - 1), 1) if what == "at" else whole.bitwiseAND(1) == 1
+
     x, y = index.alias("x"), probing.alias("y")
-    left = F.least(F.col("x.n") - F.col("x.at"), F.col("y.n") - F.col("y.at"))
-    later_settled = F.when(_earlier("x", "y"), F.col("y.settled")).otherwise(F.col("x.settled"))
+    nx, ny = number("x", "n"), number("y", "n")
+    left = F.least(nx - number("x", "at"), ny - number("y", "at"))
+    earlier = _earlier("x", "y")
+    later_settled = F.when(earlier, number("y", "settled")).otherwise(number("x", "settled"))
     joined = y.join(
         x,
         (F.col("x.key") == F.col("y.key"))
-        & (F.col("x.n") <= F.col("y.n"))
-        & (left >= least_overlap(F.col("x.n"), F.col("y.n"), settings))
-        & _alike_enough(settings)
+        & (nx <= ny)
+        & (left >= least_overlap(nx, ny, settings))
+        & _alike_enough(nx, ny, settings)
         & ~later_settled
         & ((F.col("x.doc_id") != F.col("y.doc_id")) | (F.col("x.line") != F.col("y.line"))),
     )
-    first = _earlier("x", "y")
     return joined.select(
-        *(F.when(first, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}")).alias(f"later_{c}") for c in PLACE),
-        *(F.when(first, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}")).alias(f"earlier_{c}") for c in PLACE),
+        *(F.when(earlier, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}")).alias(f"later_{c}") for c in PLACE),
+        *(F.when(earlier, F.col(f"x.{c}")).otherwise(F.col(f"y.{c}")).alias(f"earlier_{c}") for c in PLACE),
     ).distinct()
 
 
@@ -216,7 +255,7 @@ def verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame
     needed = store(ends[0].unionByName(ends[1]).distinct(), "line-places")
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
     found = lines.join(needed.joinable(settings.broadcast_bytes), PLACE).select(
-        *PLACE, F.array_distinct(words_in(F.col("text"))).alias("words")
+        *PLACE, hashed_words(F.col("text")).alias("words")
     )
     found = store(found, "line-words").table
     for side in ("later", "earlier"):
@@ -236,13 +275,14 @@ def kept_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     line have no row."""
     texts = docs.select("doc_id", "text").where("doc_id is not null and text is not null")
     sets = store(line_sets(texts, settings), "line-sets").table
-    settled = store(verified(crowd_pairs(sets, settings), texts, settings), "settled-lines").table
-    marked = sets.join(settled.withColumn("settled", F.lit(True)), PLACE, "left").withColumn(
+    settled = store(verified(crowd_pairs(sets, settings), texts, settings), "settled-lines")
+    marks = settled.joinable(settings.broadcast_bytes)
+    marked = sets.join(marks.withColumn("settled", F.lit(True)), PLACE, "left").withColumn(
         "settled", F.coalesce("settled", F.lit(False))
     )
-    marked = store(marked, "marked-lines").table
     removed = verified(prefix_pairs(marked, settings), texts, settings)
-    staying = marked.where("not settled").select(*PLACE).join(removed, PLACE, "left_anti")
+    removed = store(removed.unionByName(settled.table), "removed-lines")
+    staying = sets.select(*PLACE).join(removed.joinable(settings.broadcast_bytes), PLACE, "left_anti")
     return staying.groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("kept"))
 
 
@@ -250,7 +290,7 @@ def lines_report(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, n_lines, n_kept, kept): of the lines with words, how many there are, how many stay, and
     which, numbered from 0 among all lines; null texts have none."""
     lines = F.split("text", "\n")
-    filled = F.size(F.filter(lines, lambda t: F.size(words_in(t)) > 0))
+    filled = F.size(F.filter(lines, lambda t: t.rlike(WORD)))
     own = docs.select("doc_id", F.coalesce(filled, F.lit(0)).cast("long").alias("n_lines"))
     none = F.array().cast("array<int>")
     kept = F.coalesce("kept", none)
@@ -269,7 +309,7 @@ def dedup_lines(
     joined = row.join(kept, row["row.doc_id"] == kept["doc_id"], "left").select("row", "kept")
     split = joined.withColumn("lines", F.split("row.text", "\n"))
     wordless = F.filter(
-        F.transform("lines", lambda t, k: F.when(F.size(words_in(t)) == 0, k)),
+        F.transform("lines", lambda t, k: F.when(~t.rlike(WORD), k)),
         lambda k: k.isNotNull(),
     )
     staying = F.sort_array(F.concat(wordless, F.coalesce("kept", F.array().cast("array<int>"))))
