@@ -8,7 +8,8 @@ into one template whose control strings are escaped inside texts, so that they c
 and the assistant's texts are marked by spans.
 
 Only DataFrame functions are used. Work is row by row: one record is one row, so a conversation must
-fit into one, and the only shuffle is the one that ``gather`` needs. Null or malformed records, and
+fit into one, and the only shuffle is the one that ``gather`` needs. A variant holds 16 MB at most: rows of a
+longer conversation bypass JSON (``gather``), longer JSON counts as malformed. Null or malformed records, and
 records of an unknown layout, have null ``turns`` and the layout ``unknown``. Null roles and texts count
 as empty. Equal records give equal rows.
 """
@@ -22,6 +23,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 TURNS = "array<struct<role:string,text:string>>"
+#: From how many letters on a conversation's rows bypass JSON; escaped, they stay below 16 MB.
+LONG = 2_500_000
 START, END, TARGET = "<|im_start|>", "<|im_end|>\n", "assistant"
 #: Other names of the canonical roles, in layouts that use them.
 SHARE_NAMES = {"human": "user", "gpt": "assistant"}
@@ -231,11 +234,17 @@ def masked(rendered: Column, spans: Column) -> Column:
 
 def format_records(records: DataFrame, json: str = "record") -> DataFrame:
     """All columns of ``records`` but ``json``, with ``layout``, ``turns``, ``formatted`` and
-    ``loss_spans``. Columns of those names are replaced."""
-    made = records.withColumn("made", turns_of(F.col(json)))
+    ``loss_spans``. Columns of those names are replaced. With a column ``long_turns`` its rows count as
+    turns of the layout ``rows``."""
+    found = turns_of(F.col(json))
+    if "long_turns" in records.columns:
+        rows = F.struct(F.lit("rows").alias("layout"), F.col("long_turns").alias("turns"))
+        found = F.when(F.col("long_turns").isNotNull(), rows).otherwise(found)
+    made = records.withColumn("made", found)
     turns = F.col("made.turns")
+    replaced = {json, "layout", "turns", "formatted", "loss_spans", "long_turns"}
     return made.select(
-        *[F.col(c) for c in records.columns if c not in {json, "layout", "turns", "formatted", "loss_spans"}],
+        *[F.col(c) for c in records.columns if c not in replaced],
         F.col("made.layout").alias("layout"),
         turns.alias("turns"),
         render(turns).alias("formatted"),
@@ -244,7 +253,8 @@ def format_records(records: DataFrame, json: str = "record") -> DataFrame:
 
 
 def gather(rows: DataFrame) -> DataFrame:
-    """A record per conversation from rows (conv_id, turn, role, text): ``conv_id`` and ``record``.
+    """A record per conversation from rows (conv_id, turn, role, text): ``conv_id``, ``record``, and
+    ``long_turns`` instead of it for a conversation of more than ``LONG`` letters.
 
     Turns are ordered by ``turn``, then role and text; null ``conv_id`` is a group of its own. The
     layout depends on the roles: two turns become a prompt with its completion, a system text before
@@ -285,4 +295,13 @@ def gather(rows: DataFrame) -> DataFrame:
             )
         )
     )
-    return grouped.select("conv_id", record.alias("record"))
+    letters = F.aggregate(
+        turns, F.lit(0).cast("long"), lambda n, t: n + F.length(t["role"]) + F.length(t["text"])
+    )
+    measured = grouped.withColumn("is_long", letters > LONG)
+    plain = F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    return measured.select(
+        "conv_id",
+        F.when(~F.col("is_long"), record).alias("record"),
+        F.when(F.col("is_long"), plain).alias("long_turns"),
+    )

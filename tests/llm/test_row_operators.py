@@ -212,6 +212,8 @@ def test_chats_are_read_back(rows):
         (4, None, "assistant", "first"),
         (5, 0, "user", "twice"),
         (5, 0, "user", "twice"),
+        (6, 0, "user", "\x01<|" * 1_000_000),
+        (6, 1, "assistant", "ok"),
         (None, 0, "user", "n"),
     ]
     out = chat.format_records(chat.gather(rows(data, "conv_id long, turn long, role string, text string")))
@@ -221,7 +223,7 @@ def test_chats_are_read_back(rows):
         chat.read_back(F.col("formatted")).alias("turns"),
         chat.masked(F.col("formatted"), F.col("loss_spans")).alias("loss"),
     ).collect()
-    assert {r.layout for r in got} == {"completion", "system", "messages", "shares"}
+    assert {r.layout for r in got} == {"completion", "system", "messages", "shares", "rows"}
     for r in got:
         own = [d for d in data if d[0] == r.conv_id]
         own.sort(key=lambda d: (d[1] is not None, d[1] or 0, d[2] or "", d[3] or ""))
