@@ -9,7 +9,7 @@ word sets. Of each pair the later line, by ``doc_id`` and place, is removed.
 
 Lines with equal word sets are one set before the join: only the first of them can stay. Lists of many
 near copies are thinned beforehand: the lines that share one of the least hashes of their prefixes are
-compared with the first of them, and those found alike need no partner any more.
+compared with the first of each of eight parts of them, and those found alike need no partner any more.
 
 Rarity is a word's frequency class, by the power of two of its hashed counter; the counters cover all
 words and are a table of fixed size, whatever the input. Any order would give the same result.
@@ -39,15 +39,17 @@ WORD = r"[^\x20\x09-\x0D]"
 
 @dataclass(frozen=True)
 class Settings:
-    """``counters`` of word frequencies; ``crowd``: from how many lines on a list is thinned;
-    ``band``: ratio of lengths in a length band; ``broadcast_bytes``: measured size up to which the
-    places of candidates are broadcast instead of shuffling the lines."""
+    """``counters`` of word frequencies; ``crowd``: from how many lines on a list is thinned, by
+    ``hashes`` keys and against ``firsts`` lines each; ``band``: ratio of lengths in a length band;
+    ``broadcast_bytes``: measured size up to which the places of candidates are broadcast instead of
+    shuffling the lines."""
 
     similarity: float = 0.8
     counters: int = 1 << 18
     band: float = 2.0
-    crowd: int = 32
-    hashes: int = 3
+    crowd: int = 8
+    hashes: int = 4
+    firsts: int = 8
     broadcast_bytes: int = 64 << 20
 
     @property
@@ -174,7 +176,7 @@ def _places(later: str, earlier: str) -> list[Column]:
 
 
 def crowd_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of a line and the first line of a crowd that it is in."""
+    """Pairs of a line and the first lines of a crowd that it is in: the first of each of some parts."""
     mixed = F.sort_array(F.transform("prefix", lambda w: F.xxhash64(w)))
     keys = F.slice(mixed, F.lit(1), F.lit(settings.hashes))
     keyed = sets.select(*PLACE, "n", "sketch", F.explode(keys).alias("key"))
@@ -182,8 +184,9 @@ def crowd_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
         keyed.groupBy("key").count().where(F.col("count") >= settings.crowd).select("key"), "crowds"
     )
     keyed = keyed.join(crowded.joinable(settings.broadcast_bytes), "key")
+    part = F.pmod(F.xxhash64(*PLACE), F.lit(settings.firsts))
     crowds = (
-        keyed.groupBy("key")
+        keyed.groupBy("key", part.alias("part"))
         .agg(F.min(F.struct(*PLACE, "n", "sketch")).alias("first"))
         .select("key", "first.*")
     )
