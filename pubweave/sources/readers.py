@@ -27,7 +27,8 @@ def read_articles(
     reader = spark.read.schema(schema)
     if format == "json":
         reader = reader.option("multiLine", multi_line)
-    return reader.format(format).load(path)
+    # The folders of an appended set are named by a copy of a column.
+    return reader.format(format).load(path).select(*schema.names)
 
 
 def read_collection(
@@ -45,8 +46,17 @@ def read_collection(
 
 
 def read_table_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A result table written with a header row. Cells may hold line feeds, so a file is one split."""
-    options = CSV_OPTIONS | {"emptyValue": "", "multiLine": "true", "lineSep": "\n"}
+    """A result table written with a header row. Cells may hold line feeds, so a file is one split.
+
+    A cell of nothing is missing, one of two quotes is an empty text. The reader tells them apart by
+    what it puts in place of nothing, a letter that no text has.
+    """
+    options = CSV_OPTIONS | {
+        "nullValue": "\u0000",
+        "emptyValue": "",
+        "multiLine": "true",
+        "lineSep": "\n",
+    }
     return spark.read.schema(schema).options(**options).csv(path)
 
 
