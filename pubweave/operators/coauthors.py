@@ -43,8 +43,8 @@ def coauthor_edges(
     """Directed edges ``(src, dst, authors, Year)``, both directions, one per paper and pair.
 
     The pairs of a paper come from the paper's own row, without a join. A large paper is first dealt
-    out by its first members, so its pairs are built by many tasks. The output is quadratic in the
-    authors of a paper by definition; ``author_pagerank`` and ``coauthor_vertices`` do not go through
+    out by its first members, so its pairs are built by many tasks; small and large papers are read
+    apart, so that the former need no second shuffle. The output is quadratic in the authors of a paper by definition; ``author_pagerank`` and ``coauthor_vertices`` do not go through
     it.
     """
     found = papers(articles, years, authors, year)
