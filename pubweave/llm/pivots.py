@@ -2,10 +2,14 @@
 
 A vector is described by its nearest reference points, in order. Reference points (pivots) are vectors of
 the table, taken by hash order, as many as twice the square root of the table's size: so the inverted
-list of a pivot, the vectors that have it among their nearest, grows with the square root too. Vectors
+list of a pivot, the vectors that have it among their nearest, grows with the square root too. Of pivots
+that are close to each other only the first stays (``apart``): otherwise a dense group would bring pivots
+of its own in proportion to its size, and its members would each be nearest to other ones. So a dense
+group shares one list, which grows with the group, as do the links that are counted in it. Vectors
 that share at least ``Settings.shared`` of their nearest pivots are candidates, counted in the list of
 the least pivot they share, and verified there by their cosine in double precision. Lists are compared
-in tiles of bounded size (``tiles``); a tile returns for each vector how many it has linked, and the
+in tiles of bounded size (``tiles``); with fewer pivots than ``Settings.shared``, sharing all of them is
+enough. A tile returns for each vector how many it has linked, and the
 links as a forest.
 
 Equal vectors are one point with a weight, so a hot vector costs one row. Vectors that are null, empty,
@@ -32,12 +36,13 @@ from pubweave.llm.tiles import Forest, in_tiles, tiled
 @dataclass(frozen=True)
 class Settings:
     """``pivots``: the bound of the fitted sample, whatever the input. ``nearest`` pivots describe a
-    vector, ``shared`` of them make a candidate."""
+    vector, ``shared`` of them make a candidate. No two pivots have a cosine above ``apart``."""
 
     cosine: float = 0.9
     pivots: int = 16_384
     nearest: int = 10
     shared: int = 2
+    apart: float = 0.6
     tile_rows: int = 1000
 
 
@@ -89,6 +94,21 @@ def described(points: DataFrame, pivots: Broadcast, settings: Settings) -> DataF
     )
 
 
+def thinned(known: np.ndarray, most: float) -> np.ndarray:
+    """Unit vectors in their order, without those of a cosine above ``most`` to one that stays."""
+    stay = known[:0]
+    for start in range(0, len(known), 256):
+        part = known[start : start + 256]
+        part = part[(part @ stay.T).max(1, initial=-1.0) <= most]
+        close = part @ part.T > most
+        own: list[int] = []
+        for k in range(len(part)):
+            if not close[k, own].any():
+                own.append(k)
+        stay = np.concatenate([stay, part[own]])
+    return stay
+
+
 def pick_pivots(points: DataFrame, settings: Settings) -> dict[int, tuple[int, np.ndarray]]:
     """Unit vectors by length, with the number of the first; each length has its own."""
     counts = {
@@ -105,7 +125,7 @@ def pick_pivots(points: DataFrame, settings: Settings) -> dict[int, tuple[int, n
             .select("vector")
             .toArrow()
         )
-        known = unit(matrix(rows.column("vector").combine_chunks()))
+        known = thinned(unit(matrix(rows.column("vector").combine_chunks())), settings.apart)
         picked[size] = (first, known)
         first += len(known)
     return picked
@@ -147,21 +167,23 @@ def compare(tiles: DataFrame, settings: Settings) -> DataFrame:
                 if word * 64 < here:
                     mask = (1 << min(64, here - word * 64)) - 1
                     below |= (both & np.uint64(mask)) != 0
-            chosen = (count >= settings.shared) & ~below
+            chosen = (count >= min(settings.shared, numbers.shape[1])) & ~below
             if low[a] == high[a]:
                 chosen = np.triu(chosen, 1)
             chosen &= vectors[left] @ vectors[right].T >= settings.cosine
-            x, y = np.nonzero(chosen)
-            x, y = left[x], right[y]
             links = np.zeros(b - a, np.int64)
-            np.add.at(links, x, copies[a:b][y])
-            np.add.at(links, y, copies[a:b][x])
+            links[left] += chosen @ copies[a:b][right]
+            links[right] += copies[a:b][left] @ chosen
             forest = Forest(b - a)
             order = np.argsort(points[a:b], kind="stable")
             rank = np.empty_like(order)
             rank[order] = np.arange(b - a)
-            for i, j in zip(rank[x].tolist(), rank[y].tolist(), strict=True):
-                forest.join(i, j)
+            owner = rank[right]  # a point already joined with the one of the column
+            for k in np.flatnonzero(chosen.any(1)).tolist():
+                i, own_columns = int(rank[left[k]]), np.flatnonzero(chosen[k])
+                for j in np.unique(owner[own_columns]).tolist():
+                    forest.join(i, j)
+                owner[own_columns] = i
             for k in np.flatnonzero(links).tolist():
                 root = order[forest.root(int(rank[k]))]
                 out.append((int(points[a + k]), int(links[k]), int(points[a + root])))

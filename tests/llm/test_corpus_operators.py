@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 from dataclasses import replace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pubweave.llm import lines, minhash, ngrams, packing, pivots
@@ -355,6 +356,46 @@ def test_recall_of_the_index_on_the_given_vectors(spark):
     assert 0.95 * true <= links <= true
 
 
+def dense_group(rng, many, cosine):
+    """Unit vectors that all differ, of about that cosine to each other."""
+    centre = rng.normal(size=64)
+    centre /= np.linalg.norm(centre)
+    side = rng.normal(size=(many, 64))
+    side -= (side @ centre)[:, None] * centre
+    side /= np.linalg.norm(side, axis=1)[:, None]
+    return math.sqrt(cosine) * centre + math.sqrt(1 - cosine) * side
+
+
+def links_and_recall(spark, rng, groups, total):
+    """n_links with production settings against all pairs, as a share for each group of vectors."""
+    vectors = np.concatenate([*groups, rng.normal(size=(total - sum(map(len, groups)), 64))]).astype(np.float32)
+    table = pa.table({"vec_id": np.arange(total), "embedding": list(vectors)})
+    found = pivots.near_vectors(spark.createDataFrame(table)).collect()
+    links = np.zeros(total, int)
+    for r in found:
+        links[r.vec_id] = r.n_links
+    exact = vectors.astype(float)
+    exact /= np.linalg.norm(exact, axis=1)[:, None]
+    true = np.concatenate([(exact[k : k + 1000] @ exact.T >= 0.9).sum(1) - 1 for k in range(0, total, 1000)])
+    assert (links <= true).all()
+    ends = np.cumsum([0, *map(len, groups)])
+    return [links[a:b].sum() / true[a:b].sum() for a, b in zip(ends[:-1], ends[1:], strict=True)], found
+
+
+@pytest.mark.parametrize("cosine", [0.92, 0.97])
+def test_recall_in_a_dense_group(spark, cosine):
+    rng = np.random.default_rng(15)
+    recalls, found = links_and_recall(spark, rng, [dense_group(rng, 2000, cosine)], 6000)
+    assert min(recalls) >= 0.95
+    assert {r.component_id for r in found if r.vec_id < 2000} == {0}
+
+
+def test_nothing_but_a_dense_group(spark):
+    rng = np.random.default_rng(16)
+    recalls, found = links_and_recall(spark, rng, [dense_group(rng, 1500, 0.97)], 1500)
+    assert recalls == [1.0] and {r.component_id for r in found} == {0}
+
+
 def test_vectors_of_nothing(rows):
     assert pivots.near_vectors(rows([], "vec_id long, embedding array<float>")).count() == 0
     lone = pivots.near_vectors(rows([(1, None), (2, [1.0])], "vec_id long, embedding array<float>")).collect()
