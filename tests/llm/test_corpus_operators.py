@@ -390,6 +390,13 @@ def test_recall_in_a_dense_group(spark, cosine):
     assert {r.component_id for r in found if r.vec_id < 2000} == {0}
 
 
+def test_recall_with_a_third_of_the_rows_in_one_group(spark):
+    rng = np.random.default_rng(17)
+    groups = [dense_group(rng, 10_000, 0.92), dense_group(rng, 3000, 0.95)]
+    recalls, _ = links_and_recall(spark, rng, groups, 30_000)
+    assert min(recalls) >= 0.95
+
+
 def test_nothing_but_a_dense_group(spark):
     rng = np.random.default_rng(16)
     recalls, found = links_and_recall(spark, rng, [dense_group(rng, 1500, 0.97)], 1500)
