@@ -1,10 +1,11 @@
 """Best-fit packing into bins of several permitted sizes.
 
 Pieces are placed longest first, each into the open bin with the least room that still holds it. If no
-bin does, one is opened: of the permitted sizes that hold the piece and that what is left can fill, the
-one of least cost per token, else the cheapest that holds it. In the end each bin is downsized to the
-smallest permitted size that holds its contents. Which sizes may be opened is optimised jointly: the
-placement is made with the smallest size, the two smallest, and so on, and the cheapest outcome counts.
+bin does, one is opened: of the sizes that may be opened and hold the piece, the one in which a token
+costs least once the longest of the later pieces that fit are in it; the smallest permitted size that
+holds the piece if none of them does. In the end each bin is downsized to the smallest permitted size that
+holds its contents. Which sizes may be opened is optimised jointly: the placement is made with each set of
+permitted sizes, the empty one too, and the cheapest outcome counts.
 
 Each shard of about ``Sizes.shard`` pieces, dealt out by hash, is packed in a task of its own, so no task
 grows with the input, and thousands of pieces leave hardly any room unused. The unit of length is the word
@@ -15,9 +16,10 @@ they are in no bin. Repeated rows are packed as often as they come; ties go by `
 
 from __future__ import annotations
 
-from bisect import bisect_left, insort
+from bisect import bisect_left, bisect_right, insort
 from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -49,41 +51,71 @@ class Sizes:
         return self.permitted[bisect_left(self.permitted, length)]
 
 
-def place(lengths: list[int], allowed: tuple[int, ...], sizes: Sizes) -> list[list[int]]:
+class Filled:
+    """What a token costs in a bin that is opened for a piece and filled with the longest of the later
+    pieces that still fit, by position of the piece and size. Pieces are as in ``place``."""
+
+    def __init__(self, lengths: list[int], sizes: Sizes):
+        self.sizes = sizes
+        self.known: dict[tuple[int, int], float] = {}
+        self.values = sorted(set(lengths))
+        self.rank = {length: k for k, length in enumerate(self.values)}
+        self.lengths = lengths
+        ends = {length: end for end, length in enumerate(lengths, 1)}
+        self.ends = [ends[length] for length in self.values]
+        self.starts = [*self.ends[1:], 0]
+
+    def cost(self, item: int, size: int) -> float:
+        found = self.known.get((item, size))
+        if found is None:
+            used = self.used(item, size)
+            found = self.known[item, size] = self.sizes.cost(self.sizes.holding(used)) / used
+        return found
+
+    def used(self, item: int, size: int) -> int:
+        rank, room, first = self.rank[self.lengths[item]], size, item
+        while rank >= 0:
+            length = self.values[rank]
+            room -= length * min(room // length, self.ends[rank] - max(first, self.starts[rank]))
+            rank = min(rank, bisect_right(self.values, room)) - 1
+        return size - room
+
+
+def place(
+    lengths: list[int], allowed: tuple[int, ...], sizes: Sizes, filled: Filled | None = None
+) -> list[list[int]]:
     """Bins, as lists of positions in ``lengths``, which must descend."""
+    filled = filled or Filled(lengths, sizes)
     bins: list[list[int]] = []
     rooms: list[tuple[int, int]] = []
-    left = sum(lengths)
     for item, length in enumerate(lengths):
         at = bisect_left(rooms, (length, -1))
         if at < len(rooms):
             room, number = rooms.pop(at)
         else:
-            holding = [s for s in allowed if s >= length] or [sizes.holding(length)]
-            filled = [s for s in holding if s <= left]
-            room = (
-                min(filled, key=lambda s: (sizes.cost(s) / s, -s))
-                if filled
-                else min(holding, key=sizes.cost)
-            )
+            holding = allowed[bisect_left(allowed, length) :] or (sizes.holding(length),)
+            room = holding[0]
+            if len(holding) > 1:
+                room = min(holding, key=lambda s: (filled.cost(item, s), s))
             number = len(bins)
             bins.append([])
         bins[number].append(item)
-        left -= length
         if room > length:
             insort(rooms, (room - length, number))
     return bins
 
 
 def pack_lengths(lengths: list[int], sizes: Sizes) -> list[tuple[int, list[int]]]:
-    """The cheapest outcome over the sets of sizes that may be opened: (size, positions) a bin."""
+    """The cheapest outcome over all sets of sizes that may be opened: (size, positions) a bin."""
     best: tuple[float, list[tuple[int, list[int]]]] | None = None
-    for k in range(len(sizes.permitted)):
-        bins = place(lengths, sizes.permitted[: k + 1], sizes)
-        sized = [(sizes.holding(sum(lengths[i] for i in b)), b) for b in bins]
-        cost = sum(sizes.cost(size) for size, _ in sized)
-        if best is None or cost < best[0]:
-            best = cost, sized
+    filled = Filled(lengths, sizes)
+    for k in range(len(sizes.permitted) + 1):
+        for allowed in combinations(sizes.permitted, k):
+            bins = place(lengths, allowed, sizes, filled)
+            sized = [(sizes.holding(sum(lengths[i] for i in b)), b) for b in bins]
+            cost = sum(sizes.cost(size) for size, _ in sized)
+            if best is None or cost < best[0]:
+                best = cost, sized
     return best[1] if best else []
 
 

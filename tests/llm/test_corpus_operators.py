@@ -297,6 +297,49 @@ def test_small_packings_are_near_the_best():
         assert best(lengths) - 1e-9 <= cost <= 1.35 * best(lengths)
 
 
+def cost_of(lengths, sizes):
+    return sum(sizes.cost(size) for size, _ in packing.pack_lengths(lengths, sizes))
+
+
+@pytest.mark.parametrize("length", [300, 513, 700])
+def test_texts_of_one_length_share_bins(length):
+    """One bin a text, of the smallest size that holds it, costs far more than the best size, filled."""
+    sizes = packing.Sizes()
+    alone = sizes.cost(sizes.holding(length)) / length
+    best = min(sizes.cost(s) / (s // length * length) for s in sizes.permitted if s >= length)
+    found = cost_of([length] * 2600, sizes) / (2600 * length)
+    assert found <= 1.005 * best < 0.85 * alone
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_the_choice_of_sizes_counts(seed):
+    """No fixed choice of sizes costs less, and bins are downsized."""
+    rng = random.Random(seed)
+    sizes = packing.Sizes()
+    lengths = [300] * 500 + [min(8192, int(rng.lognormvariate(6, 1)) + 1) for _ in range(500)]
+    lengths.sort(reverse=True)
+    outcomes = {}
+    for mask in range(32):
+        allowed = tuple(s for k, s in enumerate(sizes.permitted) if mask >> k & 1)
+        bins = packing.place(lengths, allowed, sizes)
+        outcomes[allowed] = sum(sizes.cost(sizes.holding(sum(lengths[i] for i in b))) for b in bins)
+    assert cost_of(lengths, sizes) == min(outcomes.values()) < 0.95 * outcomes[()]
+    assert len(set(outcomes.values())) > 5
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_fill_of_a_new_bin(seed):
+    rng = random.Random(seed)
+    lengths = sorted((rng.randint(1, 40) for _ in range(60)), reverse=True)
+    filled = packing.Filled(lengths, packing.Sizes(permitted=(50, 200)))
+    for item in range(60):
+        for size in (50, 200):
+            used = 0
+            for length in lengths[item:]:
+                used += length if used + length <= size else 0
+            assert filled.used(item, size) == used
+
+
 # -- near-duplicate vectors
 
 
