@@ -7,7 +7,7 @@ holds the piece if none of them does. In the end each bin is downsized to the sm
 holds its contents. Which sizes may be opened is optimised jointly: the placement is made with each set of
 permitted sizes, the empty one too, and the cheapest outcome counts.
 
-Each shard of about ``Sizes.shard`` pieces, dealt out by hash, is packed in a task of its own, so no task
+Each shard of about ``Sizes.shard`` pieces, dealt out by a hash that equal rows don't share, is packed in a task of its own, so no task
 grows with the input, and thousands of pieces leave hardly any room unused. The unit of length is the word
 unless the caller brings lengths. Texts longer than the largest size are cut between words into pieces of
 that size; pieces of a text concatenate to it. Texts without a word (null, empty, blank) need no room:
@@ -22,9 +22,10 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import pandas as pd
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
-from pubweave.llm.common import SEPARATORS, ship, tasks_for
+from pubweave.llm.common import SEPARATORS, ship, store, tasks_for
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A word with the separators after it, the first one also with those before it.
@@ -120,15 +121,15 @@ def pack_lengths(lengths: list[int], sizes: Sizes) -> list[tuple[int, list[int]]
 
 
 def pieces_of(docs: DataFrame, sizes: Sizes, texts: bool) -> DataFrame:
-    """(doc_id, piece, start, length, text) of all texts with a word."""
+    """(doc_id, salt, piece, start, length, text) of all texts with a word."""
     most = sizes.permitted[-1]
     text = F.coalesce("text", F.lit(""))
     counted = docs.select(
-        "doc_id", text.alias("text"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("words")
+        "doc_id", "salt", text.alias("text"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("words")
     ).where("words > 0")
     pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("words") - 1) / most)))
     if not texts:
-        cut = counted.select("doc_id", "words", F.lit(None).cast("string").alias("text"), pieces.alias("piece"))
+        cut = counted.select("doc_id", "salt", "words", F.lit(None).cast("string").alias("text"), pieces.alias("piece"))
     else:
         units = F.regexp_extract_all("text", F.lit(UNIT), 0)
         cut_text = F.when(F.col("words") <= most, F.array("text")).otherwise(
@@ -138,10 +139,11 @@ def pieces_of(docs: DataFrame, sizes: Sizes, texts: bool) -> DataFrame:
             )
         )
         with_units = counted.withColumn("units", F.when(F.col("words") > most, units))
-        cut = with_units.select("doc_id", "words", F.posexplode(cut_text).alias("piece", "text"))
+        cut = with_units.select("doc_id", "salt", "words", F.posexplode(cut_text).alias("piece", "text"))
     start = F.col("piece").cast("long") * most
     return cut.select(
         "doc_id",
+        "salt",
         F.col("piece").cast("long").alias("piece"),
         start.alias("start"),
         F.least(F.lit(most).cast("long"), F.col("words") - start).alias("length"),
@@ -149,19 +151,31 @@ def pieces_of(docs: DataFrame, sizes: Sizes, texts: bool) -> DataFrame:
     )
 
 
+def salted(docs: DataFrame) -> DataFrame:
+    """(doc_id, text, salt): a hash of the row's place in its file, so that equal rows differ and a task
+    that runs again finds the same. What isn't read from Parquet files is written first."""
+    place_of = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("salt")
+    own = [F.col("doc_id").cast("long"), "text"]
+    try:
+        return docs.select(*own, place_of)
+    except AnalysisException:
+        return store(docs.select(*own), "packed").table.select(*own, place_of)
+
+
 def pack(docs: DataFrame, sizes: Sizes = Sizes(), texts: bool = True) -> DataFrame:
     """A row per bin: its id, size and use, and lists that run in parallel: which piece of which document
     starts where in its text, how long it is, where it lies in the bin, and its text."""
     ship(docs.sparkSession)
-    pieces = pieces_of(docs.select(F.col("doc_id").cast("long"), "text"), sizes, texts)
-    total = pieces_of(docs.select(F.col("doc_id").cast("long"), "text"), sizes, False).count()
+    rows = salted(docs)
+    pieces = pieces_of(rows, sizes, texts)
+    total = pieces_of(rows, sizes, False).count()
     shards = tasks_for(docs, total, sizes.shard)
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "length"), F.lit(shards))
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "length", "salt"), F.lit(shards))
 
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(bins_of(rows, sizes), columns=[c.split()[0] for c in BIN.split(", ")])
 
-    return pieces.withColumn("shard", shard).groupBy("shard").applyInPandas(packed, BIN)
+    return pieces.withColumn("shard", shard).drop("salt").groupBy("shard").applyInPandas(packed, BIN)
 
 
 def bins_of(rows: pd.DataFrame, sizes: Sizes) -> Iterable[tuple]:

@@ -297,6 +297,20 @@ def test_small_packings_are_near_the_best():
         assert best(lengths) - 1e-9 <= cost <= 1.35 * best(lengths)
 
 
+@pytest.mark.parametrize("from_files", [False, True])
+def test_equal_rows_spread_over_shards(spark, rows, tmp_path, from_files):
+    docs = rows([(None, "a b c")] * 1500 + [(5, "d e")] * 1500, DOCS)
+    if from_files:
+        docs.coalesce(1).write.parquet(f"{tmp_path}/docs")
+        docs = spark.read.parquet(f"{tmp_path}/docs")
+    bins = packing.pack(docs, replace(packing.Sizes(), shard=100)).collect()
+    shards = Counter()
+    for b in bins:
+        shards[b.bin_id >> 32] += len(b.pieces)
+    assert sum(shards.values()) == 3000 and max(shards.values()) < 300
+    assert Counter(t for b in bins for t in b.texts) == {"a b c": 1500, "d e": 1500}
+
+
 def cost_of(lengths, sizes):
     return sum(sizes.cost(size) for size, _ in packing.pack_lengths(lengths, sizes))
 
