@@ -2,8 +2,9 @@
 
 Three kinds of patterns give the base: assignments to a telling name, access keys, long hex runs. Two
 character models are then trained on labelled samples, one on random strings and one on ordinary
-identifiers and words: how likely is a letter after another. A long token with digits and letters whose
-log-likelihood ratio favours the random model is added, unless it overlaps what the base has found.
+identifiers and words: how likely is a letter after another. A long token with a letter or digit whose
+log-likelihood ratio favours the random model is added; of a token that overlaps what the base has found,
+each part outside of it is judged by itself.
 
 Everything is built from DataFrame functions, row by row; only training shuffles, and only counts of
 letter pairs, at most the square of the alphabet. The ordinary sample is bounded by
@@ -239,6 +240,37 @@ def labelled_tokens(docs: DataFrame, limits: Limits = Limits()) -> DataFrame:
     return random.unionByName(ordinary)
 
 
+def _outside(token: Column, base: Column) -> Column:
+    """The parts of a token outside the base spans, as structs like the token's."""
+    none = F.array().cast("array<struct<start:bigint,end:bigint>>")
+    over = F.filter(base, lambda b: (b["start"] < token["end"]) & (token["start"] < b["end"]))
+
+    def part(parts: Column, start: Column, end: Column) -> Column:
+        own = F.array(F.struct(start.cast("bigint").alias("start"), end.cast("bigint").alias("end")))
+        return F.when(start < end, F.concat(parts, own)).otherwise(parts)
+
+    gaps = F.aggregate(
+        over,
+        F.struct(token["start"].cast("bigint").alias("at"), none.alias("parts")),
+        lambda a, b: F.struct(
+            F.greatest(a["at"], b["end"]).alias("at"), part(a["parts"], a["at"], b["start"]).alias("parts")
+        ),
+        lambda a: part(a["parts"], a["at"], token["end"]),
+    )
+    return F.transform(
+        gaps,
+        lambda g: F.struct(
+            g["start"].alias("start"),
+            g["end"].alias("end"),
+            F.substring(
+                token["found"],
+                (g["start"] - token["start"] + 1).cast("int"),
+                (g["end"] - g["start"]).cast("int"),
+            ).alias("found"),
+        ),
+    )
+
+
 def find_secrets(docs: DataFrame, model: CharModel, limits: Limits = Limits()) -> DataFrame:
     """All columns of ``docs`` with one more: ``secrets``, a struct of ``base`` and ``spans``, the
     latter with what the models add, each ordered by start, then kind, as (start, kind, end)."""
@@ -252,13 +284,8 @@ def find_secrets(docs: DataFrame, model: CharModel, limits: Limits = Limits()) -
             F.concat(*(_spans(F.col(name), kind) for kind, name in enumerate(BASE)))
         ).cast(SPANS),
     )
-    mixed = F.filter(
-        "tokens",
-        lambda m: m["found"].rlike("[0-9]")
-        & m["found"].rlike("[A-Za-z]")
-        & ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
-    )
-    work = work.withColumn("tokens", mixed)
+    parts = F.flatten(F.transform("tokens", lambda m: _outside(m, F.col("base"))))
+    work = work.withColumn("tokens", F.filter(parts, lambda m: m["found"].rlike("[A-Za-z0-9]")))
     added = F.filter("tokens", lambda m: model.evidence(m["found"]) >= limits.evidence)
     work = work.withColumn("added", F.when(F.size("tokens") == 0, F.array().cast(SPANS)).otherwise(
         _spans(added, len(BASE)).cast(SPANS)
