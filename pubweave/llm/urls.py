@@ -155,12 +155,12 @@ def _with_features(rows: DataFrame, suffixes: DataFrame, rate: float) -> tuple[D
 def train(labelled: DataFrame, limits: Limits = Limits()) -> UrlModel:
     """A model from rows (url, label), label 1 for URLs to block.
 
-    Rows without a label count for nothing. At most ``limits.labelled`` rows are used: those with the
-    least hash of their URL, so that the choice depends on the data alone.
+    Rows without a label count for nothing, equal rows once. At most ``limits.labelled`` rows are used:
+    those with the least hash of their URL, so that the choice depends on the data alone.
     """
     spark = labelled.sparkSession
     given = labelled.where("url is not null and label is not null").select("url", F.col("label").cast("double").alias("label"))
-    chosen = given.orderBy(F.xxhash64("url"), "url", "label").limit(limits.labelled).toArrow()
+    chosen = given.distinct().orderBy(F.xxhash64("url"), "url", "label").limit(limits.labelled).toArrow()
     sample = spark.createDataFrame(chosen, "url string, label double")
     rows = sample.withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     labels = chosen.column("label").to_pylist()

@@ -77,6 +77,14 @@ def test_url_rules_agree_with_a_plain_loop(spark, rows):
         assert row.verdict == (rule.verdict if rule else urls.BLOCK if row.p_block >= 0.5 else urls.ALLOW)
 
 
+def test_a_hot_url_does_not_fill_the_sample(rows):
+    given = [(f"https://good{k}.org/a", 0) for k in range(50)] + [(f"http://bad{k}.biz/?a=1&b=2", 1) for k in range(50)]
+    least = rows(given, "url string, label int").orderBy(F.xxhash64("url")).first()
+    labelled = rows(given + [tuple(least)] * 300, "url string, label int")
+    model = urls.train(labelled, urls.Limits(labelled=100, trees=3))
+    assert model.trees is not None and model.rate == 0.5
+
+
 def test_url_trees_on_held_out_urls(rows):
     rng = random.Random(1)
     word = lambda: "".join(rng.choices("aeinrst", k=rng.randint(3, 9)))
