@@ -8,8 +8,21 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from pubweave.llm import bpe, chat, lines, minhash, ngrams, packing, pivots, quality, secrets, urls
-from pubweave.llm.common import read
+from pubweave.llm import (
+    bpe,
+    chat,
+    lines,
+    minhash,
+    ngrams,
+    packing,
+    pivots,
+    quality,
+    runs,
+    secrets,
+    substrings,
+    urls,
+)
+from pubweave.llm.common import SEPARATORS, read
 
 VOCABULARY = "byte_bpe_50k.json"
 URL_RULES = (
@@ -106,6 +119,54 @@ def op10_embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pivots.near_vectors(read(spark, sf_dir, "embeddings"))
 
 
+def made_periodic(docs: DataFrame) -> DataFrame:
+    """``docs`` where every tenth text, by the CRC of its ``doc_id``, repeats from some word on."""
+    crc = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), SEPARATORS), lambda w: w != "")
+    n, g = F.size("words"), F.floor(F.col("crc") / 10)
+    a = (g % n).cast("int")
+    p = (1 + F.floor((n - F.col("a")) / (3 + g % 8))).cast("int")
+    source = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    repeated = F.array_join(
+        F.transform("words", lambda _, i: F.get("words", source(i))), " "
+    )
+    chosen = (F.col("crc") % 10 == 0) & (n > 0)
+    given = docs.withColumn("crc", crc).withColumn("words", F.when(F.col("crc") % 10 == 0, words))
+    parts = given.withColumn("a", F.when(chosen, a)).withColumn("p", F.when(chosen, p))
+    return parts.withColumn("text", F.when(chosen, repeated).otherwise(F.col("text"))).select("doc_id", "text")
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.collapse_runs(made_periodic(read(spark, sf_dir, "documents")))
+    best = runs.longest_run(F.col("runs"))
+    line = lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))
+    listed = found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        best.alias("best"),
+        F.sha2(F.array_join(F.transform("runs", line), ""), 256).alias("runs_sha256"),
+        F.sha2("cleaned.kept", 256).alias("collapsed_sha256"),
+    )
+    length, period = F.col("best.length"), F.col("best.period")
+    return listed.select(
+        "doc_id",
+        "n_runs",
+        F.col("best.start").alias("start"),
+        length.alias("length"),
+        period.alias("period"),
+        F.floor(1000 * length / period).alias("exponent_milli"),
+        "runs_sha256",
+        "collapsed_sha256",
+    )
+
+
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substrings.drop_repeats(read(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", "cleaned.n_words", "cleaned.n_removed", F.sha2("cleaned.kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_url_filters": op2_url_filters,
@@ -117,4 +178,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_bpe": op9_bpe,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op13_substring_dedup": op13_substring_dedup,
 }
