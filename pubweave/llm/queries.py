@@ -3,6 +3,7 @@ the columns that its contract names."""
 
 from __future__ import annotations
 
+import string
 from collections.abc import Callable
 
 import public_tokenizers
@@ -12,6 +13,7 @@ from pubweave.llm import (
     bpe,
     chat,
     lines,
+    merkle,
     minhash,
     ngrams,
     packing,
@@ -160,6 +162,28 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents")
+    letters = string.ascii_uppercase
+    lowered = {"text": F.translate("text", letters, letters.lower())}
+    leaf = merkle.row_digest([F.col(c) for c in merkle.FIELDS])
+    other = merkle.row_digest([lowered.get(c, F.col(c)) for c in merkle.FIELDS])
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    rows = docs.select("doc_id", "lang", leaf.alias("leaf"), F.when(tampered, other).alias("tampered"))
+    made = merkle.build(rows, "leaf", "lang", "doc_id")
+    root = F.lit(made.root).cast("string")
+    folded = merkle.folded(F.coalesce("tampered", "leaf"), F.col("path"))
+    return made.proofs.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        root.alias("root"),
+        merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        folded.alias("folded_root"),
+        (folded == root).alias("verified"),
+    )
+
+
 def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substrings.drop_repeats(read(spark, sf_dir, "documents"))
     return found.select(
@@ -179,5 +203,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_bpe": op9_bpe,
     "op10_embedding_near_dedup": op10_embedding_near_dedup,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
     "op13_substring_dedup": op13_substring_dedup,
 }

@@ -19,7 +19,7 @@ ROWS = {"pages": "op2", "embeddings": "op10"}
 
 def test_every_operator_is_registered():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql()) and set(ORACLES) <= set(QUERIES)
 
