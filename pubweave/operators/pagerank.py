@@ -15,38 +15,55 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window, functions as F
 
 from pubweave.operators.coauthors import papers
-from pubweave.storage import BROADCAST_BYTES, bucketed_by, discard, kept, store
+from pubweave.storage import (
+    BROADCAST_BYTES,
+    Stored,
+    bucket_count,
+    bucketed_by,
+    deal,
+    discard,
+    kept,
+    shuffle_partitions,
+    store,
+    store_bucketed,
+)
 
 ROUNDS_PER_JOB = 5
 
 
-def _run_rounds(
-    start: DataFrame,
-    one_round: Callable[[DataFrame], DataFrame],
-    max_iter: int,
-    broadcast_bytes: int,
+def _rounds_by_broadcast(
+    start: Stored, one_round: Callable[[DataFrame], DataFrame], max_iter: int
 ) -> DataFrame:
-    """Apply ``one_round`` ``max_iter`` times to the ranks.
-
-    The vertex set never changes, so its measured size decides once: small ranks are broadcast
-    and written out every few rounds. Larger ones are joined by a shuffle and written out after
-    each round, because adaptive execution splits a hot vertex only if the ranks come straight
-    from a stored table. A written table replaces its predecessor. Every round is run.
-    """
-    stored = store(start, "ranks")
-    small = stored.size <= broadcast_bytes
-    rounds_per_job = ROUNDS_PER_JOB if small else 1
-    ranks = stored.table
+    """Apply ``one_round`` ``max_iter`` times to small ranks, which are broadcast and written out every
+    few rounds. A written table replaces its predecessor. Every round is run."""
+    stored, ranks = start, start.table
     for done in range(1, max_iter + 1):
-        ranks = one_round(F.broadcast(ranks) if small else ranks)
-        if done % rounds_per_job and done < max_iter:
+        ranks = one_round(F.broadcast(ranks))
+        if done % ROUNDS_PER_JOB and done < max_iter:
             continue
         superseded, stored = stored, store(ranks, "ranks")
-        discard(start.sparkSession, superseded.path)
+        discard(ranks.sparkSession, superseded.path)
         ranks = stored.table
     return ranks
 
 
+def _rounds_in_place(
+    start: Stored,
+    one_round: Callable[[DataFrame], DataFrame],
+    max_iter: int,
+    buckets: int,
+) -> DataFrame:
+    """The same for ranks of any size: a table in buckets by ``id``, which ``one_round`` returns dealt in
+    the same way, so that the old ranks, the new ones and the links of a vertex lie together."""
+    spark = start.table.sparkSession
+    with shuffle_partitions(spark, buckets):
+        ranks = store_bucketed(start.table.repartition(buckets, "id"), "id", buckets)
+        for _ in range(max_iter):
+            superseded, ranks = ranks, store_bucketed(one_round(ranks.table), "id", buckets)
+            superseded.discard()
+    return ranks.unlist()
+
+
 def author_pagerank(
     articles: DataFrame,
     reset: float = 0.15,
@@ -56,7 +73,13 @@ def author_pagerank(
     year: str = "Year",
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """``(id, pagerank)`` of the co-author graph of ``articles``."""
+    """``(id, pagerank)`` of the co-author graph of ``articles``.
+
+    While the measured ranks are small they are broadcast: a round shuffles partial sums per author.
+    Beyond that a round has two shuffles, of the shares per paper and of the sums per author, and both
+    meet tables that lie in place: memberships by author and by paper, and the ranks. Authors of very many
+    papers, and papers of very many authors, lie apart (``storage.deal``) and meet few broadcast rows.
+    """
     member_sets = papers(articles, years, authors, year).select(
         F.array_sort("members").alias("members")
     )
@@ -76,22 +99,34 @@ def author_pagerank(
     )
     stored_authors = store(
         named.groupBy("name")
-        .agg(F.sum("links").alias("outdegree"))
+        .agg(F.sum("links").alias("outdegree"), F.sum("papers").alias("papers"))
         .withColumn("id", F.monotonically_increasing_id()),
         "authors",
     )
     by_name = stored_authors.joinable(broadcast_bytes).select("name", "id")
     memberships = named.join(by_name, "name").select("paper", "papers", "id")
+    start = store(
+        stored_authors.table.select("id", F.lit(1.0).alias("rank"), "outdegree", "papers"), "ranks"
+    )
+    run = _author_rounds if start.size <= broadcast_bytes else _author_rounds_in_place
+    ranks = run(memberships, start, reset, max_iter, stored_groups.size)
+    return ranks.join(stored_authors.joinable(broadcast_bytes), "id").select(
+        F.col("name").alias("id"), F.col("rank").alias("pagerank")
+    )
+
+
+def _author_rounds(
+    memberships: DataFrame, start: Stored, reset: float, max_iter: int, size: int
+) -> DataFrame:
     share = F.col("rank") / F.col("outdegree")
     paper_total = F.sum(share).over(Window.partitionBy("paper"))
     received = (paper_total - share) * F.col("papers")
 
-    with bucketed_by(memberships, "paper", stored_groups.size) as members:
-        start = stored_authors.table.select("id", F.lit(1.0).alias("rank"), "outdegree")
+    with bucketed_by(memberships, "paper", size) as members:
 
         def one_round(ranks: DataFrame) -> DataFrame:
             return (
-                members.join(ranks, "id")
+                members.join(ranks.select("id", "rank", "outdegree"), "id")
                 .select("id", "rank", "outdegree", received.alias("received"))
                 .groupBy("id")
                 .agg(
@@ -100,10 +135,35 @@ def author_pagerank(
                 )
             )
 
-        ranks = _run_rounds(start, one_round, max_iter, broadcast_bytes)
-    return ranks.join(stored_authors.joinable(broadcast_bytes), "id").select(
-        F.col("name").alias("id"), F.col("rank").alias("pagerank")
-    )
+        return _rounds_by_broadcast(start, one_round, max_iter)
+
+
+def _author_rounds_in_place(
+    memberships: DataFrame, start: Stored, reset: float, max_iter: int, size: int
+) -> DataFrame:
+    spark = memberships.sparkSession
+    buckets = bucket_count(spark, size)
+    written = store(memberships, "memberships")
+    by_author = deal(written.table.select("id", "paper"), "id", buckets)
+    by_paper = deal(written.table, "paper", buckets)
+    share = F.col("rank") / F.col("outdegree")
+
+    def one_round(ranks: DataFrame) -> DataFrame:
+        shares = by_author.join(ranks.select("id", share.alias("share"))).select("paper", "share")
+        totals = shares.groupBy("paper").agg(F.sum("share").alias("total"))
+        met = by_paper.join(totals).select("id", (F.col("total") * F.col("papers")).alias("total"))
+        sums = met.groupBy("id").agg(F.sum("total").alias("total"))
+        # Every paper's total holds the author's own share.
+        received = F.col("total") - share * F.col("papers")
+        return sums.join(ranks, "id").select(
+            "id", (received * (1 - reset) + reset).alias("rank"), "outdegree", "papers"
+        )
+
+    ranks = _rounds_in_place(start, one_round, max_iter, buckets)
+    by_author.discard()
+    by_paper.discard()
+    discard(spark, written.path)
+    return ranks
 
 
 def pagerank(
@@ -116,7 +176,8 @@ def pagerank(
 
     Parallel edges are first merged into one weighted edge. A zero-weight edge from every vertex
     to itself keeps vertices without incoming edges in the result, so a round is one join and
-    one aggregation.
+    one aggregation. Ranks too large to broadcast lie in buckets by vertex, the links by source, those of
+    hot sources apart; the one shuffle of a round carries partial sums per target.
     """
     counted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("edges"))
     counted = counted.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
@@ -125,27 +186,29 @@ def pagerank(
         counted.groupBy("src").agg(F.sum("edges").alias("outdegree")), "outdegree"
     )
     weighted = counted.join(outdegree.joinable(broadcast_bytes), "src").select(
-        "src", "dst", (F.col("edges") / F.col("outdegree")).alias("weight")
+        F.col("src").alias("id"), "dst", (F.col("edges") / F.col("outdegree")).alias("weight")
     )
     every = counted.select(F.col("src").alias("id")).union(counted.select("dst")).distinct()
-    loops = every.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0))
-    is_loop = (F.col("src") == F.col("dst")) & (F.col("weight") == 0)
-
-    # Not bucketed by target: a vertex that a third of all edges point to would be one task.
-    with kept(weighted.unionAll(loops), "links") as links:
-        start = links.filter(is_loop).select(
-            F.col("src").alias("id"), F.lit(1.0).alias("rank")
-        )
-
-        def one_round(ranks: DataFrame) -> DataFrame:
-            return (
-                links.join(ranks, F.col("src") == F.col("id"))
-                .groupBy("dst")
-                .agg((F.sum(F.col("weight") * F.col("rank")) * (1 - reset) + reset).alias("rank"))
-                .withColumnRenamed("dst", "id")
-            )
-
-        ranks = _run_rounds(start, one_round, max_iter, broadcast_bytes)
+    start = store(every.withColumn("rank", F.lit(1.0)), "ranks")
+    loops = start.table.select("id", F.col("id").alias("dst"), F.lit(0.0).alias("weight"))
+    links = weighted.unionByName(loops)
+
+    def one_round(met: DataFrame) -> DataFrame:
+        received = F.sum(F.col("weight") * F.col("rank"))
+        return met.groupBy("dst").agg((received * (1 - reset) + reset).alias("rank")).withColumnRenamed("dst", "id")
+
+    if start.size <= broadcast_bytes:
+        # Not bucketed by target: a vertex that a third of all edges point to would be one task.
+        with kept(links, "links") as stored:
+            ranks = _rounds_by_broadcast(start, lambda r: one_round(stored.join(r, "id")), max_iter)
+    else:
+        spark = edges.sparkSession
+        written = store(links, "links")
+        buckets = bucket_count(spark, written.size)
+        dealt = deal(written.table, "id", buckets)
+        ranks = _rounds_in_place(start, lambda r: one_round(dealt.join(r)), max_iter, buckets)
+        dealt.discard()
+        discard(spark, written.path)
     # Rank that reaches a vertex without outgoing edges is lost; the sum is put right at the end.
     scale = ranks.agg(F.count(F.lit(1)) / F.sum("rank")).first()[0]
     return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("pagerank"))

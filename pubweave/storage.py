@@ -148,6 +148,94 @@ def kept(df: DataFrame, label: str) -> Iterator[DataFrame]:
         discard(df.sparkSession, stored.path)
 
 
+@contextmanager
+def shuffle_partitions(spark: SparkSession, count: int) -> Iterator[None]:
+    """Shuffles of the block make ``count`` partitions, so that their results meet tables of as many
+    buckets without another shuffle."""
+    name = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(count))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+@dataclass
+class Bucketed:
+    """A stored table in ``buckets`` by ``key``."""
+
+    table: DataFrame
+    key: str
+    buckets: int
+    name: str
+    path: str
+
+    def discard(self) -> None:
+        self.unlist()
+        discard(self.table.sparkSession, self.path)
+
+    def unlist(self) -> DataFrame:
+        """Take the table out of the catalog; its files as a plain table."""
+        spark, schema = self.table.sparkSession, self.table.schema
+        spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+        return spark.read.schema(schema).parquet(self.path)
+
+
+def store_bucketed(df: DataFrame, key: str, buckets: int) -> Bucketed:
+    """Write ``df``, whose partitions are already dealt by the hash of ``key`` into as many as there are
+    buckets: a file each. Joins and groups by ``key`` then need no shuffle of the table."""
+    spark = df.sparkSession
+    name = f"pubweave_{uuid.uuid4().hex}"
+    path = work_path(spark, name)
+    df.write.bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(name)
+    return Bucketed(spark.table(name), key, buckets, name, path)
+
+
+@dataclass
+class Dealt:
+    """A table in buckets by a key, but for the rows of its hot keys, which lie apart.
+
+    A key is hot if it has more rows than a bucket should have. So there are fewer hot keys than buckets,
+    and what a join needs of the other side for them can be broadcast, whatever the table's size.
+    """
+
+    cold: Bucketed
+    hot: Stored | None
+    hot_keys: Stored | None
+
+    def join(self, other: DataFrame) -> DataFrame:
+        """Inner join with a table of one row per key, which stays in place if it lies in as many
+        partitions by the key."""
+        key = self.cold.key
+        joined = self.cold.table.join(other, key)
+        if self.hot is None:
+            return joined
+        few = F.broadcast(other.join(F.broadcast(self.hot_keys.table), key, "left_semi"))
+        return joined.unionByName(self.hot.table.join(few, key))
+
+    def discard(self) -> None:
+        self.cold.discard()
+        for part in (self.hot, self.hot_keys):
+            if part is not None:
+                discard(part.table.sparkSession, part.path)
+
+
+def deal(df: DataFrame, key: str, buckets: int) -> Dealt:
+    """``df``, a stored table, in buckets by ``key``, hot keys apart."""
+    total = df.count()
+    counts = df.groupBy(key).count().filter(F.col("count") > total / buckets)
+    hot_keys = store(counts.select(key), "hot-keys")
+    if hot_keys.table.isEmpty():
+        discard(df.sparkSession, hot_keys.path)
+        return Dealt(store_bucketed(df.repartition(buckets, key), key, buckets), None, None)
+    few = F.broadcast(hot_keys.table)
+    cold = df.join(few, key, "left_anti").repartition(buckets, key)
+    return Dealt(
+        store_bucketed(cold, key, buckets), store(df.join(few, key, "left_semi"), "hot"), hot_keys
+    )
+
+
 @contextmanager
 def bucketed_by(df: DataFrame, key: str, size_bytes: int) -> Iterator[DataFrame]:
     """Like ``kept``, but bucketed and sorted by ``key``.

@@ -89,5 +89,7 @@ def test_top_authors(rows):
 
 def test_no_catalog_entry_remains(spark, rows):
     articles = rows([(["a", "b"], 2000)], "authors array<string>, Year int")
-    pr.author_pagerank(articles, max_iter=2)
+    for limit in (0, pr.BROADCAST_BYTES):
+        assert pr.author_pagerank(articles, max_iter=2, broadcast_bytes=limit).count() == 2
+        assert pr.pagerank(coauthor_edges(articles), max_iter=2, broadcast_bytes=limit).count() == 2
     assert [t.name for t in spark.catalog.listTables() if t.name.startswith("pubweave")] == []

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pubweave.operators import cited, coauthors, enrich, extract, ingest, keywords, pagerank
 from pubweave.plans import derived
 from pubweave.plans.catalog import QUERIES, articles
-from pubweave.storage import bucketed_by, store
+from pubweave.storage import bucketed_by, deal, shuffle_partitions, store, store_bucketed
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -162,19 +162,40 @@ def test_page_join_splits_a_hot_item(spark, rows):
 
 
 def captured_round(monkeypatch, call):
-    """The start table and the round function of a rank computation, with its plan's text."""
+    """The plan's text of a round while ranks are broadcast."""
     texts = []
 
-    def capture(start, one_round, *rest):
-        stored = store(start, "ranks")
-        texts.append(plan(one_round(stored.joinable(rest[-1])), run=True))
-        return stored.table
+    def capture(start, one_round, max_iter):
+        texts.append(plan(one_round(F.broadcast(start.table)), run=True))
+        return start.table
 
-    monkeypatch.setattr(pagerank, "_run_rounds", capture)
+    monkeypatch.setattr(pagerank, "_rounds_by_broadcast", capture)
     call()
     return texts[0]
 
 
+def round_in_place(monkeypatch, call):
+    """The final plan of a round past the broadcast limit, and the rows of its largest bucket."""
+    texts, largest = [], []
+
+    def capture(start, one_round, max_iter, buckets):
+        with shuffle_partitions(start.table.sparkSession, buckets):
+            ranks = store_bucketed(start.table.repartition(buckets, "id"), "id", buckets)
+            texts.append(plan(one_round(ranks.table), run=True))
+        return ranks.unlist()
+
+    def dealt(df, key, buckets):
+        made = deal(df, key, buckets)
+        cold = made.cold.table.groupBy(F.spark_partition_id()).count()
+        largest.append((cold.agg(F.max("count")).first()[0], df.count()))
+        return made
+
+    monkeypatch.setattr(pagerank, "_rounds_in_place", capture)
+    monkeypatch.setattr(pagerank, "deal", dealt)
+    call()
+    return texts[0][: texts[0].index("Initial Plan")], largest
+
+
 def hub_articles(rows):
     """One author is in every paper, that is in a third of all memberships."""
     data = [(["hub", f"a{k}", f"b{k}"], 2000) for k in range(8000)]
@@ -190,20 +211,29 @@ def test_small_ranks_are_broadcast_and_memberships_stay(spark, rows, monkeypatch
     assert "partial_sum" in final
 
 
-def test_large_ranks_split_a_hot_author(spark, rows, monkeypatch):
-    articles = hub_articles(rows)
-    with skew_settings(spark):
-        text = captured_round(
-            monkeypatch, lambda: pagerank.author_pagerank(articles, broadcast_bytes=0)
-        )
-    assert "skew=true" in text
+def shuffles(text):
+    return text.count("Exchange hashpartitioning") - text.count("ReusedExchange")
 
 
-def test_large_ranks_split_a_hot_source(spark, rows, monkeypatch):
+def test_a_round_in_place_shuffles_twice(spark, rows, monkeypatch):
+    """Shares by paper and sums by author; a hot author and a hot paper lie apart."""
+    data = [(["hub", f"a{k}", f"b{k}"], 2000) for k in range(4000)]
+    data.append(([f"a{k}" for k in range(4000)], 2001))
+    articles = rows(data, "authors array<string>, Year int")
+    text, largest = round_in_place(monkeypatch, lambda: pagerank.author_pagerank(articles, broadcast_bytes=0))
+    assert shuffles(text) <= 2 and "Bucketed: true" in text
+    assert all(most < total / 5 for most, total in largest) and len(largest) == 2
+    with conf(spark, spark__sql__autoBroadcastJoinThreshold="-1"):
+        edges = rows([("x", "y"), ("y", "x")] * 5, "src string, dst string")
+        text, _ = round_in_place(monkeypatch, lambda: pagerank.pagerank(edges, broadcast_bytes=0))
+    assert shuffles(text) <= 1
+
+
+def test_a_hot_source_lies_apart(spark, rows, monkeypatch):
     edges = rows([("hub", f"v{k}") for k in range(8000)] + [(f"v{k}", f"v{k // 2}") for k in range(8000)], "src string, dst string")
-    with skew_settings(spark):
-        text = captured_round(monkeypatch, lambda: pagerank.pagerank(edges, broadcast_bytes=0))
-    assert "skew=true" in text
+    text, largest = round_in_place(monkeypatch, lambda: pagerank.pagerank(edges, broadcast_bytes=0))
+    assert shuffles(text) <= 1 and "BroadcastHashJoin" in text
+    assert all(most < total / 5 for most, total in largest)
 
 
 def test_append_splits_a_hot_topic(spark, rows, tmp_path):
