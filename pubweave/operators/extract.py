@@ -9,7 +9,7 @@ shuffle and no Python in the tasks, and the cost grows with the length of the pa
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -24,7 +24,7 @@ from pubweave.functions import (
     strip,
 )
 from pubweave.operators import markup
-from pubweave.operators.markup import Selector, of_class
+from pubweave.operators.markup import Scope, Selector, of_class
 from pubweave.schema import AFFILIATION
 from pubweave.storage import store
 
@@ -56,52 +56,96 @@ class Rule:
     drop_empty: bool = False
     page_scope: bool = False
 
-    def raw(self, scope: str) -> str:
-        """SQL of what stands in the page, one text or a list, from the tokens of the page or item;
-        NULL where there is nothing."""
+    def raw(self, scope: Scope) -> str:
+        """SQL of what stands in the page, one text or a list; NULL where there is nothing."""
         *outer, last = self.path
+        if not self.many:
+            if not self.attribute:
+                return scope.first(self.path, scope.text)
 
-        def leaves(inside: str) -> str:
-            return markup.opening(inside, last) if self.attribute else markup.elements(inside, last)
+            def read(inside: Scope) -> str:
+                opened = f"get({inside.opening(last)}, 0).head"
+                return markup.bind(opened, lambda head: markup.attribute(head, self.attribute))
 
-        def read(element: str) -> str:
-            if self.attribute:
-                return markup.raw_attribute(element, self.attribute)
-            return markup.raw_text(element)
+            return scope.within(outer, read) if outer else read(scope)
+        return self._all(scope, self.path)
 
-        if not self.many:
-            inside = markup.first(scope, tuple(outer))
+    def _all(self, scope: Scope, path: Sequence[Selector]) -> str:
+        """The list of what the path finds; NULL if the first selector finds nothing."""
+        selector, *rest = path
+        if not rest:
             if self.attribute:
-                return read(f"get({markup.opening(inside, last)}, 0)")
-            return read(markup.first(inside, (last,)))
-        found = f"flatten({markup.each(markup.select(scope, tuple(outer)), leaves)})"
-        there = f"size({markup.regions(scope, self.path[0])}) > 0"
-        return f"case when {there} then {markup.each(found, read)} end"
-
-    def value(self, raw: Column) -> Column:
-        """The field, from what stands in the page."""
+                found = markup.each(scope.opening(selector), lambda e: markup.attribute(f"{e}.head", self.attribute))
+            else:
+                found = markup.each(scope.elements(selector), scope.text)
+            if path is not self.path:
+                return found
+            return markup.bind(found, lambda values: f"case when size({values}) > 0 then {values} end")
+
+        def below(parts: str) -> str:
+            inner = markup.each(
+                parts, lambda p: self._all(Scope(f"{p}.entries", scope.texts, f"{p}.end"), rest)
+            )
+            some = f"case when size({parts}) > 0 then flatten({inner}) end"
+            return some if path is self.path else f"flatten({inner})"
+
+        return markup.bind(scope.inside(selector), below)
+
+    @property
+    def cleaning(self) -> tuple[bool, bool]:
+        """Rules that agree in this clean what they found alike."""
+        return self.attribute is not None, self.collapse
+
+    def value(self, text: Column) -> Column:
+        """The field, from a cleaned text or list."""
         if not self.many:
-            text = self._clean(raw)
             if self.required:
                 text = F.when(strip(text) != "", text)
             return F.coalesce(text, F.lit(self.default))
-        values = F.transform(
-            F.filter(raw, lambda v: v.isNotNull()), lambda v: strip(self._clean(v))
-        )
         fallback = F.lit(None) if self.default is None else F.array(F.lit(self.default))
+        values = F.transform(F.filter(text, lambda v: v.isNotNull()), strip)
         if self.drop_empty:
             values = F.filter(values, lambda v: v != "")
             return F.when(F.size(values) > 0, values).otherwise(fallback)
         return F.coalesce(values, fallback)
 
-    def _clean(self, raw: Column) -> Column:
-        return decode_entities(raw) if self.attribute else plain_text(raw, self.collapse)
 
+def _clean(raw: Column, cleaning: tuple[bool, bool]) -> Column:
+    attribute, collapse = cleaning
+    return decode_entities(raw) if attribute else plain_text(raw, collapse)
+
+
+def _values(rules: Sequence[Rule], raw: Callable[[Rule], Column]) -> list[Column]:
+    """The fields of the rules, from what stands in the page. All texts that are cleaned alike are cleaned
+    as one list, for an expression costs more to make than to run."""
+    cleaned: dict[str, Column] = {}
+    for cleaning in dict.fromkeys(r.cleaning for r in rules):
+        alike = [r for r in rules if r.cleaning == cleaning]
+        no_list = F.lit(None).cast("array<string>")
+        lists = F.array(*[raw(r) if r.many else F.array(raw(r)) for r in alike] or [no_list])
+        texts = F.transform(lists, lambda values: F.transform(values, lambda v: _clean(v, cleaning)))  # noqa: B023
+        for k, rule in enumerate(alike):
+            cleaned[rule.field] = texts[k] if rule.many else texts[k][0]
+    return [r.value(cleaned[r.field]).alias(r.field) for r in rules]
 
-def _raw_struct(scope: str, rules: Sequence[Rule], *more: str) -> str:
+
+def _raw_struct(scope: Scope, rules: Sequence[Rule], *more: str) -> str:
     return f"named_struct({', '.join([*more, *(f'{_quoted(r.field)}, {r.raw(scope)}' for r in rules)])})"
 
 
+def _selectors(rules: Sequence[Rule], *more: Selector | None) -> list[Selector]:
+    return [*(s for r in rules for s in r.path), *(s for s in more if s is not None)]
+
+
+def _items(scope: Scope, rules: Sequence[Rule], item: Selector) -> str:
+    return markup.each(
+        scope.items(item),
+        lambda p: _raw_struct(
+            Scope(f"{p}.entries", scope.texts, f"{p}.end"), rules, _quoted("whole"), f"{p}.whole"
+        ),
+    )
+
+
 def _quoted(name: str) -> str:
     return f"'{name}'"
 
@@ -123,31 +167,29 @@ def extracted_items(
     of_page = [r for r in rules if r.page_scope]
     of_item = [r for r in rules if not r.page_scope]
     tokens = markup.tokens(F.coalesce("html", F.lit("")))
-    own = F.col("_tokens") if "_tokens" in pages.columns else tokens.alias("_tokens")
-    read = pages.select(*carried, own)
-    if item is None:
-        items = f"array({_raw_struct('_tokens', of_item, _quoted('whole'), 'true')})"
-    else:
-        items = markup.each(
-            markup.pieces("_tokens", item),
-            lambda p: _raw_struct(f"{p}.tokens", of_item, _quoted("whole"), f"{p}.whole"),
-        )
+    if "_tokens" not in pages.columns:
+        pages = pages.withColumn("_tokens", tokens)
+    read = markup.indexed(pages.select(*carried, "_tokens"), "_tokens", _selectors(rules, item))
+
+    def raw_items(scope: Scope) -> str:
+        if item is None:
+            return f"array({_raw_struct(scope, of_item, _quoted('whole'), 'true')})"
+        return _items(scope, of_item, item)
+
     found = read.select(
         *carried,
-        *([F.expr(_raw_struct("_tokens", of_page)).alias("_page")] if of_page else []),
-        F.posexplode_outer(F.expr(items)).alias("position", "_item"),
+        *([markup.of_page(lambda scope: _raw_struct(scope, of_page)).alias("_page")] if of_page else []),
+        F.posexplode_outer(markup.of_page(raw_items)).alias("position", "_item"),
     )
 
-    def value(rule: Rule) -> Column:
-        return rule.value(F.col("_page" if rule.page_scope else "_item")[rule.field])
-
+    fields = _values(rules, lambda r: F.col("_page" if r.page_scope else "_item")[r.field])
     cleaned = found.select(
         *carried,
         "position",
         F.when(F.col("_item").isNull(), NO_ITEMS)
         .when(~F.col("_item.whole"), UNCLOSED)
         .alias("_whole"),
-        *[value(r).alias(r.field) for r in rules],
+        *fields,
     )
     missing = [
         F.when(F.col(r.field).isNull(), F.lit(r.field))
@@ -290,18 +332,19 @@ _SECTION_RULES = [
 ]
 
 
-def raw_sections(tokens: str) -> str:
-    """SQL of ``array<struct<author, affiliation>>`` of an article page, NULL fields where a part is
-    absent or the section isn't closed."""
-    return markup.each(
-        markup.pieces(tokens, of_class(AUTHOR_SECTION_CLASS, tag="div")),
-        lambda p: f"case when {p}.whole then {_raw_struct(f'{p}.tokens', _SECTION_RULES)} end",
-    )
+def with_raw_sections(pages: DataFrame) -> DataFrame:
+    """Pages of ``_tokens`` with ``_raw``, ``array<struct<whole, author, affiliation>>`` of an article page, NULL
+    fields where a part is absent."""
+    section = of_class(AUTHOR_SECTION_CLASS, tag="div")
+    copied = pages.withColumn("_copy", F.col("_tokens"))
+    read = markup.indexed(copied, "_copy", _selectors(_SECTION_RULES, section))
+    raw = markup.of_page(lambda page: _items(page, _SECTION_RULES, section))
+    return read.withColumn("_raw", raw).drop("_texts", "_entries")
 
 
 def author_sections(raw: Column) -> Column:
     return F.transform(
-        raw, lambda s: F.struct(*[r.value(s[r.field]).alias(r.field) for r in _SECTION_RULES])
+        raw, lambda s: F.struct(*_values(_SECTION_RULES, lambda r: F.when(s["whole"], s[r.field])))
     )
 
 
@@ -359,7 +402,7 @@ def extract_listing(
 def extracted_article_pages(pages: DataFrame) -> DataFrame:
     """Fields of article pages with their affiliations, with ``reason``; ``position`` is always 0."""
     tokens = markup.tokens(F.coalesce("html", F.lit("")))
-    read = pages.withColumn("_tokens", tokens).withColumn("_raw", F.expr(raw_sections("_tokens")))
+    read = with_raw_sections(pages.withColumn("_tokens", tokens))
     with_sections = read.withColumn("sections", author_sections(F.col("_raw")))
     extracted = extracted_items(with_sections, article_rules(), carry=("page_id", "url", "sections"))
     return extract_affiliations(extracted)
@@ -462,14 +505,20 @@ def extract_rankings(
     """
     tokens = markup.tokens(F.coalesce("html", F.lit("")))
     read = pages.select(F.col(journal).alias("journal"), tokens.alias("_tokens"))
-    body = markup.first(
-        "_tokens", (of_class(RANKING_BOX_CLASS), Selector("table"), Selector("tbody"))
-    )
-    rows = markup.each(
-        markup.elements(body, Selector("tr")),
-        lambda row: markup.each(markup.elements(row, Selector("td")), markup.raw_text),
+    body = (of_class(RANKING_BOX_CLASS), Selector("table"), Selector("tbody"))
+
+    def cells_of(row: str, texts: str) -> str:
+        inside = Scope(f"{row}.entries", texts, f"{row}.end")
+        return markup.each(inside.elements(Selector("td")), inside.text)
+
+    def rows_of(scope: Scope) -> str:
+        return markup.each(scope.inside(Selector("tr")), lambda row: cells_of(row, scope.texts))
+
+    selectors = [*body, Selector("tr"), Selector("td")]
+    rows = markup.of_page(lambda page: page.within(body, rows_of))
+    read = markup.indexed(read, "_tokens", selectors).select(
+        "journal", F.coalesce(rows, F.array()).alias("_rows")
     )
-    read = read.select("journal", F.expr(f"coalesce({rows}, array())").alias("_rows"))
 
     def cells(row: Column) -> Column:
         return F.transform(row, lambda c: plain_text(c))

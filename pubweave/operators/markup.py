@@ -1,30 +1,38 @@
-"""Saved markup as a list of tags, and the elements that selectors find in it.
+"""Saved markup as a list of tags, and an index of the elements that rules look for.
 
 A page is cut at its ``<`` once. Each piece is a tag with the text after it, or plain text if it
-isn't a tag; comments, scripts and styles are left out before. An element is looked for by walking
-the list with a running depth: it ends at the tag that closes it, so an inner element of the same
-name doesn't cut it short, and nothing outside its container is seen. An element that is never
-closed isn't found.
-
-All of it is built-in expressions on one page. Each walk reads the list once, and running results are
-kept in short blocks, so the cost grows with the length of the page and not with its square.
+isn't a tag; comments, scripts and styles are left out before. The index has an entry for each tag that
+a selector may want: where it opens and where the tag stands that closes it, counted by its own name, so
+that an inner element of the same name doesn't cut it short. For this the tags of the wanted names are
+sorted by name and place, a running sum gives their depths, and at each depth of a name opening and
+closing tags alternate. Selectors then compare intervals: an element lies in its container if its tags do.
+An element that is never closed isn't found.
+
+All of it is built-in expressions on one page. Lists grow in blocks, and the entries of an item are a slice
+of the index, so the cost grows with the length of the page and not with its square.
 """
 
 from __future__ import annotations
 
 import itertools
 import re
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 # Elements without content, and elements whose content is not markup.
 VOID = "area base br col embed hr img input link meta source track wbr".split()
 RAW_TEXT = "script|style"
 
+#: Lists that grow in a fold grow in blocks of this length.
+_BLOCK = 64
+#: Bits of a tag's level and of its place with the closing flag, in the numbers that are sorted: a page may
+#: have 2**27 tags, 2**25 levels and 2**9 wanted names.
+_LEVEL, _PLACE = 26, 28
+_AT = (1 << _PLACE) - 1
+
 _HEAD = r"""(?s)^/?[a-zA-Z][^\s/>]*(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)"""
-_REGIONS = "array<struct<start:int,length:int>>"
 
 # Walks are built as SQL text: as nested columns they would take longer to build than to run.
 _names = itertools.count()
@@ -49,6 +57,13 @@ def bind(value: str, use: Callable[[str], str]) -> str:
     return f"get({each(f'array({value})', use)}, 0)"
 
 
+def part(values: str, start: str, length: str) -> str:
+    """Entries of an array from ``start``, from 0, on. Unlike ``slice`` it doesn't read the others."""
+    k, x = _name(), _name()
+    places = f"sequence({start}, {start} + greatest({length}, 1) - 1)"
+    return f"filter(transform({places}, {k} -> case when {length} > 0 then get({values}, cast({k} as int)) end), {x} -> {x} is not null)"
+
+
 @dataclass(frozen=True)
 class Selector:
     """An element by its tag, an attribute value, classes; whichever are given must all fit."""
@@ -57,14 +72,17 @@ class Selector:
     attribute: tuple[str, str] | None = None
     classes: tuple[str, ...] = ()
 
-    def fits(self, token: str) -> str:
-        found = [f"{token}.opens"]
-        if self.tag:
-            found.append(f"{token}.name = {_quoted(self.tag)}")
-        found += [f"contains({token}.classes, {_quoted(f' {c} ')})" for c in self.classes]
+    def may_fit(self, token: str) -> str:
+        """A cheap condition that every opening tag which fits meets."""
+        found = [f"{token}.name = {_quoted(self.tag)}"] if self.tag else []
+        return " and ".join(found + [f"contains({token}.head, {_quoted(c)})" for c in self.classes])
+
+    def fits(self, entry: str) -> str:
+        found = [f"{entry}.name = {_quoted(self.tag)}"] if self.tag else []
+        found += [f"contains({entry}.classes, {_quoted(f' {c} ')})" for c in self.classes]
         if self.attribute:
             name, value = self.attribute
-            found.append(f"coalesce({attribute(f'{token}.head', name)} = {_quoted(value)}, false)")
+            found.append(f"coalesce({attribute(f'{entry}.head', name)} = {_quoted(value)}, false)")
         return " and ".join(found)
 
 
@@ -102,10 +120,10 @@ def _without(html: Column, opening: str, closing: str) -> Column:
 
 
 def tokens(html: Column) -> Column:
-    """``array<struct<name, opens, step, classes, head, text>>``: each tag with the text after it.
+    """``array<struct<at, name, step, head, text>>``: each tag with the text after it.
 
-    ``classes`` are between single spaces. ``step`` is 1 for a tag that opens an element, -1 for one that closes it, 0 otherwise. The first
-    entry has the text before the first tag.
+    ``step`` is 1 for a tag that opens an element, -1 for one that closes it, 0 for one that does both; it
+    is NULL for other pieces. The first entry has the text before the first tag.
     """
     plain = _without(html, "<!--", "-->")
     plain = _without(plain, rf"(?i)<(?=(?:{RAW_TEXT})[\s>])", rf"(?i)</(?:{RAW_TEXT})\s*>")
@@ -113,27 +131,22 @@ def tokens(html: Column) -> Column:
     heads = F.transform(
         pieces,
         lambda p, k: F.struct(
-            p.alias("piece"), F.when(k > 0, F.regexp_extract(p, _HEAD, 0)).otherwise("").alias("head"), k.alias("k")
+            p.alias("piece"), F.when(k > 0, F.regexp_extract(p, _HEAD, 0)).otherwise("").alias("head"), k.alias("at")
         ),
     )
 
     def token(p: Column) -> Column:
         head = p["head"]
         name = F.lower(F.regexp_extract(head, r"^/?([a-zA-Z][^\s/>]*)", 1))
-        closes = head.startswith("/")
-        single = head.endswith("/>") | name.isin(*VOID)
         # Other pieces are declarations, which have no text of their own, or text with its "<".
         loose = F.when(
             p["piece"].rlike("^[!?][^>]*>"), F.regexp_replace(p["piece"], "^[!?][^>]*>", "")
-        ).otherwise(F.when(p["k"] == 0, p["piece"]).otherwise(F.concat(F.lit("<"), p["piece"])))
+        ).otherwise(F.when(p["at"] == 0, p["piece"]).otherwise(F.concat(F.lit("<"), p["piece"])))
+        step = F.when(head == "", F.lit(None)).when(head.startswith("/"), -1)
         return F.struct(
+            p["at"].alias("at"),
             name.alias("name"),
-            ((head != "") & ~closes).alias("opens"),
-            F.when(head == "", 0).when(closes, -1).when(single, 0).otherwise(1).alias("step"),
-            F.when(
-                head.rlike(r"(?i)\bclass\s*="),
-                F.concat(F.lit(" "), F.regexp_replace(_class(head), r"\s+", " "), F.lit(" ")),
-            ).otherwise("").alias("classes"),
+            step.when(head.endswith("/>") | name.isin(*VOID), 0).otherwise(1).alias("step"),
             head.alias("head"),
             F.when(head == "", loose)
             .otherwise(F.substring(p["piece"], F.length(head) + 1, F.length(p["piece"])))
@@ -143,134 +156,234 @@ def tokens(html: Column) -> Column:
     return F.transform(heads, lambda p: token(p))
 
 
-def _class(head: Column) -> Column:
-    """The class attribute, empty without one."""
-    value = F.regexp_replace(head, _attribute_pattern("class") + ".*$", "$1$2$3")
-    return F.coalesce(F.nullif(value, head), F.lit(""))
+def _classes(head: str) -> str:
+    """The class attribute between single spaces, empty without one."""
+    pattern = _quoted(_attribute_pattern("class") + ".*$")
+    value = f"coalesce(nullif(regexp_replace({head}, {pattern}, '$1$2$3'), {head}), '')"
+    spaced = f"concat(' ', regexp_replace({value}, {_quoted(r'\s+')}, ' '), ' ')"
+    return f"case when contains(lower({head}), 'class') then {spaced} else '' end"
 
 
-def regions(tokens: str, selector: Selector) -> str:
-    """Where the elements lie that fit, outermost only: ``array<struct<start, length>>`` in tokens, from
-    1, without the closing tag."""
-    s, t = _name(), _name()
-    seen = each(
-        tokens,
-        lambda x: f"named_struct('hit', {selector.fits(x)}, 'name', {x}.name, 'step', {x}.step)",
-    )
-    start = (
-        "named_struct('at', 0, 'depth', 0, 'tag', '', 'start', 0, "
-        f"'found', cast(array() as {_REGIONS}))"
-    )
+def running(values: str, add: Callable[[str, str], str], start: str) -> str:
+    """What ``add`` makes of the integers of an array up to each of them. They are folded in blocks, which
+    are then lifted by what came before them: a fold copies what it holds with each step."""
+    k, p, b, y, a = (_name() for _ in range(5))
+
+    def fold(own: str) -> str:
+        last = f"coalesce(get({a}, size({a}) - 1), {start})"
+        step = f"concat({a}, array({add(last, y)}))"
+        return f"aggregate({own}, cast(array() as array<int>), ({a}, {y}) -> {step})"
+
+    def blocks(v: str) -> str:
+        numbers = f"sequence(0, greatest(size({v}) - 1, 0) div {_BLOCK})"
+        length = f"least(cast(size({v}) - {k} * {_BLOCK} as int), {_BLOCK})"
+        return f"transform({numbers}, {k} -> {fold(part(v, f'cast({k} * {_BLOCK} as int)', length))})"
+
+    def lifted(parts: str) -> str:
+        ends = fold(each(parts, lambda x: f"coalesce(get({x}, size({x}) - 1), {start})"))
+        before = f"slice(concat(array({start}), {ends}), 1, size({parts}))"
+        return f"flatten(zip_with({parts}, {before}, ({p}, {b}) -> transform({p}, {y} -> {add(y, b)})))"
+
+    return bind(bind(values, blocks), lifted)
+
 
-    def added(start: str, length: str) -> str:
-        return f"concat({s}.found, array(named_struct('start', {start}, 'length', {length})))"
+def indexed(df: DataFrame, tokens: str, selectors: Sequence[Selector]) -> DataFrame:
+    """``df`` with the columns of a page's index in place of ``tokens``: ``_texts``, the texts of all tags, and
+    ``_entries``, ``array<struct<at, last, depth, name, head, classes>>`` of the opening tags that may fit a
+    selector, in order. ``last`` is where the closing tag stands, ``at`` for a tag that is its own, NULL without
+    one; ``depth`` is how many closed elements of its name it lies in, itself included.
 
-    outside, same = f"{s}.depth = 0 and {t}.hit", f"{s}.depth > 0 and {t}.name = {s}.tag"
-    step = f"""named_struct(
-        'at', {s}.at + 1,
-        'depth', case when {same} then {s}.depth + {t}.step when {s}.depth > 0 then {s}.depth
-            when {t}.hit then {t}.step else 0 end,
-        'tag', case when {outside} then {t}.name else {s}.tag end,
-        'start', case when {outside} then {s}.at + 1 else {s}.start end,
-        'found', case when {same} and {s}.depth + {t}.step = 0
-            then {added(f"{s}.start", f"{s}.at + 1 - {s}.start")}
-            when {outside} and {t}.step = 0 then {added(f"{s}.at + 1", "1")} else {s}.found end)"""
-    return f"aggregate({seen}, {start}, ({s}, {t}) -> {step}).found"
+    The index is made in steps, a column each, because nested functions are slow to analyse. What a function
+    needs of a column is bound outside of it, so that merging the steps can't compute it again and again.
+    """
+    t, e, d, k = (_name() for _ in range(4))
+    others = [c for c in df.columns if c != tokens]
+    kinds = " or ".join(sorted({f"({s.may_fit(t)})" for s in selectors}))
+
+    # Tags are numbers while they are sorted: name, level, place, and 1 if it closes, from the left; then
+    # elements are, as name, place and the place of the closing tag, 0 for none.
+    def number(kind: str, at: str, low: str) -> str:
+        return f"shiftleft(shiftleft({kind}, {_PLACE - 1}) + {at}, {_PLACE - 1}) + {low}"
+
+    def kind(names: str) -> str:
+        return f"array_position({names}, {t}.name)"
+
+    def events(names: str) -> str:
+        code = f"shiftleft({kind(names)}, {_PLACE}) + 2 * {t}.at + case {t}.step when 1 then 0 else 1 end"
+        own = f"filter({tokens}, {t} -> {t}.step <> 0 and array_contains({names}, {t}.name))"
+        return f"sort_array(transform({own}, {t} -> {code}))"
+
+    def alone(names: str) -> str:
+        own = f"filter({tokens}, {t} -> {t}.step = 0 and ({kinds}))"
+        return f"transform({own}, {t} -> {number(kind(names), f'{t}.at', f'{t}.at')})"
+
+    def depths(found: str) -> str:
+        steps = each(found, lambda x: f"1 - 2 * cast({x} & 1 as int)")
+        return running(steps, lambda a, b: f"{a} + {b}", "0")
+
+    def levels(found: str) -> str:
+        level = f"{d} - 1 + cast({e} & 1 as int) + {1 << (_LEVEL - 1)}"
+        code = f"shiftleft(shiftleft(shiftright({e}, {_PLACE}), {_LEVEL}) + {level}, {_PLACE}) + ({e} & {_AT})"
+        return f"sort_array(zip_with({found}, {depths(found)}, ({e}, {d}) -> {code}))"
+
+    def pairs(found: str) -> str:
+        # On a level of a name the next event after an opening tag closes it.
+        after = f"get({found}, {k} + 1)"
+        same = f"shiftright({after}, {_PLACE}) = shiftright({e}, {_PLACE})"
+        last = f"case when {same} then shiftright({after} & {_AT}, 1) else 0 end"
+        pair = number(f"shiftright({e}, {_PLACE + _LEVEL})", f"shiftright({e} & {_AT}, 1)", last)
+        return f"filter(transform({found}, ({e}, {k}) -> case when ({e} & 1) = 0 then {pair} end), {e} -> {e} is not null)"
+
+    at, last = f"(shiftright({e}, {_PLACE - 1}) & {_AT >> 1})", f"({e} & {_AT >> 1})"
+    closed = f"filter(_pairs, {e} -> {last} > 0)"
+    name = f"shiftleft(shiftright({e}, {2 * _PLACE - 2}), {_PLACE})"
+    both = f"array({name} + 2 * {at}, {name} + 2 * {last} + 1)"
+    nested = f"sort_array(flatten(transform({closed}, {e} -> {both})))"
+
+    def depth_of(found: str) -> str:
+        place = f"shiftleft(shiftright({e} & {_AT}, 1), 32)"
+        own = f"zip_with({found}, {depths(found)}, ({e}, {d}) -> case when ({e} & 1) = 0 then {place} + {d} end)"
+        open_ones = f"transform(filter(_pairs, {e} -> {last} = 0), {e} -> shiftleft({at}, 32))"
+        return f"sort_array(concat(filter({own}, {e} -> {e} is not null), {open_ones}))"
+
+    def wanted(own: str) -> str:
+        entry = (
+            f"named_struct('at', {t}.at, 'last', nullif(cast({e} & {(1 << 32) - 1} as int), 0), "
+            f"'depth', cast({d} & {(1 << 32) - 1} as int), 'name', {t}.name, 'head', {t}.head, "
+            f"'classes', {_classes(f'{t}.head')})"
+        )
+        tag = f"get({own}, cast(shiftright({e}, 32) as int))"
+        one = f"get(transform(array({tag}), {t} -> case when {kinds} then {entry} end), 0)"
+        placed = f"sort_array(transform(_pairs, {e} -> shiftleft({at}, 32) + {last}))"
+        return f"filter(zip_with({placed}, _depths, ({e}, {d}) -> {one}), {e} -> {e} is not null)"
 
+    names = f"array_distinct(filter({tokens}, {t} -> {t}.step >= 0 and ({kinds})).name)"
+    return (
+        df.select(
+            *others,
+            tokens,
+            F.expr(bind(names, alone)).alias("_single"),
+            F.expr(bind(bind(names, events), levels)).alias("_levels"),
+        )
+        .select(*others, tokens, F.expr(f"concat({bind('_levels', pairs)}, _single)").alias("_pairs"))
+        .select(*others, tokens, "_pairs", F.expr(bind(nested, depth_of)).alias("_depths"))
+        .select(
+            *others,
+            F.expr(each(tokens, lambda x: f"{x}.text")).alias("_texts"),
+            F.expr(bind(tokens, wanted)).alias("_entries"),
+        )
+    )
 
-def elements(tokens: str, selector: Selector) -> str:
-    """The tokens of each element that fits."""
 
-    def cut(ts: str) -> str:
-        return each(regions(ts, selector), lambda r: f"slice({ts}, {r}.start, {r}.length)")
+def of_page(use: Callable[[Scope], str]) -> Column:
+    """``use`` of a whole page, from its index."""
+    return F.expr(bind("_texts", lambda x: bind("_entries", lambda e: use(Scope(e, x)))))
 
-    return bind(tokens, cut)
 
+@dataclass(frozen=True)
+class Scope:
+    """What selectors look into: SQL of index entries, of the place where their container ends, if not
+    at the end of the page, and of the texts of the page's tags."""
 
-def select(tokens: str, path: tuple[Selector, ...]) -> str:
-    """The tokens of each element that the selectors find, one inside the other."""
-    made = f"array({tokens})"
-    for selector in path:
-        made = f"flatten({_elements_of(made, selector)})"
-    return made
+    entries: str
+    texts: str
+    end: str | None = None
 
+    def _fits(self, x: str, selector: Selector) -> str:
+        return selector.fits(x) + (f" and {x}.at < {self.end}" if self.end else "")
 
-def _elements_of(lists: str, selector: Selector) -> str:
-    return each(lists, lambda ts: elements(ts, selector))
+    def _closed(self, x: str) -> str:
+        return f"{x}.last < {self.end}" if self.end else f"{x}.last is not null"
 
+    def opening(self, selector: Selector) -> str:
+        """The opening tags that fit, as entries; they need not be closed."""
+        x = _name()
+        return f"filter({self.entries}, {x} -> {self._fits(x, selector)})"
 
-def opening(tokens: str, selector: Selector) -> str:
-    """The opening tags that fit, each as a list of its own; they need not be closed."""
-    t = _name()
-    return each(f"filter({tokens}, {t} -> {selector.fits(t)})", lambda x: f"array({x})")
+    def first(self, path: Sequence[Selector], use: Callable[[str], str]) -> str:
+        """``use`` of the entry of the first closed element of the path, each looked for in the first of the
+        one before; NULL without one."""
+        *outer, selector = path
+        if outer:
+            return self.within(outer, lambda inner: inner.first([selector], use))
 
+        def found(x: str) -> str:
+            return f"case when {self._closed(x)} then {use(x)} end"
 
-def first(tokens: str, path: tuple[Selector, ...]) -> str:
-    """The first of these, each looked for in the first of the one before; NULL without one.
+        return bind(f"get({self.opening(selector)}, 0)", found)
 
-    Only the tags of the element's own name decide where it ends, so only these are walked.
-    """
-    for selector in path:
-        tokens = bind(tokens, lambda ts, s=selector: _first(ts, s))
-    return tokens
+    def within(self, path: Sequence[Selector], use: Callable[[Scope], str]) -> str:
+        """``use`` of the first closed element of the path as a scope; NULL without one."""
+        selector, *rest = path
 
+        def found(x: str) -> str:
+            y = _name()
 
-def _first(tokens: str, selector: Selector) -> str:
-    x, k, s, t = (_name() for _ in range(4))
+            def inner(entries: str) -> str:
+                scope = Scope(entries, self.texts, f"greatest({x}.last, {x}.at + 1)")
+                return scope.within(rest, use) if rest else use(scope)
 
-    def length(rest: str) -> str:
-        own = (
-            f"filter(transform({rest}, ({x}, {k}) -> case when {x}.name = {rest}[0].name "
-            f"then named_struct('at', {k}, 'step', {x}.step) end), {x} -> {x} is not null)"
-        )
-        step = f"""case when {s}.length > 0 then {s}
-            when {s}.depth + {t}.step = 0
-            then named_struct('depth', 0, 'length', greatest({t}.at, 1))
-            else named_struct('depth', {s}.depth + {t}.step, 'length', 0) end"""
-        return f"aggregate({own}, named_struct('depth', 0, 'length', 0), ({s}, {t}) -> {step}).length"
+            return bind(f"filter({self.entries}, {y} -> {y}.at >= {x}.at)", inner)
 
-    def cut(rest: str) -> str:
-        return bind(length(rest), lambda n: f"case when {n} > 0 then slice({rest}, 1, {n}) end")
+        return self.first([selector], found)
 
-    def found(at: str) -> str:
-        rest = bind(f"slice({tokens}, cast({at} as int), size({tokens}))", cut)
-        return f"case when {at} > 0 then {rest} end"
+    def elements(self, selector: Selector) -> str:
+        """The closed elements that fit, outermost only, as ``struct<k, at, last, depth>``; ``k`` is their number
+        in the scope."""
+        x, k, i = _name(), _name(), _name()
+        hit = f"case when {self._fits(x, selector)} and {self._closed(x)} then {_place(x, k)} end"
+        hits = f"filter(transform({self.entries}, ({x}, {k}) -> {hit}), {x} -> {x} is not null)"
 
-    return bind(f"array_position({each(tokens, selector.fits)}, true)", found)
+        def outermost(found: str) -> str:
+            def clear(ends: str) -> str:
+                return f"filter({found}, ({x}, {i}) -> {x}.at > coalesce(get({ends}, {i} - 1), -1))"
 
+            if selector.tag and not selector.classes and not selector.attribute:
+                # All of the name fit, and those beside the first are as deep as it.
+                return f"filter({found}, {x} -> {x}.depth = get({found}, 0).depth)"
+            furthest = running(f"{found}.last", lambda a, b: f"greatest({a}, {b})", "-1")
+            return f"case when size({found}) < 2 then {found} else {bind(furthest, clear)} end"
 
-def pieces(tokens: str, selector: Selector) -> str:
-    """The tokens from each element's start to the next start, as (whole, tokens); ``whole`` if the
-    element closes there, and then the tokens are those of the element."""
+        return bind(hits, outermost)
 
-    def cut(ts: str) -> str:
-        t, k, a, b, start = (_name() for _ in range(5))
-        starts = (
-            f"filter(transform({ts}, ({t}, {k}) -> case when {selector.fits(t)} then {k} + 1 end), "
-            f"{start} -> {start} is not null)"
-        )
+    def inside(self, selector: Selector) -> str:
+        """The same as ``struct<entries, end>``: the entries in each element, and where it ends."""
+        x, i, y = _name(), _name(), _name()
 
-        def lists(own: str) -> str:
-            stops = f"slice(concat(slice({own}, 2, size({own})), array(size({ts}) + 1)), 1, size({own}))"
-            return f"zip_with({own}, {stops}, ({a}, {b}) -> slice({ts}, {a}, {b} - {a}))"
+        def cut(found: str) -> str:
+            stop = f"coalesce(get({found}, {i} + 1).k, size({self.entries}))"
+            own = part(self.entries, f"{x}.k", f"({stop} - {x}.k)")
+            end = f"greatest({x}.last, {x}.at + 1)"
+            made = f"named_struct('entries', filter({own}, {y} -> {y}.at < {end}), 'end', {end})"
+            return f"transform({found}, ({x}, {i}) -> {made})"
 
-        return bind(starts, lists)
+        return bind(self.elements(selector), cut)
 
-    def bounded(piece: str) -> str:
-        own = _first(piece, selector)
-        return bind(
-            own,
-            lambda e: f"named_struct('whole', {e} is not null, 'tokens', coalesce({e}, {piece}))",
+    def items(self, selector: Selector) -> str:
+        """``struct<whole, entries, end>`` of each opening tag that fits: what lies from it to the end of the
+        element, if it closes before the next one opens (``whole``), or else to the next one."""
+        x, k, i = _name(), _name(), _name()
+        starts = (
+            f"filter(transform({self.entries}, ({x}, {k}) -> case when {self._fits(x, selector)} "
+            f"then {_place(x, k)} end), {x} -> {x} is not null)"
         )
 
-    return each(bind(tokens, cut), bounded)
+        def cut(found: str) -> str:
+            after = f"get({found}, {i} + 1)"
+            upto = f"coalesce({after}.at, size({self.texts}))"
+            whole = f"coalesce({x}.last < {upto}, false)"
+            own = part(self.entries, f"{x}.k", f"(coalesce({after}.k, size({self.entries})) - {x}.k)")
+            end = f"case when {whole} then greatest({x}.last, {x}.at + 1) else {upto} end"
+            return f"transform({found}, ({x}, {i}) -> named_struct('whole', {whole}, 'entries', {own}, 'end', {end}))"
 
+        return bind(starts, cut)
 
-def raw_text(element: str) -> str:
-    """The text of an element's tokens as it stands in the page."""
-    return f"array_join({each(element, lambda t: f'{t}.text')}, '')"
+    def text(self, entry: str) -> str:
+        """The text of an element as it stands in the page."""
+        k = _name()
+        own = f"transform(sequence({entry}.at, {entry}.last - 1), {k} -> get({self.texts}, {k}))"
+        return f"case when {entry}.last > {entry}.at then array_join({own}, '') else '' end"
 
 
-def raw_attribute(element: str, name: str) -> str:
-    """An attribute of an element's opening tag as it stands in the page; NULL if it lacks it."""
-    return bind(f"get({element}, 0).head", lambda head: attribute(head, name))
+def _place(entry: str, number: str) -> str:
+    return f"named_struct('k', {number}, 'at', {entry}.at, 'last', {entry}.last, 'depth', {entry}.depth)"

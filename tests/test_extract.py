@@ -1,10 +1,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 
 import pytest
 
 from pubweave.operators import extract
+from pubweave.operators.markup import Selector, of_class
 from pubweave.schema import ARTICLE
 
 RUN = dt.date(2024, 1, 2)
@@ -167,6 +169,51 @@ def test_large_broken_pages_stay_cheap(rows):
     assert extract.extract_article_pages(pages)[1].count() == 2
 
 
+def test_cost_grows_with_the_page(rows):
+    """Pages of many elements: closed, nested, and never closed."""
+    rules = [
+        extract.Rule("all", (Selector("p"),), many=True, default="none"),
+        extract.Rule("inner", (Selector("ul"), Selector("li"), Selector("b")), many=True, default="none"),
+        extract.Rule("first", (Selector("i"),), default="none"),
+    ]
+
+    def made(n):
+        return "<p>x</p>" * n + "<i>" * n + "<ul>" + "<li><b>y</b></li>" * n + "</ul>" + "<q>" * n + "</q>" * n
+
+    def seconds(n):
+        start = time.perf_counter()
+        records, _ = extract.extract_items(rows([(1, "u", made(n))], PAGES), rules)
+        row = records.first()
+        taken = time.perf_counter() - start
+        assert (len(row["all"]), len(row["inner"]), row["first"]) == (n, n, "none")
+        return taken
+
+    seconds(1000)
+    small, large = min(seconds(10_000) for _ in range(2)), min(seconds(40_000) for _ in range(2))
+    assert large < 8 * small
+
+
+def test_elements_by_their_own_tags(rows):
+    """Nested, crossing, unclosed and self-closing elements, in and outside of containers."""
+    html = (
+        '<div class="a"><div class="b">1<div class="b">2</div>3</div><div class="b">4</div></div></div>'
+        '<div class="b">5</div><ul><li>x<ul><li>y</li></ul></li><li>z</ul><br class="b"/>6<span class="b">7'
+        '<div class="a"><span class="b">8</span><em class="b">9</div></em>'
+    )
+    rules = [
+        extract.Rule("nested", (of_class("a"), of_class("b")), many=True),
+        extract.Rule("every", (of_class("b"),), many=True),
+        extract.Rule("items", (Selector("ul"), Selector("li")), many=True),
+        extract.Rule("one", (of_class("a"), of_class("b"))),
+        extract.Rule("lost", (of_class("zzz"),), default="no"),
+    ]
+    records, _ = extract.extract_items(rows([(1, "u", html)], PAGES), rules)
+    row = records.first()
+    assert row.nested == ["123", "4", "8"]
+    assert row.every == ["123", "4", "5", "", "8", "9"]
+    assert (row["items"], row.one, row.lost) == (["xy"], "123", "no")
+
+
 RANKING = '<div class="cellslide"><table><thead><tr><td>h</td><td>1</td><td>2</td></tr></thead><tbody>{}</tbody></table></div>'
 
 
