@@ -71,24 +71,24 @@ def octaves(longest: int, least: int = LEAST) -> Iterator[Octave]:
 
 
 def block_names(words: np.ndarray, block: int) -> np.ndarray:
-    """A name of each run of ``block`` words, at its first word; shorter at the end."""
-    names, size = words, 1
-    result = None
-    place = 0
-    while block:
+    """A name of each run of ``block`` words, at its first word: equal for equal runs, and hardly ever for
+    others. Those that the end cuts short have some other name."""
+
+    def followed(left: np.ndarray, right: np.ndarray, by: int, factor: np.uint64) -> np.ndarray:
+        made = left * factor
+        made[: max(len(left) - by, 0)] += right[by:]
+        return made
+
+    names, size, made, place = words, 1, None, 0
+    while True:
         if block & 1:
-            part = names[place:]
-            if result is None:
-                result = names.copy()
-            else:
-                result[: len(part)] = spread(result[: len(part)] * MIX[0] + part)
+            made = names if made is None else followed(made, names, place, MIX[0])
             place += size
         block >>= 1
-        if block:
-            doubled = spread(names * MIX[1])
-            doubled[: max(len(names) - size, 0)] = spread(names[:-size] * MIX[1] + names[size:])
-            names, size = doubled, size * 2
-    return result
+        if not block:
+            return made
+        # Another factor for each length: words hold no pattern that all of them share.
+        names, size = followed(names, names, size, MIX[1] ^ U64(2 * size)), size * 2
 
 
 def blocks_that_recur(names: np.ndarray, octave: Octave) -> np.ndarray:
