@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from typing import TypeVar
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+T = TypeVar("T")
 U64 = np.uint64
 #: Odd factors that spread bits.
 MIX = (U64(0x9E3779B97F4A7C15), U64(0xBF58476D1CE4E5B9), U64(0x94D049BB133111EB))
@@ -61,6 +63,13 @@ def rolled(word: np.ndarray, width: int) -> np.ndarray:
     return spread(made + U64(width))
 
 
+def released(items: Iterator[T]) -> Iterator[T]:
+    """The items; after each one Arrow gives memory that it no longer uses back to the system."""
+    for item in items:
+        yield item
+        pa.default_memory_pool().release_unused()
+
+
 def slices(
     batch: pa.RecordBatch, name: str, most_bytes: int = 4 << 20, most_rows: int = 1 << 15
 ) -> Iterator[pa.RecordBatch]:

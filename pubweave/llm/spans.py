@@ -16,7 +16,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from pubweave.llm.common import column, columns, fresh, ship
-from pubweave.llm.hashing import slices
+from pubweave.llm.hashing import released, slices
 
 KEY = ["doc_id", "mark"]
 CLEANED = "struct<n_words:long,n_removed:long,kept:string>"
@@ -97,7 +97,8 @@ def cleaned(
 
     def run(texts: pa.Array, given: pa.Array) -> pa.Array:
         parts = []
-        for part in slices(pa.RecordBatch.from_arrays([texts, given], ["text", "lists"]), "text"):
+        batch = pa.RecordBatch.from_arrays([texts, given], ["text", "lists"])
+        for part in released(slices(batch, "text")):
             found = split(part.column("text"))
             parts.append(without(found, removed(found, part.column("text"), part.column("lists"))))
         return pa.concat_arrays(parts) if parts else without(split(texts), np.zeros(0, bool))
@@ -111,10 +112,10 @@ def joined(docs: DataFrame, found: DataFrame, name: str) -> tuple[DataFrame, str
     second value is the column's name in the result, which may be longer.
 
     ``found`` is a stored table and ``docs`` a scan, so a hot document is a hot key of a plain shuffle
-    join, which adaptive execution splits.
+    join, which adaptive execution splits. It is such a join at every size, for ``found`` has no bound.
     """
     out, doc, mine = fresh(docs, name), fresh(docs, "span_doc"), fresh(docs, "span_mark")
-    right = found.select(F.col("doc_id").alias(doc), F.col("mark").alias(mine), F.col(name).alias(out))
+    right = found.hint("merge").select(F.col("doc_id").alias(doc), F.col("mark").alias(mine), F.col(name).alias(out))
     same = column("doc_id").cast("long").eqNullSafe(column(doc)) & (
         mark(column("text").cast("string")) == column(mine)
     )
