@@ -4,10 +4,11 @@ starts earlier.
 Each window has a Rabin-Karp hash of 64 bits: a polynomial of the hashes of its words, from prefix sums,
 so that its cost does not depend on the width. Windows with equal hashes count as equal (of n distinct
 windows, two are confused with a chance of about n**2 / 2**65). Spark counts them: a task first reduces a
-chunk of texts to the least document of each hash, so a passage that every document has sends one row a chunk. The rows are dealt by hash and sorted by
-document, and a pass over each partition finds those whose hash an earlier document has. It remembers
-one window at a time, so a hot window needs no memory. What is found goes back to its document, one list
-a document, where the words that repeated windows cover merge into maximal intervals and go.
+chunk of texts to the least document of each hash, so a passage that every document has sends one row a
+chunk. The rows are dealt and sorted by hash, and a pass over each partition sends all but the least
+document's row of each hash. It carries one row at a time, so a hot window needs no memory. What is found
+goes back to its document, one list a document, where the words that repeated windows cover merge into
+maximal intervals and go.
 
 "Earlier" is by ``doc_id``, then by the fingerprint of the text (``spans.mark``), then by start. Rows
 without a ``doc_id`` come before all others. Copies of a row (equal ``doc_id`` and text) are one document
@@ -27,13 +28,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 
 from pubweave.llm.common import column, columns, fresh, ship, store, tasks_for
-from pubweave.llm.hashing import MIX, U64, hashed_words, slices, spread
+from pubweave.llm.hashing import MIX, U64, hashed_words, released, slices, spread
 from pubweave.llm.spans import KEY, Split, cleaned, covered, flat_lists, joined, keyed
 
 WIDTH = 20
 #: Text for a chunk and for a partition of the windows.
-CHUNK_BYTES = 8 << 20
-PART_BYTES = 16 << 20
+CHUNK_BYTES = 4 << 20
+PART_BYTES = 8 << 20
 
 #: A window and the least document of its chunk that has it; or, with ``first``, a run of windows, by
 #: their starts, of which a document of the same chunk has an earlier copy.
@@ -65,15 +66,18 @@ def windows_of(texts: pa.Array, width: int) -> tuple[np.ndarray, np.ndarray, np.
     return hashes[own], found.text[own], found.place[own]
 
 
+def doc_keys(docs: pa.RecordBatch) -> list[np.ndarray]:
+    """What documents are ordered by: whether they have an id, the id, the mark."""
+    ids = docs.column("doc_id")
+    known = pc.is_valid(ids).to_numpy(zero_copy_only=False).astype(np.int64)
+    plain = pc.fill_null(ids, 0).to_numpy(zero_copy_only=False)
+    return [known, plain, docs.column("mark").to_numpy().astype(np.int64)]
+
+
 def doc_order(docs: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     """The rows of documents in their order, rows without an id first, and the rank of each row in that
     order; copies share a rank."""
-    ids = docs.column("doc_id")
-    keys = np.stack([
-        pc.is_valid(ids).to_numpy(zero_copy_only=False).astype(np.int64),
-        pc.fill_null(ids, 0).to_numpy(zero_copy_only=False),
-        docs.column("mark").to_numpy().astype(np.int64),
-    ])
+    keys = np.stack(doc_keys(docs))
     order = np.lexsort(keys[::-1])
     keys = keys[:, order]
     return order, np.cumsum(np.concatenate([[0], (keys[:, 1:] != keys[:, :-1]).any(0)]))
@@ -117,30 +121,33 @@ def chunk_windows(docs: pa.RecordBatch, width: int) -> pa.RecordBatch:
 
 
 def later(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of rows sorted by window, then document: those whose window an earlier document has, and all runs."""
-    before = None
+    """Of rows sorted by window: all but the least document's of each window, and all runs.
+
+    The least row so far of the window at hand is carried on; a row that beats it sends it out."""
+    held: pa.RecordBatch | None = None
     for batch in batches:
         if not batch.num_rows:
             continue
-        run = pc.is_valid(batch.column("first")).to_numpy(zero_copy_only=False)
+        run = pc.is_valid(batch.column("first"))
+        yield batch.filter(run)
+        batch = batch.filter(pc.invert(run))
+        if held is not None:
+            batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
         window = batch.column("window").to_numpy()
-        id_null = pc.is_null(batch.column("doc_id")).to_numpy(zero_copy_only=False)
-        doc = pc.fill_null(batch.column("doc_id"), 0).to_numpy(zero_copy_only=False)
-        keys = np.stack([id_null.astype(np.int64), doc, batch.column("mark").to_numpy().astype(np.int64)])
-        at = np.flatnonzero(~run)
-        if not len(at):
-            yield batch
+        if not len(window):
             continue
-        own, keys = window[at], keys[:, at]
-        new = np.ones(len(at), bool)
-        new[1:] = own[1:] != own[:-1]
-        lead = keys[:, np.flatnonzero(new)[np.cumsum(new) - 1]]
-        if before is not None and before[0] == own[0]:
-            lead[:, : (own == own[0]).sum()] = np.array(before[1])[:, None]
-        before = (own[-1], lead[:, -1].tolist())
-        kept = run.copy()
-        kept[at] = (keys != lead).any(0)
-        yield batch.filter(pa.array(kept))
+        new = np.concatenate([[True], window[1:] != window[:-1]])
+        shared = np.flatnonzero(~new | ~np.append(new[1:], True))
+        keys = np.stack(doc_keys(batch))[:, shared]
+        group = np.cumsum(new)[shared]
+        order = np.lexsort([*keys[::-1], group])
+        keys, group = keys[:, order], group[order]
+        lead = np.searchsorted(group, group)
+        yield batch.take(pa.array(shared[order][(keys != keys[:, lead]).any(0)]))
+        least = len(window) - 1
+        if len(group) and not new[least]:
+            least = shared[order][lead[-1]]
+        held = batch.slice(least, 1)
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -151,13 +158,12 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
     def reduce(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for chunk in slices(batch, "text", CHUNK_BYTES):
+            for chunk in released(slices(batch, "text", CHUNK_BYTES)):
                 yield chunk_windows(chunk, width)
 
     size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     dealt = texts.mapInArrow(reduce, WINDOWS).repartition(tasks_for(docs, size, PART_BYTES), "window")
-    ordered = dealt.sortWithinPartitions("window", F.col("doc_id").asc_nulls_first(), "mark")
-    found = store(ordered.mapInArrow(later, WINDOWS), "windows").table
+    found = store(dealt.sortWithinPartitions("window").mapInArrow(later, WINDOWS), "windows").table
     lists = found.groupBy(*KEY).agg(
         F.collect_list(F.when(F.col("first").isNull(), F.col("window"))).alias("windows"),
         F.collect_list(F.when(F.col("first").isNotNull(), F.struct("first", "last"))).alias("runs"),
