@@ -1,26 +1,26 @@
 """Language-model scores with stupid backoff.
 
 A text's score is the sum over its words of ``ln S(word | the two words before)``, where S is the share
-of the n-gram among the n-grams with the same beginning if the n-gram was counted at least
-``Settings.least`` times, and otherwise ``Settings.backoff`` times S of the shorter n-gram; single words
-always count. All counts are over the whole table.
+of the n-gram among the n-grams with the same beginning if the n-gram was counted, and otherwise
+``Settings.backoff`` times S of the shorter n-gram. All counts are over the whole table, from one on.
 
 The work is relational. Texts are gathered into chunks of bounded size, which are written once. A chunk
 explodes its texts into n-grams and sends each distinct one, with its count, to the partition of the
 count table that its hash names; packed, all of a chunk for a partition in one row. Each partition adds up
 its counts and joins them back to the rows it got, which return to their chunks, where in the end the
-scores are summed by document. Words and pairs go first. Longer n-grams go one size at a time, and only
-those whose two shorter parts were counted often enough: others can't be. Hot n-grams are counted in each
-chunk first, so a partition gets one a chunk at most, and both chunks and partitions are as many as the
-size of the table asks for. Each round is a table in the shared folder.
+scores are summed by document. The longest n-grams go in a round of their own, so that the disk holds one
+size at a time, and each round is a table in the shared folder. Hot n-grams are counted in each chunk
+first, so a partition gets one a chunk at most, and both chunks and partitions are as many as the size of
+the table asks for.
 
 Words are runs without ASCII separators, as written. Null and blank texts have no words: their score is
-0 and their mean null. Repeated rows are counted and returned as often as they come.
+0 and their mean null. Repeated rows are counted and returned as often as they come. A chunk holds whole
+texts: a text longer than ``chunk_bytes`` is a chunk of its own, in one task.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
 from math import log
 
@@ -31,7 +31,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from pubweave.llm.common import ship, store, tasks_for
-from pubweave.llm.hashing import U64, Words, hashed_words, rolled, slices
+from pubweave.llm.hashing import U64, Words, hashed_words, released, rolled, slices
 
 CHUNKS = "chunk long, bytes long, docs binary"
 GRAMS = "size int, part int, chunk long, grams binary, counts binary"
@@ -46,9 +46,8 @@ class Settings:
 
     order: int = 3
     backoff: float = 0.4
-    least: int = 2
-    chunk_bytes: int = 4 << 20
-    part_bytes: int = 12 << 20
+    chunk_bytes: int = 2 << 20
+    part_bytes: int = 4 << 20
 
 
 def shuffled(values: np.ndarray) -> bytes:
@@ -90,7 +89,7 @@ def chunked(texts: DataFrame, settings: Settings) -> DataFrame:
             return columns_of([(base + number, size, raw)], CHUNKS)
 
         for batch in batches:
-            for part in slices(batch, "text", settings.chunk_bytes):
+            for part in released(slices(batch, "text", settings.chunk_bytes)):
                 held.append(part)
                 size += pc.sum(pc.binary_length(part.column("text"))).as_py() or 0
                 if size >= settings.chunk_bytes:
@@ -110,15 +109,6 @@ def opened(table: pa.Table) -> tuple[pa.Array, Words]:
     return ids, hashed_words(text, pc.ascii_split_whitespace)
 
 
-def sent_at(found: Words, size: int, counts: dict[int, np.ndarray]) -> np.ndarray:
-    """Positions whose n-grams of this size are sent: those whose parts were both counted."""
-    at = ends(found, size)
-    if size < 3:
-        return at
-    shorter = counts[size - 1]
-    return at[(shorter[at] > 0) & (shorter[at - 1] > 0)]
-
-
 def grams_at(found: Words, size: int, at: np.ndarray) -> np.ndarray:
     """Hashes of the n-grams that end at these positions. Size 0 has one n-gram, the empty one, for each
     word: its count is the number of all words."""
@@ -137,8 +127,8 @@ def counts_at(found: Words, counted: pa.Table | None) -> dict[int, np.ndarray]:
             rows.setdefault(size, []).append((part, raw))
     counts: dict[int, np.ndarray] = {}
     for size in sorted(rows):
-        sums = np.concatenate([unshuffled(raw, np.int64) for _, raw in sorted(rows[size])])
-        at = sent_at(found, size, counts)
+        sums = np.concatenate([unshuffled(raw, np.int64) for _, raw in sorted(rows.pop(size))])
+        at = ends(found, size)
         own = 0
         if size:
             _, own = np.unique(grams_at(found, size, at), return_inverse=True)
@@ -147,24 +137,19 @@ def counts_at(found: Words, counted: pa.Table | None) -> dict[int, np.ndarray]:
     return counts
 
 
-def exploded(
-    found: Words, chunk: int, sizes: Sequence[int], counts: dict[int, np.ndarray], parts: int
-) -> pa.Table:
+def exploded(found: Words, chunk: int, size: int, parts: int) -> pa.Table:
+    """The distinct n-grams of a size in a chunk, a row for each partition that counts some of them."""
     rows = []
-    for size in sizes:
-        if size > 2 and size - 1 not in counts:
-            continue
-        at = sent_at(found, size, counts)
-        gram, count = np.unique(grams_at(found, size, at), return_counts=True)
-        edges = np.searchsorted(part_of(gram, parts), np.arange(parts + 1).astype(U64))
-        for part in np.flatnonzero(np.diff(edges)).tolist():
-            own = slice(edges[part], edges[part + 1])
-            steps = np.diff(gram[own], prepend=U64(0))
-            rows.append((size, part, chunk, shuffled(steps), shuffled(count[own].astype(np.int64))))
+    gram, count = np.unique(grams_at(found, size, ends(found, size)), return_counts=True)
+    edges = np.searchsorted(part_of(gram, parts), np.arange(parts + 1).astype(U64))
+    for part in np.flatnonzero(np.diff(edges)).tolist():
+        own = slice(edges[part], edges[part + 1])
+        steps = np.diff(gram[own], prepend=U64(0))
+        rows.append((size, part, chunk, shuffled(steps), shuffled(count[own].astype(np.int64))))
     return columns_of(rows, GRAMS)
 
 
-def added_up(table: pa.Table, least: int) -> pa.Table:
+def added_up(table: pa.Table) -> pa.Table:
     """What goes back to the chunks from one partition of a count table."""
     size, part = table.column("size")[0].as_py(), table.column("part")[0].as_py()
     lists = [
@@ -174,8 +159,6 @@ def added_up(table: pa.Table, least: int) -> pa.Table:
     known, own = np.unique(np.concatenate(lists), return_inverse=True)
     # Exact: no sum comes near the 53 bits of a double.
     sums = np.bincount(own, weights=np.concatenate(counts)).astype(np.int64)
-    if size > 1:
-        sums[sums < least] = 0
     bounds = np.cumsum([0, *map(len, lists)])
     back = [shuffled(sums[own[a:b]]) for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
     chunks = table.column("chunk").to_pylist()
@@ -190,34 +173,22 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     total = chunks.agg(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     parts = tasks_for(docs, total, settings.part_bytes)
 
-    def add_up(table: pa.Table) -> pa.Table:
-        return added_up(table, settings.least)
-
-    def counted(sent: DataFrame) -> DataFrame:
-        returned = sent.groupBy("size", "part").applyInArrow(add_up, FOUND)
+    def counted(sizes: Sequence[int]) -> DataFrame:
+        def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for k in range(batch.num_rows):
+                    table = pa.Table.from_batches([batch.slice(k, 1)])
+                    _, found = opened(table)
+                    for size in sizes:
+                        yield from exploded(found, table.column("chunk")[0].as_py(), size, parts).to_batches()
+
+        sent = chunks.mapInArrow(explode, GRAMS)
+        returned = sent.groupBy("size", "part").applyInArrow(added_up, FOUND)
         return store(returned, "ngram-counts").table
 
-    def explode_short(table: pa.Table) -> pa.Table:
-        _, found = opened(table)
-        return exploded(found, table.column("chunk")[0].as_py(), range(min(3, settings.order + 1)), {}, parts)
-
-    def explode_one(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for k in range(batch.num_rows):
-                yield from explode_short(pa.Table.from_batches([batch.slice(k, 1)])).to_batches()
-
-    known = counted(chunks.mapInArrow(explode_one, GRAMS))
+    known = counted(range(min(2, settings.order) + 1))
     for size in range(3, settings.order + 1):
-
-        def explode_long(table: pa.Table, back: pa.Table, size: int = size) -> pa.Table:
-            _, found = opened(table)
-            counts = counts_at(found, back)
-            return exploded(found, table.column("chunk")[0].as_py(), [size], counts, parts)
-
-        # Which n-grams to send depends on those of two words and more.
-        shorter = known.where("size > 1").groupBy("chunk")
-        pairs = chunks.groupBy("chunk").cogroup(shorter)
-        known = known.unionByName(counted(pairs.applyInArrow(_two(explode_long), GRAMS)))
+        known = known.unionByName(counted([size]))
 
     def score(table: pa.Table, back: pa.Table) -> pa.Table:
         ids, found = opened(table)
@@ -236,10 +207,6 @@ def score_documents(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     return chunks.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(score, SCORES)
 
 
-def _two(work: Callable[..., pa.Table]) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    return lambda table, back: work(table, back)
-
-
 def log_scores(counts: dict[int, np.ndarray], found: Words, settings: Settings) -> np.ndarray:
     """``ln S`` of each word, from the counts of the n-grams of each size that end there."""
     if not len(found.word):

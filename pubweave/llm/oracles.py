@@ -33,7 +33,7 @@ select conv_id, n_turns, sha256(turns) as turns_sha256, length(loss) as loss_cha
 from grouped
 """
 
-#: Trigrams, bigrams and words by their text; n-grams of two or more words count from two on.
+#: Trigrams, bigrams and words by their text; every n-gram counts.
 OP4 = """
 with tok as (
   select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') as ws
@@ -43,8 +43,8 @@ with tok as (
   from (select doc_id, ws, unnest(range(1, len(ws) + 1)) as i from tok)
 ), n as (select count(*) as n from pos),
 c1 as (select w, count(*) as c from pos group by w),
-c2 as (select v, w, count(*) as c from pos where v is not null group by v, w having count(*) >= 2),
-c3 as (select u, v, w, count(*) as c from pos where u is not null group by u, v, w having count(*) >= 2),
+c2 as (select v, w, count(*) as c from pos where v is not null group by v, w),
+c3 as (select u, v, w, count(*) as c from pos where u is not null group by u, v, w),
 scored as (
   select p.doc_id,
     case when c3.c is not null then ln(c3.c) - ln(ctx2.c)

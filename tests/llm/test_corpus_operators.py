@@ -207,7 +207,7 @@ def plain_scores(docs, settings):
     def share(gram):
         if len(gram) == 1:
             return grams[gram] / total
-        if grams[gram] >= settings.least:
+        if grams[gram]:
             return grams[gram] / grams[gram[:-1]]
         return settings.backoff * share(gram[1:])
 
