@@ -138,6 +138,13 @@ def year_topic_pivot(spark, sf_dir):
     return topics.year_topic_pivot(articles(spark, sf_dir))
 
 
+def sparse_topic_pivot(spark, sf_dir):
+    """Every sub-title of an order as a topic: a pivot whose topics grow with the table."""
+    named = articles(spark, sf_dir).withColumn("topic", F.concat_ws(" ", "topic", "main_title"))
+    pivot = topics.sparse_pivot(topics.year_topic_counts(named), "Year")
+    return topics.long_form(pivot, "Year")
+
+
 def country_topic_counts(spark, sf_dir):
     return countries.country_topic_counts(articles(spark, sf_dir))
 
@@ -167,6 +174,13 @@ def keyword_top5(spark, sf_dir):
     return top.withColumn("position", F.row_number().over(by_count))
 
 
+def keyword_top5_certified(spark, sf_dir):
+    """The same five from hashed counters and a recount of the largest."""
+    top = keywords.top_keywords(derived.doc_articles(spark, sf_dir), 5)
+    by_count = Window.orderBy(F.desc("count"), F.asc("keyword"))
+    return top.withColumn("position", F.row_number().over(by_count))
+
+
 def _citable(spark, sf_dir):
     return _with_publisher(articles(spark, sf_dir))
 
@@ -281,6 +295,25 @@ def merge_keep_last(spark, sf_dir):
     )
 
 
+def upsert_touched(spark, sf_dir):
+    """A bucketed set after two crawls; only the buckets of the second one's keys are rewritten."""
+    root = work_path(spark, "keyed")
+    shown = ("doi", "seq", "copy", "topic")
+    schema = _existing(spark, sf_dir).select(*shown).schema
+    sources.upsert(_existing(spark, sf_dir), root, schema, order="position", buckets=32)
+    sources.upsert(_incoming(spark, sf_dir), root, schema, order="position")
+    return sources.read_keyed(spark, root, schema)
+
+
+def new_in_touched(spark, sf_dir):
+    """New records, compared only with the buckets of a set that can hold their keys."""
+    root = work_path(spark, "keyed")
+    schema = _existing(spark, sf_dir).select("doi", "seq").schema
+    sources.upsert(_existing(spark, sf_dir), root, schema, buckets=32)
+    new = _incoming(spark, sf_dir)
+    return ingest.new_only(new, sources.read_buckets_of(new, root, schema)).select("doi", "seq", "copy")
+
+
 def ingest_report(spark, sf_dir):
     return ingest.ingest_report(_existing(spark, sf_dir), _incoming(spark, sf_dir))
 
@@ -537,6 +570,16 @@ def records_roundtrip(spark, sf_dir):
     return sources.read_articles(spark, path, "json", counts.schema)
 
 
+def json_array_records(spark, sf_dir):
+    """A file with an array and one with a single object, read by many tasks."""
+    counts = topics.year_topic_counts(articles(spark, sf_dir))
+    total = counts.agg(F.lit(None).cast("int").alias("Year"), F.lit("]}, all").alias("topic"), F.sum("count").alias("count"))
+    path = work_path(spark, "arrays")
+    sources.write_records(counts, f"{path}/array", as_array=True)
+    sources.write_records(total.coalesce(1), f"{path}/object")
+    return sources.read_json_arrays(spark, f"{path}/*", counts.schema)
+
+
 def parquet_append(spark, sf_dir):
     path = work_path(spark, "articles")
     shown = [F.col(c) for c in ("doi", "seq", "copy", "topic")]
@@ -561,12 +604,14 @@ QUERIES: dict[str, Query] = {
         year_topics,
         year_topic_counts,
         year_topic_pivot,
+        sparse_topic_pivot,
         country_topic_counts,
         country_topic_counts_literal,
         country_topic_counts_distinct,
         country_topic_pivot,
         keyword_counts,
         keyword_top5,
+        keyword_top5_certified,
         top_cited_per_year,
         cited_by_year,
         coauthor_edges,
@@ -580,6 +625,8 @@ QUERIES: dict[str, Query] = {
         new_by_doi,
         insert_new_null_safe,
         merge_keep_last,
+        upsert_touched,
+        new_in_touched,
         ingest_report,
         quartile_asof,
         quartile_asof_short,
@@ -607,6 +654,7 @@ QUERIES: dict[str, Query] = {
         quartile_merge_keeps_unkeyed,
         json_roundtrip,
         records_roundtrip,
+        json_array_records,
         parquet_append,
     )
 }

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from pubweave import sources
 from pubweave.operators import (
@@ -32,10 +32,7 @@ AUTHOR_TABLE = "top_50_influential_authors"
 
 
 def _stored(spark: SparkSession, root: str) -> DataFrame:
-    current = sources.current_version(spark, root)
-    if current is None:
-        return spark.createDataFrame([], ARTICLE)
-    return sources.read_articles(spark, current, schema=ARTICLE)
+    return sources.read_keyed(spark, root, ARTICLE)
 
 
 def collect(
@@ -51,13 +48,24 @@ def collect(
 
     Of the listed items those without a stored DOI are looked up, and of the saved article pages only
     the last copies of their pages are read, once. Of records with the same DOI the last one is kept:
-    the later listing page, then the later item. The report says how many items were listed, how many
-    of them were known, how many records went to the rejects, how many were added, and how many the
-    set now has.
+    the later listing page, then the later item. Only the buckets of the new DOIs are read and rewritten.
+
+    The report says how many items were listed, how many of them were known, how many records went to the
+    rejects, how many were added, and how many the set now has. The writes themselves count, in the tasks
+    whose output is kept.
     """
-    stored = _stored(spark, root)
-    listed = store(extract.extracted_listing(listing_pages), "listed").table
-    items = store(ingest.new_only(extract.records_of(listed), stored), "items").table
+    known = sources.read_buckets_of
+    is_item = F.col("position").isNotNull()
+    listing, looked_up, lost = Observation(), Observation(), Observation()
+    listed = extract.extracted_listing(listing_pages).observe(
+        listing,
+        F.count_if(is_item).alias("found"),
+        F.count_if(is_item & F.col("reason").isNull()).alias("read"),
+    )
+    listed = store(listed, "listed").table
+    records = extract.records_of(listed)
+    new_items = ingest.new_only(records, known(records, root, ARTICLE))
+    items = store(new_items.observe(looked_up, F.count(F.lit(1)).alias("new")), "items").table
     links = items.select(F.col("doi").alias("_link")).distinct()
     wanted = article_pages.join(links, F.col("url") == F.col("_link"), "left_semi")
     pages = store(
@@ -67,34 +75,16 @@ def collect(
         items, extract.records_of(pages).drop("position"), topic, website, run_date
     )
     built = store(built, "articles").table
-    rejects = store(
-        ingest.union_all(extract.rejects_of(listed), extract.rejects_of(pages), unmatched), "rejects"
-    ).table
-    counted = ingest.ingest_report(stored, built).select("inserted", "total")
-    report = store(
-        counted.crossJoin(_counts(listed, items, rejects)).select(
-            "found", "known", "rejected", "inserted", "total"
-        ),
-        "report",
-    ).table
-    known = stored.selectExpr("*", "struct(0L as page_id, 0 as position) as seq")
+    rejected = ingest.union_all(extract.rejects_of(listed), extract.rejects_of(pages), unmatched)
+    rejects = store(rejected.observe(lost, F.count(F.lit(1)).alias("rejected")), "rejects").table
     new = built.select(*ARTICLE.names, F.struct("page_id", "position").alias("seq"))
-    merged = ingest.merge_articles(known, new)
-    sources.rewrite_articles(merged.select(ARTICLE.names), root)
-    return report, rejects
-
-
-def _counts(listed: DataFrame, items: DataFrame, rejects: DataFrame) -> DataFrame:
-    """One row: items on the listing pages, those with a stored DOI, and rejected records."""
-    is_item = F.col("position").isNotNull()
-    of_listing = listed.agg(
-        F.count_if(is_item).alias("found"), F.count_if(is_item & F.col("reason").isNull()).alias("read")
-    )
-    return (
-        of_listing.crossJoin(items.agg(F.count("*").alias("new")))
-        .crossJoin(rejects.agg(F.count("*").alias("rejected")))
-        .select("found", (F.col("read") - F.col("new")).alias("known"), "rejected")
+    done = sources.upsert(new, root, ARTICLE)
+    counts = listing.get | looked_up.get | lost.get
+    report = spark.createDataFrame(
+        [(counts["found"], counts["read"] - counts["new"], counts["rejected"], done.after - done.before, done.after)],
+        "found long, known long, rejected long, inserted long, total long",
     )
+    return report, rejects
 
 
 def add_quartiles(
@@ -106,14 +96,10 @@ def add_quartiles(
     """
     journals = extract.latest_page(ranking_pages, "journal")
     enriched = enrich.enrich_quartile(_stored(spark, root), extract.extract_rankings(journals))
-    target = _stored(spark, target_root)
     # Equal keys within a set have no order of their own; the record itself decides.
-    place = "xxhash64(to_json(struct(*))) as seq"
-    merged = ingest.merge_articles(
-        target.selectExpr("*", place), enriched.selectExpr("*", place), keep_unkeyed=True
-    )
-    path = sources.rewrite_articles(merged.select(ARTICLE.names), target_root)
-    return sources.read_articles(spark, path, schema=ARTICLE)
+    ordered = enriched.select(*ARTICLE.names).selectExpr("*", "xxhash64(to_json(struct(*))) as seq")
+    sources.upsert(ordered, target_root, ARTICLE, keep_unkeyed=True)
+    return _stored(spark, target_root)
 
 
 def load(new: DataFrame, path: str) -> DataFrame:

@@ -450,3 +450,24 @@ select doi, seq, 0 as batch from stored union all select doi, seq, 1 from incomi
         },
     ),
 }
+
+ORACLES |= {
+    "keyword_top5_certified": ORACLES["keyword_top5"],
+    "sparse_topic_pivot": _query("""
+select "Year", topic, count(*) as "count" from (
+  select "Year", concat_ws(' ', topic, main_title) as topic from articles) s group by all"""),
+    "upsert_touched": _query(
+        """
+select doi, seq, cast(copy as int) as copy, topic from both_batches qualify row_number() over (
+  partition by doi order by batch desc, position desc) = 1""",
+        {
+            "both_batches": """
+select doi, seq, copy, topic, position, 0 as batch from stored
+union all select doi, seq, copy, topic, position, 1 from incoming"""
+        },
+    ),
+    "new_in_touched": ORACLES["new_by_doi"],
+    "json_array_records": _query("""
+select "Year", topic, count(*) as "count" from articles group by all
+union all select null, ']}, all', count(*) from articles"""),
+}

@@ -1,3 +1,5 @@
+from pubweave.sources.json_arrays import read_json_arrays
+from pubweave.sources.keyed import current_manifest, read_buckets_of, read_keyed, upsert, vacuum
 from pubweave.sources.readers import (
     csv_records,
     read_articles,
@@ -15,11 +17,17 @@ from pubweave.sources.writers import (
 __all__ = [
     "append_articles",
     "csv_records",
+    "current_manifest",
     "current_version",
     "read_articles",
+    "read_buckets_of",
     "read_collection",
+    "read_json_arrays",
+    "read_keyed",
     "read_table_csv",
     "rewrite_articles",
+    "upsert",
+    "vacuum",
     "write_csv",
     "write_records",
 ]

@@ -29,9 +29,19 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
 
 
-def write_records(df: DataFrame, path: str) -> None:
-    """A result table as JSON records, one object per line."""
-    df.write.mode("overwrite").json(path)
+def write_records(df: DataFrame, path: str, as_array: bool = False) -> None:
+    """A result table as JSON records, one object per line.
+
+    ``as_array`` writes one array in one file instead, for tables whose size is bounded by their definition
+    (a top-k, a pivot); missing values are ``null`` there. Its order is that of ``df``.
+    """
+    if not as_array:
+        df.write.mode("overwrite").json(path)
+        return
+    record = F.struct(*[F.col(f"`{c}`") for c in df.columns])
+    array = df.select(record.alias("r")).coalesce(1).agg(F.collect_list("r").alias("r"))
+    text = F.to_json("r", {"ignoreNullFields": "false"})
+    array.select(text.alias("value")).write.mode("overwrite").text(path)
 
 
 def append_articles(

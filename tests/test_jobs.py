@@ -10,6 +10,7 @@ import pytest
 from pubweave import sources
 from pubweave.operators import extract
 from pubweave.plans import derived, jobs
+from pubweave.schema import ARTICLE
 
 SF_DIR = "/root/testdata/sf0.001"
 RUN = dt.date(2001, 12, 31)
@@ -36,7 +37,7 @@ def test_collect_adds_only_new_articles(spark, stored):
     assert two.found == listed.count()
     # What is neither known nor added is a reject, of the listing or after the join.
     assert two.rejected == two.found - two.known - two.inserted == rejects.count()
-    articles = sources.read_articles(spark, sources.current_version(spark, root))
+    articles = sources.read_keyed(spark, root, ARTICLE)
     assert articles.count() == two.total == articles.select("doi").distinct().count()
     assert {r.reason for r in rejects.select("reason").distinct().collect()} == {
         "link",
@@ -63,7 +64,7 @@ def derived_journal():
 
 
 def test_load_twice(spark, stored, tmp_path):
-    articles = sources.read_articles(spark, sources.current_version(spark, stored[0]))
+    articles = sources.read_keyed(spark, stored[0], ARTICLE)
     path = str(tmp_path / "store")
     assert jobs.load(articles, path).first().inserted == articles.count()
     assert jobs.load(articles, path).first().inserted == 0
@@ -71,7 +72,7 @@ def test_load_twice(spark, stored, tmp_path):
 
 
 def test_analyse_writes_four_tables(spark, stored, tmp_path):
-    articles = sources.read_articles(spark, sources.current_version(spark, stored[0]))
+    articles = sources.read_keyed(spark, stored[0], ARTICLE)
     jobs.analyse(articles, str(tmp_path))
 
     def table(name):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from pubweave.operators import cited, clean, coauthors, countries, enrich, ingest, keywords, topics
@@ -209,3 +210,43 @@ def test_vertices(rows):
     assert values(coauthors.coauthor_vertices(articles)) == [("a",), ("b",), ("c",)]
     assert values(coauthors.vertices(coauthors.coauthor_edges(articles))) == [("a",), ("b",), ("c",)]
     assert values(coauthors.coauthor_vertices(articles, years=(1995, 2005))) == [("a",), ("b",)]
+
+
+def test_top_keywords_are_certified_or_counted(spark, rows, monkeypatch):
+    skewed = [([f"k{k}"] * (200 // (k + 1)) + [None, f"rare{k}"],) for k in range(40)]
+    even = [([f"k{k % 50}"],) for k in range(500)]
+    for data, certain in ((skewed, True), (even, False)):
+        df = rows(data, "keywords array<string>")
+        expected = [tuple(r) for r in keywords.keyword_counts(df, 5).collect()]
+        found = keywords.top_keywords(df, 5, counters=512, recounted=16)
+        assert [tuple(r) for r in found.collect()] == expected
+        with monkeypatch.context() as patch:
+            full = []
+            patch.setattr(keywords, "keyword_counts", lambda *a, **k: full.append(1) or df)
+            keywords.top_keywords(df, 5, counters=512, recounted=16)
+            assert bool(full) != certain
+    assert keywords.top_keywords(rows([], "keywords array<string>"), 5).count() == 0
+    some = keywords.top_keywords(rows([(["a", "b"],)], "keywords array<string>"), 5, counters=512, recounted=1)
+    assert some.count() == 2
+
+
+def test_the_sketch_does_not_shuffle_the_vocabulary(spark):
+    words = spark.range(50_000).select(F.array(F.concat(F.lit("w"), "id"), F.lit("hot")).alias("keywords"))
+    found = keywords.top_keywords(words, 1, counters=1024, recounted=8)
+    assert [tuple(r) for r in found.collect()] == [("hot", 50_000)]
+
+
+def test_sparse_pivot_of_many_topics(spark):
+    topic = F.when(F.col("id") == 7, None).otherwise(F.concat(F.lit("t"), F.col("id") % 200_000))
+    counts = spark.range(400_000).select((F.col("id") % 3).alias("Year"), topic.alias("topic"), F.col("id").alias("count"))
+    pivot = topics.sparse_pivot(counts, "Year")
+    assert pivot.topics.count() == 200_001
+    first = pivot.topics.orderBy("number").limit(3).collect()
+    assert [tuple(r) for r in first] == [(0, "t0"), (1, "t1"), (2, "t10")]
+    assert pivot.topics.orderBy(F.desc("number")).first()["topic"] is None
+    assert pivot.cells.agg(F.max(F.size("numbers"))).first()[0] <= topics.SPARSE_TOPICS
+    back = topics.long_form(pivot, "Year").selectExpr("bit_xor(xxhash64(Year, topic, count))", "count(*)").first()
+    assert tuple(back) == tuple(counts.selectExpr("bit_xor(xxhash64(Year, topic, count))", "count(*)").first())
+    with pytest.raises(ValueError, match="sparse_pivot"):
+        topics.topic_pivot(counts, "Year")
+    assert topics.topic_pivot(counts, "Year", ["t1", None]).columns == ["Year", "t1", "null"]
