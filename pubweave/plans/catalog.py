@@ -338,6 +338,14 @@ def quartile_asof_short(spark, sf_dir):
     return enriched.groupBy("Year", F.col("publisher.Quartile").alias("found_quartile")).count()
 
 
+def quartile_asof_long(spark, sf_dir):
+    """A look-back of a hundred years, by merging sorted sides."""
+    enriched = enrich.enrich_quartile(
+        _with_publisher(articles(spark, sf_dir)), derived.rankings(spark, sf_dir), lookback=100
+    )
+    return enriched.groupBy("Year", F.col("publisher.Quartile").alias("found_quartile")).count()
+
+
 # -- saved pages
 
 
@@ -630,6 +638,7 @@ QUERIES: dict[str, Query] = {
         ingest_report,
         quartile_asof,
         quartile_asof_short,
+        quartile_asof_long,
         page_scalar_fields,
         page_list_fields,
         page_items,

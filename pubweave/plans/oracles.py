@@ -471,3 +471,7 @@ union all select doi, seq, copy, topic, position, 1 from incoming"""
 select "Year", topic, count(*) as "count" from articles group by all
 union all select null, ']}, all', count(*) from articles"""),
 }
+
+ORACLES["quartile_asof_long"] = _query(
+    'select "Year", found_quartile, count(*) as "count" from enriched group by all', _asof(100)
+)

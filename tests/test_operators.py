@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -250,3 +252,18 @@ def test_sparse_pivot_of_many_topics(spark):
     with pytest.raises(ValueError, match="sparse_pivot"):
         topics.topic_pivot(counts, "Year")
     assert topics.topic_pivot(counts, "Year", ["t1", None]).columns == ["Year", "t1", "null"]
+
+
+@pytest.mark.parametrize("lookback", [1, 2, 7, 16, 200])
+def test_merged_as_of_equals_the_listed_years(rows, lookback):
+    rng = random.Random(lookback)
+    rankings = rows(
+        [(k, f"J{rng.randrange(6)}", rng.choice([None, *range(1900, 2030)]), rng.choice(["Q1", "Q2", "", None])) for k in range(300)],
+        "pos int, journal string, Year int, Quartile string",
+    )
+    pairs = [(f"j{j}", y) for j in range(7) for y in range(1880, 2060)] + [(None, 2000), ("j1", None)]
+    wanted = rows(pairs * 2, "journal string, Year int")
+    listed = {(r.journal, r.Year): r.Quartile for r in enrich.effective_quartiles(rankings, lookback).collect()}
+    merged = enrich.asof_quartiles(wanted, rankings, lookback).collect()
+    assert len(merged) == len({(r.journal, r.Year) for r in merged})
+    assert {(r.journal, r.Year): r.Quartile for r in merged} == {k: v for k, v in listed.items() if k in set(pairs)}
