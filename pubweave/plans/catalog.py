@@ -314,6 +314,17 @@ def new_in_touched(spark, sf_dir):
     return ingest.new_only(new, sources.read_buckets_of(new, root, schema)).select("doi", "seq", "copy")
 
 
+def new_by_index(spark, sf_dir):
+    """New records of a crawl, compared only with the files of an appended set that may hold their keys."""
+    path = work_path(spark, "articles")
+    stored = _existing(spark, sf_dir).select("doi", "seq", "topic")
+    sources.append_articles(stored, path)
+    sources.index_files(spark, path, stored.schema)
+    new = _incoming(spark, sf_dir)
+    near = sources.read_files_of(new, path, stored.schema)
+    return ingest.new_only(new, near, null_safe=True).select("doi", "seq", "copy")
+
+
 def ingest_report(spark, sf_dir):
     return ingest.ingest_report(_existing(spark, sf_dir), _incoming(spark, sf_dir))
 
@@ -635,6 +646,7 @@ QUERIES: dict[str, Query] = {
         merge_keep_last,
         upsert_touched,
         new_in_touched,
+        new_by_index,
         ingest_report,
         quartile_asof,
         quartile_asof_short,

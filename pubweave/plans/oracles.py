@@ -467,6 +467,7 @@ union all select doi, seq, copy, topic, position, 1 from incoming"""
         },
     ),
     "new_in_touched": ORACLES["new_by_doi"],
+    "new_by_index": ORACLES["insert_new_null_safe"],
     "json_array_records": _query("""
 select "Year", topic, count(*) as "count" from articles group by all
 union all select null, ']}, all', count(*) from articles"""),
