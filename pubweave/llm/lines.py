@@ -291,12 +291,17 @@ def kept_lines(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 def lines_report(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """(doc_id, n_lines, n_kept, kept): of the lines with words, how many there are, how many stay, and
-    which, numbered from 0 among all lines; null texts have none."""
+    which, numbered from 0 among all lines; null texts have none. Without a ``doc_id`` all stay."""
     lines = F.split("text", "\n")
-    filled = F.size(F.filter(lines, lambda t: t.rlike(WORD)))
-    own = docs.select("doc_id", F.coalesce(filled, F.lit(0)).cast("long").alias("n_lines"))
+    filled = F.filter(F.transform(lines, lambda t, k: F.when(t.rlike(WORD), k)), lambda k: k.isNotNull())
     none = F.array().cast("array<int>")
-    kept = F.coalesce("kept", none)
+    own = docs.select("doc_id", F.coalesce(filled, none).alias("filled"))
+    own = own.select(
+        "doc_id",
+        F.size("filled").cast("long").alias("n_lines"),
+        F.when(F.col("doc_id").isNull(), F.col("filled")).alias("every"),
+    )
+    kept = F.coalesce("every", "kept", none)
     return own.join(kept_lines(docs, settings), "doc_id", "left").select(
         "doc_id", "n_lines", F.size(kept).cast("long").alias("n_kept"), kept.alias("kept")
     )
