@@ -599,6 +599,15 @@ def json_array_records(spark, sf_dir):
     return sources.read_json_arrays(spark, f"{path}/*", counts.schema)
 
 
+def collection_filtered(spark, sf_dir):
+    """A collection behind a data source that is named, with a filter and columns that it takes over."""
+    path = work_path(spark, "collection")
+    stored = articles(spark, sf_dir).select(F.col("seq").alias("_id"), "topic", "Year", "Downloads")
+    stored.write.parquet(path)
+    read = sources.read_collection(spark, "parquet", {"path": path}, stored.schema)
+    return read.where("Year >= 1995").select("_id", "Year")
+
+
 def parquet_append(spark, sf_dir):
     path = work_path(spark, "articles")
     shown = [F.col(c) for c in ("doi", "seq", "copy", "topic")]
@@ -676,6 +685,7 @@ QUERIES: dict[str, Query] = {
         json_roundtrip,
         records_roundtrip,
         json_array_records,
+        collection_filtered,
         parquet_append,
     )
 }

@@ -476,3 +476,7 @@ union all select null, ']}, all', count(*) from articles"""),
 ORACLES["quartile_asof_long"] = _query(
     'select "Year", found_quartile, count(*) as "count" from enriched group by all', _asof(100)
 )
+
+ORACLES["collection_filtered"] = _query(
+    'select cast(seq as varchar) as _id, "Year" from articles where "Year" >= 1995'
+)

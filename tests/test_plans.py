@@ -256,3 +256,8 @@ def test_merge_combines_copies_before_the_shuffle(spark, rows):
 def test_report_is_one_combined_pass(spark, rows):
     text = plan(ingest.ingest_report(copies(rows), copies(rows)))
     assert "Join" not in text and "partial_sum" in text
+
+
+def test_a_collection_takes_over_filters_and_columns(spark):
+    text = plan(QUERIES["collection_filtered"](spark, SF_DIR))
+    assert "GreaterThanOrEqual(Year,1995)" in text and "ReadSchema: struct<_id:bigint,Year:int>" in text
