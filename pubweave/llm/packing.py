@@ -7,8 +7,10 @@ holds the piece if none of them does. In the end each bin is downsized to the sm
 holds its contents. Which sizes may be opened is optimised jointly: the placement is made with each set of
 permitted sizes, the empty one too, and the cheapest outcome counts.
 
-Each shard of about ``Sizes.shard`` pieces, dealt out by a hash that equal rows don't share, is packed in a task of its own, so no task
-grows with the input, and thousands of pieces leave hardly any room unused. The unit of length is the word
+Each shard of about ``Sizes.shard`` pieces is packed by itself, so no task grows with the input, and
+thousands of pieces leave hardly any room unused. Equal rows are counted as one first; their copies are
+dealt out by their number, other pieces by a hash of what they are, so two stored copies of a table, or
+clusters of different size, make the same bins. The unit of length is the word
 unless the caller brings lengths. Texts longer than the largest size are cut between words into pieces of
 that size; pieces of a text concatenate to it. Texts without a word (null, empty, blank) need no room:
 they are in no bin. Repeated rows are packed as often as they come; ties go by ``doc_id`` and piece.
@@ -22,10 +24,9 @@ from dataclasses import dataclass
 from itertools import combinations
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, functions as F
 
-from pubweave.llm.common import SEPARATORS, ship, store, tasks_for
+from pubweave.llm.common import SEPARATORS, ship, store
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: A word with the separators after it, the first one also with those before it.
@@ -120,30 +121,37 @@ def pack_lengths(lengths: list[int], sizes: Sizes) -> list[tuple[int, list[int]]
     return best[1] if best else []
 
 
-def pieces_of(docs: DataFrame, sizes: Sizes, texts: bool) -> DataFrame:
-    """(doc_id, salt, piece, start, length, text) of all texts with a word."""
-    most = sizes.permitted[-1]
+def distinct_rows(docs: DataFrame, texts: bool) -> DataFrame:
+    """(doc_id, words, tie, text, copies): equal rows as one, with the number of their words and of them;
+    ``tie`` is a hash of the text. Without ``texts`` rows of one ``doc_id`` and length are equal."""
     text = F.coalesce("text", F.lit(""))
     counted = docs.select(
-        "doc_id", "salt", text.alias("text"), F.regexp_count(text, F.lit(WORD)).cast("long").alias("words")
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.regexp_count(text, F.lit(WORD)).cast("long").alias("words"),
+        (F.xxhash64("text") if texts else F.lit(0).cast("long")).alias("tie"),
+        (text if texts else F.lit(None).cast("string")).alias("text"),
     ).where("words > 0")
-    pieces = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("words") - 1) / most)))
-    if not texts:
-        cut = counted.select("doc_id", "salt", "words", F.lit(None).cast("string").alias("text"), pieces.alias("piece"))
-    else:
-        units = F.regexp_extract_all("text", F.lit(UNIT), 0)
-        cut_text = F.when(F.col("words") <= most, F.array("text")).otherwise(
-            F.transform(
-                F.sequence(F.lit(0).cast("long"), F.floor((F.col("words") - 1) / most)),
-                lambda k: F.array_join(F.slice("units", (k * most + 1).cast("int"), F.lit(most)), ""),
-            )
+    return counted.groupBy("doc_id", "words", "tie", "text").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def pieces_of(rows: DataFrame, sizes: Sizes) -> DataFrame:
+    """(doc_id, tie, copy, piece, start, length, text) of all copies."""
+    most = sizes.permitted[-1]
+    every = rows.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+    units = F.regexp_extract_all("text", F.lit(UNIT), 0)
+    cut_text = F.when(F.col("text").isNotNull() & (F.col("words") <= most), F.array("text")).otherwise(
+        F.transform(
+            F.sequence(F.lit(0).cast("long"), F.floor((F.col("words") - 1) / most)),
+            lambda k: F.array_join(F.slice("units", (k * most + 1).cast("int"), F.lit(most)), ""),
         )
-        with_units = counted.withColumn("units", F.when(F.col("words") > most, units))
-        cut = with_units.select("doc_id", "salt", "words", F.posexplode(cut_text).alias("piece", "text"))
+    )
+    with_units = every.withColumn("units", F.when(F.col("words") > most, units))
+    cut = with_units.select("doc_id", "tie", "copy", "words", F.posexplode(cut_text).alias("piece", "text"))
     start = F.col("piece").cast("long") * most
     return cut.select(
         "doc_id",
-        "salt",
+        "tie",
+        "copy",
         F.col("piece").cast("long").alias("piece"),
         start.alias("start"),
         F.least(F.lit(most).cast("long"), F.col("words") - start).alias("length"),
@@ -151,35 +159,30 @@ def pieces_of(docs: DataFrame, sizes: Sizes, texts: bool) -> DataFrame:
     )
 
 
-def salted(docs: DataFrame) -> DataFrame:
-    """(doc_id, text, salt): a hash of the row's place in its file, so that equal rows differ and a task
-    that runs again finds the same. What isn't read from Parquet files is written first."""
-    place_of = F.xxhash64("_metadata.file_path", "_metadata.row_index").alias("salt")
-    own = [F.col("doc_id").cast("long"), "text"]
-    try:
-        return docs.select(*own, place_of)
-    except AnalysisException:
-        return store(docs.select(*own), "packed").table.select(*own, place_of)
-
-
 def pack(docs: DataFrame, sizes: Sizes = Sizes(), texts: bool = True) -> DataFrame:
     """A row per bin: its id, size and use, and lists that run in parallel: which piece of which document
-    starts where in its text, how long it is, where it lies in the bin, and its text."""
+    starts where in its text, how long it is, where it lies in the bin, and its text. The bins depend on the
+    rows alone, not on how they are stored or on the cluster."""
     ship(docs.sparkSession)
-    rows = salted(docs)
-    pieces = pieces_of(rows, sizes, texts)
-    total = pieces_of(rows, sizes, False).count()
-    shards = tasks_for(docs, total, sizes.shard)
-    shard = F.pmod(F.xxhash64("doc_id", "piece", "length", "salt"), F.lit(shards))
+    rows = store(distinct_rows(docs, texts), "packed").table
+    most = sizes.permitted[-1]
+    total = rows.agg(F.sum(F.col("copies") * F.ceil(F.col("words") / most))).first()[0] or 0
+    shards = max(1, -(-int(total) // sizes.shard))
+    shard = F.pmod(F.xxhash64("doc_id", "piece", "length", "tie", "copy"), F.lit(shards))
+    # A shard is costly though it is small, so they are not joined to larger partitions.
+    cores = docs.sparkSession.sparkContext.defaultParallelism
+    tasks = min(shards, max(8 * cores, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
 
     def packed(rows: pd.DataFrame) -> pd.DataFrame:
         return pd.DataFrame(bins_of(rows, sizes), columns=[c.split()[0] for c in BIN.split(", ")])
 
-    return pieces.withColumn("shard", shard).drop("salt").groupBy("shard").applyInPandas(packed, BIN)
+    dealt = pieces_of(rows, sizes).withColumn("shard", shard).repartition(tasks, "shard")
+    return dealt.groupBy("shard").applyInPandas(packed, BIN)
 
 
 def bins_of(rows: pd.DataFrame, sizes: Sizes) -> Iterable[tuple]:
-    rows = rows.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
+    order = ["length", "doc_id", "piece", "tie", "copy"]
+    rows = rows.sort_values(order, ascending=[False, True, True, True, True], kind="stable")
     lengths, shard = rows["length"].tolist(), int(rows["shard"].iloc[0])
     columns = {c: rows[c].tolist() for c in ("doc_id", "piece", "start", "text")}
     ids = [None if pd.isna(d) else int(d) for d in columns["doc_id"]]

@@ -11,6 +11,7 @@ from dataclasses import replace
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from pubweave.llm import lines, minhash, ngrams, packing, pivots
 from pubweave.llm.components import components
@@ -105,6 +106,14 @@ def test_lines_shuffled_instead_of_broadcast(rows):
     assert {d: k for d, k in found.items() if k} == dict(plain_lines(given))
 
 
+def test_lines_without_an_id_stay(rows):
+    given = [(1, "a b c d e"), (None, "a b c d e\n\na b c d e"), (None, None), (2, "a b c d e")]
+    found = lines.lines_report(rows(given, DOCS)).collect()
+    assert sorted((r.doc_id or 0, r.n_lines, r.n_kept, r.kept) for r in found) == [
+        (0, 0, 0, []), (0, 2, 2, [0, 2]), (1, 1, 1, [0]), (2, 1, 0, []),
+    ]
+
+
 def test_dedup_lines_texts(rows):
     schema = "doc_id long, text string, line int, kept int, `a.b` int"
     given = [*ODD, (None, "one"), (7, "x y z\n\none\nz y x"), (8, "x y z"), (8, "x y z"), (9, "p q\n \nr s")]
@@ -311,6 +320,28 @@ def test_equal_rows_spread_over_shards(spark, rows, tmp_path, from_files):
     assert Counter(t for b in bins for t in b.texts) == {"a b c": 1500, "d e": 1500}
 
 
+def test_bins_depend_on_the_rows_alone(spark, rows, tmp_path):
+    """The same rows in other files, in other order, and with other settings."""
+    given = [tuple(r) for r in texts_of(spark).collect()] + ODD + [(None, "a b c")] * 40 + [(5, "d e"), (5, "f g")] * 20
+    docs, sizes = rows(given, DOCS), replace(packing.Sizes(), shard=60)
+    docs.coalesce(1).write.parquet(f"{tmp_path}/one")
+    docs.orderBy(F.xxhash64("text")).repartition(7).write.parquet(f"{tmp_path}/two")
+
+    def bins(df, texts):
+        found = packing.pack(df, sizes, texts).collect()
+        return sorted((b.bin_id, b.bin_size, b.doc_ids, b.pieces, b.lengths, b.texts) for b in found)
+
+    for texts in (True, False):
+        first = bins(spark.read.parquet(f"{tmp_path}/one"), texts)
+        before = spark.conf.get("spark.sql.shuffle.partitions")
+        spark.conf.set("spark.sql.shuffle.partitions", "3")
+        try:
+            second = bins(spark.read.parquet(f"{tmp_path}/two"), texts)
+        finally:
+            spark.conf.set("spark.sql.shuffle.partitions", before)
+        assert str(first) == str(second) and len(first) > 5
+
+
 def cost_of(lengths, sizes):
     return sum(sizes.cost(size) for size, _ in packing.pack_lengths(lengths, sizes))
 
