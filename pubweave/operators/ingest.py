@@ -36,8 +36,11 @@ def new_only(
 
     few = wanted.joinable(broadcast_bytes)
     met = stored_keys.join(few, same(F.col("_known"), F.col("_wanted")), "left_semi").distinct()
-    # At most the new keys, so their measured size bounds this side too.
-    known = store(met, "known-keys").joinable(broadcast_bytes)
+    # At most the new keys, so their measured size bounds this side too: few are broadcast as they are.
+    if wanted.size <= broadcast_bytes:
+        known = F.broadcast(met)
+    else:
+        known = store(met, "known-keys").joinable(broadcast_bytes)
     return new.join(known, same(new[key], known["_known"]), "left_anti")
 
 
