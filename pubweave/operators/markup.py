@@ -75,7 +75,10 @@ class Selector:
     def may_fit(self, token: str) -> str:
         """A cheap condition that every opening tag which fits meets."""
         found = [f"{token}.name = {_quoted(self.tag)}"] if self.tag else []
-        return " and ".join(found + [f"contains({token}.head, {_quoted(c)})" for c in self.classes])
+        found += [f"contains({token}.head, {_quoted(c)})" for c in self.classes]
+        if self.attribute:
+            found.append(f"contains(lower({token}.head), {_quoted(self.attribute[0].lower())})")
+        return " and ".join(found) or "true"
 
     def fits(self, entry: str) -> str:
         found = [f"{entry}.name = {_quoted(self.tag)}"] if self.tag else []
@@ -83,7 +86,7 @@ class Selector:
         if self.attribute:
             name, value = self.attribute
             found.append(f"coalesce({attribute(f'{entry}.head', name)} = {_quoted(value)}, false)")
-        return " and ".join(found)
+        return " and ".join(found) or "true"
 
 
 def of_class(*names: str, tag: str | None = None) -> Selector:

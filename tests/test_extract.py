@@ -198,7 +198,7 @@ def test_elements_by_their_own_tags(rows):
     html = (
         '<div class="a"><div class="b">1<div class="b">2</div>3</div><div class="b">4</div></div></div>'
         '<div class="b">5</div><ul><li>x<ul><li>y</li></ul></li><li>z</ul><br class="b"/>6<span class="b">7'
-        '<div class="a"><span class="b">8</span><em class="b">9</div></em>'
+        '<div class="a"><span class="b">8</span><em class="b">9</div></em><q id="k\'1">10</q>'
     )
     rules = [
         extract.Rule("nested", (of_class("a"), of_class("b")), many=True),
@@ -206,12 +206,15 @@ def test_elements_by_their_own_tags(rows):
         extract.Rule("items", (Selector("ul"), Selector("li")), many=True),
         extract.Rule("one", (of_class("a"), of_class("b"))),
         extract.Rule("lost", (of_class("zzz"),), default="no"),
+        extract.Rule("by_value", (Selector(attribute=("ID", "k'1")),)),
+        extract.Rule("any", (Selector(), Selector("em")), many=True),
     ]
     records, _ = extract.extract_items(rows([(1, "u", html)], PAGES), rules)
     row = records.first()
     assert row.nested == ["123", "4", "8"]
     assert row.every == ["123", "4", "5", "", "8", "9"]
     assert (row["items"], row.one, row.lost) == (["xy"], "123", "no")
+    assert (row.by_value, row["any"]) == ("10", [])  # the one there is crosses its container
 
 
 RANKING = '<div class="cellslide"><table><thead><tr><td>h</td><td>1</td><td>2</td></tr></thead><tbody>{}</tbody></table></div>'
