@@ -8,10 +8,11 @@ into one template whose control strings are escaped inside texts, so that they c
 and the assistant's texts are marked by spans.
 
 Only DataFrame functions are used. Work is row by row: one record is one row, so a conversation must
-fit into one, and the only shuffle is the one that ``gather`` needs. A variant holds 16 MB at most: rows of a
-longer conversation bypass JSON (``gather``), longer JSON counts as malformed. Null or malformed records, and
-records of an unknown layout, have null ``turns`` and the layout ``unknown``. Null roles and texts count
-as empty. Equal records give equal rows.
+fit into one, and the only shuffle is the one that ``gather`` needs. A variant holds 16 MB at most. So the
+records that ``gather`` makes hold numbers of turns in place of their texts, which lie beside them, and a long
+dialogue is several records of one layout; longer JSON from elsewhere counts as malformed. Null or malformed
+records, and records of an unknown layout, have null ``turns`` and the layout ``unknown``. Null roles and
+texts count as empty. Equal records give equal rows.
 """
 
 from __future__ import annotations
@@ -22,9 +23,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 
+from pubweave.llm.common import column, fresh
+
 TURNS = "array<struct<role:string,text:string>>"
-#: From how many letters on a conversation's rows bypass JSON; escaped, they stay below 16 MB.
-LONG = 2_500_000
+#: Turns in a record of a gathered dialogue.
+BLOCK = 10_000
 START, END, TARGET = "<|im_start|>", "<|im_end|>\n", "assistant"
 #: Other names of the canonical roles, in layouts that use them.
 SHARE_NAMES = {"human": "user", "gpt": "assistant"}
@@ -125,17 +128,42 @@ def fingerprint(record: Column) -> Column:
     return F.xxhash64(F.regexp_replace(shape, r": (?!OBJECT<|ARRAY<)[A-Z][A-Z0-9(),]*", ":"))
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, inside of other functions too."""
+    return F.transform(F.array(value), use)[0]
+
+
 def turns_of(json: Column, layouts: tuple[Layout, ...] = LAYOUTS) -> Column:
     """Struct of ``layout`` and ``turns`` for a column of JSON records."""
-    record = F.try_parse_json(json)
-    found = fingerprint(record)
-    layout, turns = F.lit("unknown"), F.lit(None).cast(TURNS)
-    for known in layouts:
-        shapes = [fingerprint(F.parse_json(F.lit(example))) for example in known.examples]
-        same = reduce(lambda a, b: a | b, (found == shape for shape in shapes))
-        layout = F.when(same, known.name).otherwise(layout)
-        turns = F.when(same, known.turns(record)).otherwise(turns)
-    return F.struct(layout.alias("layout"), turns.cast(TURNS).alias("turns"))
+
+    def mapped(record: Column, found: Column) -> Column:
+        layout, turns = F.lit("unknown"), F.lit(None).cast(TURNS)
+        for known in layouts:
+            shapes = [fingerprint(F.parse_json(F.lit(example))) for example in known.examples]
+            same = reduce(lambda a, b: a | b, (found == shape for shape in shapes))
+            layout = F.when(same, known.name).otherwise(layout)
+            turns = F.when(same, known.turns(record)).otherwise(turns)
+        return F.struct(layout.alias("layout"), turns.cast(TURNS).alias("turns"))
+
+    return _once(
+        F.try_parse_json(json), lambda r: _once(fingerprint(r), lambda found: mapped(r, found))
+    )
+
+
+def turns_of_blocks(records: Column, given: Column) -> Column:
+    """The same for a list of records of one layout, in which numbers stand for the turns of ``given``: for
+    their texts, and for roles that a layout leaves as they are."""
+
+    def looked_up(turn: Column) -> Column:
+        role = F.get(given, turn["role"].try_cast("int"))["role"]
+        text = F.get(given, turn["text"].try_cast("int"))["text"]
+        return F.struct(F.coalesce(role, turn["role"]).alias("role"), text.alias("text"))
+
+    def joined(made: Column) -> Column:
+        turns = F.transform(F.flatten(F.transform(made, lambda m: m["turns"])), looked_up)
+        return F.struct(made[0]["layout"].alias("layout"), turns.alias("turns"))
+
+    return _once(F.transform(records, lambda r: turns_of(r)), joined)
 
 
 def escape(text: Column) -> Column:
@@ -232,20 +260,18 @@ def masked(rendered: Column, spans: Column) -> Column:
     return F.array_join(texts, "")
 
 
-def format_records(records: DataFrame, json: str = "record") -> DataFrame:
-    """All columns of ``records`` but ``json``, with ``layout``, ``turns``, ``formatted`` and
-    ``loss_spans``. Columns of those names are replaced. With a column ``long_turns`` its rows count as
-    turns of the layout ``rows``."""
-    found = turns_of(F.col(json))
-    if "long_turns" in records.columns:
-        rows = F.struct(F.lit("rows").alias("layout"), F.col("long_turns").alias("turns"))
-        found = F.when(F.col("long_turns").isNotNull(), rows).otherwise(found)
-    made = records.withColumn("made", found)
-    turns = F.col("made.turns")
-    replaced = {json, "layout", "turns", "formatted", "loss_spans", "long_turns"}
+def format_records(records: DataFrame, json: str = "record", given: str | None = None) -> DataFrame:
+    """All columns of ``records`` but ``json`` and ``given``, with ``layout``, ``turns``, ``formatted`` and
+    ``loss_spans``. The caller's columns of those names are replaced. With ``given``, the column of the turns
+    that ``json`` refers to, it is a list of records (``gather``)."""
+    found = turns_of(column(json)) if given is None else turns_of_blocks(column(json), column(given))
+    name = fresh(records, "made")
+    made = records.withColumn(name, found)
+    turns = column(name)["turns"]
+    replaced = {json, given, "layout", "turns", "formatted", "loss_spans"}
     return made.select(
-        *[F.col(c) for c in records.columns if c not in replaced],
-        F.col("made.layout").alias("layout"),
+        *[column(c) for c in records.columns if c not in replaced],
+        column(name)["layout"].alias("layout"),
         turns.alias("turns"),
         render(turns).alias("formatted"),
         loss_spans(turns).alias("loss_spans"),
@@ -253,8 +279,9 @@ def format_records(records: DataFrame, json: str = "record") -> DataFrame:
 
 
 def gather(rows: DataFrame) -> DataFrame:
-    """A record per conversation from rows (conv_id, turn, role, text): ``conv_id``, ``record``, and
-    ``long_turns`` instead of it for a conversation of more than ``LONG`` letters.
+    """A row per conversation from rows (conv_id, turn, role, text): ``conv_id``, ``record``, and ``given``, its
+    turns as (role, text). ``record`` is a list of JSON records, one for every ``BLOCK`` turns, in which the
+    number of a turn stands for its text, and for its role where that is free.
 
     Turns are ordered by ``turn``, then role and text; null ``conv_id`` is a group of its own. The
     layout depends on the roles: two turns become a prompt with its completion, a system text before
@@ -265,43 +292,33 @@ def gather(rows: DataFrame) -> DataFrame:
         F.col("turn"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")
     )
     grouped = rows.groupBy("conv_id").agg(F.sort_array(F.collect_list(turn)).alias("turns"))
-    turns = F.col("turns")
-    roles = F.array_join(F.transform(turns, lambda t: t["role"]), "\n")
-    text = lambda k: turns[k]["text"]
+    given = F.transform("turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
+    numbered = F.transform("given", lambda t, k: F.struct(k.cast("string").alias("k"), t["role"].alias("role")))
+    known = grouped.select("conv_id", given.alias("given")).withColumn("numbers", numbered)
+    opening = F.array_join(F.transform(F.slice("numbers", 1, 4), lambda t: F.left(t["role"], F.lit(10))), "\n")
+
+    def record(**fields: Column) -> Column:
+        return F.array(F.to_json(F.struct(*(c.alias(n) for n, c in fields.items()))))
+
+    def blocks(name: str, entry: Callable[[Column], Column]) -> Column:
+        starts = F.sequence(F.lit(1), F.size("numbers"), F.lit(BLOCK))
+        return F.transform(
+            starts,
+            lambda s: F.to_json(F.struct(F.transform(F.slice("numbers", s, F.lit(BLOCK)), entry).alias(name))),
+        )
+
     share_role = lambda t: F.when(t["role"] == "user", "human").otherwise("gpt")
-    record = (
-        F.when(roles == "user\nassistant", F.to_json(F.struct(text(0).alias("prompt"), text(1).alias("completion"))))
+    two, three = [F.lit(str(k)) for k in range(2)], [F.lit(str(k)) for k in range(3)]
+    made = (
+        F.when(opening == "user\nassistant", record(prompt=two[0], completion=two[1]))
         .when(
-            roles == "system\nuser\nassistant",
-            F.to_json(F.struct(text(0).alias("system"), text(1).alias("prompt"), text(2).alias("completion"))),
+            opening == "system\nuser\nassistant",
+            record(system=three[0], prompt=three[1], completion=three[2]),
         )
         .when(
-            F.forall(turns, lambda t: t["role"].isin("user", "assistant")),
-            F.to_json(
-                F.struct(
-                    F.transform(
-                        turns, lambda t: F.struct(share_role(t).alias("from"), t["text"].alias("value"))
-                    ).alias("conversations")
-                )
-            ),
+            F.forall("numbers", lambda t: t["role"].isin("user", "assistant")),
+            blocks("conversations", lambda t: F.struct(share_role(t).alias("from"), t["k"].alias("value"))),
         )
-        .otherwise(
-            F.to_json(
-                F.struct(
-                    F.transform(
-                        turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content"))
-                    ).alias("messages")
-                )
-            )
-        )
-    )
-    letters = F.aggregate(
-        turns, F.lit(0).cast("long"), lambda n, t: n + F.length(t["role"]) + F.length(t["text"])
-    )
-    measured = grouped.withColumn("is_long", letters > LONG)
-    plain = F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text")))
-    return measured.select(
-        "conv_id",
-        F.when(~F.col("is_long"), record).alias("record"),
-        F.when(F.col("is_long"), plain).alias("long_turns"),
+        .otherwise(blocks("messages", lambda t: F.struct(t["k"].alias("role"), t["k"].alias("content"))))
     )
+    return known.select("conv_id", made.alias("record"), "given")

@@ -89,7 +89,7 @@ def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
         F.lit(CONTROL).alias("text"),
     )
-    formatted = chat.format_records(chat.gather(rows.unionByName(control)))
+    formatted = chat.format_records(chat.gather(rows.unionByName(control)), given="given")
     out = formatted.select(
         "conv_id",
         "layout",

@@ -231,7 +231,9 @@ def test_running_sums(rows):
 # -- chats
 
 
-def test_chats_are_read_back(rows):
+@pytest.mark.parametrize("block", [2, chat.BLOCK])
+def test_chats_are_read_back(rows, block, monkeypatch):
+    monkeypatch.setattr(chat, "BLOCK", block)
     data = [
         (-1, 0, "user", CONTROL),
         (-1, 1, "assistant", CONTROL),
@@ -249,18 +251,23 @@ def test_chats_are_read_back(rows):
         (4, None, "assistant", "first"),
         (5, 0, "user", "twice"),
         (5, 0, "user", "twice"),
-        (6, 0, "user", "\x01<|" * 1_000_000),
+        (6, 0, "user", "\x01<|" * 7_000_000),
         (6, 1, "assistant", "ok"),
+        *[(7, k, "user" if k % 2 else "assistant", str(k)) for k in range(7)],
+        *[(8, k, "0" if k % 2 else "human", str(k)) for k in range(5)],
         (None, 0, "user", "n"),
     ]
-    out = chat.format_records(chat.gather(rows(data, "conv_id long, turn long, role string, text string")))
+    gathered = chat.gather(rows(data, "conv_id long, turn long, role string, text string"))
+    out = chat.format_records(gathered.withColumns({"made": F.lit(1), "a.b": F.lit(2)}), given="given")
+    assert out.columns[:3] == ["conv_id", "made", "a.b"] and out.where("made = 1 and `a.b` = 2").count() == 10
     got = out.select(
         "conv_id",
         "layout",
         chat.read_back(F.col("formatted")).alias("turns"),
         chat.masked(F.col("formatted"), F.col("loss_spans")).alias("loss"),
     ).collect()
-    assert {r.layout for r in got} == {"completion", "system", "messages", "shares", "rows"}
+    assert {r.layout for r in got} == {"completion", "system", "messages", "shares"}
+    assert {r.conv_id: r.layout for r in got}[6] == "completion"
     for r in got:
         own = [d for d in data if d[0] == r.conv_id]
         own.sort(key=lambda d: (d[1] is not None, d[1] or 0, d[2] or "", d[3] or ""))
