@@ -43,8 +43,8 @@ from pubweave.llm.hashing import MIX, U64, hashed_words, slices, spread
 from pubweave.llm.spans import KEY, Split, cleaned, covered, flat_lists, joined, keyed
 
 LEAST = 12
-TILES = "salt long, doc_id long, mark int, block int, low int, high int, start long, size int, words binary"
-FRAGMENTS = "doc_id long, mark int, period int, first long, end long"
+TILES = "salt long, doc_id long, mark long, block int, low int, high int, start long, size int, words binary"
+FRAGMENTS = "doc_id long, mark long, period int, first long, end long"
 #: Words of tiles in a batch, and text for a chunk and for a task that solves tiles.
 TILE_WORDS = 1 << 18
 CHUNK_BYTES = 2 << 20
@@ -216,7 +216,7 @@ def solved(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for q, first, end in solve(words, row["size"], octave):
                 rows.append((row["doc_id"], row["mark"], q, row["start"] + first, row["start"] + end))
         if rows:
-            kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int64()]
             made = [pa.array(v, k) for v, k in zip(zip(*rows, strict=True), kinds, strict=True)]
             yield pa.record_batch(made, names_of(FRAGMENTS))
 

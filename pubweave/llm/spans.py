@@ -22,15 +22,16 @@ KEY = ["doc_id", "mark"]
 CLEANED = "struct<n_words:long,n_removed:long,kept:string>"
 
 
-def mark(text: Column) -> Column:
-    """31 bits of a hash of the text; 0 for null."""
-    return F.when(text.isNull(), 0).otherwise(F.xxhash64(text).bitwiseAND(0x7FFFFFFF)).cast("int")
+def mark(doc_id: Column, text: Column) -> Column:
+    """A hash of the text, 0 for null: of 31 bits where a ``doc_id`` tells most rows apart, else of 63."""
+    bits = F.when(doc_id.isNull(), F.lit((1 << 63) - 1)).otherwise(F.lit((1 << 31) - 1))
+    return F.when(text.isNull(), F.lit(0)).otherwise(F.xxhash64(text).bitwiseAND(bits)).cast("long")
 
 
 def keyed(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``mark`` and ``text`` of each row."""
-    text = column("text").cast("string")
-    return docs.select(column("doc_id").cast("long").alias("doc_id"), mark(text).alias("mark"), text.alias("text"))
+    doc_id, text = column("doc_id").cast("long"), column("text").cast("string")
+    return docs.select(doc_id.alias("doc_id"), mark(doc_id, text).alias("mark"), text.alias("text"))
 
 
 @dataclass(frozen=True)
@@ -116,8 +117,7 @@ def joined(docs: DataFrame, found: DataFrame, name: str) -> tuple[DataFrame, str
     """
     out, doc, mine = fresh(docs, name), fresh(docs, "span_doc"), fresh(docs, "span_mark")
     right = found.hint("merge").select(F.col("doc_id").alias(doc), F.col("mark").alias(mine), F.col(name).alias(out))
-    same = column("doc_id").cast("long").eqNullSafe(column(doc)) & (
-        mark(column("text").cast("string")) == column(mine)
-    )
+    doc_id, text = column("doc_id").cast("long"), column("text").cast("string")
+    same = doc_id.eqNullSafe(column(doc)) & (mark(doc_id, text) == column(mine))
     both = docs.join(right, same, "left")
     return both.select(*columns(docs), column(out)), out

@@ -38,7 +38,7 @@ PART_BYTES = 8 << 20
 
 #: A window and the least document of its chunk that has it; or, with ``first``, a run of windows, by
 #: their starts, of which a document of the same chunk has an earlier copy.
-WINDOWS = "window long, doc_id long, mark int, first int, last int"
+WINDOWS = "window long, doc_id long, mark long, first int, last int"
 _BASE = MIX[0]
 _INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
 

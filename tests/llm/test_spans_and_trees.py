@@ -265,7 +265,7 @@ def test_repeats_agree_with_brute_force(rows, width, monkeypatch):
 
 def test_a_hot_passage_sends_one_row_a_chunk():
     text = " ".join(f"w{k}" for k in range(30))
-    docs = pa.record_batch([pa.array([3, 1, 2, 1]), pa.array([0, 0, 0, 0], pa.int32()), pa.array([text] * 4)], ["doc_id", "mark", "text"])
+    docs = pa.record_batch([pa.array([3, 1, 2, 1]), pa.array([0, 0, 0, 0]), pa.array([text] * 4)], ["doc_id", "mark", "text"])
     made = substrings.chunk_windows(docs, 20).to_pylist()
     windows = [r for r in made if r["first"] is None]
     assert len(windows) == 11 and {r["doc_id"] for r in windows} == {1}
@@ -274,7 +274,7 @@ def test_a_hot_passage_sends_one_row_a_chunk():
 
 def test_a_window_across_batches():
     names = ["window", "doc_id", "mark", "first", "last"]
-    kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32()]
     rng = random.Random(3)
     given = [(rng.randrange(40) // 3, rng.choice([None, rng.randrange(9)]), rng.randrange(2), None, None) for _ in range(300)]
     given = sorted(given, key=lambda r: r[0])
