@@ -3,7 +3,8 @@
 For each file of the set the index keeps the bits of its keys, in blocks of ``BLOCK_BITS``; a key sets
 ``PROBES`` bits of one block of its file. How many blocks a file has follows from its number of keys, as a
 power of two, so that a block has about ``BITS_PER_KEY`` bits per key. The bits are made by Spark's bitmap
-aggregates, combined in the tasks. A few keys are then looked up in the blocks they fall into, and only files
+aggregates; a task makes those of whole blocks, of about ``TASK_KEYS`` keys in all, because their rows are
+sorted in it. A few keys are then looked up in the blocks they fall into, and only files
 in which all bits of some key are set are read for the exact comparison. A file without an index entry is
 always read. So no record is lost or found in excess; the index only saves reading.
 """
@@ -19,6 +20,8 @@ from pubweave.storage import path_exists, store
 BLOCK_BITS = 32768
 BITS_PER_KEY = 16
 PROBES = 5
+#: Keys whose bits one task sets; it sorts ``PROBES`` rows for each.
+TASK_KEYS = 500_000
 #: Hidden from readers of the set by its underscore.
 _INDEX = "_bloom"
 _SCHEMA = "file string, blocks int, block int, bits binary"
@@ -68,12 +71,28 @@ def index_files(spark: SparkSession, path: str, schema: T.StructType, key: str =
     )
     wanted = F.ceil(F.count(F.lit(1)) * BITS_PER_KEY / BLOCK_BITS)
     sizes = store(
-        keys.groupBy("file").agg(F.pow(F.lit(2), F.ceil(F.log2(wanted))).cast("int").alias("blocks")), "bloom-sizes"
+        keys.groupBy("file")
+        .agg(
+            F.pow(F.lit(2), F.ceil(F.log2(wanted))).cast("int").alias("blocks"),
+            F.count(F.lit(1)).alias("keys"),
+        )
+        .withColumn("number", F.monotonically_increasing_id()),
+        "bloom-sizes",
     )
-    place = keys.join(sizes.joinable(), "file").select(
-        "file", "blocks", _block(F.col("key"), F.col("blocks")).alias("block"), F.explode(_probes(F.col("key"))).alias("bit")
+    total = sizes.table.agg(F.sum("keys")).first()[0] or 0
+    # Numbers stand for the files in what is shuffled and sorted. Copies of a key go before its block becomes a
+    # task's.
+    placed = keys.join(sizes.joinable(), "file").select(
+        "number", _block(F.col("key"), F.col("blocks")).alias("block"), _probes(F.col("key")).alias("probes")
+    )
+    dealt = placed.distinct().repartition(max(1, -(-total // TASK_KEYS)), "number", "block")
+    bits = (
+        dealt.select("number", "block", F.explode("probes").alias("bit"))
+        .groupBy("number", "block")
+        .agg(F.bitmap_construct_agg("bit").alias("bits"))
+        .join(F.broadcast(sizes.table.select("number", "file", "blocks")), "number")
+        .select("file", "blocks", "block", "bits")
     )
-    bits = place.groupBy("file", "blocks", "block").agg(F.bitmap_construct_agg("bit").alias("bits"))
     bits.write.mode("append").parquet(f"{path}/{_INDEX}")
     return len(missing)
 

@@ -47,6 +47,20 @@ def test_folders_with_odd_names(spark, rows, tmp_path):
         assert (key, topic) in {tuple(r) for r in near.collect()}
 
 
+def test_tasks_of_the_index_grow_with_its_keys(spark, rows, tmp_path, monkeypatch):
+    monkeypatch.setattr(bloom, "TASK_KEYS", 500)
+    monkeypatch.setattr(bloom, "BITS_PER_KEY", 400)
+    path, schema = str(tmp_path / "set"), rows([], SCHEMA).schema
+    written(spark, path, 1, 5000)  # one file of 64 blocks
+    sources.append_articles(rows([("k1", 0), (None, 0)] * 50, SCHEMA).coalesce(1), path, partition_by=None)
+    assert bloom.index_files(spark, path, schema) == 2
+    index = spark.read.parquet(f"{path}/_bloom")
+    assert index.count() == index.select("file", "block").distinct().count() > 60
+    assert len(index.inputFiles()) >= 8  # each was one task's
+    assert len(bloom.files_with(rows([(None, 0)], SCHEMA), path)) == 1
+    assert len(bloom.files_with(rows([("k1", 0)], SCHEMA), path)) == 2
+
+
 @pytest.mark.parametrize("fill", [0.02, 16, 400])
 def test_nothing_is_lost_at_any_fill(spark, rows, tmp_path, fill, monkeypatch):
     """``fill``: bits per key, from crowded to roomy."""
