@@ -29,6 +29,16 @@ from pubweave.storage import (
 )
 
 ROUNDS_PER_JOB = 5
+#: Each round broadcasts the ranks again, through the driver: all rounds together may send this many times
+#: what one broadcast may hold.
+BROADCASTS = 4
+#: How much larger buckets of links and memberships are than others: each of them sends a sum for every vertex
+#: that it leads to, once a round.
+LARGE = 16
+
+
+def _may_broadcast(start: Stored, max_iter: int, broadcast_bytes: int) -> bool:
+    return start.size * max_iter <= BROADCASTS * broadcast_bytes
 
 
 def _rounds_by_broadcast(
@@ -108,7 +118,8 @@ def author_pagerank(
     start = store(
         stored_authors.table.select("id", F.lit(1.0).alias("rank"), "outdegree", "papers"), "ranks"
     )
-    run = _author_rounds if start.size <= broadcast_bytes else _author_rounds_in_place
+    few = _may_broadcast(start, max_iter, broadcast_bytes)
+    run = _author_rounds if few else _author_rounds_in_place
     ranks = run(memberships, start, reset, max_iter, stored_groups.size)
     return ranks.join(stored_authors.joinable(broadcast_bytes), "id").select(
         F.col("name").alias("id"), F.col("rank").alias("pagerank")
@@ -142,7 +153,7 @@ def _author_rounds_in_place(
     memberships: DataFrame, start: Stored, reset: float, max_iter: int, size: int
 ) -> DataFrame:
     spark = memberships.sparkSession
-    buckets = bucket_count(spark, size)
+    buckets = bucket_count(spark, size // LARGE)
     written = store(memberships, "memberships")
     by_author = deal(written.table.select("id", "paper"), "id", buckets)
     by_paper = deal(written.table, "paper", buckets)
@@ -155,7 +166,7 @@ def _author_rounds_in_place(
         sums = met.groupBy("id").agg(F.sum("total").alias("total"))
         # Every paper's total holds the author's own share.
         received = F.col("total") - share * F.col("papers")
-        return sums.join(ranks, "id").select(
+        return sums.join(ranks.hint("shuffle_hash"), "id").select(
             "id", (received * (1 - reset) + reset).alias("rank"), "outdegree", "papers"
         )
 

@@ -208,7 +208,8 @@ class Dealt:
         """Inner join with a table of one row per key, which stays in place if it lies in as many
         partitions by the key."""
         key = self.cold.key
-        joined = self.cold.table.join(other, key)
+        # Without the hint a side that is small enough would be broadcast, and that in each of many rounds.
+        joined = self.cold.table.join(other.hint("shuffle_hash"), key)
         if self.hot is None:
             return joined
         few = F.broadcast(other.join(F.broadcast(self.hot_keys.table), key, "left_semi"))
