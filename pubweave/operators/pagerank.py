@@ -193,36 +193,47 @@ def pagerank(
     counted = edges.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("edges"))
     counted = counted.filter(F.col("src").isNotNull() & F.col("dst").isNotNull())
     counted = store(counted, "edges").table
-    outdegree = store(
-        counted.groupBy("src").agg(F.sum("edges").alias("outdegree")), "outdegree"
+    # Numbers stand for vertices in the rounds, to shuffle 8 bytes per key; they are fixed by being written out.
+    ends = counted.select(F.col("src").alias("name"), "edges").union(counted.select("dst", F.lit(0)))
+    vertices = store(
+        ends.groupBy("name")
+        .agg(F.sum("edges").alias("outdegree"))
+        .withColumn("id", F.monotonically_increasing_id()),
+        "vertices",
     )
-    weighted = counted.join(outdegree.joinable(broadcast_bytes), "src").select(
-        F.col("src").alias("id"), "dst", (F.col("edges") / F.col("outdegree")).alias("weight")
+    every = vertices.joinable(broadcast_bytes)
+    sources = every.select(F.col("name").alias("src"), "id", "outdegree")
+    targets = every.select(F.col("name").alias("dst"), F.col("id").alias("target"))
+    links = (
+        counted.join(targets, "dst")
+        .join(sources, "src")
+        .select("id", F.col("target").alias("dst"), (F.col("edges") / F.col("outdegree")).alias("weight"))
     )
-    every = counted.select(F.col("src").alias("id")).union(counted.select("dst")).distinct()
-    start = store(every.withColumn("rank", F.lit(1.0)), "ranks")
+    start = store(vertices.table.select("id", F.lit(1.0).alias("rank")), "ranks")
     loops = start.table.select("id", F.col("id").alias("dst"), F.lit(0.0).alias("weight"))
-    links = weighted.unionByName(loops)
+    links = links.unionByName(loops)
 
     def one_round(met: DataFrame) -> DataFrame:
         received = F.sum(F.col("weight") * F.col("rank"))
         return met.groupBy("dst").agg((received * (1 - reset) + reset).alias("rank")).withColumnRenamed("dst", "id")
 
-    if start.size <= broadcast_bytes:
+    if _may_broadcast(start, max_iter, broadcast_bytes):
         # Not bucketed by target: a vertex that a third of all edges point to would be one task.
         with kept(links, "links") as stored:
             ranks = _rounds_by_broadcast(start, lambda r: one_round(stored.join(r, "id")), max_iter)
     else:
         spark = edges.sparkSession
         written = store(links, "links")
-        buckets = bucket_count(spark, written.size)
+        buckets = bucket_count(spark, written.size // LARGE)
         dealt = deal(written.table, "id", buckets)
         ranks = _rounds_in_place(start, lambda r: one_round(dealt.join(r)), max_iter, buckets)
         dealt.discard()
         discard(spark, written.path)
     # Rank that reaches a vertex without outgoing edges is lost; the sum is put right at the end.
     scale = ranks.agg(F.count(F.lit(1)) / F.sum("rank")).first()[0]
-    return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("pagerank"))
+    return ranks.join(every, "id").select(
+        F.col("name").alias("id"), (F.col("rank") * F.lit(scale)).alias("pagerank")
+    )
 
 
 def top_authors(ranks: DataFrame, n: int = 50, digits: int | None = None) -> DataFrame:

@@ -7,6 +7,7 @@ import pytest
 
 from pubweave.operators import pagerank as pr
 from pubweave.operators.coauthors import coauthor_edges
+from pubweave.storage import Dealt, store_bucketed
 
 
 def brute_force(edges, rounds, reset=0.15):
@@ -75,6 +76,45 @@ def test_every_round_runs(rows, monkeypatch):
     assert written.count("ranks") == 1 + 50 // pr.ROUNDS_PER_JOB
 
 
+@pytest.mark.parametrize("graph", ["authors", "edges"])
+def test_all_rounds_together_bound_what_is_broadcast(rows, monkeypatch, graph):
+    """Ranks of some 10 kB would fit a broadcast of 20 kB, but not 50 of them."""
+    papers = [(["hub", f"a{k}", f"b{k}"], 2000) for k in range(60)]
+    articles, in_place = rows(papers, "authors array<string>, Year int"), []
+    kept = pr._rounds_in_place
+    monkeypatch.setattr(pr, "_rounds_in_place", lambda s, r, n, b: in_place.append(n) or kept(s, r, min(n, 3), b))
+    run = pr.author_pagerank if graph == "authors" else lambda a, **more: pr.pagerank(coauthor_edges(a), **more)
+    assert run(articles, max_iter=2, broadcast_bytes=20_000).count() == 121 and in_place == []
+    assert run(articles, max_iter=50, broadcast_bytes=20_000).count() == 121 and in_place == [50]
+
+
+def test_rounds_in_place_broadcast_no_ranks(rows, monkeypatch):
+    articles, plans, written = rows(random_papers(2), "authors array<string>, Year int"), [], []
+
+    def capture(start, one_round, max_iter, buckets):
+        written.append(dict(start.table.dtypes)["id"])
+        plans.append(one_round(start.table)._jdf.queryExecution().executedPlan().toString())
+        return start.table
+
+    monkeypatch.setattr(pr, "_rounds_in_place", capture)
+    monkeypatch.setattr(pr, "deal", cold)
+    pr.author_pagerank(articles, broadcast_bytes=0)
+    pr.pagerank(coauthor_edges(articles), broadcast_bytes=0)
+    assert all("ShuffledHashJoin" in p and "BroadcastHashJoin" not in p for p in plans)
+    assert written == ["bigint", "bigint"]  # rounds shuffle numbers, not names
+
+
+def cold(df, key, buckets):
+    return Dealt(store_bucketed(df.repartition(buckets, key), key, buckets), None, None)
+
+
+def test_integer_vertices(rows):
+    edges = [(1, 2), (1, 2), (2, 3), (3, 1), (4, 1), (5, 6)]
+    for limit in (0, pr.BROADCAST_BYTES):
+        found = as_dict(pr.pagerank(rows(edges, "src long, dst long"), max_iter=8, broadcast_bytes=limit))
+        assert found == pytest.approx(brute_force(edges, 8), abs=1e-9)
+
+
 def test_no_edges(rows):
     articles = rows([(["a"], 2000)], "authors array<string>, Year int")
     assert pr.author_pagerank(articles).count() == 0
