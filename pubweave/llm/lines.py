@@ -3,9 +3,10 @@
 A line is the set of its words. Words are ordered by rarity; two sets of Jaccard similarity s or more must
 share a word within their first few, so only these prefixes are joined. The join takes the smaller set's
 index prefix and the larger set's probing prefix of the same length band, and a pair goes on only if the
-lengths allow the similarity, if enough words are left after the shared position, and if 64-bit parity
-sketches of the sets differ in no more places than the sets may. What goes on is verified on the whole
-word sets. Of each pair the later line, by ``doc_id`` and place, is removed.
+lengths allow the similarity, if enough words are left after the shared position, and if parity sketches
+of the sets differ in no more places than the sets may. A sketch has as many bits as its band has words,
+64 at least: with fewer, most pairs of long lines would pass. What goes on is verified on the whole word
+sets. Of each pair the later line, by ``doc_id`` and place, is removed.
 
 Lines with equal word sets are one set before the join: only the first of them can stay. Lists of many
 near copies are thinned beforehand: the lines that share one of the least hashes of their prefixes are
@@ -20,6 +21,7 @@ Null texts stay null. Rows that share a ``doc_id`` are at one place, where equal
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from fractions import Fraction
 from math import log
@@ -34,6 +36,8 @@ PLACE = ["doc_id", "line"]
 CLASS_SHIFT = 56
 #: Classes are letters from this one on, in rows of this many.
 FIRST_CLASS, CLASS_ROW = ord("0"), 64
+#: Flags of a row of the prefix join.
+SETTLED, PROBES, INDEXED = 1, 2, 4
 WORD = r"[^\x20\x09-\x0D]"
 
 
@@ -41,7 +45,7 @@ WORD = r"[^\x20\x09-\x0D]"
 class Settings:
     """``counters`` of word frequencies; ``crowd``: from how many lines on a list is thinned, by
     ``hashes`` keys and against ``firsts`` lines each; ``band``: ratio of lengths in a length band;
-    ``broadcast_bytes``: measured size up to which the places of candidates are broadcast instead of
+    ``sketch_longs``: of 64 bits each, the longest sketch, a power of two; ``broadcast_bytes``: measured size up to which the places of candidates are broadcast instead of
     shuffling the lines."""
 
     similarity: float = 0.8
@@ -50,6 +54,7 @@ class Settings:
     crowd: int = 8
     hashes: int = 4
     firsts: int = 8
+    sketch_longs: int = 8
     broadcast_bytes: int = 64 << 20
 
     @property
@@ -78,6 +83,23 @@ def least_overlap(n: Column, m: Column, settings: Settings) -> Column:
     return _div_up((n + m) * p, p + q)
 
 
+def band_of(n: Column, settings: Settings) -> Column:
+    return F.floor(F.log(n.cast("double")) / log(settings.band)).cast("int")
+
+
+def widest_band(n: Column, settings: Settings) -> Column:
+    """The band of the largest sets that a set may be similar to."""
+    p, q = settings.ratio
+    return band_of(F.floor(n * q / p), settings)
+
+
+def sketch_length(band: Column, settings: Settings) -> Column:
+    """How many 64-bit numbers a sketch has in a band: a power of two."""
+    bits = F.pow(F.lit(settings.band), band + 1)
+    longs = F.pow(F.lit(2.0), F.ceil(F.log2(bits / 64)))
+    return F.least(F.greatest(longs, F.lit(1.0)), F.lit(float(settings.sketch_longs))).cast("int")
+
+
 def hashed_words(text: Column) -> Column:
     """The distinct words of a text, as 64-bit hashes: by these words are told apart."""
     hashes = F.transform(F.split(text, SEPARATORS), lambda w: F.xxhash64(w))
@@ -114,7 +136,8 @@ def _class_of(hashed: Column, classes: Column, settings: Settings) -> Column:
 
 def line_sets(docs: DataFrame, settings: Settings) -> DataFrame:
     """(doc_id, line, n, prefix, sketch): the first line of each distinct word set. A word is a number that
-    starts with its class; ``prefix`` holds the rarest words in order."""
+    starts with its class; ``prefix`` holds the rarest words in order, ``sketch`` the parity sketch as long
+    as the widest band wants it."""
     classes = frequency_classes(docs, settings)
     # A filter on the made words would make them twice.
     lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(
@@ -129,12 +152,16 @@ def line_sets(docs: DataFrame, settings: Settings) -> DataFrame:
         )
     )
     sets = lines.select("doc_id", "line", numbers.alias("words"))
-    n = F.size("words")
-    sketch = F.aggregate(
-        "words",
-        F.lit(0).cast("long"),
-        lambda a, w: a.bitwiseXOR(_bit(w)),
+    n, longs = F.size("words"), F.col("longs")
+    # A column of its own: inside the functions below it would be made again for each word.
+    sets = sets.select("*", sketch_length(widest_band(n, settings), settings).alias("longs"))
+    spread = F.transform(
+        F.sequence(F.lit(0), longs - 1),
+        lambda k: _parity(
+            F.filter("words", lambda w: F.shiftright(w, 6).bitwiseAND(longs - 1) == k), _bit
+        ),
     )
+    sketch = F.when(longs == 1, F.array(_parity(F.col("words"), _bit))).otherwise(spread)
     described = sets.select(
         *PLACE,
         n.alias("n"),
@@ -153,20 +180,47 @@ def line_sets(docs: DataFrame, settings: Settings) -> DataFrame:
     )
 
 
+def _parity(values: Column, bits: Callable[[Column], Column] = lambda v: v) -> Column:
+    return F.aggregate(values, F.lit(0).cast("long"), lambda a, v: a.bitwiseXOR(bits(v)))
+
+
+def _folded(sketch: Column, longs: Column) -> Column:
+    """A sketch made shorter: that of the same words at ``longs`` numbers."""
+    parts = F.transform(
+        F.sequence(F.lit(0), longs - 1),
+        lambda k: _parity(F.filter(sketch, lambda _, i: F.pmod(i, longs) == k)),
+    )
+    return F.when(F.size(sketch) == longs, sketch).otherwise(parts)
+
+
 def _bit(word: Column) -> Column:
     """The bit that a word's hash names."""
     return F.call_function("shiftleft", F.lit(1).cast("long"), word.bitwiseAND(63).cast("int"))
 
 
 def _alike_enough(nx: Column, ny: Column, settings: Settings) -> Column:
-    """What the lengths and sketches of x and y allow, the smaller one being either."""
+    """What the lengths and sketches of x and y allow, the smaller one being either. ``sketch`` is the first
+    number of a sketch, ``wide`` the others, as many on both sides, or NULL."""
     p, q = settings.ratio
+    most = nx + ny - least_overlap(nx, ny, settings) * 2
     differ = F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch")))
-    return (F.least(nx, ny) * q >= F.greatest(nx, ny) * p) & (
-        differ <= nx + ny - least_overlap(nx, ny, settings) * 2
+    wide = differ
+    for k in range(settings.sketch_longs - 1):
+        both = F.get("x.wide", F.lit(k)).bitwiseXOR(F.get("y.wide", F.lit(k)))
+        wide = wide + F.coalesce(F.bit_count(both), F.lit(0))
+    return (
+        (F.least(nx, ny) * q >= F.greatest(nx, ny) * p)
+        & (differ <= most)
+        & (F.col("x.wide").isNull() | (wide <= most))
     )
 
 
+def _sketched(sketch: Column) -> list[Column]:
+    """``sketch`` and ``wide`` of a sketch."""
+    others = F.when(F.size(sketch) > 1, F.slice(sketch, F.lit(2), F.size(sketch)))
+    return [F.get(sketch, F.lit(0)).alias("sketch"), others.alias("wide")]
+
+
 def _places(later: str, earlier: str) -> list[Column]:
     return [
         F.col(f"{side}.{c}").alias(f"{name}_{c}")
@@ -176,10 +230,12 @@ def _places(later: str, earlier: str) -> list[Column]:
 
 
 def crowd_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of a line and the first lines of a crowd that it is in: the first of each of some parts."""
-    mixed = F.sort_array(F.transform("prefix", lambda w: F.xxhash64(w)))
+    """Pairs of a line and the first lines of a crowd that it is in: the first of each of some parts. Lines
+    whose sketches differ in length are in crowds of their own."""
+    sets = sets.withColumnRenamed("sketch", "whole")
+    mixed = F.sort_array(F.transform("prefix", lambda w: F.xxhash64(w, F.size("whole"))))
     keys = F.slice(mixed, F.lit(1), F.lit(settings.hashes))
-    keyed = sets.select(*PLACE, "n", "sketch", F.explode(keys).alias("key"))
+    keyed = sets.select(*PLACE, "n", *_sketched(F.col("whole")), F.explode(keys).alias("key"))
     crowded = store(
         keyed.groupBy("key").count().where(F.col("count") >= settings.crowd).select("key"), "crowds"
     )
@@ -187,7 +243,7 @@ def crowd_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
     part = F.pmod(F.xxhash64(*PLACE), F.lit(settings.firsts))
     crowds = (
         keyed.groupBy("key", part.alias("part"))
-        .agg(F.min(F.struct(*PLACE, "n", "sketch")).alias("first"))
+        .agg(F.min(F.struct(*PLACE, "n", "sketch", "wide")).alias("first"))
         .select("key", "first.*")
     )
     joined = keyed.alias("y").join(crowds.alias("x"), "key")
@@ -204,40 +260,46 @@ def _earlier(a: str, b: str) -> Column:
 def prefix_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
     """Pairs that pass all filters and whose later line isn't ``settled`` yet.
 
-    Rows of the join carry length, position and ``settled`` in one number.
+    Rows of the join carry length, position and flags in one number. A set has the rows of its probing
+    prefix in its own band, where they are those of its index prefix too, and the latter in wider bands.
     """
-    p, q = settings.ratio
-    band = lambda n: F.floor(F.log(n.cast("double")) / log(settings.band)).cast("int")
-    n, at = F.col("n"), F.col("at")
-    own = sets.select(*PLACE, "n", "sketch", "settled", F.posexplode("prefix").alias("at", "word"))
-    packed = (
-        F.shiftleft(n.cast("long"), 32)
-        .bitwiseOR(F.shiftleft(at.cast("long"), 1))
-        .bitwiseOR(F.col("settled").cast("long"))
-        .alias("packed")
-    )
-    probing = own.select(F.hash("word", band(n)).alias("key"), *PLACE, "sketch", packed)
-    wider = F.sequence(band(n), band(F.floor(n * q / p)))
-    index = (
-        own.where(at < index_length(n, settings))
-        .withColumn("band", F.explode(wider))
-        .select(F.hash("word", "band").alias("key"), *PLACE, "sketch", packed)
+    n, at, band, longs = F.col("n"), F.col("at"), F.col("band"), F.col("longs")
+    wider = F.sequence(band_of(n, settings), widest_band(n, settings))
+    own = sets.withColumn("band", F.explode(wider)).withColumns(
+        {"longs": sketch_length(band, settings), "probes": band == band_of(n, settings)}
     )
+    indexed = index_length(n, settings).cast("int")
+    prefix = F.when(F.col("probes"), F.col("prefix")).otherwise(F.slice("prefix", F.lit(1), indexed))
+    kept = [*PLACE, "n", "band", "settled", "probes"]
+    own = own.select(*kept, prefix.alias("prefix"), _folded(F.col("sketch"), longs).alias("folded"))
+    own = own.select(*kept, "prefix", *_sketched(F.col("folded")))
+    own = own.select(*kept, "sketch", "wide", F.posexplode("prefix").alias("at", "word"))
+    flags = {SETTLED: F.col("settled"), PROBES: F.col("probes"), INDEXED: at < indexed}
+    packed = F.shiftleft(n.cast("long"), 32).bitwiseOR(F.shiftleft(at.cast("long"), len(flags)))
+    for bit, flag in flags.items():
+        packed = packed.bitwiseOR(F.when(flag, bit).otherwise(0).cast("long"))
+    keyed = own.select(F.hash("word", "band").alias("key"), *PLACE, "sketch", "wide", packed.alias("packed"))
 
     def number(side: str, what: str) -> Column:
         whole = F.col(f"{side}.packed")
         if what == "n":
             return F.shiftright(whole, 32)
-        return F.shiftright(whole.bitwiseAND((1 << 32) - 1), 1) if what == "at" else whole.bitwiseAND(1) == 1
+        return F.shiftright(whole.bitwiseAND((1 << 32) - 1), len(flags))
+
+    def flag(side: str, bit: int) -> Column:
+        return F.col(f"{side}.packed").bitwiseAND(bit)
 
-    x, y = index.alias("x"), probing.alias("y")
+    # Both sides are the same rows, so that these are shuffled once; a condition on one side alone would
+    # be moved before the shuffle and make two of it.
+    x, y = keyed.alias("x"), keyed.alias("y")
     nx, ny = number("x", "n"), number("y", "n")
     left = F.least(nx - number("x", "at"), ny - number("y", "at"))
     earlier = _earlier("x", "y")
-    later_settled = F.when(earlier, number("y", "settled")).otherwise(number("x", "settled"))
+    later_settled = F.when(earlier, flag("y", SETTLED)).otherwise(flag("x", SETTLED)) != 0
     joined = y.join(
         x,
         (F.col("x.key") == F.col("y.key"))
+        & (flag("x", INDEXED) + flag("y", PROBES) == INDEXED + PROBES)
         & (nx <= ny)
         & (left >= least_overlap(nx, ny, settings))
         & _alike_enough(nx, ny, settings)

@@ -114,6 +114,34 @@ def test_lines_without_an_id_stay(rows):
     ]
 
 
+def long_lines(seed, many, of=(70, 140, 300), words=1500):
+    """Lines of many words each, most of them alike in nothing but some words, every eighth a near copy."""
+    rng, made = random.Random(seed), []
+    for k in range(many):
+        own = rng.sample(range(words), round(of[k % len(of)] * rng.uniform(0.85, 1.15)))
+        if k % 8 == 7:
+            own = made[k - 6][: rng.randint(len(made[k - 6]) * 4 // 5, len(made[k - 6]))]
+        made.append(own)
+    return [(k, " ".join(f"w{w}" for w in own)) for k, own in enumerate(made)]
+
+
+@pytest.mark.parametrize("longs", [1, 8])
+@pytest.mark.parametrize("crowd", [4, 10**6])
+def test_long_lines_agree_with_brute_force(rows, crowd, longs):
+    given = long_lines(3, 120) + [(1000 + d, text) for d, text in near_lines(9, 20)]
+    settings = replace(lines.Settings(), crowd=crowd, sketch_longs=longs)
+    found = {r.doc_id: r.kept for r in lines.lines_report(rows(given, DOCS), settings).collect()}
+    assert {d: k for d, k in found.items() if k} == dict(plain_lines(given))
+
+
+def test_pairs_of_long_lines_grow_with_the_lines(rows):
+    """With 64 bits most pairs of long lines passed: their number grew with the square of the lines."""
+    settings = lines.Settings()
+    given = rows(long_lines(4, 400), DOCS)
+    sets = lines.line_sets(given, settings).withColumn("settled", F.lit(False))
+    assert 40 <= lines.prefix_pairs(sets, settings).count() <= 100
+
+
 def test_dedup_lines_texts(rows):
     schema = "doc_id long, text string, line int, kept int, `a.b` int"
     given = [*ODD, (None, "one"), (7, "x y z\n\none\nz y x"), (8, "x y z"), (8, "x y z"), (9, "p q\n \nr s")]
