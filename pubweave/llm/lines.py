@@ -9,8 +9,9 @@ of the sets differ in no more places than the sets may. A sketch has as many bit
 sets. Of each pair the later line, by ``doc_id`` and place, is removed.
 
 Lines with equal word sets are one set before the join: only the first of them can stay. Lists of many
-near copies are thinned beforehand: the lines that share one of the least hashes of their prefixes are
+near copies are thinned beforehand: the lines that share two of the least hashes of their prefixes are
 compared with the first of each of eight parts of them, and those found alike need no partner any more.
+Two, because one word of a prefix is in more and more lines the larger the input is.
 
 Rarity is a word's frequency class, by the power of two of its hashed counter; the counters cover all
 words and are a table of fixed size, whatever the input. Any order would give the same result.
@@ -34,8 +35,8 @@ from pubweave.llm.common import SEPARATORS, column, columns, store
 PLACE = ["doc_id", "line"]
 #: A word's number has its class above this bit, and the rest of its hash below.
 CLASS_SHIFT = 56
-#: Classes are letters from this one on, in rows of this many.
-FIRST_CLASS, CLASS_ROW = ord("0"), 64
+#: A number of the class table has this many classes, a byte each; the bits of a word's class.
+CLASS_ROW, CLASS_BITS = 8, -1 << CLASS_SHIFT
 #: Flags of a row of the prefix join.
 SETTLED, PROBES, INDEXED = 1, 2, 4
 WORD = r"[^\x20\x09-\x0D]"
@@ -44,7 +45,7 @@ WORD = r"[^\x20\x09-\x0D]"
 @dataclass(frozen=True)
 class Settings:
     """``counters`` of word frequencies; ``crowd``: from how many lines on a list is thinned, by
-    ``hashes`` keys and against ``firsts`` lines each; ``band``: ratio of lengths in a length band;
+    the pairs of ``hashes`` words and against ``firsts`` lines each; ``band``: ratio of lengths in a length band;
     ``sketch_longs``: of 64 bits each, the longest sketch, a power of two; ``broadcast_bytes``: measured size up to which the places of candidates are broadcast instead of
     shuffling the lines."""
 
@@ -106,32 +107,26 @@ def hashed_words(text: Column) -> Column:
     return F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
 
 
-def _counter(hashed: Column, settings: Settings) -> Column:
-    return hashed.bitwiseAND(settings.counters - 1).cast("int")
-
-
 def frequency_classes(docs: DataFrame, settings: Settings) -> Column:
-    """``array<string>``: a letter for the class of each hashed counter, in rows, as a literal. So short a
-    literal keeps plans small; a short row keeps looking up a letter cheap."""
-    counter = _counter(F.xxhash64("word"), settings)
+    """``array<bigint>``: the class of each hashed counter, ``CLASS_ROW`` in a number, as a literal."""
+    counter = F.xxhash64("word").bitwiseAND(settings.counters - 1).cast("int")
     counted = (
         docs.select(F.explode(F.split("text", SEPARATORS)).alias("word"))
         .groupBy(counter.alias("counter"))
         .count()
         .toArrow()
     )
-    classes = np.zeros(settings.counters, np.int64)
+    classes = np.zeros(settings.counters, np.uint8)
     classes[counted.column("counter").to_numpy()] = np.log2(counted.column("count").to_numpy())
-    letters = (classes + FIRST_CLASS).astype(np.uint8).tobytes().decode()
-    rows = (letters[k : k + CLASS_ROW] for k in range(0, settings.counters, CLASS_ROW))
-    return F.split(F.lit(",".join(rows)), ",")
+    return F.split(F.lit(",".join(map(str, classes.view("<i8")))), ",").cast("array<bigint>")
 
 
 def _class_of(hashed: Column, classes: Column, settings: Settings) -> Column:
-    counter = _counter(hashed, settings)
-    row = F.get(classes, F.shiftright(counter, CLASS_ROW.bit_length() - 1))
-    letter = F.substring(row, counter.bitwiseAND(CLASS_ROW - 1) + 1, F.lit(1))
-    return F.shiftleft(F.ascii(letter).cast("long"), CLASS_SHIFT)
+    """The class of a word's hash, above ``CLASS_SHIFT``."""
+    rows = settings.counters // CLASS_ROW
+    row = F.shiftright(hashed, CLASS_ROW.bit_length() - 1).bitwiseAND(rows - 1).cast("int")
+    up = F.lit(CLASS_SHIFT) - F.shiftleft(hashed.bitwiseAND(CLASS_ROW - 1).cast("int"), 3)
+    return F.call_function("shiftleft", F.get(classes, row), up).bitwiseAND(CLASS_BITS)
 
 
 def line_sets(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -229,13 +224,29 @@ def _places(later: str, earlier: str) -> list[Column]:
     ]
 
 
+def crowd_keys(prefix: Column, longs: Column, settings: Settings) -> Column:
+    """What lines of a crowd share: two of the least hashes of their prefixes. A prefix of two words or one
+    has these words, for similar short lines need not share more."""
+    mixed = F.sort_array(F.transform(prefix, lambda w: F.xxhash64(w, longs)))
+    # An array of its own, so that it is made once.
+    least = F.array(F.slice(mixed, F.lit(1), F.lit(settings.hashes)))
+
+    def pairs(of: Column) -> Column:
+        return F.flatten(
+            F.transform(
+                of, lambda a, k: F.transform(F.slice(of, k + 2, F.size(of)), lambda b: F.xxhash64(a, b))
+            )
+        )
+
+    return F.flatten(F.transform(least, lambda of: F.when(F.size(of) < 3, of).otherwise(pairs(of))))
+
+
 def crowd_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
     """Pairs of a line and the first lines of a crowd that it is in: the first of each of some parts. Lines
     whose sketches differ in length are in crowds of their own."""
     sets = sets.withColumnRenamed("sketch", "whole")
-    mixed = F.sort_array(F.transform("prefix", lambda w: F.xxhash64(w, F.size("whole"))))
-    keys = F.slice(mixed, F.lit(1), F.lit(settings.hashes))
-    keyed = sets.select(*PLACE, "n", *_sketched(F.col("whole")), F.explode(keys).alias("key"))
+    sets = sets.withColumn("keys", crowd_keys(F.col("prefix"), F.size("whole"), settings))
+    keyed = sets.select(*PLACE, "n", *_sketched(F.col("whole")), F.explode("keys").alias("key"))
     crowded = store(
         keyed.groupBy("key").count().where(F.col("count") >= settings.crowd).select("key"), "crowds"
     )

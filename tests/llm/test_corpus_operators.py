@@ -125,6 +125,22 @@ def long_lines(seed, many, of=(70, 140, 300), words=1500):
     return [(k, " ".join(f"w{w}" for w in own)) for k, own in enumerate(made)]
 
 
+def test_one_shared_word_makes_no_crowd(rows):
+    """With a single word as key half of all lines of a large input were in crowds."""
+    settings = lines.Settings()
+
+    def most(texts):
+        sets = lines.line_sets(rows([(k, t) for k, t in enumerate(texts)], DOCS), settings)
+        keys = lines.crowd_keys(F.col("prefix"), F.size("sketch"), settings)
+        return sets.select(F.explode(keys).alias("key")).groupBy("key").count().agg(F.max("count")).first()[0]
+
+    own = [" ".join(f"w{k}x{i}" for i in range(19)) for k in range(40)]
+    assert most([f"shared {t}" for t in own]) == 1
+    common = " ".join(f"c{i}" for i in range(19))
+    assert most([f"{common} n{k}" for k in range(40)]) >= 20
+    assert most([f"a b c d e f g h n{k}" for k in range(40)]) >= 20  # prefixes of two words
+
+
 @pytest.mark.parametrize("longs", [1, 8])
 @pytest.mark.parametrize("crowd", [4, 10**6])
 def test_long_lines_agree_with_brute_force(rows, crowd, longs):
