@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from html.entities import html5
+from zlib import crc32
 
 from pyspark.sql import Column, functions as F
 
@@ -10,11 +11,16 @@ from pyspark.sql import Column, functions as F
 WHITESPACE = "".join(c for c in map(chr, range(0x3001)) if c.isspace())
 
 _WHITESPACE_RUN = r"(?U)[\s\x1c-\x1f]+"
-_NAMED = ",".join(
-    f"{n.removesuffix(';')}:{' '.join(str(ord(c)) for c in text)}"
-    for n, text in html5.items()
-    if n.endswith(";")
-)
+# A map is searched entry by entry, so the named references lie in many small ones, by hash.
+_NAME_LISTS = 512
+_NAMED = [
+    ",".join(
+        f"{n.removesuffix(';')}:{' '.join(str(ord(c)) for c in text)}"
+        for n, text in html5.items()
+        if n.endswith(";") and crc32(n.removesuffix(";").encode()) % _NAME_LISTS == k
+    )
+    for k in range(_NAME_LISTS)
+]
 _ENTITY = r"^(#[0-9]+|#[xX][0-9a-fA-F]+|[A-Za-z][A-Za-z0-9]*);"
 
 
@@ -46,6 +52,12 @@ def _character(code_point: Column) -> Column:
     return F.decode(utf32, "UTF-32")
 
 
+def _codes(name: Column, lists: Column) -> Column:
+    """The code points of a named reference; NULL for an unknown one."""
+    found = F.get(lists, F.pmod(F.crc32(name.cast("binary")), F.lit(_NAME_LISTS)).cast("int"))
+    return F.str_to_map(found, F.lit(","), F.lit(":"))[name]
+
+
 def _decoded_piece(piece: Column, names: Column) -> Column:
     """One piece of a text cut at ``&``: an entity and what follows it."""
     body = F.regexp_extract(piece, _ENTITY, 1)
@@ -56,7 +68,7 @@ def _decoded_piece(piece: Column, names: Column) -> Column:
         .otherwise(digits)
     )
     named = F.array_join(
-        F.transform(F.split(names[body], " "), lambda c: _character(c.try_cast("bigint"))), ""
+        F.transform(F.split(_codes(body, names), " "), lambda c: _character(c.try_cast("bigint"))), ""
     )
     character = F.when(F.startswith(body, F.lit("#")), _character(code.try_cast("bigint"))).otherwise(named)
     rest = F.substring(piece, F.length(body) + F.lit(2), F.length(piece))
@@ -65,7 +77,7 @@ def _decoded_piece(piece: Column, names: Column) -> Column:
 
 
 def _decoded(value: Column) -> Column:
-    names = F.str_to_map(F.lit(_NAMED), F.lit(","), F.lit(":"))
+    names = F.split(F.lit(";".join(_NAMED)), ";")
     pieces = F.split(value, "&", -1)
     tail = F.transform(
         F.slice(pieces, F.lit(2), F.size(pieces)), lambda p: _decoded_piece(p, names)

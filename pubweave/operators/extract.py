@@ -137,6 +137,11 @@ def _selectors(rules: Sequence[Rule], *more: Selector | None) -> list[Selector]:
     return [*(s for r in rules for s in r.path), *(s for s in more if s is not None)]
 
 
+def _deep(rules: Sequence[Rule]) -> bool:
+    """Whether the rules look for all elements of a name, for which depths are needed."""
+    return any(r.many and any(s.by_name for s in r.path) for r in rules)
+
+
 def _items(scope: Scope, rules: Sequence[Rule], item: Selector) -> str:
     return markup.each(
         scope.items(item),
@@ -161,15 +166,15 @@ def extracted_items(
     Each element that fits ``item`` is an item; without it a page is one item. ``position`` numbers
     the items of a page from 0. ``reason`` is NULL for a record; otherwise it names the first
     required field that is missing, or says that an item isn't closed, or, once a page, that it has
-    no items. A page is read once.
+    no items. A page is read once. Pages that have an index already, of these rules' selectors at least,
+    are taken as they are.
     """
     carried = [c for c in carry if c in pages.columns]
     of_page = [r for r in rules if r.page_scope]
     of_item = [r for r in rules if not r.page_scope]
-    tokens = markup.tokens(F.coalesce("html", F.lit("")))
-    if "_tokens" not in pages.columns:
-        pages = pages.withColumn("_tokens", tokens)
-    read = markup.indexed(pages.select(*carried, "_tokens"), "_tokens", _selectors(rules, item))
+    read = pages
+    if "_entries" not in pages.columns:
+        read = markup.indexed(pages, F.col("html"), carried, _selectors(rules, item), _deep(rules))
 
     def raw_items(scope: Scope) -> str:
         if item is None:
@@ -332,14 +337,13 @@ _SECTION_RULES = [
 ]
 
 
-def with_raw_sections(pages: DataFrame) -> DataFrame:
-    """Pages of ``_tokens`` with ``_raw``, ``array<struct<whole, author, affiliation>>`` of an article page, NULL
-    fields where a part is absent."""
-    section = of_class(AUTHOR_SECTION_CLASS, tag="div")
-    copied = pages.withColumn("_copy", F.col("_tokens"))
-    read = markup.indexed(copied, "_copy", _selectors(_SECTION_RULES, section))
-    raw = markup.of_page(lambda page: _items(page, _SECTION_RULES, section))
-    return read.withColumn("_raw", raw).drop("_texts", "_entries")
+_SECTION = of_class(AUTHOR_SECTION_CLASS, tag="div")
+
+
+def raw_sections() -> Column:
+    """``array<struct<whole, author, affiliation>>`` of an article page, from its index; NULL fields where a part
+    is absent."""
+    return markup.of_page(lambda page: _items(page, _SECTION_RULES, _SECTION))
 
 
 def author_sections(raw: Column) -> Column:
@@ -401,10 +405,12 @@ def extract_listing(
 
 def extracted_article_pages(pages: DataFrame) -> DataFrame:
     """Fields of article pages with their affiliations, with ``reason``; ``position`` is always 0."""
-    tokens = markup.tokens(F.coalesce("html", F.lit("")))
-    read = with_raw_sections(pages.withColumn("_tokens", tokens))
+    rules = article_rules()
+    # One index for both: an entry depends on the tags of its own name alone.
+    selectors = _selectors([*rules, *_SECTION_RULES], _SECTION)
+    read = markup.indexed(pages, F.col("html"), ["page_id", "url"], selectors).withColumn("_raw", raw_sections())
     with_sections = read.withColumn("sections", author_sections(F.col("_raw")))
-    extracted = extracted_items(with_sections, article_rules(), carry=("page_id", "url", "sections"))
+    extracted = extracted_items(with_sections, rules, carry=("page_id", "url", "sections"))
     return extract_affiliations(extracted)
 
 
@@ -503,8 +509,7 @@ def extract_rankings(
     Only rows of exactly three cells count. With ``strict`` one unreadable year voids all rows of
     its page, otherwise only its own row. The page decides by itself, without a regrouping.
     """
-    tokens = markup.tokens(F.coalesce("html", F.lit("")))
-    read = pages.select(F.col(journal).alias("journal"), tokens.alias("_tokens"))
+    read = pages.select(F.col(journal).alias("journal"), "html")
     body = (of_class(RANKING_BOX_CLASS), Selector("table"), Selector("tbody"))
 
     def cells_of(row: str, texts: str) -> str:
@@ -516,7 +521,7 @@ def extract_rankings(
 
     selectors = [*body, Selector("tr"), Selector("td")]
     rows = markup.of_page(lambda page: page.within(body, rows_of))
-    read = markup.indexed(read, "_tokens", selectors).select(
+    read = markup.indexed(read, F.col("html"), ["journal"], selectors).select(
         "journal", F.coalesce(rows, F.array()).alias("_rows")
     )
 

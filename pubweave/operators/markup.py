@@ -32,7 +32,11 @@ _BLOCK = 64
 _LEVEL, _PLACE = 26, 28
 _AT = (1 << _PLACE) - 1
 
-_HEAD = r"""(?s)^/?[a-zA-Z][^\s/>]*(?:(?:[^>"']++|"[^"]*+"|'[^']*+')*+>|[^>]*+>)"""
+# What stands after each "<" of a page up to the next: the whole tag, or nothing if it isn't one.
+_NAME = r"[a-zA-Z][^\s/<>]*"
+_REST = r"""(?:(?:[^<>"']++|"[^"<]*+"|'[^'<]*+')*+>|[^<>]*+>)"""
+_HEADS = f"<(/?{_NAME}{_REST}|)"
+_NAMES = f"<(?:/?({_NAME}){_REST}|)"
 
 # Walks are built as SQL text: as nested columns they would take longer to build than to run.
 _names = itertools.count()
@@ -72,14 +76,19 @@ class Selector:
     attribute: tuple[str, str] | None = None
     classes: tuple[str, ...] = ()
 
-    def may_fit(self, token: str) -> str:
+    def may_fit(self, head: str, name: str) -> str:
         """A cheap condition that every opening tag which fits meets."""
-        found = [f"{token}.name = {_quoted(self.tag)}"] if self.tag else []
-        found += [f"contains({token}.head, {_quoted(c)})" for c in self.classes]
+        found = [f"{name} = {_quoted(self.tag)}"] if self.tag else []
+        found += [f"contains({head}, {_quoted(c)})" for c in self.classes]
         if self.attribute:
-            found.append(f"contains(lower({token}.head), {_quoted(self.attribute[0].lower())})")
+            found.append(f"contains(lower({head}), {_quoted(self.attribute[0].lower())})")
         return " and ".join(found) or "true"
 
+    @property
+    def by_name(self) -> bool:
+        """Whether any element of the name fits."""
+        return bool(self.tag and not self.classes and not self.attribute)
+
     def fits(self, entry: str) -> str:
         found = [f"{entry}.name = {_quoted(self.tag)}"] if self.tag else []
         found += [f"contains({entry}.classes, {_quoted(f' {c} ')})" for c in self.classes]
@@ -122,41 +131,42 @@ def _without(html: Column, opening: str, closing: str) -> Column:
     return F.when(html.rlike(opening), F.array_join(F.concat(first, rest), "")).otherwise(html)
 
 
-def tokens(html: Column) -> Column:
-    """``array<struct<at, name, step, head, text>>``: each tag with the text after it.
+def _cut(df: DataFrame, html: Column, others: Sequence[str]) -> DataFrame:
+    """``df`` with a page cut at its ``<``, as lists: ``_texts``, what stands after each tag, ``_heads``, the tags from
+    their name on, closing ones from the slash, and ``_names`` in lower case. The first entry has the text
+    before the first tag; there and for pieces that are no tags head and name are empty.
 
-    ``step`` is 1 for a tag that opens an element, -1 for one that closes it, 0 for one that does both; it
-    is NULL for other pieces. The first entry has the text before the first tag.
+    Expressions run over the whole page: one on a single tag costs more than the work it does.
     """
-    plain = _without(html, "<!--", "-->")
-    plain = _without(plain, rf"(?i)<(?=(?:{RAW_TEXT})[\s>])", rf"(?i)</(?:{RAW_TEXT})\s*>")
-    pieces = F.split(plain, "<", -1)
-    heads = F.transform(
-        pieces,
-        lambda p, k: F.struct(
-            p.alias("piece"), F.when(k > 0, F.regexp_extract(p, _HEAD, 0)).otherwise("").alias("head"), k.alias("at")
-        ),
-    )
+    noted = _without(F.coalesce(html, F.lit("")), "<!--", "-->")
+    plain = _without(F.col("_plain"), rf"(?i)<(?=(?:{RAW_TEXT})[\s>])", rf"(?i)</(?:{RAW_TEXT})\s*>")
 
-    def token(p: Column) -> Column:
-        head = p["head"]
-        name = F.lower(F.regexp_extract(head, r"^/?([a-zA-Z][^\s/>]*)", 1))
+    def found(pattern: str) -> Column:
+        return F.concat(F.array(F.lit("")), F.regexp_extract_all("_plain", F.lit(pattern), F.lit(1)))
+
+    def text(head: Column, k: Column) -> Column:
+        piece = F.get("_pieces", k)
         # Other pieces are declarations, which have no text of their own, or text with its "<".
         loose = F.when(
-            p["piece"].rlike("^[!?][^>]*>"), F.regexp_replace(p["piece"], "^[!?][^>]*>", "")
-        ).otherwise(F.when(p["at"] == 0, p["piece"]).otherwise(F.concat(F.lit("<"), p["piece"])))
-        step = F.when(head == "", F.lit(None)).when(head.startswith("/"), -1)
-        return F.struct(
-            p["at"].alias("at"),
-            name.alias("name"),
-            step.when(head.endswith("/>") | name.isin(*VOID), 0).otherwise(1).alias("step"),
-            head.alias("head"),
-            F.when(head == "", loose)
-            .otherwise(F.substring(p["piece"], F.length(head) + 1, F.length(p["piece"])))
-            .alias("text"),
+            piece.rlike("^[!?][^>]*>"), F.regexp_replace(piece, "^[!?][^>]*>", "")
+        ).otherwise(F.concat(F.lit("<"), piece))
+        return (
+            F.when(head != "", F.substring(piece, F.length(head) + 1, F.length(piece)))
+            .when(k == 0, piece)
+            .otherwise(loose)
         )
 
-    return F.transform(heads, lambda p: token(p))
+    return (
+        df.select(*others, noted.alias("_plain"))
+        .select(*others, plain.alias("_plain"))
+        .select(
+            *others,
+            F.split("_plain", "<", -1).alias("_pieces"),
+            found(_HEADS).alias("_heads"),
+            F.transform(found(_NAMES), lambda n: F.lower(n)).alias("_names"),
+        )
+        .select(*others, F.transform("_heads", text).alias("_texts"), "_heads", "_names")
+    )
 
 
 def _classes(head: str) -> str:
@@ -174,7 +184,7 @@ def running(values: str, add: Callable[[str, str], str], start: str) -> str:
 
     def fold(own: str) -> str:
         last = f"coalesce(get({a}, size({a}) - 1), {start})"
-        step = f"concat({a}, array({add(last, y)}))"
+        step = f"array_append({a}, {add(last, y)})"  # concat takes several times as long
         return f"aggregate({own}, cast(array() as array<int>), ({a}, {y}) -> {step})"
 
     def blocks(v: str) -> str:
@@ -190,35 +200,47 @@ def running(values: str, add: Callable[[str, str], str], start: str) -> str:
     return bind(bind(values, blocks), lifted)
 
 
-def indexed(df: DataFrame, tokens: str, selectors: Sequence[Selector]) -> DataFrame:
-    """``df`` with the columns of a page's index in place of ``tokens``: ``_texts``, the texts of all tags, and
-    ``_entries``, ``array<struct<at, last, depth, name, head, classes>>`` of the opening tags that may fit a
-    selector, in order. ``last`` is where the closing tag stands, ``at`` for a tag that is its own, NULL without
-    one; ``depth`` is how many closed elements of its name it lies in, itself included.
+def indexed(
+    df: DataFrame, html: Column, others: Sequence[str], selectors: Sequence[Selector], deep: bool = True
+) -> DataFrame:
+    """The columns ``others`` of ``df`` and a page's index: ``_texts``, the texts of all tags, and ``_entries``,
+    ``array<struct<at, last, depth, name, head, classes>>`` of the opening tags that may fit a selector, in
+    order. ``last`` is where the closing tag stands, ``at`` for a tag that is its own, NULL without one; ``depth``
+    is how many closed elements of its name it lies in, itself included, and NULL unless ``deep``.
 
     The index is made in steps, a column each, because nested functions are slow to analyse. What a function
     needs of a column is bound outside of it, so that merging the steps can't compute it again and again.
     """
-    t, e, d, k = (_name() for _ in range(4))
-    others = [c for c in df.columns if c != tokens]
-    kinds = " or ".join(sorted({f"({s.may_fit(t)})" for s in selectors}))
+    n, h, e, d, k = (_name() for _ in range(5))
+    kinds = " or ".join(sorted({f"({s.may_fit(h, f'get(_names, {k})')})" for s in selectors}))
+    fit = f"transform(_heads, ({h}, {k}) -> {h} <> '' and not startswith({h}, '/') and ({kinds}))"
+    voids = ", ".join(map(_quoted, VOID))
 
     # Tags are numbers while they are sorted: name, level, place, and 1 if it closes, from the left; then
     # elements are, as name, place and the place of the closing tag, 0 for none.
     def number(kind: str, at: str, low: str) -> str:
         return f"shiftleft(shiftleft({kind}, {_PLACE - 1}) + {at}, {_PLACE - 1}) + {low}"
 
+    def present(values: str) -> str:
+        return f"filter({values}, {e} -> {e} is not null)"
+
+    def itself(name: str, head: str) -> str:
+        """Whether an opening tag closes itself."""
+        return f"(endswith({head}, '/>') or {name} in ({voids}))"
+
     def kind(names: str) -> str:
-        return f"array_position({names}, {t}.name)"
+        return f"array_position({names}, {n})"
 
     def events(names: str) -> str:
-        code = f"shiftleft({kind(names)}, {_PLACE}) + 2 * {t}.at + case {t}.step when 1 then 0 else 1 end"
-        own = f"filter({tokens}, {t} -> {t}.step <> 0 and array_contains({names}, {t}.name))"
-        return f"sort_array(transform({own}, {t} -> {code}))"
+        head = f"get(_heads, {k})"
+        closes = f"case when startswith({head}, '/') then 1 when {itself(n, head)} then null else 0 end"
+        code = f"shiftleft({kind(names)}, {_PLACE}) + 2 * {k} + {closes}"
+        own = f"transform(_names, ({n}, {k}) -> case when array_contains({names}, {n}) then {code} end)"
+        return f"sort_array({present(own)})"
 
     def alone(names: str) -> str:
-        own = f"filter({tokens}, {t} -> {t}.step = 0 and ({kinds}))"
-        return f"transform({own}, {t} -> {number(kind(names), f'{t}.at', f'{t}.at')})"
+        own = f"case when get(_fit, {k}) and {itself(n, f'get(_heads, {k})')} then {number(kind(names), k, k)} end"
+        return present(f"transform(_names, ({n}, {k}) -> {own})")
 
     def depths(found: str) -> str:
         steps = each(found, lambda x: f"1 - 2 * cast({x} & 1 as int)")
@@ -235,7 +257,8 @@ def indexed(df: DataFrame, tokens: str, selectors: Sequence[Selector]) -> DataFr
         same = f"shiftright({after}, {_PLACE}) = shiftright({e}, {_PLACE})"
         last = f"case when {same} then shiftright({after} & {_AT}, 1) else 0 end"
         pair = number(f"shiftright({e}, {_PLACE + _LEVEL})", f"shiftright({e} & {_AT}, 1)", last)
-        return f"filter(transform({found}, ({e}, {k}) -> case when ({e} & 1) = 0 then {pair} end), {e} -> {e} is not null)"
+        wanted = "" if deep else f" and get(_fit, cast(shiftright({e} & {_AT}, 1) as int))"
+        return present(f"transform({found}, ({e}, {k}) -> case when ({e} & 1) = 0{wanted} then {pair} end)")
 
     at, last = f"(shiftright({e}, {_PLACE - 1}) & {_AT >> 1})", f"({e} & {_AT >> 1})"
     closed = f"filter(_pairs, {e} -> {last} > 0)"
@@ -247,35 +270,43 @@ def indexed(df: DataFrame, tokens: str, selectors: Sequence[Selector]) -> DataFr
         place = f"shiftleft(shiftright({e} & {_AT}, 1), 32)"
         own = f"zip_with({found}, {depths(found)}, ({e}, {d}) -> case when ({e} & 1) = 0 then {place} + {d} end)"
         open_ones = f"transform(filter(_pairs, {e} -> {last} = 0), {e} -> shiftleft({at}, 32))"
-        return f"sort_array(concat(filter({own}, {e} -> {e} is not null), {open_ones}))"
+        return f"sort_array(concat({present(own)}, {open_ones}))"
 
-    def wanted(own: str) -> str:
-        entry = (
-            f"named_struct('at', {t}.at, 'last', nullif(cast({e} & {(1 << 32) - 1} as int), 0), "
-            f"'depth', cast({d} & {(1 << 32) - 1} as int), 'name', {t}.name, 'head', {t}.head, "
-            f"'classes', {_classes(f'{t}.head')})"
-        )
-        tag = f"get({own}, cast(shiftright({e}, 32) as int))"
-        one = f"get(transform(array({tag}), {t} -> case when {kinds} then {entry} end), 0)"
-        placed = f"sort_array(transform(_pairs, {e} -> shiftleft({at}, 32) + {last}))"
-        return f"filter(zip_with({placed}, _depths, ({e}, {d}) -> {one}), {e} -> {e} is not null)"
+    placed = f"sort_array(transform(_pairs, {e} -> shiftleft({at}, 32) + {last}))"
+    place = f"cast(shiftright({e}, 32) as int)"
+    head = f"get(_heads, {place})"
 
-    names = f"array_distinct(filter({tokens}, {t} -> {t}.step >= 0 and ({kinds})).name)"
-    return (
-        df.select(
-            *others,
-            tokens,
-            F.expr(bind(names, alone)).alias("_single"),
-            F.expr(bind(bind(names, events), levels)).alias("_levels"),
+    def entry(depth: str) -> str:
+        return (
+            f"named_struct('at', {place}, 'last', nullif(cast({e} & {(1 << 32) - 1} as int), 0), 'depth', {depth}, "
+            f"'name', get(_names, {place}), 'head', {head}, 'classes', {bind(head, _classes)})"
         )
-        .select(*others, tokens, F.expr(f"concat({bind('_levels', pairs)}, _single)").alias("_pairs"))
-        .select(*others, tokens, "_pairs", F.expr(bind(nested, depth_of)).alias("_depths"))
+
+    depth = f"cast({d} & {(1 << 32) - 1} as int)"
+    entries = f"transform({placed}, {e} -> {entry('cast(null as int)')})"
+    if deep:
+        one = f"case when get(_fit, {place}) then {entry(depth)} end"
+        entries = present(f"zip_with({placed}, _depths, ({e}, {d}) -> {one})")
+
+    def used(names: str) -> str:
+        return f"array_distinct(filter({names}, ({n}, {k}) -> get(_fit, {k})))"
+
+    lists = ["_texts", "_heads", "_names", "_fit"]
+    read = (
+        _cut(df, html, others)
+        .select(*others, *lists[:-1], F.expr(fit).alias("_fit"))
+        .select(*others, *lists, F.expr(used("_names")).alias("_used"))
         .select(
             *others,
-            F.expr(each(tokens, lambda x: f"{x}.text")).alias("_texts"),
-            F.expr(bind(tokens, wanted)).alias("_entries"),
+            *lists,
+            F.expr(bind("_used", alone)).alias("_single"),
+            F.expr(bind(bind("_used", events), levels)).alias("_levels"),
         )
+        .select(*others, *lists, F.expr(f"concat({bind('_levels', pairs)}, _single)").alias("_pairs"))
     )
+    if deep:
+        read = read.withColumn("_depths", F.expr(bind(nested, depth_of)))
+    return read.select(*others, "_texts", F.expr(entries).alias("_entries"))
 
 
 def of_page(use: Callable[[Scope], str]) -> Column:
@@ -341,7 +372,7 @@ class Scope:
             def clear(ends: str) -> str:
                 return f"filter({found}, ({x}, {i}) -> {x}.at > coalesce(get({ends}, {i} - 1), -1))"
 
-            if selector.tag and not selector.classes and not selector.attribute:
+            if selector.by_name:
                 # All of the name fit, and those beside the first are as deep as it.
                 return f"filter({found}, {x} -> {x}.depth = get({found}, 0).depth)"
             furthest = running(f"{found}.last", lambda a, b: f"greatest({a}, {b})", "-1")

@@ -234,3 +234,18 @@ def test_rankings(rows):
     assert found == [("J", 0, "A", 2020, "Q1"), ("J", 1, "B", 2020, "")]
     lenient = extract.extract_rankings(pages, strict=False)
     assert sorted((r.journal, r.pos) for r in lenient.collect()) == [("J", 0), ("J", 1), ("K", 0)]
+
+
+def test_article_pages_are_indexed_once(rows):
+    """Sections and fields read one index of a page; each had its own."""
+    extracted = extract.extracted_article_pages(rows([(1, "https://s/", ARTICLE_PAGE)], PAGES))
+    plan = extracted._jdf.queryExecution().analyzed().toString()
+    assert plan.count("AS _entries#") == 1
+
+
+def test_pieces_that_are_no_tags(rows):
+    html = "a < b <P title='x > y'>1 <2 <b\n>bold</B><br/>&amp;<!DOCTYPE t>3 <i</p> <p>\"<p>inner</p></p>"
+    rules = [extract.Rule("all", (Selector("p"),), many=True), extract.Rule("b", (Selector("b"),))]
+    records, _ = extract.extract_items(rows([(1, "https://s/", html)], PAGES), rules)
+    found = records.first()
+    assert (found.all, found.b) == (["1 <2 bold&3 <i", '"inner'], "bold")
