@@ -25,21 +25,23 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from fractions import Fraction
+from functools import reduce
 from math import log
+from operator import or_
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from pubweave.llm.common import SEPARATORS, column, columns, store
+from pubweave.llm.common import column, columns, store
 
 PLACE = ["doc_id", "line"]
 #: A word's number has its class above this bit, and the rest of its hash below.
 CLASS_SHIFT = 56
-#: A number of the class table has this many classes, a byte each; the bits of a word's class.
-CLASS_ROW, CLASS_BITS = 8, -1 << CLASS_SHIFT
 #: Flags of a row of the prefix join.
 SETTLED, PROBES, INDEXED = 1, 2, 4
 WORD = r"[^\x20\x09-\x0D]"
+#: The separators of words but for blanks and line ends.
+SELDOM = "\t\x0b\x0c\r"
 
 
 @dataclass(frozen=True)
@@ -101,32 +103,72 @@ def sketch_length(band: Column, settings: Settings) -> Column:
     return F.least(F.greatest(longs, F.lit(1.0)), F.lit(float(settings.sketch_longs))).cast("int")
 
 
+def blanked(text: Column) -> Column:
+    """The text with blanks as its only separators besides line ends: at a single character a text is split
+    without a regular expression."""
+    seldom = reduce(or_, (F.contains(text, F.lit(c)) for c in SELDOM))
+    return F.when(seldom, F.translate(text, SELDOM, " " * len(SELDOM))).otherwise(text)
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, line, text): all lines, the words of each parted by blanks."""
+    blank = docs.select("doc_id", blanked(F.col("text")).alias("text"))
+    return blank.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
+
+
 def hashed_words(text: Column) -> Column:
-    """The distinct words of a text, as 64-bit hashes: by these words are told apart."""
-    hashes = F.transform(F.split(text, SEPARATORS), lambda w: F.xxhash64(w))
-    return F.array_remove(F.array_distinct(hashes), F.xxhash64(F.lit("")))
+    """The distinct words of a line of ``lines_of``, as 64-bit hashes: by these words are told apart."""
+    hashes = F.transform(F.split(text, " "), lambda w: F.xxhash64(w))
+    return F.array_distinct(F.array_remove(hashes, F.xxhash64(F.lit(""))))
 
 
 def frequency_classes(docs: DataFrame, settings: Settings) -> Column:
-    """``array<bigint>``: the class of each hashed counter, ``CLASS_ROW`` in a number, as a literal."""
+    """``array<bigint>``: the class of each hashed counter, as a literal."""
     counter = F.xxhash64("word").bitwiseAND(settings.counters - 1).cast("int")
+    words = F.split(F.replace(blanked(F.col("text")), F.lit("\n"), F.lit(" ")), " ")
     counted = (
-        docs.select(F.explode(F.split("text", SEPARATORS)).alias("word"))
+        docs.select(F.explode(words).alias("word"))
         .groupBy(counter.alias("counter"))
         .count()
         .toArrow()
     )
     classes = np.zeros(settings.counters, np.uint8)
     classes[counted.column("counter").to_numpy()] = np.log2(counted.column("count").to_numpy())
-    return F.split(F.lit(",".join(map(str, classes.view("<i8")))), ",").cast("array<bigint>")
+    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
+
+
+def _numbered(hashed: Column, classes: Column, settings: Settings) -> Column:
+    """A word's number. It is never null for Spark, which sorts numbers without objects only then."""
+    own = F.get(classes, hashed.bitwiseAND(settings.counters - 1).cast("int"))
+    own = F.shiftleft(F.coalesce(own, F.lit(0).cast("long")), CLASS_SHIFT)
+    return own.bitwiseOR(F.shiftrightunsigned(hashed, 64 - CLASS_SHIFT))
+
+
+def _part_end(k: Column, longs: Column) -> Column:
+    """The least hash beyond the first ``k`` of as many equal parts of all hashes as there are ``longs``, two
+    at least."""
+    return F.call_function(
+        "shiftleft", (k * 2 - longs).cast("long"), F.lit(63) - F.bit_count(longs - 1).cast("int")
+    )
+
+
+def part_ends(longs: Column) -> Column:
+    return F.transform(F.sequence(F.lit(1), longs - 1), lambda k: _part_end(k, longs))
+
+
+def spread_sketch(marked: Column, longs: Column) -> Column:
+    """The parities of each part of the hashes. ``marked`` has the hashes and ``part_ends`` in order, so that
+    each part is a slice."""
 
+    def at(k: Column) -> Column:
+        return F.array_position(marked, _part_end(k, longs)).cast("int")
 
-def _class_of(hashed: Column, classes: Column, settings: Settings) -> Column:
-    """The class of a word's hash, above ``CLASS_SHIFT``."""
-    rows = settings.counters // CLASS_ROW
-    row = F.shiftright(hashed, CLASS_ROW.bit_length() - 1).bitwiseAND(rows - 1).cast("int")
-    up = F.lit(CLASS_SHIFT) - F.shiftleft(hashed.bitwiseAND(CLASS_ROW - 1).cast("int"), 3)
-    return F.call_function("shiftleft", F.get(classes, row), up).bitwiseAND(CLASS_BITS)
+    def part(k: Column) -> Column:
+        start = F.when(k == 0, 0).otherwise(at(k))
+        end = F.when(k == longs - 1, F.size(marked) + 1).otherwise(at(k + 1))
+        return F.slice(marked, start + 1, end - start - 1)
+
+    return F.transform(F.sequence(F.lit(0), longs - 1), lambda k: _parity(part(k), _bit))
 
 
 def line_sets(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -135,28 +177,20 @@ def line_sets(docs: DataFrame, settings: Settings) -> DataFrame:
     as the widest band wants it."""
     classes = frequency_classes(docs, settings)
     # A filter on the made words would make them twice.
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text")).where(
-        F.col("text").rlike(WORD)
-    )
-    numbers = F.sort_array(
-        F.transform(
-            hashed_words(F.col("text")),
-            lambda h: _class_of(h, classes, settings).bitwiseOR(
-                F.shiftrightunsigned(h, 64 - CLASS_SHIFT)
-            ),
-        )
+    lines = lines_of(docs).where(F.col("text").rlike(WORD))
+    sets = lines.select(*PLACE, hashed_words(F.col("text")).alias("hashes"))
+    n, longs = F.size("hashes"), F.col("longs")
+    # Columns of their own: inside the functions below they would be made again for each word.
+    sets = sets.select(
+        "*",
+        F.sort_array(F.transform("hashes", lambda h: _numbered(h, classes, settings))).alias("words"),
+        sketch_length(widest_band(n, settings), settings).alias("longs"),
     )
-    sets = lines.select("doc_id", "line", numbers.alias("words"))
-    n, longs = F.size("words"), F.col("longs")
-    # A column of its own: inside the functions below it would be made again for each word.
-    sets = sets.select("*", sketch_length(widest_band(n, settings), settings).alias("longs"))
-    spread = F.transform(
-        F.sequence(F.lit(0), longs - 1),
-        lambda k: _parity(
-            F.filter("words", lambda w: F.shiftright(w, 6).bitwiseAND(longs - 1) == k), _bit
-        ),
+    marked = F.when(longs > 1, F.sort_array(F.concat("hashes", part_ends(longs))))
+    sets = sets.select("*", marked.alias("marked"))
+    sketch = F.when(longs == 1, F.array(_parity(F.col("hashes"), _bit))).otherwise(
+        spread_sketch(F.col("marked"), longs)
     )
-    sketch = F.when(longs == 1, F.array(_parity(F.col("words"), _bit))).otherwise(spread)
     described = sets.select(
         *PLACE,
         n.alias("n"),
@@ -181,9 +215,9 @@ def _parity(values: Column, bits: Callable[[Column], Column] = lambda v: v) -> C
 
 def _folded(sketch: Column, longs: Column) -> Column:
     """A sketch made shorter: that of the same words at ``longs`` numbers."""
+    each = (F.size(sketch) / longs).cast("int")
     parts = F.transform(
-        F.sequence(F.lit(0), longs - 1),
-        lambda k: _parity(F.filter(sketch, lambda _, i: F.pmod(i, longs) == k)),
+        F.sequence(F.lit(0), longs - 1), lambda k: _parity(F.slice(sketch, k * each + 1, each))
     )
     return F.when(F.size(sketch) == longs, sketch).otherwise(parts)
 
@@ -213,7 +247,9 @@ def _alike_enough(nx: Column, ny: Column, settings: Settings) -> Column:
 def _sketched(sketch: Column) -> list[Column]:
     """``sketch`` and ``wide`` of a sketch."""
     others = F.when(F.size(sketch) > 1, F.slice(sketch, F.lit(2), F.size(sketch)))
-    return [F.get(sketch, F.lit(0)).alias("sketch"), others.alias("wide")]
+    # Not null for Spark, which would make the sketch once more to ask for that before the join.
+    first = F.coalesce(F.get(sketch, F.lit(0)), F.lit(0).cast("long"))
+    return [first.alias("sketch"), others.alias("wide")]
 
 
 def _places(later: str, earlier: str) -> list[Column]:
@@ -224,33 +260,39 @@ def _places(later: str, earlier: str) -> list[Column]:
     ]
 
 
+def least_hashes(prefix: Column, longs: Column, settings: Settings) -> Column:
+    mixed = F.sort_array(F.transform(prefix, lambda w: F.xxhash64(w, longs)))
+    return F.slice(mixed, F.lit(1), F.lit(settings.hashes))
+
+
+def pair_keys(least: Column, settings: Settings) -> Column:
+    """Hashes of all pairs of ``least``; these themselves if there are two or one."""
+    pairs = F.array(
+        *(F.xxhash64(F.get(least, F.lit(i)), F.get(least, F.lit(j))) for j in range(settings.hashes) for i in range(j))
+    )
+    many = F.shiftright(F.size(least) * (F.size(least) - 1), 1)
+    return F.when(F.size(least) < 3, least).otherwise(F.slice(pairs, F.lit(1), many))
+
+
 def crowd_keys(prefix: Column, longs: Column, settings: Settings) -> Column:
     """What lines of a crowd share: two of the least hashes of their prefixes. A prefix of two words or one
     has these words, for similar short lines need not share more."""
-    mixed = F.sort_array(F.transform(prefix, lambda w: F.xxhash64(w, longs)))
-    # An array of its own, so that it is made once.
-    least = F.array(F.slice(mixed, F.lit(1), F.lit(settings.hashes)))
-
-    def pairs(of: Column) -> Column:
-        return F.flatten(
-            F.transform(
-                of, lambda a, k: F.transform(F.slice(of, k + 2, F.size(of)), lambda b: F.xxhash64(a, b))
-            )
-        )
-
-    return F.flatten(F.transform(least, lambda of: F.when(F.size(of) < 3, of).otherwise(pairs(of))))
+    return pair_keys(least_hashes(prefix, longs, settings), settings)
 
 
 def crowd_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
     """Pairs of a line and the first lines of a crowd that it is in: the first of each of some parts. Lines
     whose sketches differ in length are in crowds of their own."""
     sets = sets.withColumnRenamed("sketch", "whole")
-    sets = sets.withColumn("keys", crowd_keys(F.col("prefix"), F.size("whole"), settings))
-    keyed = sets.select(*PLACE, "n", *_sketched(F.col("whole")), F.explode("keys").alias("key"))
+    sets = sets.withColumn("least", least_hashes(F.col("prefix"), F.size("whole"), settings))
+    # Spark asks a column for elements before it explodes it, and for that would make the keys three times.
+    key = F.explode(pair_keys(F.col("least"), settings)).alias("key")
+    keyed = sets.select(*PLACE, "n", *_sketched(F.col("whole")), key)
     crowded = store(
         keyed.groupBy("key").count().where(F.col("count") >= settings.crowd).select("key"), "crowds"
     )
-    keyed = keyed.join(crowded.joinable(settings.broadcast_bytes), "key")
+    # Written, for both sides of the join below: most lines are in no crowd.
+    keyed = store(keyed.join(crowded.joinable(settings.broadcast_bytes), "key"), "crowd-lines").table
     part = F.pmod(F.xxhash64(*PLACE), F.lit(settings.firsts))
     crowds = (
         keyed.groupBy("key", part.alias("part"))
@@ -282,9 +324,8 @@ def prefix_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
     indexed = index_length(n, settings).cast("int")
     prefix = F.when(F.col("probes"), F.col("prefix")).otherwise(F.slice("prefix", F.lit(1), indexed))
     kept = [*PLACE, "n", "band", "settled", "probes"]
-    own = own.select(*kept, prefix.alias("prefix"), _folded(F.col("sketch"), longs).alias("folded"))
-    own = own.select(*kept, "prefix", *_sketched(F.col("folded")))
-    own = own.select(*kept, "sketch", "wide", F.posexplode("prefix").alias("at", "word"))
+    own = own.select(*kept, "prefix", _folded(F.col("sketch"), longs).alias("folded"))
+    own = own.select(*kept, *_sketched(F.col("folded")), F.posexplode(prefix).alias("at", "word"))
     flags = {SETTLED: F.col("settled"), PROBES: F.col("probes"), INDEXED: at < indexed}
     packed = F.shiftleft(n.cast("long"), 32).bitwiseOR(F.shiftleft(at.cast("long"), len(flags)))
     for bit, flag in flags.items():
@@ -329,8 +370,7 @@ def verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame
     pairs = store(pairs, "line-pairs").table
     ends = [pairs.select(*(F.col(f"{side}_{c}").alias(c) for c in PLACE)) for side in ("later", "earlier")]
     needed = store(ends[0].unionByName(ends[1]).distinct(), "line-places")
-    lines = docs.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "text"))
-    found = lines.join(needed.joinable(settings.broadcast_bytes), PLACE).select(
+    found = lines_of(docs).join(needed.joinable(settings.broadcast_bytes), PLACE).select(
         *PLACE, hashed_words(F.col("text")).alias("words")
     )
     found = store(found, "line-words").table
