@@ -13,7 +13,7 @@ near copies are thinned beforehand: the lines that share two of the least hashes
 compared with the first of each of eight parts of them, and those found alike need no partner any more.
 Two, because one word of a prefix is in more and more lines the larger the input is.
 
-Rarity is a word's frequency class, by the power of two of its hashed counter; the counters cover all
+Rarity is a word's frequency class, by the logarithm of its hashed counter; the counters cover all
 words and are a table of fixed size, whatever the input. Any order would give the same result.
 
 Only DataFrame functions are used. Lines without a word, and rows without a ``doc_id``, always stay.
@@ -37,6 +37,8 @@ from pubweave.llm.common import column, columns, store
 PLACE = ["doc_id", "line"]
 #: A word's number has its class above this bit, and the rest of its hash below.
 CLASS_SHIFT = 56
+#: Classes for each doubling of a word's frequency; of 2^42 words none has a class above 127.
+CLASSES_A_DOUBLING = 3
 #: Flags of a row of the prefix join.
 SETTLED, PROBES, INDEXED = 1, 2, 4
 WORD = r"[^\x20\x09-\x0D]"
@@ -81,9 +83,10 @@ def index_length(n: Column, settings: Settings) -> Column:
     return n - _div_up(n * (2 * p), p + q) + 1
 
 
-def least_overlap(n: Column, m: Column, settings: Settings) -> Column:
+def may_share(words: Column, n: Column, m: Column, settings: Settings) -> Column:
+    """Whether so many shared words are enough for sets of ``n`` and ``m``."""
     p, q = settings.ratio
-    return _div_up((n + m) * p, p + q)
+    return words * (p + q) >= (n + m) * p
 
 
 def band_of(n: Column, settings: Settings) -> Column:
@@ -133,15 +136,15 @@ def frequency_classes(docs: DataFrame, settings: Settings) -> Column:
         .toArrow()
     )
     classes = np.zeros(settings.counters, np.uint8)
-    classes[counted.column("counter").to_numpy()] = np.log2(counted.column("count").to_numpy())
+    doublings = np.log2(counted.column("count").to_numpy())
+    classes[counted.column("counter").to_numpy()] = doublings * CLASSES_A_DOUBLING
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<bigint>")
 
 
 def _numbered(hashed: Column, classes: Column, settings: Settings) -> Column:
-    """A word's number. It is never null for Spark, which sorts numbers without objects only then."""
-    own = F.get(classes, hashed.bitwiseAND(settings.counters - 1).cast("int"))
-    own = F.shiftleft(F.coalesce(own, F.lit(0).cast("long")), CLASS_SHIFT)
-    return own.bitwiseOR(F.shiftrightunsigned(hashed, 64 - CLASS_SHIFT))
+    """A word's number. ``get`` may be null for Spark, which then sorts objects instead of numbers."""
+    own = classes[hashed.bitwiseAND(settings.counters - 1).cast("int")]
+    return F.shiftleft(own, CLASS_SHIFT).bitwiseOR(F.shiftrightunsigned(hashed, 64 - CLASS_SHIFT))
 
 
 def _part_end(k: Column, longs: Column) -> Column:
@@ -231,16 +234,19 @@ def _alike_enough(nx: Column, ny: Column, settings: Settings) -> Column:
     """What the lengths and sketches of x and y allow, the smaller one being either. ``sketch`` is the first
     number of a sketch, ``wide`` the others, as many on both sides, or NULL."""
     p, q = settings.ratio
-    most = nx + ny - least_overlap(nx, ny, settings) * 2
+
+    def near(differ: Column) -> Column:
+        return may_share(F.shiftright(nx + ny - differ, 1), nx, ny, settings)
+
     differ = F.bit_count(F.col("x.sketch").bitwiseXOR(F.col("y.sketch")))
     wide = differ
     for k in range(settings.sketch_longs - 1):
         both = F.get("x.wide", F.lit(k)).bitwiseXOR(F.get("y.wide", F.lit(k)))
         wide = wide + F.coalesce(F.bit_count(both), F.lit(0))
     return (
-        (F.least(nx, ny) * q >= F.greatest(nx, ny) * p)
-        & (differ <= most)
-        & (F.col("x.wide").isNull() | (wide <= most))
+        near(differ)
+        & (F.least(nx, ny) * q >= F.greatest(nx, ny) * p)
+        & (F.col("x.wide").isNull() | near(wide))
     )
 
 
@@ -280,14 +286,19 @@ def crowd_keys(prefix: Column, longs: Column, settings: Settings) -> Column:
     return pair_keys(least_hashes(prefix, longs, settings), settings)
 
 
-def crowd_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
-    """Pairs of a line and the first lines of a crowd that it is in: the first of each of some parts. Lines
-    whose sketches differ in length are in crowds of their own."""
+def crowd_rows(sets: DataFrame, settings: Settings) -> DataFrame:
+    """(doc_id, line, n, sketch, wide, key): a row for each crowd that a line may be in."""
     sets = sets.withColumnRenamed("sketch", "whole")
     sets = sets.withColumn("least", least_hashes(F.col("prefix"), F.size("whole"), settings))
     # Spark asks a column for elements before it explodes it, and for that would make the keys three times.
     key = F.explode(pair_keys(F.col("least"), settings)).alias("key")
-    keyed = sets.select(*PLACE, "n", *_sketched(F.col("whole")), key)
+    return sets.select(*PLACE, "n", *_sketched(F.col("whole")), key)
+
+
+def crowd_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
+    """Pairs of a line and the first lines of a crowd that it is in: the first of each of some parts. Lines
+    whose sketches differ in length are in crowds of their own."""
+    keyed = crowd_rows(sets, settings)
     crowded = store(
         keyed.groupBy("key").count().where(F.col("count") >= settings.crowd).select("key"), "crowds"
     )
@@ -330,6 +341,7 @@ def prefix_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
     packed = F.shiftleft(n.cast("long"), 32).bitwiseOR(F.shiftleft(at.cast("long"), len(flags)))
     for bit, flag in flags.items():
         packed = packed.bitwiseOR(F.when(flag, bit).otherwise(0).cast("long"))
+    packed = F.coalesce(packed, F.lit(0).cast("long"))  # never null, as above
     keyed = own.select(F.hash("word", "band").alias("key"), *PLACE, "sketch", "wide", packed.alias("packed"))
 
     def number(side: str, what: str) -> Column:
@@ -353,7 +365,7 @@ def prefix_pairs(sets: DataFrame, settings: Settings) -> DataFrame:
         (F.col("x.key") == F.col("y.key"))
         & (flag("x", INDEXED) + flag("y", PROBES) == INDEXED + PROBES)
         & (nx <= ny)
-        & (left >= least_overlap(nx, ny, settings))
+        & may_share(left, nx, ny, settings)
         & _alike_enough(nx, ny, settings)
         & ~later_settled
         & ((F.col("x.doc_id") != F.col("y.doc_id")) | (F.col("x.line") != F.col("y.line"))),
@@ -370,6 +382,8 @@ def verified(pairs: DataFrame, docs: DataFrame, settings: Settings) -> DataFrame
     pairs = store(pairs, "line-pairs").table
     ends = [pairs.select(*(F.col(f"{side}_{c}").alias(c) for c in PLACE)) for side in ("later", "earlier")]
     needed = store(ends[0].unionByName(ends[1]).distinct(), "line-places")
+    if needed.size <= settings.broadcast_bytes:  # other documents need not be split
+        docs = docs.join(F.broadcast(needed.table.select("doc_id").distinct()), "doc_id", "left_semi")
     found = lines_of(docs).join(needed.joinable(settings.broadcast_bytes), PLACE).select(
         *PLACE, hashed_words(F.col("text")).alias("words")
     )

@@ -106,6 +106,34 @@ def test_lines_shuffled_instead_of_broadcast(rows):
     assert {d: k for d, k in found.items() if k} == dict(plain_lines(given))
 
 
+def test_lines_of_all_separators(rows):
+    """Blanks, runs of them and the seldom separators part words; a line of nothing else has none."""
+    given = [
+        (1, "a b  c d e f\n \t\n\x0b\x0c\r\n\na\tb"),
+        (2, " f\te\x0bd\x0cc\rb a \nb\ta \u00a0\ng h\r\ni \u2028 j"),
+        (3, "a\u00a0b c\r\n\x0bh g\tg\nj  \u2028\x0bi"),
+        (4, "\ti\x1cj"),
+    ]
+    found = {r.doc_id: r.kept for r in lines.lines_report(rows(given, DOCS)).collect()}
+    assert {d: k for d, k in found.items() if k} == dict(plain_lines(given))
+    assert lines.lines_of(rows(given, DOCS).select("doc_id", "text")).count() == 13
+
+
+def test_numbers_are_sorted_without_objects_and_keys_made_once(rows):
+    """Arrays that may hold nulls are sorted as objects; a column that is exploded is made two times more, to
+    ask whether it has elements."""
+    settings = lines.Settings()
+    sets = lines.line_sets(rows(near_lines(7), DOCS), settings)
+    assert not sets.schema["prefix"].dataType.containsNull
+    sets = rows([(1, 0, 2, [1, 2], [3])], "doc_id long, line int, n int, prefix array<long>, sketch array<long>")
+    for made in (
+        lines.crowd_rows(sets, settings),
+        lines.prefix_pairs(sets.withColumn("settled", F.lit(False)), settings),
+    ):
+        plan = made._jdf.queryExecution().optimizedPlan().toString()
+        assert "Generate" in plan and not re.search(r"Filter.*size\(", plan), plan
+
+
 def test_lines_without_an_id_stay(rows):
     given = [(1, "a b c d e"), (None, "a b c d e\n\na b c d e"), (None, None), (2, "a b c d e")]
     found = lines.lines_report(rows(given, DOCS)).collect()
