@@ -14,6 +14,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from pubweave.operators import rank_blocks
 from pubweave.operators.coauthors import papers
 from pubweave.storage import (
     BROADCAST_BYTES,
@@ -35,6 +36,10 @@ BROADCASTS = 4
 #: How much larger buckets of links and memberships are than others: each of them sends a sum for every vertex
 #: that it leads to, once a round.
 LARGE = 16
+#: Memberships from which rounds over vectors pay for the making of their blocks.
+PACKED_FROM = 100_000
+#: An author of more papers than this part of a block's memberships doesn't settle where a paper lies.
+LEADS = 16
 
 
 def _may_broadcast(start: Stored, max_iter: int, broadcast_bytes: int) -> bool:
@@ -87,8 +92,10 @@ def author_pagerank(
 
     While the measured ranks are small they are broadcast: a round shuffles partial sums per author.
     Beyond that a round has two shuffles, of the shares per paper and of the sums per author, and both
-    meet tables that lie in place: memberships by author and by paper, and the ranks. Authors of very many
-    papers, and papers of very many authors, lie apart (``storage.deal``) and meet few broadcast rows.
+    meet tables that lie in place. They are vectors, of a value per author and block of papers
+    (``rank_blocks``). If there are few memberships, or a paper has more of them than a block, they are rows:
+    memberships by author and by paper, and the ranks. Authors of very many papers, and papers of very many
+    authors, then lie apart (``storage.deal``) and meet few broadcast rows.
     """
     member_sets = papers(articles, years, authors, year).select(
         F.array_sort("members").alias("members")
@@ -98,18 +105,23 @@ def author_pagerank(
     stored_groups = store(
         member_sets.groupBy("members")
         .agg(F.count(F.lit(1)).alias("papers"))
+        .withColumn("size", F.size("members"))
         .withColumn("paper", F.monotonically_increasing_id()),
         "papers",
     )
     named = stored_groups.table.select(
         "paper",
         "papers",
-        (F.col("papers") * (F.size("members") - 1)).alias("links"),
+        (F.col("papers") * (F.col("size") - 1)).alias("links"),
         F.explode("members").alias("name"),
     )
     stored_authors = store(
         named.groupBy("name")
-        .agg(F.sum("links").alias("outdegree"), F.sum("papers").alias("papers"))
+        .agg(
+            F.sum("links").alias("outdegree"),
+            F.sum("papers").alias("papers"),
+            F.count(F.lit(1)).alias("memberships"),
+        )
         .withColumn("id", F.monotonically_increasing_id()),
         "authors",
     )
@@ -118,9 +130,14 @@ def author_pagerank(
     start = store(
         stored_authors.table.select("id", F.lit(1.0).alias("rank"), "outdegree", "papers"), "ranks"
     )
-    few = _may_broadcast(start, max_iter, broadcast_bytes)
-    run = _author_rounds if few else _author_rounds_in_place
-    ranks = run(memberships, start, reset, max_iter, stored_groups.size)
+    if _may_broadcast(start, max_iter, broadcast_bytes):
+        ranks = _author_rounds(memberships, start, reset, max_iter, stored_groups.size)
+    else:
+        total, most = stored_groups.table.agg(F.coalesce(F.sum("size"), F.lit(0)), F.max("size")).first()
+        if total >= PACKED_FROM and most <= rank_blocks.BLOCK:
+            ranks = _author_rounds_in_blocks(stored_groups, stored_authors, by_name, reset, max_iter, total)
+        else:
+            ranks = _author_rounds_in_place(memberships, start, reset, max_iter, stored_groups.size)
     return ranks.join(stored_authors.joinable(broadcast_bytes), "id").select(
         F.col("name").alias("id"), F.col("rank").alias("pagerank")
     )
@@ -149,6 +166,23 @@ def _author_rounds(
         return _rounds_by_broadcast(start, one_round, max_iter)
 
 
+def _author_rounds_in_blocks(
+    groups: Stored, authors: Stored, by_name: DataFrame, reset: float, max_iter: int, total: int
+) -> DataFrame:
+    blocks = rank_blocks.block_numbers(groups.table.sparkSession, total)
+    # Papers lie with one of their members, so that a block has many papers of its authors. Authors of very
+    # many papers are left out, for theirs would be a large part of a block; they are few.
+    often = authors.table.filter(F.col("memberships") > total // (LEADS * len(blocks)))
+    often = often.agg(F.collect_list("name").alias("often"))
+    known = F.transform(F.array_except("members", "often"), lambda name: F.xxhash64(name))
+    block = rank_blocks.block_of(F.coalesce(F.array_max(known), F.xxhash64("members")), blocks)
+    named = groups.table.crossJoin(F.broadcast(often)).select(
+        block.alias("block"), "paper", "papers", F.explode("members").alias("name")
+    )
+    memberships = named.join(by_name, "name").select("block", "paper", "papers", "id")
+    return rank_blocks.rounds_in_blocks(memberships, authors.table, reset, max_iter, blocks, ROUNDS_PER_JOB)
+
+
 def _author_rounds_in_place(
     memberships: DataFrame, start: Stored, reset: float, max_iter: int, size: int
 ) -> DataFrame:
