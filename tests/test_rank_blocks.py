@@ -77,6 +77,15 @@ def test_a_paper_larger_than_a_block_goes_by_rows(rows, monkeypatch):
     assert found == pytest.approx(brute_force(paper_edges(papers), 2), abs=1e-9) and in_place == [2]
 
 
+def test_top_authors_over_vectors(rows, by_vectors):
+    """Equal ranks tie by id, whichever block they come from."""
+    papers = [(["hub", f"a{k:02}", f"b{k:02}"], 2000) for k in range(40)]
+    ranks = pr.author_pagerank(rows(papers, SCHEMA), max_iter=10, broadcast_bytes=0)
+    top = [row.id for row in pr.top_authors(ranks, 6, digits=6).collect()]
+    assert top == ["hub", "a00", "a01", "a02", "a03", "a04"]
+    assert len({row.block for row in by_vectors[0]}) > 1
+
+
 def test_no_table_remains(spark, rows, by_vectors):
     assert pr.author_pagerank(rows([(["a", "b"], 2000)], SCHEMA), max_iter=6, broadcast_bytes=0).count() == 2
     assert [t.name for t in spark.catalog.listTables() if t.name.startswith("pubweave")] == []
