@@ -142,8 +142,8 @@ def frequency_classes(docs: DataFrame, settings: Settings) -> Column:
 
 
 def _numbered(hashed: Column, classes: Column, settings: Settings) -> Column:
-    """A word's number. ``get`` may be null for Spark, which then sorts objects instead of numbers."""
-    own = classes[hashed.bitwiseAND(settings.counters - 1).cast("int")]
+    """A word's number. Every counter has a class; Spark must know it, or it sorts objects instead of numbers."""
+    own = F.coalesce(classes[hashed.bitwiseAND(settings.counters - 1).cast("int")], F.lit(0).cast("long"))
     return F.shiftleft(own, CLASS_SHIFT).bitwiseOR(F.shiftrightunsigned(hashed, 64 - CLASS_SHIFT))
 
 
